@@ -81,7 +81,7 @@ class IdFilter:
 
     Built by Spark as an OR of bits per 64-bit word, so the driver gets at most max_bits / 64
     numbers however many ids there are (16 MiB at the default). A full bitmap only lets more rows
-    pass; it never changes a result.
+    pass; it never changes a result. A null id has a slot of its own.
     """
 
     def __init__(self, bits: np.ndarray):
@@ -94,8 +94,7 @@ class IdFilter:
             size *= 2
         slot = F.pmod(F.xxhash64(F.col(column)), F.lit(size))
         words = (
-            ids.filter(F.col(column).isNotNull())
-            .select(F.shiftright(slot, 5).alias("word"), F.shiftleft(F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int")).alias("bit"))
+            ids.select(F.shiftright(slot, 5).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int")).alias("bit"))
             .groupBy("word")
             .agg(F.bit_or("bit").alias("bit"))
             .toArrow()
