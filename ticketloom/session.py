@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 #: A Python worker gets at most this many rows and bytes of text at a time, so that very long
 #: documents do not add up in its memory.
@@ -35,8 +38,27 @@ def build_session(cores: int | str = 8, app: str = "ticketloom", **conf: str) ->
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once for each application; needs no --py-files."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="spark-ship-"), "ticketloom.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers get, unless the session already asks for less."""
+    """Make Python workers ready: the package is there, and Arrow batches are bounded unless the
+    session already asks for less."""
+    ship(spark)
     for key, value in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
         ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
