@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ticketloom.llm.decontamination import drop_contaminated
 from ticketloom.llm.near_dedup import keep_one_of_each
+from ticketloom.llm.packing import pack_stage
+from ticketloom.llm.secrets import redact_secrets
+from ticketloom.llm.toxicity import drop_toxic
 from ticketloom.session import table, written
 
+#: Each takes (spark, docs, sf_dir); all but the last return the columns of documents.
 STAGES = [
+    ("toxicity", drop_toxic),
     ("near_dedup", keep_one_of_each),
+    ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("packing", pack_stage),
 ]
 
 #: No SQL expresses sketching, learning or tokenizing; tests hold the stages against brute force.

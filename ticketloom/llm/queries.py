@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+from ticketloom.llm.decontamination import op1_decontamination
+from ticketloom.llm.language_id import op8_language_id
 from ticketloom.llm.near_dedup import op3_near_duplicates
+from ticketloom.llm.packing import op7_best_fit_packing
+from ticketloom.llm.quality import op2_weak_supervision
+from ticketloom.llm.revisits import OP6_SQL, op6_revisit_resolution
+from ticketloom.llm.secrets import op10_secret_scan
+from ticketloom.llm.substring_dedup import op4_substring_dedup
+from ticketloom.llm.token_files import op9_token_files
+from ticketloom.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_weak_supervision": op2_weak_supervision,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op6_revisit_resolution": op6_revisit_resolution,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_language_id": op8_language_id,
+    "op9_token_files": op9_token_files,
+    "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_revisit_resolution": OP6_SQL}
