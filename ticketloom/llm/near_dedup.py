@@ -11,10 +11,12 @@ with probability (1 - 0.75^4)^32 < 6e-6. Candidates are confirmed on full sets.
 
 No bucket is gathered and no bucket's pairs are listed. Documents with the same set form one class.
 In each bucket the class with the smallest document is the pivot; first each class is compared with
-the pivot it shares most bands with, then with its other pivots, and only pairs of a bucket that
-are still in different components after that are compared directly (those that the triangle
-inequality of the Jaccard distance rules out are left out). Pairs inside one component cannot
-change a component, so no link that matters is lost.
+the pivot it shares most bands with, then with its other pivots, then, in buckets that still hold
+several components, with their most central class, and only pairs of a bucket that are in different
+components even after that are compared directly. Of these, pairs that cannot
+reach the threshold are left out by two exact bounds: the triangle inequality of the Jaccard
+distance, and the size of the intersection without shingles that occur in one class only. Pairs
+inside one component cannot change a component, so no link that matters is lost.
 
 Cases: null or blank text has no words, an empty set, n_shingles 0 and its own component; fewer
 than ``width`` words make one shingle; repeated rows are members of one class; a null doc_id is
@@ -114,6 +116,13 @@ def _sets_of(wanted: IdFilter, width: int):
     return run
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *sets])), batch.column(0).take(pa.array(owner))], ["element", "node"])
+
+
 def _compare(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,18 +209,45 @@ def near_duplicates(
         .select("key", "node", "node_in", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("distance")).alias("d")),
         "near-open",
     )
+    # a shingle that no other class here has cannot be shared: n - n_alone bounds the intersection
+    here = written(apart.select("node").distinct().join(sets, "node"), "near-open-sets")
+    alone = here.mapInArrow(_elements, "element long, node binary").groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node")).filter("n = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
+    sizes = here.select("node", F.expr("octet_length(hashes) div 8").alias("n")).join(alone, "node", "left")
+    viable = sizes.select("node", "n", (F.col("n") - F.coalesce("n_alone", F.lit(0))).alias("m")).filter(100 * F.col("m") >= threshold * F.col("n"))
+    apart = written(apart.join(viable, "node"), "near-viable")
+
+    def still_open(df: DataFrame) -> DataFrame:
+        keys = df.groupBy("key").agg(F.min("node_in").alias("lo"), F.max("node_in").alias("hi")).filter("lo != hi").select("key")
+        return df.join(keys, "key", "left_semi")
+
+    def untested(df: DataFrame) -> DataFrame:
+        once = df.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        return once.join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+
+    # each bucket's most central class, the one with the least of its own, is a better pivot
+    apart = still_open(apart)
+    centers = apart.groupBy("key").agg(F.max_by(F.struct("node", "node_in"), F.struct(F.col("m") / F.col("n"), "node")).alias("c"))
+    to_center = apart.join(centers, "key").filter(F.col("node_in") != F.col("c.node_in")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
+    to_center = written(untested(to_center), "near-centers")
+    if not to_center.isEmpty():
+        more = compared(to_center)
+        tested = tested.unionByName(more)
+        if not more.filter("linked").isEmpty():
+            labels = components(tested)
+            apart = with_component(apart.drop("node_in"), "node", labels)
+    apart = written(still_open(apart), "near-apart")
     x, y = apart.alias("x"), apart.alias("y")
     limit = 1 - threshold / 100 + 1e-9
     gap = F.abs(F.col("x.d") - F.col("y.d"))
+    most = F.least("x.m", "y.m")
     across = (
         x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node_in") != F.col("y.node_in")) & (F.col("x.node") > F.col("y.node")))
+        .filter(100 * most >= threshold * (F.col("x.n") + F.col("y.n") - most))
         .filter(gap.isNull() | F.isnan(gap) | (gap <= limit))
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-        .join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     )
-    across = written(across, "near-across")
+    across = written(untested(across), "near-across")
     if not across.isEmpty():
         more = compared(across)
         if not more.filter("linked").isEmpty():
