@@ -9,14 +9,13 @@ one-permutation schemes with empty bins, with MinHash's concentration bounds.
 ``bands`` bands of ``rows`` coordinates give candidates; at J = 0.75 and 32 x 4 a pair is missed
 with probability (1 - 0.75^4)^32 < 6e-6. Candidates are confirmed on full sets.
 
-No bucket is gathered and no bucket's pairs are listed. Documents with the same set form one class.
+No bucket is gathered and no bucket's pairs are emitted. Documents with the same set form one class.
 In each bucket the class with the smallest document is the pivot; first each class is compared with
 the pivot it shares most bands with, then with its other pivots, then, in buckets that still hold
-several components, with their most central class, and only pairs of a bucket that are in different
-components even after that are compared directly. Of these, pairs that cannot
-reach the threshold are left out by two exact bounds: the triangle inequality of the Jaccard
-distance, and the size of the intersection without shingles that occur in one class only. Pairs
-inside one component cannot change a component, so no link that matters is lost.
+several components, with their most central class. Pairs inside one component cannot change a
+component, so they need no comparison. Classes that more than a quarter of their shingles have to
+themselves can have no link. The rest is compared exactly in blocks of ``block`` classes: a task
+gets two blocks and returns at most one link for two components.
 
 Cases: null or blank text has no words, an empty set, n_shingles 0 and its own component; fewer
 than ``width`` words make one shingle; repeated rows are members of one class; a null doc_id is
@@ -126,29 +125,61 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compare(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, total = [], []
+            linked = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 if 100 * min(len(a), len(b)) < threshold * max(len(a), len(b)):  # cannot reach the threshold
-                    shared.append(-1)
-                    total.append(max(len(a), len(b)))
+                    linked.append(False)
                     continue
                 both = np.concatenate([a, b])
                 both.sort(kind="stable")
                 n = int((both[1:] == both[:-1]).sum())
-                shared.append(n)
-                total.append(len(both) - n)
-            n, u = np.array(shared, np.int64), np.array(total, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(100 * n >= threshold * u), pa.array(np.where(n < 0, np.nan, 1 - n / np.maximum(u, 1)))],
-                ["a", "b", "linked", "distance"],
-            )
+                linked.append(100 * n >= threshold * (len(both) - n))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+
+    return run
+
+
+def _compare_blocks(threshold: int, columns: int = 4096):
+    """Two blocks of classes (or one with itself) -> one link for each two components that have one.
+    Intersections are products of incidence matrices, ``columns`` shingles at a time."""
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes, homes, sides = (group[c].to_pylist() for c in ("node", "node_in", "side"))
+        sets = [np.frombuffer(x, np.uint64) for x in group["hashes"].to_pylist()]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        elements = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        names, place, seen = np.unique(elements, return_inverse=True, return_counts=True)
+        common = np.cumsum(seen > 1) - 1  # columns of shingles that two classes have
+        keep = seen[place] > 1
+        owner, place = owner[keep], common[place[keep]]
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        left = np.array([i for i, side in enumerate(sides) if side != 1], np.int64)
+        right = np.array([i for i, side in enumerate(sides) if side != 0], np.int64)
+        shared = np.zeros((len(left), len(right)), np.float32)
+        for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
+            lo, hi = np.searchsorted(place, [at, at + columns])
+            part = np.zeros((len(sets), columns), np.float32)
+            part[owner[lo:hi], place[lo:hi] - at] = 1
+            shared += part[left] @ part[right].T
+        total = sizes[left][:, None] + sizes[right][None, :] - shared
+        a, b, met = [], [], set()
+        for i, j in zip(*np.nonzero(100 * shared >= threshold * total), strict=True):
+            x, y = left[i], right[j]
+            ends = (homes[x], homes[y]) if homes[x] < homes[y] else (homes[y], homes[x])
+            if ends[0] != ends[1] and ends not in met:
+                met.add(ends)
+                a.append(nodes[x])
+                b.append(nodes[y])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "linked": pa.array([True] * len(a), pa.bool_())})
 
     return run
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 75, bands: int = 32, rows: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 75, bands: int = 32, rows: int = 4, block: int = 128
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs; threshold in percent."""
     spark = docs.sparkSession
@@ -177,7 +208,7 @@ def near_duplicates(
     def compared(todo: DataFrame) -> DataFrame:
         left = todo.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-        return written(both.select("a", "b", "x", "y").mapInArrow(_compare(threshold), "a binary, b binary, linked boolean, distance double"), "near-compared")
+        return written(both.select("a", "b", "x", "y").mapInArrow(_compare(threshold), "a binary, b binary, linked boolean"), "near-compared")
 
     def components(links: DataFrame) -> DataFrame:
         return connected_components(links.filter("linked").select("a", "b"))
@@ -199,24 +230,6 @@ def near_duplicates(
         if not more.filter("linked").isEmpty():
             labels = components(tested)
 
-    # buckets that still hold several components: compare across them
-    placed = with_component(members, "node", labels)
-    open_keys = placed.groupBy("key").agg(F.min("node_in").alias("lo"), F.max("node_in").alias("hi")).filter("lo != hi").select("key")
-    far = tested.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
-    apart = written(
-        placed.join(open_keys, "key", "left_semi")
-        .join(far, ["node", "pivot"], "left")
-        .select("key", "node", "node_in", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("distance")).alias("d")),
-        "near-open",
-    )
-    # a shingle that no other class here has cannot be shared: n - n_alone bounds the intersection
-    here = written(apart.select("node").distinct().join(sets, "node"), "near-open-sets")
-    alone = here.mapInArrow(_elements, "element long, node binary").groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node")).filter("n = 1")
-    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
-    sizes = here.select("node", F.expr("octet_length(hashes) div 8").alias("n")).join(alone, "node", "left")
-    viable = sizes.select("node", "n", (F.col("n") - F.coalesce("n_alone", F.lit(0))).alias("m")).filter(100 * F.col("m") >= threshold * F.col("n"))
-    apart = written(apart.join(viable, "node"), "near-viable")
-
     def still_open(df: DataFrame) -> DataFrame:
         keys = df.groupBy("key").agg(F.min("node_in").alias("lo"), F.max("node_in").alias("hi")).filter("lo != hi").select("key")
         return df.join(keys, "key", "left_semi")
@@ -225,8 +238,17 @@ def near_duplicates(
         once = df.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         return once.join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
 
+    # buckets that still hold several components. A shingle that no other class in them has cannot
+    # be shared, so n - n_alone bounds the intersection
+    apart = written(still_open(with_component(members.select("key", "node"), "node", labels)), "near-open")
+    here = written(apart.select("node").distinct().join(sets, "node"), "near-open-sets")
+    alone = here.mapInArrow(_elements, "element long, node binary").groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node")).filter("n = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
+    sizes = here.select("node", F.expr("octet_length(hashes) div 8").alias("n")).join(alone, "node", "left")
+    viable = sizes.select("node", "n", (F.col("n") - F.coalesce("n_alone", F.lit(0))).alias("m")).filter(100 * F.col("m") >= threshold * F.col("n"))
+    apart = still_open(written(apart.join(viable, "node"), "near-viable"))
+
     # each bucket's most central class, the one with the least of its own, is a better pivot
-    apart = still_open(apart)
     centers = apart.groupBy("key").agg(F.max_by(F.struct("node", "node_in"), F.struct(F.col("m") / F.col("n"), "node")).alias("c"))
     to_center = apart.join(centers, "key").filter(F.col("node_in") != F.col("c.node_in")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
     to_center = written(untested(to_center), "near-centers")
@@ -237,20 +259,25 @@ def near_duplicates(
             labels = components(tested)
             apart = with_component(apart.drop("node_in"), "node", labels)
     apart = written(still_open(apart), "near-apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    limit = 1 - threshold / 100 + 1e-9
-    gap = F.abs(F.col("x.d") - F.col("y.d"))
-    most = F.least("x.m", "y.m")
-    across = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node_in") != F.col("y.node_in")) & (F.col("x.node") > F.col("y.node")))
-        .filter(100 * most >= threshold * (F.col("x.n") + F.col("y.n") - most))
-        .filter(gap.isNull() | F.isnan(gap) | (gap <= limit))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    )
-    across = written(untested(across), "near-across")
-    if not across.isEmpty():
-        more = compared(across)
-        if not more.filter("linked").isEmpty():
+
+    # what is left: classes that hang together through buckets are compared block by block
+    if not apart.isEmpty():
+        hubs = apart.groupBy("key").agg(F.min("node").alias("hub"))
+        crowd = connected_components(apart.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        placed = apart.select("node", "node_in").distinct().join(crowd, "node")
+        counts = placed.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+        own = placed.join(counts, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(here, "node")
+        copies = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "component",
+            F.least("own", "other").alias("p"),
+            F.greatest("own", "other").alias("q"),
+            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
+            "node",
+            "node_in",
+            "hashes",
+        )
+        more = written(copies.groupBy("component", "p", "q").applyInArrow(_compare_blocks(threshold), "a binary, b binary, linked boolean"), "near-blocks")
+        if not more.isEmpty():
             labels = components(tested.unionByName(more))
 
     homes = with_component(classes.select("node", "first_doc"), "node", labels)
