@@ -52,7 +52,7 @@ def run_status(events: DataFrame, declared: list[str] | None = None) -> tuple[Da
     steps = events.groupBy("run_id", "step").agg(
         at("running").alias("start_time"), at("success", "failed").alias("end_time"), F.max_by("status", "seq").alias("status"), F.max_by("error", F.when(F.col("error").isNotNull(), F.col("seq"))).alias("error"), F.max(F.struct("seq", "status")).alias("_last")
     )
-    steps = steps.withColumn("duration_seconds", F.round(F.unix_micros("end_time") / 1e6 - F.unix_micros("start_time") / 1e6, 3))
+    steps = steps.withColumn("duration_seconds", F.round(F.unix_micros(F.col("end_time").cast("timestamp")) / 1e6 - F.unix_micros(F.col("start_time").cast("timestamp")) / 1e6, 3))
     if declared is not None:
         steps = steps.withColumn("known", F.col("step").isin(*declared))
     runs = steps.groupBy("run_id").agg(F.max("_last").alias("_last"), F.count(F.lit(1)).alias("n_steps"), F.sum(F.col("status").isin("success", "skipped").cast("long")).alias("n_done"))

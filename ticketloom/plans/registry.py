@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from ticketloom.plans import queries_join, queries_table, queries_text
+
+FLAGSHIP = "clusters"
+QUERIES: dict = queries_table.QUERIES | queries_text.QUERIES | queries_join.QUERIES
+ORACLE_SQL: dict = queries_table.ORACLE_SQL | queries_text.ORACLE_SQL | queries_join.ORACLE_SQL
