@@ -15,8 +15,8 @@ Buckets are ranges of doc_id between quantiles of the id column alone, so texts
 and only compressed frames are shuffled. Prefix sums of token counts run inside buckets and then
 over bucket totals in two levels, never over all documents in one task.
 
-The dictionary is trained on at most ``sample_rows`` documents of at most ``sample_chars``
-characters (the ones with the smallest id hash); it changes sizes, never contents.
+The dictionary is trained on about ``sample_rows`` documents (never more than twice that) of at most
+``sample_chars`` characters, drawn by a hash of their id; it changes sizes, never contents.
 
 Cases: null text is empty (end id alone); rows with one id follow each other; null ids come first;
 very long texts are one frame each; an empty table gives an empty file; other columns are ignored.
@@ -61,8 +61,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, narrow: bool,
     """A dictionary of about ``size`` bytes, or b"" where there is too little to train on."""
     import zstandard
 
-    sample = docs.filter(F.length("text").between(1, sample_chars)).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = sample.select("text").mapInArrow(_serialized(tokenizer, end_id, narrow), "ids binary").toArrow()["ids"].to_pylist()
+    short = docs.filter(F.length("text").between(1, sample_chars))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = short.filter(draw < share).select("text").limit(2 * sample_rows)
+    rows = sample.mapInArrow(_serialized(tokenizer, end_id, narrow), "ids binary").toArrow()["ids"].to_pylist()
     try:
         return zstandard.train_dictionary(size, rows, k=256, d=8, steps=1).as_bytes() if len(rows) >= 16 else b""
     except zstandard.ZstdError:

@@ -10,25 +10,26 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
 import public_tokenizers
 
+assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def byte_level_chunks(text: str) -> list[str] | None:
-    """A chunk is what stands before a space, or a space and what follows it. A run of white space
+    """What stands between spaces; each but the first goes with the space before it. A run of white space
     goes into pre-tokens as (all but the last) + (the last), so a cut inside a longer run, or at the
     end of the text, would be wrong: None then."""
     if "  " in text or "\n " in text or text.endswith(" ") or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text:
         return None
     if not text.isascii() and _OTHER_SPACE.search(text) or text.isascii() and ("\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text):
         return None
-    first, *rest = text.split(" ")
-    return [first, *(" " + x for x in rest)]
+    return text.split(" ")
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -36,34 +37,78 @@ def spaced_chunks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-CHUNKS = {"byte_bpe_50k.json": byte_level_chunks, "word_bpe_49k.json": spaced_chunks}
+def pieces(chunk: str) -> list[str]:
+    """A chunk cut further where pre-tokens end in both vocabularies: around a line end that stands
+    between other characters, and between a letter and a comma or full stop that ends a line."""
+    out: list[str] = []
+    lines = chunk.split("\n")
+    if len(lines) > 1 and not all(x and not x.isspace() and not x[0].isspace() and not x[-1].isspace() for x in lines[1:]):
+        return [chunk]
+    if len(lines) > 1 and (not lines[0] or lines[0][-1].isspace()):
+        return [chunk]
+    for k, line in enumerate(lines):
+        if k:
+            out.append("\n")
+        if len(line) > 2 and line[-1] in ".," and line[-2].isalpha():
+            out += [line[:-1], line[-1]]
+        else:
+            out.append(line)
+    return out
+
+
+#: vocabulary file: (how texts are cut, what precedes each chunk but the first)
+CHUNKS = {"byte_bpe_50k.json": (byte_level_chunks, " "), "word_bpe_49k.json": (spaced_chunks, "")}
 
 
 class Encoder:
     """ids of texts as little-endian unsigned 32-bit bytes."""
 
-    LIMIT = 400_000
+    #: Beyond LIMIT remembered chunks, only those of at most SHORT characters stay: they come again.
+    LIMIT, SHORT = 600_000, 8
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.chunks = CHUNKS.get(os.path.basename(path), lambda text: None)
-        self.known: dict[str, bytes] = {}
+        self.chunks, self.lead = CHUNKS.get(os.path.basename(path), (lambda text: None, ""))
+        self.known: dict[str, bytes] = {}  # chunks that follow their lead
 
     def _spell(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.known) > self.LIMIT:
+            self.known = {c: v for c, v in self.known.items() if len(c) <= self.SHORT}
+            if len(self.known) > self.LIMIT // 2:
+                self.known.clear()
+        known, lead = self.known, self.lead
+        new = chunks - known.keys()
+        plain = [c for c in new if c.isalpha()]
+        cut = {c: pieces(c) for c in new.difference(plain)}
+        heads = list({parts[0] for parts in cut.values()}.union(plain) - known.keys())
+        known.update(zip(heads, self._spell([lead + h for h in heads]), strict=True))
+        # pieces behind the first one follow no lead; keyed by a mark that no chunk starts with
+        tails = list({" " + p for parts in cut.values() for p in parts[1:]} - known.keys())
+        known.update(zip(tails, self._spell([t[1:] for t in tails]), strict=True))
+        for c, parts in cut.items():
+            if len(parts) > 1:
+                known[c] = known[parts[0]] + b"".join([known[" " + p] for p in parts[1:]])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [self.chunks(t) for t in texts]
-        if len(self.known) > self.LIMIT:
-            self.known.clear()
-        new = list({c for parts in cut if parts is not None for c in parts} - self.known.keys())
-        self.known.update(zip(new, self._spell(new), strict=True))
+        self._learn(set().union(*[parts[1:] if self.lead else parts for parts in cut if parts]))
+        first = iter(self._spell([parts[0] for parts in cut if parts]) if self.lead else [])
         whole = iter(self._spell([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) if parts is not None else next(whole) for parts in cut]
+        get, out = self.known.__getitem__, []
+        for parts in cut:
+            if parts is None:
+                out.append(next(whole))
+            elif self.lead:
+                out.append(next(first) + b"".join(map(get, parts[1:])))
+            else:
+                out.append(b"".join(map(get, parts)))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
