@@ -57,7 +57,7 @@ def allocate_quota(df: DataFrame, group: str, index: str, tokens: str, per_chapt
     if per_document is None:
         return base.withColumn("quota", F.col("base"))
     whole = Window.partitionBy(group)
-    share = F.col("base") * F.lit(per_document) / F.col("_sum")
+    share = F.col("base") * F.lit(per_document) / F.nullif(F.col("_sum"), F.lit(0))
     parts = base.withColumn("_sum", F.sum("base").over(whole)).withColumn("_share", share).withColumn("_floor", F.floor("_share"))
     parts = parts.withColumn("_left", F.lit(per_document) - F.sum("_floor").over(whole)).withColumn("_frac", F.round(F.col("_share") - F.col("_floor"), 9))
     rank = F.row_number().over(whole.orderBy(F.desc("_frac"), F.desc(index)))
