@@ -106,15 +106,16 @@ class IdFilter:
     pass; it never changes a result. A null id has a slot of its own.
     """
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, bits: np.ndarray, hashed: bool = False):
+        self.bits, self.hashed = bits, hashed
 
     @classmethod
-    def of(cls, ids: DataFrame, column: str, count: int, max_bits: int = 1 << 27) -> IdFilter:
+    def of(cls, ids: DataFrame, column: str, count: int, max_bits: int = 1 << 27, hashed: bool = False) -> IdFilter:
+        """hashed: the column is a hash already, its low bits are the slot."""
         size = 1 << 16
         while size < min(16 * count, max_bits):
             size *= 2
-        slot = F.pmod(F.xxhash64(F.col(column)), F.lit(size))
+        slot = F.pmod(F.col(column) if hashed else F.xxhash64(F.col(column)), F.lit(size))
         words = (
             ids.select(F.shiftright(slot, 5).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int")).alias("bit"))
             .groupBy("word")
@@ -123,11 +124,14 @@ class IdFilter:
         )
         bits = np.zeros(size // 32, np.uint32)
         bits[words["word"].to_numpy()] = words["bit"].to_numpy().astype(np.uint32)
-        return cls(bits)
+        return cls(bits, hashed)
 
     def slot(self, column: str) -> Column:
         """The slot of a row; compute it in Spark and test it with ``has``."""
-        return F.pmod(F.xxhash64(F.col(column)), F.lit(len(self.bits) * 32))
+        return F.pmod(F.col(column) if self.hashed else F.xxhash64(F.col(column)), F.lit(len(self.bits) * 32))
+
+    def has_hash(self, hashes: np.ndarray) -> np.ndarray:
+        return self.has(hashes & np.int64(len(self.bits) * 32 - 1))
 
     def has(self, slots: np.ndarray) -> np.ndarray:
         return (self.bits[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1 == 1
