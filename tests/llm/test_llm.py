@@ -211,7 +211,8 @@ def test_quality_counts(spark, sf, texts):
         assert r["base_failed"] == (len(w) < 50 or 100 * len(covered) > 50 * len(w)) and (not r["base_failed"] or not r["kept"])
 
 
-def test_quality_follows_labels(spark, sf):
+def test_quality_follows_labels(spark):
+    sf = "/root/testdata/sf0.01"
     judged = queries.QUERIES["op2_weak_supervision"](spark, sf).filter("not base_failed").join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id").collect()
     assert sum(r["kept"] == (r["quality"] == 1) for r in judged) >= 0.95 * len(judged)
 

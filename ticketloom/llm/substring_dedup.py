@@ -3,7 +3,8 @@
 A window is ``width`` consecutive words. A word goes if a window that covers it also starts in a
 document with a smaller id; windows are judged on the input.
 
-1. Each window has an anchor: the ``gram``-word run in it with the least hash. Equal windows have
+1. Each window has an anchor: the ``gram``-word run in it with the least hash (long runs are seldom
+   shared by chance). Equal windows have
    equal anchors, so only anchors that occur in several documents matter. (anchor -> smallest
    document, "owner") is one aggregation with map-side combine.
 2. The stretch of windows around an anchor in its owner is the reference passage of that anchor.
@@ -156,6 +157,21 @@ def _wanted_rows(wanted: IdFilter):
     return run
 
 
+def _passing(shared: IdFilter):
+    """(doc_id, row_key, anchors) -> one row for each anchor that the filter of shared ones passes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            keep = shared.has_hash(values)
+            at = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(values[keep], pa.int64())], ["doc_id", "row_key", "anchor"])
+
+    return run
+
+
 def _stretches(width: int, gram: int, with_words: bool):
     """(doc_id, row_key, text, anchors) -> stretches of the listed anchors, with a fingerprint or
     with the word hashes themselves."""
@@ -228,16 +244,19 @@ def _remaining(width: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, gram: int = 5) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, gram: int = 7) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text) for every row of docs; kept_text (words
     joined by one space) is null where nothing was removed."""
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     described = written(source.mapInArrow(_described(width, gram), "doc_id long, row_key long, n_words long, sha string, anchors array<long>"), "repeat-docs")
-    places = described.filter("doc_id is not null").select("doc_id", "row_key", F.explode("anchors").alias("anchor"))
+    listed = described.filter("doc_id is not null")
+    places = listed.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = places.groupBy("anchor").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last").select("anchor", "owner")
     shared = written(shared, "repeat-anchors")
-    owners = written(places.join(shared, "anchor").groupBy("doc_id", "row_key").agg(F.collect_set("anchor").alias("anchors")), "repeat-hits")
+    found = IdFilter.of(shared, "anchor", shared.count(), hashed=True)
+    likely = listed.select("doc_id", "row_key", "anchors").mapInArrow(_passing(found), "doc_id long, row_key long, anchor long")
+    owners = written(likely.join(shared, "anchor").groupBy("doc_id", "row_key").agg(F.collect_set("anchor").alias("anchors")), "repeat-hits")
 
     def texts_of(ids: DataFrame) -> DataFrame:
         wanted = IdFilter.of(ids, "doc_id", ids.count())
@@ -246,7 +265,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     stretch = "anchor long, doc_id long, row_key long, start int, n int, part binary"
     marked = written(texts_of(owners).select("doc_id", "row_key", "text", "anchors").mapInArrow(_stretches(width, gram, False), stretch).join(shared, "anchor"), "repeat-stretches")
-    prints = marked.filter("doc_id = owner").select("anchor", "part").distinct().withColumn("same", F.lit(True))
+    prints = written(marked.filter("doc_id = owner").select("anchor", "part").distinct().withColumn("same", F.lit(True)), "repeat-prints")
     judged = written(marked.filter("doc_id > owner").join(prints, ["anchor", "part"], "left").drop("part"), "repeat-judged")
     equal = judged.filter("same").select("doc_id", "row_key", "start", "n")
 

@@ -49,7 +49,7 @@ def pieces(chunk: str) -> list[str]:
     for k, line in enumerate(lines):
         if k:
             out.append("\n")
-        if len(line) > 2 and line[-1] in ".," and line[-2].isalpha():
+        if len(line) > 2 and line[-1] in ".," and line[-2].isalpha() and line[-2].lower().isalpha():
             out += [line[:-1], line[-1]]
         else:
             out.append(line)
