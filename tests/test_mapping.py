@@ -10,7 +10,7 @@ def test_issue_bodies_and_comments(spark):
         "ord long, key string, summary string, status string, created string, issuetype string, description string, rendered_description string",
     )
     comments = spark.createDataFrame(
-        [("A-1", 2, "x", None, "d2", "second", None), ("A-1", 1, "y", "atlassian", "d1", "", tree), ("A-1", 3, "z", "customer", "d3", "gone", None)],
+        [("A-1", 2, "x", None, "d2", "second", None), ("A-1", 1, "y", "staff", "d1", "", tree), ("A-1", 3, "z", "customer", "d3", "gone", None)],
         "key string, c_ord int, author string, account_type string, created string, rendered_body string, body_tree string",
     )
     rows = {r["ticket_id"]: r for r in mapping.issues_to_tickets(issues, comments, "https://t/").collect()}

@@ -68,7 +68,7 @@ def conversation_tickets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
     c = table(spark, sf_dir, "conversations")
     tickets = c.filter("turn = 0").select(F.col("conv_id").cast("string").alias("ticket_id"), F.concat(F.lit("Case "), F.col("conv_id").cast("string")).alias("subject"), F.col("text").alias("body"))
     later = c.filter("turn > 0")
-    kind = F.when(F.col("role") == "user", "customer").when(F.col("role") == "assistant", "atlassian")
+    kind = F.when(F.col("role") == "user", "customer").when(F.col("role") == "assistant", "staff")
     comments = later.select(
         F.col("conv_id").cast("string").alias("ticket_id"), F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("comment_id"), F.col("turn").alias("c_ord"), F.col("role").alias("author"), kind.alias("account_type"), F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("created"), F.col("text").alias("body")
     )
