@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.words import WordHashes, rolling, signed
+from ticketloom.llm.words import REMEMBERED, WordHashes, only, rolling, signed
 from ticketloom.session import bounded_batches, table, written
 
 _EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‚‘’¡¿…"
@@ -68,6 +68,7 @@ class TemplateWords(WordHashes):
 
 
 _WORDS = TemplateWords()
+REMEMBERED.append(_WORDS)
 
 
 def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -113,6 +114,7 @@ def _found(width: int, literals: int, widths: list[int] | None, known: np.ndarra
     """Windows of (id, text) rows: all of them (items, in their own width) or the known ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(_WORDS)
         for batch in batches:
             out: list[tuple] = []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

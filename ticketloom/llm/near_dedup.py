@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.words import mix, rolling, text_bytes, word_hashes
+from ticketloom.llm.words import HASHES, mix, only, rolling, text_bytes, word_hashes
 from ticketloom.operators.graph import connected_components
 from ticketloom.session import IdFilter, bounded_batches, table, written
 
@@ -86,6 +86,7 @@ def _node(hashes: np.ndarray) -> bytes:
 
 def _sketched(width: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(HASHES)
         for batch in batches:
             sets = [shingle_set(x, width) for x in text_bytes(batch.column(1))]
             full = [i for i, s in enumerate(sets) if len(s)]
@@ -107,6 +108,7 @@ def _sketched(width: int, bands: int, rows: int):
 
 def _sets_of(wanted: IdFilter, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(HASHES)
         for batch in batches:
             batch = batch.filter(pa.array(wanted.has(batch.column(2).to_numpy())))
             sets = [s for x in text_bytes(batch.column(1)) if len(s := shingle_set(x, width))]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.words import rolling, signed, text_bytes, word_hashes
+from ticketloom.llm.words import HASHES, only, rolling, signed, text_bytes, word_hashes
 from ticketloom.session import IdFilter, bounded_batches, table, written
 
 
@@ -121,6 +121,7 @@ def _row_key(text: bytes) -> int:
 
 def _described(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(HASHES)
         for batch in batches:
             keys, counts, shas, found = [], [], [], []
             for text in text_bytes(batch.column(1)):
@@ -177,6 +178,7 @@ def _stretches(width: int, gram: int, with_words: bool):
     with the word hashes themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(HASHES)
         for batch in batches:
             out: list[tuple] = []
             for doc, key, text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):

@@ -15,6 +15,8 @@ from array import array
 
 import public_tokenizers
 
+from ticketloom.llm.words import REMEMBERED, only
+
 assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -64,7 +66,7 @@ class Encoder:
     """ids of texts as little-endian unsigned 32-bit bytes."""
 
     #: Beyond LIMIT remembered chunks, only those of at most SHORT characters stay: they come again.
-    LIMIT, SHORT = 600_000, 8
+    LIMIT, SHORT = 450_000, 8
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -79,9 +81,10 @@ class Encoder:
 
     def _learn(self, chunks: set[str]) -> None:
         if len(self.known) > self.LIMIT:
-            self.known = {c: v for c, v in self.known.items() if len(c) <= self.SHORT}
-            if len(self.known) > self.LIMIT // 2:
-                self.known.clear()
+            short = {c: v for c, v in self.known.items() if len(c) <= self.SHORT}
+            self.known.clear()
+            if len(short) <= self.LIMIT // 2:
+                self.known.update(short)
         known, lead = self.known, self.lead
         new = chunks - known.keys()
         plain = [c for c in new if c.isalpha()]
@@ -118,6 +121,8 @@ def encoder(path: str) -> Encoder:
     """One for each worker and vocabulary."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+        REMEMBERED.append(_ENCODERS[path].known)
+    only(_ENCODERS[path].known)
     return _ENCODERS[path]
 
 

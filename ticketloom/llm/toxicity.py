@@ -105,7 +105,7 @@ class Grammar:
         c = INSULT if weight else WORD_CLASS.get(word, OTHER)
         if c == INSULT:
             self._weights[raw] = weight or 1.0
-        if len(self._codes) > 400_000:
+        if len(self._codes) > 200_000:
             self._codes.clear()
         code = self._codes[raw] = 2 * c + raw.endswith(_ENDS)
         return code

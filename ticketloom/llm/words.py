@@ -17,7 +17,7 @@ _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 class WordHashes(dict):
     """word -> 64-bit hash, remembered up to a bound."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -28,6 +28,16 @@ class WordHashes(dict):
 
 HASHES = WordHashes()
 
+#: Everything that a worker remembers between tasks.
+REMEMBERED: list[dict] = [HASHES]
+
+
+def only(kept: dict) -> None:
+    """Forget what other operations of this worker have remembered."""
+    for other in REMEMBERED:
+        if other is not kept:
+            other.clear()
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit changes every output bit."""
