@@ -219,10 +219,14 @@ def test_quality_follows_labels(spark):
 
 def test_estimate_recovers_rates():
     rng = np.random.default_rng(0)
-    good = rng.random(20_000) < 0.7
-    votes = [np.where(rng.random(20_000) < 0.2, 0, np.where(rng.random(20_000) < acc, np.where(good, 1, -1), np.where(good, -1, 1))) for acc in (0.95, 0.8, 0.7)]
+    n = 20_000
+    good = rng.random(n) < 0.8
+    # votes bad with this rate among bad and among good documents, abstains in a fifth
+    truth = [(0.9, 0.01), (0.6, 0.005), (0.5, 0.0)]
+    votes = [np.where(rng.random(n) < 0.2, 0, np.where(rng.random(n) < np.where(good, g, b), -1, 1)) for b, g in truth]
     prior, rates = quality.estimate(sorted(Counter(zip(*(v.tolist() for v in votes), strict=True)).items()), 3)
-    assert abs(prior - 0.7) < 0.05 and abs(rates[0][1][0] - 0.8 * 0.95) < 0.05
+    assert abs(prior - 0.8) < 0.05
+    assert all(abs(r[-1][1] - b) < 0.08 and abs(r[-1][0] - g) < 0.01 for r, (b, g) in zip(rates, truth, strict=True))
 
 
 def test_quality_odd_rows(odd, none):

@@ -2,7 +2,8 @@
 
 Rules vote good (1), bad (-1) or abstain (0) from counts of the whole text. The frequencies of vote
 patterns (at most 3 to the number of rules, whatever the corpus) are all that expectation-
-maximisation needs: it estimates each rule's vote rates among good and bad documents and the share
+maximisation needs. Documents that fail the base counts are left out of them, else their kind would
+make up the class of bad ones. It estimates each rule's vote rates among good and bad documents and the share
 of good ones. The posterior of a document is then a sum of log-ratios, a Spark expression.
 
 Cases: null text is empty text; no words means no votes from ratios and ``base_failed``; repeated
@@ -97,24 +98,33 @@ def votes() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 200, prior: float = 0.8) -> tuple[float, list[dict[int, tuple[float, float]]]]:
+def estimate(
+    patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 200, prior: float = 0.85, most_false: float = 0.02
+) -> tuple[float, list[dict[int, tuple[float, float]]]]:
     """(share of good documents, for each rule: vote -> (rate among good, rate among bad)) from the
-    frequencies of vote patterns. Starts from rules that are right in 8 of 10 votes."""
-    start = {1: (0.55, 0.20), 0: (0.30, 0.30), -1: (0.15, 0.50)}
-    rates = [dict(start) for _ in range(rules)]
+    frequencies of vote patterns. Rates are those among votes cast: abstaining is no evidence. A rule
+    is taken to call at most ``most_false`` of the good documents bad, which keeps the two classes
+    from changing places or splitting along something else."""
+    rates = [{1: (0.998, 0.85), 0: (1.0, 1.0), -1: (0.002, 0.15)} for _ in range(rules)]
     for _ in range(rounds):
-        good = [{v: 1.0 for v in (-1, 0, 1)} for _ in range(rules)]
-        bad = [{v: 1.0 for v in (-1, 0, 1)} for _ in range(rules)]
+        cast = [[0.0, 0.0, 0.0, 0.0] for _ in range(rules)]  # good: all, bad ones; bad: all, bad ones
         n_good = n_bad = 1.0
         for pattern, n in patterns:
             z = math.log(prior / (1 - prior)) + sum(math.log(rates[k][v][0] / rates[k][v][1]) for k, v in enumerate(pattern))
             p = n / (1 + math.exp(-max(min(z, 500.0), -500.0)))
             n_good, n_bad = n_good + p, n_bad + n - p
             for k, v in enumerate(pattern):
-                good[k][v] += p
-                bad[k][v] += n - p
-        new = [{v: (good[k][v] / (n_good + 2), bad[k][v] / (n_bad + 2)) for v in (-1, 0, 1)} for k in range(rules)]
-        moved = max((abs(new[k][v][i] - rates[k][v][i]) for k in range(rules) for v in (-1, 0, 1) for i in (0, 1)), default=0)
+                if v:
+                    cast[k][0] += p
+                    cast[k][1] += p * (v < 0)
+                    cast[k][2] += n - p
+                    cast[k][3] += (n - p) * (v < 0)
+        new = []
+        for all_good, wrong, all_bad, right in cast:
+            g = min((wrong + 0.002) / (all_good + 1), most_false)
+            b = min(max((right + 0.15) / (all_bad + 1), g), 0.98)
+            new.append({1: (1 - g, 1 - b), 0: (1.0, 1.0), -1: (g, b)})
+        moved = max((abs(new[k][-1][i] - rates[k][-1][i]) for k in range(rules) for i in (0, 1)), default=0)
         rates, prior = new, n_good / (n_good + n_bad)
         if moved < 1e-9:
             break
@@ -126,14 +136,14 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     names = list(RULES)
     counted = written(text_counts(docs, id_col, text_col), "quality-counts")
     voted = counted.withColumns({f"vote_{n}": v for n, v in votes().items()})
-    seen = voted.groupBy([f"vote_{n}" for n in names]).agg(F.count(F.lit(1)).alias("n")).collect()
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    seen = voted.filter(~failed).groupBy([f"vote_{n}" for n in names]).agg(F.count(F.lit(1)).alias("n")).collect()
     prior, rates = estimate(sorted((tuple(r[f"vote_{n}"] for n in names), r["n"]) for r in seen), len(names))
     z: Column = F.lit(math.log(prior / (1 - prior)))
     for name, rate in zip(names, rates, strict=True):
         weight = {v: math.log(rate[v][0] / rate[v][1]) for v in rate}
         vote = F.col(f"vote_{name}")
         z = z + F.when(vote == 1, weight[1]).when(vote == -1, weight[-1]).otherwise(weight[0])
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         voted.withColumn("p_good", 1 / (1 + F.exp(-z)))
         .withColumn("base_failed", failed)
