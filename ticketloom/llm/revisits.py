@@ -7,7 +7,7 @@ revisit has one, else Last-Modified; without either the payload digest must agre
 resolved record has the response's body and headers, with those headers of the revisit merged in
 that a not-modified answer may carry.
 
-The as-of join does not gather all captures of a URL: captures are cut into time slots, each (URL,
+Response record ids are taken to be unique. The as-of join does not gather all captures of a URL: captures are cut into time slots, each (URL,
 slot) finds its own latest response, one row for each (URL, slot) carries the latest response on
 to later slots. A URL with a third of all rows is so spread over its slots.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ticketloom.session import table
+from ticketloom.session import table, written
 
 #: Headers that a 304 answer may carry and a cache updates (HTTP semantics, RFC 9110, 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
@@ -39,7 +39,7 @@ def canonical_url(url: Column) -> Column:
 
 def _latest_before(captures: DataFrame, slot_seconds: int) -> DataFrame:
     """Adds ``base``: the latest full response not after each capture, null if there is none."""
-    full = F.when(F.col("kind") == "response", F.struct("record_id", "captured", "etag", "last_modified", "digest", "headers", "body"))
+    full = F.when(F.col("kind") == "response", F.struct("record_id", "captured", "etag", "last_modified", "digest", "headers"))
     slotted = captures.withColumn("slot", F.floor(F.col("captured").cast("long") / slot_seconds)).withColumn("full", full)
     order = ["captured", "record_id"]
     in_slot = Window.partitionBy("canonical", "slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -54,7 +54,7 @@ def resolve_revisits(captures: DataFrame, slot_seconds: int = 3600) -> DataFrame
     """captures(record_id, url, captured timestamp, kind 'response'|'revisit', etag, last_modified,
     digest, headers map<string,string>, body) -> one row for each revisit: record_id, canonical,
     base_id, status ('resolved', 'changed', 'no_response'), headers, body."""
-    ready = captures.select("record_id", canonical_url(F.col("url")).alias("canonical"), "captured", "kind", "etag", "last_modified", "digest", "headers", "body")
+    ready = captures.select("record_id", canonical_url(F.col("url")).alias("canonical"), "captured", "kind", "etag", "last_modified", "digest", "headers")
     found = _latest_before(ready, slot_seconds).filter("kind = 'revisit'")
 
     def tag(c: Column) -> Column:
@@ -72,14 +72,19 @@ def resolve_revisits(captures: DataFrame, slot_seconds: int = 3600) -> DataFrame
     before = lowered(base["headers"])
     merged = F.map_concat(F.map_filter(before, lambda k, _: ~F.array_contains(F.map_keys(own), k)), own)
     done = F.col("status") == "resolved"
-    return found.withColumn("status", status).select(
+    judged = found.withColumn("status", status).select(
         "record_id",
         "canonical",
         F.when(F.col("status") != "no_response", base["record_id"]).alias("base_id"),
         "status",
         F.when(done, F.coalesce(merged, before, own)).alias("headers"),
-        F.when(done, base["body"]).alias("body"),
     )
+    judged = written(judged, "revisits")
+    # bodies stay out of the as-of join: only resolved revisits meet them, by the record they rest on
+    bodies = captures.filter("kind = 'response'").select(F.col("record_id").alias("base_id"), "body")
+    resolved = judged.filter("status = 'resolved'").join(bodies, "base_id", "left")
+    others = judged.filter("status != 'resolved'").withColumn("body", F.lit(None).cast(captures.schema["body"].dataType))
+    return resolved.select(others.columns).unionByName(others)
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
@@ -88,7 +93,8 @@ def captures_of(pages: DataFrame) -> DataFrame:
     date, only a digest, or come before the response."""
     page = F.col("page_id")
     minute = lambda n: F.timestamp_seconds(F.lit(1_700_000_000) + 60 * n)
-    tag, day = F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 12), F.lit('"')), F.concat(F.lit("day "), (page % 28).cast("string"))
+    pages = pages.withColumn("digest", F.md5("html"))
+    tag, day = F.concat(F.lit('"'), F.substring("digest", 1, 12), F.lit('"')), F.concat(F.lit("day "), (page % 28).cast("string"))
     response = pages.select(
         (3 * page).alias("record_id"),
         "url",
@@ -96,18 +102,18 @@ def captures_of(pages: DataFrame) -> DataFrame:
         F.lit("response").alias("kind"),
         tag.alias("etag"),
         day.alias("last_modified"),
-        F.md5("html").alias("digest"),
+        F.col("digest"),
         F.create_map(F.lit("ETag"), tag, F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), F.concat(F.lit("d"), page.cast("string"))).alias("headers"),
         F.col("html").alias("body"),
     )
-    again = pages.select(F.explode(F.array(F.lit(1), F.lit(2))).alias("k"), "page_id", "url", "html").select(
+    again = pages.select(F.explode(F.array(F.lit(1), F.lit(2))).alias("k"), "page_id", "url", "digest").select(
         (3 * page + F.col("k")).alias("record_id"),
         F.concat(F.regexp_replace("url", "^https?://", "https://www."), F.lit("#again")).alias("url"),
         minute(F.when((page % 10 == 9) & (F.col("k") == 1), page - 5).otherwise(page + 90 * F.col("k"))).alias("captured"),
         F.lit("revisit").alias("kind"),
         F.when(page % 5 == 0, F.concat(F.lit("W/"), tag)).when(page % 5 == 1, F.lit('"other"')).when(page % 5 == 2, tag).alias("etag"),
         F.when(page % 5 == 3, day).alias("last_modified"),
-        F.md5("html").alias("digest"),
+        F.col("digest"),
         F.create_map(F.lit("Date"), F.concat(F.lit("r"), F.col("k").cast("string")), F.lit("Content-Length"), F.lit("0"), F.lit("Expires"), F.lit("soon")).alias("headers"),
         F.lit(None).cast("string").alias("body"),
     )
