@@ -193,6 +193,18 @@ def test_decontamination_slots(spark, odd, none):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    item = "A train leaves Paris at 7 and another train leaves Paris at 9 so how long do they travel before they meet"
+    rome, stray = item.replace("Paris", "Rome"), "another train leaves Bonn at 2 so how long do they all wait"
+    far = " and then some other words follow here until the page ends. " * 3
+    bad = "A train leaves Rome at 3 and another train leaves Bonn at 3 so how long do they travel before they meet"
+    texts = {1: item + far + rome, 2: rome + far + item.replace("Paris", "Oslo"), 3: stray + far + item, 4: stray + far + rome, 5: bad + far + bad, 6: rome.replace("and another", "and then another") + far + stray}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {(r["doc_id"], r["reparameterised"]) for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {(1, False), (2, True), (3, False), (4, True), (6, True)}
+
+
 def test_quality_counts(spark, sf, texts):
     rows = {r["doc_id"]: r for r in queries.QUERIES["op2_weak_supervision"](spark, sf).collect()}
     for i, t in texts.items():

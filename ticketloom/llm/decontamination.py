@@ -7,9 +7,12 @@ lower-cased and stripped of punctuation. Windows of ``width`` template tokens wi
 (a sorted array of the benchmark's window hashes, sent in blocks of at most ``block`` hashes = 8 *
 block bytes), the rest are hash-joined with the benchmark's windows.
 
-A document matches an item if matched windows cover ``coverage`` of the item's tokens and the slots
-are consistent: each item value stands for one document value and the other way round. Equal values
-mean a copy, others a re-parameterised question.
+Matched windows are grouped by occurrence: the place in the document where the item would start. A
+document matches an item if in any occurrence the matched windows cover ``coverage`` of the item's
+tokens and either those with equal slot values do so alone (a copy), or the slots are consistent: each
+item value stands for one document value and the other way round (else a re-parameterised question).
+An occurrence is one such place, the windows nearest to it (words were put in or left out), or all
+windows of the document (the item is in pieces).
 
 Cases: null and empty texts match nothing; items shorter than ``width`` are one window; items with
 fewer literal words than ``literals`` need all their tokens literal; repeated rows match together; a
@@ -19,6 +22,7 @@ null doc_id or item_id is dropped; empty tables give an empty result; other colu
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,6 +141,64 @@ def _found(width: int, literals: int, widths: list[int] | None, known: np.ndarra
     return run
 
 
+_LEAK_DDL = "doc_id long, item_id long, coverage double, reparameterised boolean"
+
+
+def _covered(hits: list[tuple]) -> int:
+    """Item tokens that are in a window; hits are (own start, start, width, pairs)."""
+    last = n = 0
+    for start, end in sorted((h[1], h[1] + h[2]) for h in hits):
+        n += max(0, end - max(start, last))
+        last = max(last, end)
+    return n
+
+
+def _fits(hits: list[tuple], enough: float) -> tuple[bool, int] | None:
+    """(re-parameterised, covered tokens) of one occurrence, None if it does not match."""
+    n = _covered(hits)
+    if n < enough:
+        return None
+    pairs = {p for h in hits for p in h[3]}
+    changed = any(item != own for item, own in pairs)
+    if not changed or len(pairs) == len({p[0] for p in pairs}) == len({p[1] for p in pairs}):
+        return changed, n
+    return (True, n) if _covered([h for h in hits if all(item == own for item, own in h[3])]) >= enough else None
+
+
+def occurrence(hits: list[tuple], n_tokens: int, coverage: float) -> tuple[bool, int] | None:
+    """The best occurrence of an item among its hits in a document: copies first, then coverage."""
+    enough, fits = coverage * n_tokens - 1e-9, []
+    if _covered(hits) < enough:
+        return None
+    hits = sorted(hits, key=lambda h: h[0] - h[1])
+    places = [h[0] - h[1] for h in hits]
+    for place in sorted(set(places)):
+        fits.append(_fits(hits[bisect_left(places, place) : bisect_right(places, place)], enough))
+        nearest: dict[int, list[tuple]] = {}
+        for h in sorted(hits[bisect_left(places, place - n_tokens // 2) : bisect_right(places, place + n_tokens // 2)], key=lambda h: abs(h[0] - h[1] - place)):
+            same = nearest.setdefault(h[1], [])
+            if not same or same[0][0] == h[0]:
+                same.append(h)
+        fits.append(_fits([h for same in nearest.values() for h in same], enough))
+    fits.append(_fits(hits, enough))
+    return min((f for f in fits if f), key=lambda f: (f[0], -f[1]), default=None)
+
+
+def _judged(coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, item, n_tokens, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                best = occurrence([(h["own_start"], h["start"], h["width"], tuple(zip(h["item"], h["own"], strict=True))) for h in hits], n_tokens, coverage)
+                if best:
+                    rows.append((doc, item, best[1] / n_tokens, best[0]))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "coverage", "reparameterised"])
+
+    return run
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -163,26 +225,19 @@ def contaminated(
         if len(known):
             parts.append(written(source.mapInArrow(_found(width, literals, widths, known), _FOUND_DDL), "leak-windows"))
     if not parts:
-        return spark.createDataFrame([], "doc_id long, item_id long, coverage double, reparameterised boolean")
+        return spark.createDataFrame([], _LEAK_DDL)
     hits = parts[0]
     for more in parts[1:]:
         hits = hits.unionByName(more)
     a, b = hits.alias("a"), item_windows.alias("b")
     met = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.width") == F.col("b.width"))).select(
-        F.col("a.row").alias("doc_id"), F.col("b.row").alias("item_id"), F.col("b.start").alias("start"), "b.width", "b.n_tokens", F.arrays_zip(F.col("b.slots").alias("item"), F.col("a.slots").alias("own")).alias("pairs")
-    )
-    grouped = met.groupBy("doc_id", "item_id").agg(
-        F.max("n_tokens").alias("n_tokens"), F.max("width").alias("width"), F.sort_array(F.collect_set("start")).alias("starts"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
-    covered = F.aggregate(
-        "starts",
-        F.struct(F.lit(-1_000_000).alias("last"), F.lit(0).alias("n")),
-        lambda acc, s: F.struct(s.alias("last"), (acc["n"] + F.least(F.col("width"), s - acc["last"])).alias("n")),
-        lambda acc: acc["n"],
+        F.col("a.row").alias("doc_id"),
+        F.col("b.row").alias("item_id"),
+        "b.n_tokens",
+        F.struct(F.col("a.start").alias("own_start"), F.col("b.start").alias("start"), "b.width", F.col("b.slots").alias("item"), F.col("a.slots").alias("own")).alias("hit"),
     )
-    one_to_one = (F.size("pairs") == F.size(F.array_distinct("pairs.item"))) & (F.size("pairs") == F.size(F.array_distinct("pairs.own")))
-    judged = grouped.select("doc_id", "item_id", (covered / F.col("n_tokens")).alias("coverage"), one_to_one.alias("consistent"), F.exists("pairs", lambda p: p["item"] != p["own"]).alias("reparameterised"))
-    return judged.filter((F.col("coverage") >= coverage) & F.col("consistent")).drop("consistent")
+    grouped = met.groupBy("doc_id", "item_id").agg(F.max("n_tokens").alias("n_tokens"), F.collect_set("hit").alias("hits"))
+    return grouped.mapInArrow(_judged(coverage), _LEAK_DDL)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
