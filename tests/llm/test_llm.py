@@ -205,6 +205,25 @@ def test_decontamination_judges_each_occurrence(spark):
     assert got == {(1, False), (2, True), (3, False), (4, True), (6, True)}
 
 
+def test_decontamination_of_items_dense_in_slots(spark):
+    items = {1: "Anna gave Ben 3 apples and Carl 4 pears", 2: "Solve 3 x + 5 y = 17", 3: "12 7", 4: "Add 3 to 4, then 5 to 6, then 7 to 8, then 9 to 10, then 11 to 12 and tell Ben, Carl and Dora"}
+    texts = {
+        1: f"He said that {items[1]} and more. {items[2]}?",
+        2: "so. Tom gave Sue 5 apples and Max 8 pears today",
+        3: "well, solve 4 x + 2 y = 10 now",
+        4: "Tom gave Sue 5 apples and Sue 8 pears today",
+        5: f"x {items[4]} and the sum 12 7",
+        6: "y. Add 1 to 2, then 13 to 14, then 15 to 16, then 17 to 18, then 19 to 20 and tell Max, Sue and Tom",
+        7: "3 5 17 4 9 Ben Carl 12 8",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = {(1, 1, False), (1, 2, False), (2, 1, True), (3, 2, True), (5, 4, False), (5, 3, False), (6, 4, True)}
+    for block in (1 << 21, 4):
+        got = {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in decontamination.contaminated(docs, bench, block=block).collect()}
+        assert got == want
+
+
 def test_quality_counts(spark, sf, texts):
     rows = {r["doc_id"]: r for r in queries.QUERIES["op2_weak_supervision"](spark, sf).collect()}
     for i, t in texts.items():

@@ -2,8 +2,11 @@
 
 Texts become templates: numbers, units after numbers and names (capitalised words inside a
 sentence) are replaced by typed placeholders, whose values are kept as slots; other words are
-lower-cased and stripped of punctuation. Windows of ``width`` template tokens with at least
-``literals`` words of their own are looked up: the tasks drop windows that no benchmark item has
+lower-cased and stripped of punctuation. Four kinds of windows are looked up: from each token the
+shortest template window of ``width`` tokens or more with ``literals`` words of its own; ``width`` raw
+words (verbatim copies, however many slots); items shorter than ``width`` as raw words; and items
+dense in slots (or short) as one template of ``least`` literals or more, also without a capitalised
+first word, which may be a name. The tasks drop windows that no benchmark item has
 (a sorted array of the benchmark's window hashes, sent in blocks of at most ``block`` hashes = 8 *
 block bytes), the rest are hash-joined with the benchmark's windows.
 
@@ -15,7 +18,7 @@ An occurrence is one such place, the windows nearest to it (words were put in or
 windows of the document (the item is in pieces).
 
 Cases: null and empty texts match nothing; items shorter than ``width`` are one window; items with
-fewer literal words than ``literals`` need all their tokens literal; repeated rows match together; a
+fewer than ``least`` literals are found as verbatim copies only; repeated rows match together; a
 null doc_id or item_id is dropped; empty tables give an empty result; other columns are ignored.
 """
 
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.words import REMEMBERED, WordHashes, only, rolling, signed
+from ticketloom.llm.words import REMEMBERED, WordHashes, mix, only, signed
 from ticketloom.session import bounded_batches, table, written
 
 _EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‚‘’¡¿…"
@@ -75,8 +78,8 @@ _WORDS = TemplateWords()
 REMEMBERED.append(_WORDS)
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(token hashes, slot kind of each token, words): kind 0 is literal."""
+def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """(token hashes, hashes of the words themselves, slot kind of each token, words): kind 0 is literal."""
     words = text.split()
     codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     if not codes.all():
@@ -91,17 +94,48 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     kinds[(flags & _IS_UNIT > 0) & np.concatenate([[False], number[:-1]])[: len(flags)]] = 2
     kinds[number] = 1
     tokens = np.array([0, NUMBER, UNIT, NAME], np.uint64)[kinds]
-    return np.where(kinds == 0, codes & ~np.uint64(15), tokens), kinds, words
+    raw = codes & ~np.uint64(15)
+    return np.where(kinds == 0, raw, tokens), raw, kinds, words
 
 
-def windows(tokens: np.ndarray, kinds: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the windows with enough literal tokens."""
-    n = len(tokens) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+_P = 0x9E3779B97F4A7C15
+_HEAD = 3
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Runs:
+    """Hashes of runs of any length in one text, each in constant time."""
+
+    def __init__(self, tokens: np.ndarray):
+        n = len(tokens)
+        self.up = _powers(_P, n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(tokens * _powers(pow(_P, -1, 1 << 64), n), dtype=np.uint64, out=self.sums[1:])
+
+    def hashes(self, at: np.ndarray, widths: np.ndarray | int) -> np.ndarray:
+        ends = at + widths
+        return signed(mix((self.sums[ends] - self.sums[at]) * self.up[ends - 1]))
+
+
+def windows(kinds: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, width) of the shortest window of ``width`` tokens or more with enough literal tokens from each token."""
+    n = len(kinds)
     sums = np.concatenate([[0], np.cumsum(kinds == 0)])
-    at = np.flatnonzero(sums[width:] - sums[:-width] >= min(literals, width))
-    return at, rolling(tokens, width)[at]
+    at = np.arange(max(0, n - width + 1))
+    ends = np.maximum(at + width, np.searchsorted(sums, sums[at] + literals))
+    fits = ends <= n
+    return at[fits], (ends - at)[fits]
+
+
+def _slotted(kinds: np.ndarray, width: int) -> np.ndarray:
+    """Starts of the windows of ``width`` tokens that have a slot."""
+    sums = np.concatenate([[0], np.cumsum(kinds > 0)])
+    return np.flatnonzero(sums[width:] > sums[:-width])
 
 
 def _slots(kinds: np.ndarray, words: list[str], start: int, width: int) -> list[str]:
@@ -109,13 +143,62 @@ def _slots(kinds: np.ndarray, words: list[str], start: int, width: int) -> list[
 
 
 _FOUND = pa.schema(
-    [("row", pa.int64()), ("hash", pa.int64()), ("start", pa.int32()), ("width", pa.int32()), ("n_tokens", pa.int32()), ("slots", pa.list_(pa.string()))]
+    [("row", pa.int64()), ("hash", pa.int64()), ("start", pa.int32()), ("width", pa.int32()), ("n_tokens", pa.int32()), ("raw", pa.bool_()), ("head", pa.int64()), ("slots", pa.list_(pa.string()))]
 )
-_FOUND_DDL = "row long, hash long, start int, width int, n_tokens int, slots array<string>"
+_FOUND_DDL = "row long, hash long, start int, width int, n_tokens int, raw boolean, head long, slots array<string>"
+
+
+def _item_windows(tokens: np.ndarray, raw: np.ndarray, kinds: np.ndarray, capital: bool, width: int, literals: int, least: int) -> list[tuple]:
+    """(hash, start, width, is raw, hash of its first tokens if it is a whole item) of the windows of an item."""
+    n = len(tokens)
+    runs, raw_runs = Runs(tokens), Runs(raw)
+    if n < width:
+        whole, out = True, [(int(raw_runs.hashes(np.array([0]), n)[0]), 0, n, True, None)]
+    else:
+        at, widths = windows(kinds, width, literals)
+        whole = len(at) < n - width + 1 or bool((widths > width).any())
+        out = [(h, a, w, False, None) for h, a, w in zip(runs.hashes(at, widths).tolist(), at.tolist(), widths.tolist(), strict=True)]
+        at = _slotted(kinds, width)
+        out += [(h, a, width, True, None) for h, a in zip(raw_runs.hashes(at, width).tolist(), at.tolist(), strict=True)]
+    for start in (0, 1) if whole and capital else (0,) if whole else ():
+        if (kinds[start:] == 0).sum() >= least and kinds.any():
+            at = np.array([start])
+            out.append((int(runs.hashes(at, n - start)[0]), start, n - start, False, int(runs.hashes(at, _HEAD)[0])))
+    return out
+
+
+def _items(width: int, literals: int, least: int):
+    """All windows of (id, text) rows of the benchmark."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(_WORDS)
+        for batch in batches:
+            out: list[tuple] = []
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if row is None or not text:
+                    continue
+                tokens, raw, kinds, words = template(text)
+                if len(tokens):
+                    capital = kinds[0] == 0 and words[0].strip(_EDGE)[0].isupper()
+                    found = _item_windows(tokens, raw, kinds, capital, width, literals, least)
+                    out += [(row, h, a, w, len(tokens), r, head, _slots(kinds, words, a, w)) for h, a, w, r, head in found]
+            yield _batch(out)
+
+    return run
 
-def _found(width: int, literals: int, widths: list[int] | None, known: np.ndarray | None):
-    """Windows of (id, text) rows: all of them (items, in their own width) or the known ones."""
+
+def _batch(out: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*out, strict=True)) if out else [[]] * len(_FOUND)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND)
+
+
+def _is_in(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+
+def _found(width: int, literals: int, short: list[int], whole: list[int], known: np.ndarray, heads: np.ndarray):
+    """The known windows of (id, text) rows. short, whole: widths of short items and of whole items;
+    heads: hashes of the first tokens of whole items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only(_WORDS)
@@ -124,19 +207,26 @@ def _found(width: int, literals: int, widths: list[int] | None, known: np.ndarra
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if row is None or not text:
                     continue
-                tokens, kinds, words = template(text)
-                for w in widths or [min(width, len(tokens))]:
-                    if not 0 < w <= len(tokens):
-                        continue
-                    at, hashes = windows(tokens, kinds, w, literals)
-                    hashes = signed(hashes)
-                    if known is not None:
-                        place = np.searchsorted(known, hashes)
-                        hit = known[np.minimum(place, len(known) - 1)] == hashes
-                        at, hashes = at[hit], hashes[hit]
-                    out += [(row, h, a, w, len(tokens), _slots(kinds, words, a, w)) for a, h in zip(at.tolist(), hashes.tolist(), strict=True)]
-            columns = list(zip(*out, strict=True)) if out else [[]] * len(_FOUND)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND)
+                tokens, raw, kinds, words = template(text)
+                n = len(tokens)
+                if not n:
+                    continue
+                runs, raw_runs = Runs(tokens), Runs(raw)
+                tries: list[tuple] = []
+                if n >= width:
+                    tries = [(False, runs, *windows(kinds, width, literals)), (True, raw_runs, _slotted(kinds, width), width)]
+                tries += [(True, raw_runs, np.arange(n - w + 1), w) for w in short if w <= n]
+                if len(heads) and n >= _HEAD:
+                    at = np.arange(n - _HEAD + 1)
+                    at = at[_is_in(heads, runs.hashes(at, _HEAD))]
+                    tries += [(False, runs, at[at + w <= n], w) for w in whole if len(at)]
+                for is_raw, of, at, widths in tries:
+                    hashes = of.hashes(at, widths)
+                    hit = _is_in(known, hashes)
+                    if hit.any():
+                        widths = np.broadcast_to(widths, at.shape)[hit].tolist()
+                        out += [(row, h, a, w, n, is_raw, None, _slots(kinds, words, a, w)) for h, a, w in zip(hashes[hit].tolist(), at[hit].tolist(), widths, strict=True)]
+            yield _batch(out)
 
     return run
 
@@ -209,21 +299,25 @@ def contaminated(
     literals: int = 5,
     coverage: float = 0.6,
     block: int = 1 << 21,
+    least: int = 3,
 ) -> DataFrame:
     """(doc_id, item_id, coverage, reparameterised) for every document and item that match."""
     spark = docs.sparkSession
     bounded_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("row"), F.col("text").cast("string").alias("text"))
-    item_windows = written(items.mapInArrow(_found(width, literals, None, None), _FOUND_DDL), "leak-items")
-    widths = [r["width"] for r in item_windows.select("width").distinct().collect()]  # at most ``width`` values
+    item_windows = written(items.mapInArrow(_items(width, literals, least), _FOUND_DDL), "leak-items")
+    # at most ``width`` short widths, and as many whole ones as items have lengths
+    short = [r["width"] for r in item_windows.filter(F.col("raw") & (F.col("width") < width)).select("width").distinct().collect()]
     blocks = -(-item_windows.select("hash").distinct().count() // block)
     parts = []
     for k in range(blocks):
-        part = item_windows.select("hash").distinct().filter(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == k)
-        known = np.sort(part.toArrow()["hash"].to_numpy())
+        part = item_windows.filter(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == k)
+        known = np.sort(part.select("hash").distinct().toArrow()["hash"].to_numpy())
+        heads = np.sort(part.filter("head is not null").select("head").distinct().toArrow()["head"].to_numpy())
+        whole = [r["width"] for r in part.filter("head is not null").select("width").distinct().collect()]
         if len(known):
-            parts.append(written(source.mapInArrow(_found(width, literals, widths, known), _FOUND_DDL), "leak-windows"))
+            parts.append(written(source.mapInArrow(_found(width, literals, short, whole, known, heads), _FOUND_DDL), "leak-windows"))
     if not parts:
         return spark.createDataFrame([], _LEAK_DDL)
     hits = parts[0]
@@ -234,7 +328,7 @@ def contaminated(
         F.col("a.row").alias("doc_id"),
         F.col("b.row").alias("item_id"),
         "b.n_tokens",
-        F.struct(F.col("a.start").alias("own_start"), F.col("b.start").alias("start"), "b.width", F.col("b.slots").alias("item"), F.col("a.slots").alias("own")).alias("hit"),
+        F.struct(F.col("a.start").alias("own_start"), F.col("b.start").alias("start"), "b.width", F.col("b.slots").alias("item"), F.when(F.col("a.raw") | F.col("b.raw"), F.col("b.slots")).otherwise(F.col("a.slots")).alias("own")).alias("hit"),
     )
     grouped = met.groupBy("doc_id", "item_id").agg(F.max("n_tokens").alias("n_tokens"), F.collect_set("hit").alias("hits"))
     return grouped.mapInArrow(_judged(coverage), _LEAK_DDL)
