@@ -116,6 +116,17 @@ def test_near_duplicates_odd_rows(odd, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark, none):
+    words = lambda k: " ".join(f"{k}w{j}" for j in range(30))
+    rows = [(None, words("a")), (None, words("b")), (None, words("b")), (1, words("b") + " end"), (2, words("c")), (2, words("c")), (3, words("d")), (3, words("e")), (4, words("d")), (None, words("f")), (None, words("f")), (5, None), (5, ""), (6, ""), (None, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, node int").repartition(3)
+    out = near_dedup.keep_one_of_each(spark, df, "")
+    got = Counter((r["doc_id"], r["text"]) for r in out.collect() if r["text"])
+    assert got == Counter([(None, words("a")), (1, words("b") + " end"), (2, words("c")), (3, words("d")), (3, words("e")), (None, words("f"))])
+    assert Counter(r["doc_id"] for r in out.collect() if not r["text"]) == Counter([5, 6, None]) and out.columns == df.columns
+    assert near_dedup.keep_one_of_each(spark, none, "").count() == 0
+
+
 def brute_repeats(texts):
     first = {}
     words = {i: WORD.findall(t or "") for i, t in texts.items()}

@@ -19,7 +19,8 @@ gets two blocks and returns at most one link for two components.
 
 Cases: null or blank text has no words, an empty set, n_shingles 0 and its own component; fewer
 than ``width`` words make one shingle; repeated rows are members of one class; a null doc_id is
-kept and never the smallest; an empty table gives an empty result; other columns are ignored.
+kept and never the smallest; an empty table gives an empty result; other columns are ignored. The
+pipeline stage goes by rows: of each component one row stays, also if its ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm.words import HASHES, mix, only, rolling, text_bytes, word_hashes
@@ -80,6 +81,11 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def _content(text: str) -> list[Column]:
+    """A text as two 64-bit hashes."""
+    return [F.xxhash64(text).alias("content"), F.xxhash64(F.lit(1), text).alias("again")]
+
+
 def _node(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
@@ -96,11 +102,13 @@ def _sketched(width: int, bands: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
+                    batch.column(3),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) if len(s) else None for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(np.cumsum(bounds, dtype=np.int32), keys.reshape(-1)),
                 ],
-                ["doc_id", "n_shingles", "node", "keys"],
+                ["doc_id", "content", "again", "n_shingles", "node", "keys"],
             )
 
     return run
@@ -180,15 +188,16 @@ def _compare_blocks(threshold: int, columns: int = 4096):
     return run
 
 
-def near_duplicates(
+def _components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 75, bands: int = 32, rows: int = 4, block: int = 128
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs; threshold in percent."""
+    """(doc_id, content, again, n_shingles, component, component_id) for every row of docs; threshold in
+    percent. ``content`` and ``again`` are hashes of the text; ``component`` is null for empty sets."""
     spark = docs.sparkSession
     bounded_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketched = written(
-        source.mapInArrow(_sketched(width, bands, rows), "doc_id long, n_shingles long, node binary, keys array<long>"), "near-sketches"
+        source.select("*", *_content("text")).mapInArrow(_sketched(width, bands, rows), "doc_id long, content long, again long, n_shingles long, node binary, keys array<long>"), "near-sketches"
     )
     # classes of equal sets; keys are the same for all members
     classes = written(sketched.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("keys").alias("keys")), "near-classes")
@@ -284,10 +293,16 @@ def near_duplicates(
 
     homes = with_component(classes.select("node", "first_doc"), "node", labels)
     smallest = homes.groupBy("node_in").agg(F.min("first_doc").alias("component_id"))
-    found = homes.join(smallest, "node_in").select("node", "component_id")
-    out = sketched.select("doc_id", "n_shingles", "node").join(found, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    found = homes.join(smallest, "node_in").select("node", F.col("node_in").alias("component"), "component_id")
+    out = sketched.select("doc_id", "content", "again", "n_shingles", "node").join(found, "node", "left")
+    component_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "content", "again", "n_shingles", "component", component_id.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, *args, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of docs; parameters as of _components."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    return _components(docs, *args, **options).select("doc_id", "n_shingles", "component_id", kept)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,6 +310,13 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """Pipeline stage: of each component one row stays, the one with the smallest id; null ids come
+    last, and among rows of one id the text with the smallest hash. Empty texts are a component for
+    each id, null included."""
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content", "again")
+    first = _components(docs).groupBy("component", F.when(F.col("component").isNull(), F.col("doc_id")).alias("blank")).agg(F.min(row).alias("row"))
+    chosen = written(first.select(F.col("row.doc_id").alias("_id"), F.col("row.content").alias("_content"), F.col("row.again").alias("_again")), "near-chosen")
+    content, again = _content("text")
+    keyed = docs.select("*", F.col("doc_id").cast("long").alias("_id"), content.alias("_content"), again.alias("_again"))
+    same = keyed["_id"].eqNullSafe(chosen["_id"]) & (keyed["_content"] == chosen["_content"]) & (keyed["_again"] == chosen["_again"])
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["_id", "_content", "_again"]).select(docs.columns)
