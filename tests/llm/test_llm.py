@@ -399,6 +399,25 @@ def test_local_search_empties_bins():
     assert len(packing.LocalSearch(start, sizes, 10).run()) == 2
 
 
+def test_local_search_ends_when_nothing_helps():
+    lengths = np.random.default_rng(0).integers(900, 1801, 1500).tolist()
+    start = packing.best_fit(lengths, 4096)
+    bins = packing.LocalSearch(start, lengths, 4096).run()
+    assert sorted(i for b in bins for i in b) == list(range(1500)) and all(sum(lengths[i] for i in b) <= 4096 for b in bins)
+    assert math.ceil(sum(lengths) / 4096) < len(bins) < len(start)
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    for s, b in enumerate(bins):
+        outs = {lengths[i] for i in b} | {lengths[i] + lengths[j] for i in b for j in b if i < j}
+        for t, other in enumerate(bins):
+            for back in {0, *(lengths[i] for i in other)} if t != s and fill[s] < 4096 else ():
+                assert not any(0 < out - back <= 4096 - fill[t] and fill[t] - fill[s] + out - back > 0 for out in outs)
+
+
+def test_packing_buckets_are_sized_by_tokens(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("a few short words").alias("text"))
+    assert packing.pack_documents(docs, bucket=64).select("sequence_id").distinct().count() == 1
+
+
 def test_language_id(spark, sf):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = queries.QUERIES["op8_language_id"](spark, sf).collect()

@@ -1,11 +1,11 @@
 """Best-fit packing of documents into sequences, with swap-based local search.
 
 Documents become pieces of at most ``capacity`` tokens (only longer documents are cut). Full pieces
-are sequences of their own. The others are dealt at random into buckets of about ``bucket``
-pieces; each bucket is packed by best fit, and then local search works on its underfull bins:
-a piece moves, or one or two pieces change places with a smaller one of a fuller bin, whenever that
-raises the sum of squared fills, until bins empty or nothing helps. A bucket leaves less than one bin
-of slack, one in some thousand, and no task ever holds more than a bucket's lengths.
+are sequences of their own. The others are dealt at random into buckets of about ``bucket / 4``
+sequences' tokens (of at most ``32 * bucket`` pieces); each bucket is packed by best fit, and then
+local search works on its underfull bins: a piece moves, or one or two pieces change places with a
+smaller one of a fuller bin, whenever that raises the sum of squared fills, until the lower bound is
+met or no underfull bin has such a step. No task ever holds more than a bucket's lengths.
 
 Cases: null text is an empty document (its end id alone); repeated rows and null ids are packed as
 they come; very long texts give many pieces; an empty table gives an empty result; other columns
@@ -15,8 +15,8 @@ are ignored.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -52,69 +52,95 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class LocalSearch:
-    """Empties the least filled bins into the others. Bins hold sorted (length, index)."""
+    """Empties the least filled bins into the others. The pieces of underfull bins are held in order
+    of length, with the room and the fill of their bins beside them; full bins never change."""
 
     def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
         self.capacity = capacity
-        self.bins = [sorted((lengths[i], i) for i in b) for b in bins]
-        self.fill = [sum(n for n, _ in b) for b in self.bins]
-
-    def _put(self, source: int, target: int, out: list[tuple[int, int]], back: list[tuple[int, int]]) -> None:
-        for x in out:
-            self.bins[source].remove(x)
-            insort(self.bins[target], x)
-        for x in back:
-            self.bins[target].remove(x)
-            insort(self.bins[source], x)
-        change = sum(n for n, _ in out) - sum(n for n, _ in back)
+        self.lengths = lengths
+        self.bins = [set(b) for b in bins]
+        self.fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
+        self._index()
+
+    def _index(self) -> None:
+        under = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity)).tolist()
+        order = sorted((self.lengths[i], i, b) for b in under for i in self.bins[b])
+        self.sizes = np.array([n for n, _, _ in order], np.int64)
+        self.pieces = [i for _, i, _ in order]
+        self.place = {i: k for k, i in enumerate(self.pieces)}
+        self.home = np.array([b for _, _, b in order], np.int64)
+        self.home_fill = self.fill[self.home]
+        self.under = np.array(under, np.int64)
+        self.most_room = self.capacity - int(self.fill[self.under].min()) if under else 0
+
+    def _put(self, source: int, target: int, out: list[int], back: list[int]) -> None:
+        self.bins[source].difference_update(out)
+        self.bins[source].update(back)
+        self.bins[target].difference_update(back)
+        self.bins[target].update(out)
+        change = sum(self.lengths[i] for i in out) - sum(self.lengths[i] for i in back)
         self.fill[source] -= change
         self.fill[target] += change
-
-    def _give(self, source: int, out: list[tuple[int, int]], targets: list[int]) -> bool:
-        """Move ``out`` into a fuller bin, or change it for the one piece there that fills it most."""
-        size, best = sum(n for n, _ in out), None
-        for target in targets:
-            room = self.capacity - self.fill[target]
-            if target == source or room <= 0:
-                continue
-            if size <= room:
-                gain, back = size, []
-            else:
-                k = bisect_left(self.bins[target], (size - room, -1))
-                if k == len(self.bins[target]) or self.bins[target][k][0] >= size:
-                    continue
-                back = [self.bins[target][k]]
-                gain = size - back[0][0]
-            # squared fill rises by 2 * gain * (fill of target - fill of source + gain)
-            rise = gain * (self.fill[target] - self.fill[source] + gain)
-            if rise > 0 and (best is None or rise > best[0]):
-                best = rise, target, back
-        if best is None:
+        self.most_room = max(self.most_room, self.capacity - int(self.fill[source]))
+        for b in (source, target):
+            at = [self.place[i] for i in self.bins[b]]
+            self.home[at] = b
+            self.home_fill[at] = self.fill[b]
+
+    def _give(self, source: int, out: list[int]) -> bool:
+        """Move ``out`` into a fuller bin, or change it for the one piece there that fills it most.
+        Squared fill rises by 2 * gain * (fill of target - fill of source + gain)."""
+        size, own = sum(self.lengths[i] for i in out), int(self.fill[source])
+        best, target, back = 0, -1, []
+        fills = self.fill[self.under]
+        fits = (fills > 0) & (fills <= self.capacity - size) & (self.under != source)
+        if fits.any():
+            k = int(np.argmax(np.where(fits, fills, -1)))
+            best, target = size * (int(fills[k]) - own + size), int(self.under[k])
+        lo, hi = np.searchsorted(self.sizes, [size - self.most_room, size])
+        gain, fills = size - self.sizes[lo:hi], self.home_fill[lo:hi]
+        rise = np.where((gain <= self.capacity - fills) & (self.home[lo:hi] != source), gain * (fills - own + gain), 0)
+        k = int(np.argmax(rise)) if len(rise) else -1
+        if k >= 0 and rise[k] > best:
+            best, target, back = int(rise[k]), int(self.home[lo + k]), [self.pieces[lo + k]]
+        if best <= 0:
             return False
-        self._put(source, best[1], out, best[2])
+        self._put(source, target, out, back)
         return True
 
-    def run(self, rounds: int = 200) -> list[list[int]]:
-        least = -(-sum(self.fill) // self.capacity)
-        stuck: set[int] = set()
-        for _ in range(rounds):
-            used = [b for b in range(len(self.bins)) if self.bins[b]]
-            under = sorted((b for b in used if self.fill[b] < self.capacity), key=lambda b: self.fill[b])
-            source = next((b for b in under if b not in stuck), None)
-            if len(used) <= least or source is None:
-                break
-            moved = False
-            for x in sorted(self.bins[source], reverse=True):
-                if x in self.bins[source] and self._give(source, [x], under):
-                    moved = True
-            items = self.bins[source]
-            for a in range(len(items) - 1):
-                if a + 1 < len(items) and self._give(source, [items[a], items[a + 1]], under):
+    def _empty(self, source: int) -> bool:
+        """Every step that helps, singles first, then pairs; False if there is none."""
+        any_moved, moved = False, True
+        while moved and self.bins[source]:
+            moved, tried = False, set()
+            for x in sorted(self.bins[source], key=lambda i: (-self.lengths[i], i)):
+                if self.lengths[x] not in tried and self._give(source, [x]):
                     moved = True
-                    break
+                tried.add(self.lengths[x])
             if not moved:
-                stuck.add(source)
-        return [[i for _, i in b] for b in self.bins if b]
+                tried, items = set(), sorted(self.bins[source], key=lambda i: (self.lengths[i], i))
+                for a, b in combinations(items, 2):
+                    size = self.lengths[a] + self.lengths[b]
+                    if size not in tried and self._give(source, [a, b]):
+                        moved = True
+                        break
+                    tried.add(size)
+            any_moved |= moved
+        return any_moved
+
+    def run(self) -> list[list[int]]:
+        least, moved = -(-int(self.fill.sum()) // self.capacity), True
+        used = int((self.fill > 0).sum())
+        while moved and used > least:  # the sum of squared fills rises with every step, so this ends
+            moved = False
+            self._index()
+            for source in self.under[np.argsort(self.fill[self.under], kind="stable")].tolist():
+                if 0 < self.fill[source] < self.capacity and self._empty(source):
+                    moved = True
+                    used -= not self.bins[source]
+                    if used <= least:
+                        break
+        return [sorted(b, key=lambda i: (self.lengths[i], i)) for b in self.bins if b]
 
 
 def _pieces(path: str, end_id: int, capacity: int):
@@ -164,7 +190,8 @@ def pack_documents(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, serial long"
     pieces = written(source.mapInArrow(_pieces(tokenizer or vocabulary("word_bpe_49k.json"), end_id, capacity), schema), "pack-pieces")
     part = pieces.filter(F.col("length") < capacity)
-    buckets = max(1, -(-part.count() // bucket))
+    n_pieces, n_tokens = part.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    buckets = max(1, -(-n_tokens // -(-bucket * capacity // 4)), -(-n_pieces // (32 * bucket)))
     dealt = part.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "serial"), F.lit(buckets)))
     packed = dealt.groupBy("bucket").applyInArrow(_packed(capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
     full = pieces.filter(F.col("length") >= capacity).drop("serial").withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
