@@ -335,6 +335,15 @@ def test_revisits_edge_cases(spark):
     assert revisits.resolve_revisits(df.limit(0)).count() == 0
 
 
+def test_revisits_without_url_match_nothing(spark):
+    rows = [(1, None, 60, "response", "d", "one"), (2, None, 90, "revisit", "d", None), (3, None, 95, "revisit", "e", None), (4, None, 4000, "revisit", "d", None), (5, "http://a/x", 50, "response", "d", "two"), (6, "http://a/x", 99, "revisit", "d", None)]
+    df = spark.createDataFrame(rows, "record_id long, url string, captured long, kind string, digest string, body string").select(
+        "*", *(F.lit(None).cast("string").alias(c) for c in ("etag", "last_modified")), F.lit(None).cast("map<string,string>").alias("headers")
+    ).withColumn("captured", F.timestamp_seconds("captured"))
+    got = {r["record_id"]: (r["base_id"], r["status"], r["body"]) for r in revisits.resolve_revisits(df).collect()}
+    assert got == {k: (None, "no_response", None) for k in (2, 3, 4)} | {6: (5, "resolved", "two")}
+
+
 def encoded(name, texts, end):
     from tokenizers import Tokenizer
 

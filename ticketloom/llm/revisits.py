@@ -55,7 +55,7 @@ def resolve_revisits(captures: DataFrame, slot_seconds: int = 3600) -> DataFrame
     digest, headers map<string,string>, body) -> one row for each revisit: record_id, canonical,
     base_id, status ('resolved', 'changed', 'no_response'), headers, body."""
     ready = captures.select("record_id", canonical_url(F.col("url")).alias("canonical"), "captured", "kind", "etag", "last_modified", "digest", "headers")
-    found = _latest_before(ready, slot_seconds).filter("kind = 'revisit'")
+    found = _latest_before(ready.filter("canonical is not null"), slot_seconds).filter("kind = 'revisit'")
 
     def tag(c: Column) -> Column:
         return F.regexp_replace(c, "^W/", "")
@@ -79,7 +79,12 @@ def resolve_revisits(captures: DataFrame, slot_seconds: int = 3600) -> DataFrame
         "status",
         F.when(done, F.coalesce(merged, before, own)).alias("headers"),
     )
-    judged = written(judged, "revisits")
+    # null URLs would meet in the windows, but they match nothing
+    nowhere = captures.filter("kind = 'revisit'").filter(canonical_url(F.col("url")).isNull())
+    kinds = {f.name: f.dataType for f in judged.schema}
+    nulls = {c: F.lit(None).cast(kinds[c]).alias(c) for c in ("canonical", "base_id", "headers")}
+    nowhere = nowhere.select("record_id", nulls["canonical"], nulls["base_id"], F.lit("no_response").alias("status"), nulls["headers"])
+    judged = written(judged.unionByName(nowhere), "revisits")
     # bodies stay out of the as-of join: only resolved revisits meet them, by the record they rest on
     bodies = captures.filter("kind = 'response'").select(F.col("record_id").alias("base_id"), "body")
     resolved = judged.filter("status = 'resolved'").join(bodies, "base_id", "left")
