@@ -24,3 +24,9 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_replies_hold_whole_texts(spark, sf):
+    from ticketloom.plans import queries_text
+
+    assert queries_text._replies(spark, sf).filter("ord % 7 = 0 AND ord % 9 <> 8 AND length(reply) > 1000").count() > 0
