@@ -1,26 +1,39 @@
-"""Token ids of whole texts with the tokenizers library, spelling each distinct chunk once.
+"""Token ids of whole texts with the tokenizers library, spelling each distinct piece once.
 
 Both vocabularies merge only inside pre-tokens, and a pre-token never reaches over a chunk border
-as cut here, so ids of a text are the ids of its chunks in order. Chunks repeat, so a task's
-workers remember them up to a bound. Texts in which a chunk border could change pre-tokens are
-encoded whole.
+as cut here, so ids of a text are the ids of its chunks in order; a chunk of letters and other
+characters is cut further into its pre-tokens. Pieces repeat, so a worker remembers them, up to a
+bound, in two generations: what is not asked for while the younger one fills is forgotten. Texts in
+which a cut could change pre-tokens, or that may hold a special token, are encoded whole.
+
+``special_as_text``: the library by default turns the string of a special token in a text into that
+token's id. With this flag such a string is ordinary text.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
 from array import array
 
 import public_tokenizers
+import regex
 
 from ticketloom.llm.words import REMEMBERED, only
 
 assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
+_PIECE = regex.compile(r"\p{L}+|\p{N}+|\n|[^\s\p{L}\p{N}]+")
+#: Chunks with these are left whole: contractions, marks that compose with a letter, letters whose
+#: lower case depends on what follows or is no letter, two line ends in a row, any other white space.
+_UNCUT = regex.compile(r"['\p{M}İΣ]|\n\n|^\n|\n$|[^\S\n]")
+_STOPS = (".", ",", "!", "?", ";", ":")
+_DIGIT = regex.compile(r"\p{N}|\s")
+_INNER_SPACE = regex.compile(r"^\s+$|\S\s")
 
 
 def byte_level_chunks(text: str) -> list[str] | None:
@@ -40,69 +53,118 @@ def spaced_chunks(text: str) -> list[str]:
 
 
 def pieces(chunk: str) -> list[str]:
-    """A chunk cut further where pre-tokens end in both vocabularies: around a line end that stands
-    between other characters, and between a letter and a comma or full stop that ends a line."""
-    out: list[str] = []
-    lines = chunk.split("\n")
-    if len(lines) > 1 and not all(x and not x.isspace() and not x[0].isspace() and not x[-1].isspace() for x in lines[1:]):
-        return [chunk]
-    if len(lines) > 1 and (not lines[0] or lines[0][-1].isspace()):
-        return [chunk]
-    for k, line in enumerate(lines):
-        if k:
-            out.append("\n")
-        if len(line) > 2 and line[-1] in ".," and line[-2].isalpha() and line[-2].lower().isalpha():
-            out += [line[:-1], line[-1]]
-        else:
-            out.append(line)
-    return out
-
-
-#: vocabulary file: (how texts are cut, what precedes each chunk but the first)
-CHUNKS = {"byte_bpe_50k.json": (byte_level_chunks, " "), "word_bpe_49k.json": (spaced_chunks, "")}
+    """The pre-tokens of a chunk in both vocabularies, or the chunk itself where that is not sure."""
+    if chunk[-1:] in _STOPS and (word := chunk[:-1]).isalpha() and "İ" not in word and "Σ" not in word:
+        return [word, chunk[-1]]
+    return [chunk] if _UNCUT.search(chunk) else _PIECE.findall(chunk) or [chunk]
+
+
+#: vocabulary file: (how texts are cut, what precedes each chunk but the first, what can stand
+#: between pieces that are spelled in one call, pieces for which it cannot)
+CHUNKS = {
+    "byte_bpe_50k.json": (byte_level_chunks, " ", "\n", _INNER_SPACE),
+    "word_bpe_49k.json": (spaced_chunks, "", " 0 ", _DIGIT),
+}
 
 
 class Encoder:
     """ids of texts as little-endian unsigned 32-bit bytes."""
 
-    #: Beyond LIMIT remembered chunks, only those of at most SHORT characters stay: they come again.
-    LIMIT, SHORT = 450_000, 8
+    #: Pieces of one generation; two are remembered. Pieces spelled in one call of the library.
+    LIMIT, JOINED = 250_000, 400
+    #: Characters of texts that are cut at a time.
+    AT_ONCE = 3 << 20
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.chunks, self.lead = CHUNKS.get(os.path.basename(path), (lambda text: None, ""))
-        self.known: dict[str, bytes] = {}  # chunks that follow their lead
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.chunks, self.lead, self.between, self.apart = CHUNKS.get(os.path.basename(path), (lambda text: None, "", "", None))
+        self.marks = [] if special_as_text else sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
+        self.begins = sorted({m[:2] for m in self.marks})
+        self.between_id = self.tokenizer.encode(self.between.strip(" "), add_special_tokens=False).ids[0] if self.between else 0
+        self.known: dict[str, bytes] = {}  # chunks that follow their lead; behind a space: pieces that follow nothing
+        self.older: dict[str, bytes] = {}
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     def _spell(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+        """The ids of each piece; many go to the library as one text, with a token between them."""
+        alone = [i for i, p in enumerate(parts) if self.apart.search(p) or not p]
+        out: list[bytes] = [b""] * len(parts)
+        for i, ids in zip(alone, self._encoded([parts[i] for i in alone]), strict=True):
+            out[i] = ids
+        lone = set(alone)
+        rest = [i for i in range(len(parts)) if i not in lone]
+        groups = [rest[k : k + self.JOINED] for k in range(0, len(rest), self.JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.between.join([parts[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
+            ids, mark = e.ids, self.between_id
+            if ids.count(mark) != len(group) - 1:  # not told apart
+                for i, one in zip(group, self._encoded([parts[i] for i in group]), strict=True):
+                    out[i] = one
+                continue
+            whole, at = array("I", ids).tobytes(), 0
+            for i in group[:-1]:
+                end = ids.index(mark, at)
+                out[i] = whole[4 * at : 4 * end]
+                at = end + 1
+            out[group[-1]] = whole[4 * at :]
+        return out
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.known) > self.LIMIT:
-            short = {c: v for c, v in self.known.items() if len(c) <= self.SHORT}
-            self.known.clear()
-            if len(short) <= self.LIMIT // 2:
-                self.known.update(short)
-        known, lead = self.known, self.lead
+        known, older, lead = self.known, self.older, self.lead
+        if len(known) > self.LIMIT:
+            older.clear()
+            older.update(known)
+            known.clear()
         new = chunks - known.keys()
-        plain = [c for c in new if c.isalpha()]
-        cut = {c: pieces(c) for c in new.difference(plain)}
-        heads = list({parts[0] for parts in cut.values()}.union(plain) - known.keys())
-        known.update(zip(heads, self._spell([lead + h for h in heads]), strict=True))
-        # pieces behind the first one follow no lead; keyed by a mark that no chunk starts with
-        tails = list({" " + p for parts in cut.values() for p in parts[1:]} - known.keys())
-        known.update(zip(tails, self._spell([t[1:] for t in tails]), strict=True))
+        for c in new & older.keys():
+            known[c] = older[c]
+        new -= known.keys()
+        plain = {c for c in new if c.isalpha() and "İ" not in c}
+        cut = {c: pieces(c) for c in new - plain}
+        # keyed by a mark that no chunk starts with: pieces that follow nothing
+        heads = plain | {parts[0] for parts in cut.values()}
+        tails = {" " + p for parts in cut.values() for p in parts[1:]}
+        for wanted, first in ((heads, True), (tails, False)):
+            wanted = wanted - known.keys()
+            for p in wanted & older.keys():
+                known[p] = older[p]
+            todo = list(wanted - known.keys())
+            known.update(zip(todo, self._spell([lead + p if first else p[1:] for p in todo]), strict=True))
         for c, parts in cut.items():
             if len(parts) > 1:
                 known[c] = known[parts[0]] + b"".join([known[" " + p] for p in parts[1:]])
 
+    def _cut(self, text: str) -> list[str] | None:
+        if any(b in text for b in self.begins) and any(m in text.lower() for m in self.marks):
+            return None
+        return self.chunks(text)
+
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [self.chunks(t) for t in texts]
+        """Nothing here makes reference cycles; looking for them among millions of pieces takes long."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            out, part, held = [], [], 0
+            for t in texts:
+                if part and held + len(t) > self.AT_ONCE:
+                    out += self._ids(part)
+                    part, held = [], 0
+                part.append(t)
+                held += len(t)
+            return out + self._ids(part)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        cut = [self._cut(t) for t in texts]
         self._learn(set().union(*[parts[1:] if self.lead else parts for parts in cut if parts]))
-        first = iter(self._spell([parts[0] for parts in cut if parts]) if self.lead else [])
-        whole = iter(self._spell([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
+        first = iter(self._encoded([parts[0] for parts in cut if parts]) if self.lead else [])
+        whole = iter(self._encoded([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
         get, out = self.known.__getitem__, []
         for parts in cut:
             if parts is None:
@@ -114,16 +176,17 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """One for each worker and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-        REMEMBERED.append(_ENCODERS[path].known)
-    only(_ENCODERS[path].known)
-    return _ENCODERS[path]
+    key = (path, special_as_text)
+    if key not in _ENCODERS:
+        found = _ENCODERS[key] = Encoder(path, special_as_text)
+        REMEMBERED.extend([found.known, found.older])
+    only(_ENCODERS[key].known, _ENCODERS[key].older)
+    return _ENCODERS[key]
 
 
 def vocabulary(name: str) -> str:

@@ -32,10 +32,10 @@ HASHES = WordHashes()
 REMEMBERED: list[dict] = [HASHES]
 
 
-def only(kept: dict) -> None:
+def only(*kept: dict) -> None:
     """Forget what other operations of this worker have remembered."""
     for other in REMEMBERED:
-        if other is not kept:
+        if not any(other is x for x in kept):
             other.clear()
 
 
