@@ -11,11 +11,15 @@ with probability (1 - 0.75^4)^32 < 6e-6. Candidates are confirmed on full sets.
 
 No bucket is gathered and no bucket's pairs are emitted. Documents with the same set form one class.
 In each bucket the class with the smallest document is the pivot; first each class is compared with
-the pivot it shares most bands with, then with its other pivots, then, in buckets that still hold
-several components, with their most central class. Pairs inside one component cannot change a
-component, so they need no comparison. Classes that more than a quarter of their shingles have to
-themselves can have no link. The rest is compared exactly in blocks of ``block`` classes: a task
-gets two blocks and returns at most one link for two components.
+the pivot it shares most bands with, then with its other pivots. Pairs inside one component cannot
+change a component, so they need no comparison; after each step new links are reduced to components
+and those merged. Classes that more than a quarter of their shingles have to themselves can have no
+link. What is left hangs together in crowds: in ``dealings`` rounds each crowd is dealt anew into blocks of
+``block`` classes (less if their sets are large) and each block returns a spanning forest of its own,
+never more links than classes. At last only classes outside the largest component of their crowd are
+compared with all of it, block by block, again for a forest between components. The number of those
+comparisons is the one that can grow faster than the input: with classes that share bands, resemble
+each other and yet stay below the threshold.
 
 Cases: null or blank text has no words, an empty set, n_shingles 0 and its own component; fewer
 than ``width`` words make one shingle; repeated rows are members of one class; a null doc_id is
@@ -150,9 +154,10 @@ def _compare(threshold: int):
     return run
 
 
-def _compare_blocks(threshold: int, columns: int = 4096):
-    """Two blocks of classes (or one with itself) -> one link for each two components that have one.
-    Intersections are products of incidence matrices, ``columns`` shingles at a time."""
+def _forest(threshold: int, columns: int = 4096):
+    """Classes of side 0 and of side 1 (or all with all: side 2) -> a spanning forest of the links
+    between their components. Intersections are products of incidence matrices, ``columns`` shingles at
+    a time."""
 
     def run(group: pa.Table) -> pa.Table:
         nodes, homes, sides = (group[c].to_pylist() for c in ("node", "node_in", "side"))
@@ -160,7 +165,7 @@ def _compare_blocks(threshold: int, columns: int = 4096):
         sizes = np.array([len(x) for x in sets], np.int64)
         elements = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), sizes)
-        names, place, seen = np.unique(elements, return_inverse=True, return_counts=True)
+        _, place, seen = np.unique(elements, return_inverse=True, return_counts=True)
         common = np.cumsum(seen > 1) - 1  # columns of shingles that two classes have
         keep = seen[place] > 1
         owner, place = owner[keep], common[place[keep]]
@@ -175,21 +180,100 @@ def _compare_blocks(threshold: int, columns: int = 4096):
             part[owner[lo:hi], place[lo:hi] - at] = 1
             shared += part[left] @ part[right].T
         total = sizes[left][:, None] + sizes[right][None, :] - shared
-        a, b, met = [], [], set()
+        root = {h: h for h in homes}
+
+        def find(x: bytes) -> bytes:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        a, b = [], []
         for i, j in zip(*np.nonzero(100 * shared >= threshold * total), strict=True):
-            x, y = left[i], right[j]
-            ends = (homes[x], homes[y]) if homes[x] < homes[y] else (homes[y], homes[x])
-            if ends[0] != ends[1] and ends not in met:
-                met.add(ends)
-                a.append(nodes[x])
-                b.append(nodes[y])
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "linked": pa.array([True] * len(a), pa.bool_())})
+            x, y = find(homes[left[i]]), find(homes[right[j]])
+            if x != y:
+                root[y] = x
+                a.append(nodes[left[i]])
+                b.append(nodes[right[j]])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
+def _with_component(df: DataFrame, col: str, labels: DataFrame) -> DataFrame:
+    own = labels.select(F.col("node").alias(col), F.col("component").alias("found"))
+    return df.join(own, col, "left").withColumn(f"{col}_in", F.coalesce("found", col)).drop("found")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, component) after more links (a, b); only components meet in the graph."""
+    ends = _with_component(_with_component(links.select("a", "b"), "a", labels), "b", labels).filter("a_in != b_in")
+    ends = written(ends.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")).distinct(), "near-ends")
+    if ends.isEmpty():
+        return labels
+    roots = connected_components(ends)
+    moved = labels.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return written(moved.unionByName(roots.join(labels, "node", "left_anti")), "near-labels")
+
+
+def _still_open(df: DataFrame) -> DataFrame:
+    """Rows of the keys that hold several components."""
+    keys = df.groupBy("key").agg(F.min("node_in").alias("lo"), F.max("node_in").alias("hi")).filter("lo != hi").select("key")
+    return df.join(keys, "key", "left_semi")
+
+
+def _viable(apart: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(node, hashes) of the classes in apart that can have a link: a shingle that no other class there
+    has cannot be shared, so n - n_alone bounds the intersection."""
+    here = written(apart.select("node").distinct().join(sets, "node"), "near-open-sets")
+    alone = here.mapInArrow(_elements, "element long, node binary").groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node")).filter("n = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
+    n = F.expr("octet_length(hashes) div 8")
+    return here.join(alone, "node", "left").filter(100 * (n - F.coalesce("n_alone", F.lit(0))) >= threshold * n).select("node", "hashes")
+
+
+_LINKS = "a binary, b binary"
+
+
+def _crowd_links(apart: DataFrame, here: DataFrame, labels: DataFrame, threshold: int, block: int, block_bytes: int, dealings: int) -> DataFrame:
+    """labels after all links between the classes (key, node, node_in) of buckets that still hold several
+    components; here has their sets."""
+    hubs = apart.groupBy("key").agg(F.min("node").alias("hub"))
+    crowd = connected_components(apart.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))).select("node", F.col("component").alias("crowd"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum(F.octet_length("hashes")) / block_bytes)).cast("int")
+    sized = crowd.join(here, "node")
+    sized = written(sized.join(sized.groupBy("crowd").agg(blocks.alias("blocks")), "crowd"), "near-crowds")
+    for deal in range(dealings):
+        dealt = _with_component(sized, "node", labels).withColumn("own", F.pmod(F.xxhash64("node", F.lit(deal)), F.col("blocks")))
+        if deal:
+            dealt = dealt.filter("blocks > 1")  # of the others all is known
+        dealt = dealt.select("crowd", "own", F.lit(2).alias("side"), "node", "node_in", "hashes")
+        labels = _merged(labels, written(dealt.groupBy("crowd", "own").applyInArrow(_forest(threshold), _LINKS), "near-dealt"))
+    placed = written(_with_component(sized.filter("blocks > 1").select("crowd", "node", "blocks"), "node", labels), "near-placed")
+    homes = placed.groupBy("crowd", "node_in").agg(F.count(F.lit(1)).alias("n")).groupBy("crowd").agg(F.max(F.struct("n", "node_in")).alias("home"))
+    stray = written(placed.join(homes, "crowd").filter(F.col("node_in") != F.col("home.node_in")).select("crowd", "node", "node_in", "blocks"), "near-stray")
+    if stray.isEmpty():
+        return labels
+    stray = stray.join(here, "node")
+    counts = stray.groupBy("crowd").agg(blocks.alias("stray_blocks"))
+    asked = stray.join(counts, "crowd").withColumn("p", F.pmod(F.xxhash64("node"), F.col("stray_blocks")))
+    asked = asked.select("crowd", "p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("q"), F.lit(0).alias("side"), "node", "node_in", "hashes")
+    all_there = placed.join(counts, "crowd").join(here, "node").withColumn("q", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    all_there = all_there.select("crowd", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_blocks").cast("long") - 1)).alias("p"), "q", F.lit(1).alias("side"), "node", "node_in", "hashes")
+    more = asked.unionByName(all_there).groupBy("crowd", "p", "q").applyInArrow(_forest(threshold), _LINKS)
+    return _merged(labels, written(more, "near-last"))
+
+
 def _components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 75, bands: int = 32, rows: int = 4, block: int = 128
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    threshold: int = 75,
+    bands: int = 32,
+    rows: int = 4,
+    block: int = 256,
+    block_bytes: int = 16 << 20,
+    dealings: int = 2,
 ) -> DataFrame:
     """(doc_id, content, again, n_shingles, component, component_id) for every row of docs; threshold in
     percent. ``content`` and ``again`` are hashes of the text; ``component`` is null for empty sets."""
@@ -203,7 +287,8 @@ def _components(
     classes = written(sketched.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("keys").alias("keys")), "near-classes")
     in_bands = classes.select("node", "first_doc", F.explode("keys").alias("key"))
     crowded = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first_doc", "node")).alias("pivot")).filter("n > 1")
-    members = written(in_bands.join(crowded, "key").select("key", "node", F.col("pivot.node").alias("pivot")), "near-members")
+    crowded = written(crowded.select("key", F.col("pivot.node").alias("pivot")), "near-crowded")  # written, so that the join can split a hot key
+    members = written(in_bands.join(crowded, "key").select("key", "node", "pivot"), "near-members")
     pairs = written(members.filter("node != pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("n")), "near-pairs")
     # the full sets of the classes in crowded buckets, of one document each
     involved = written(members.select("node").distinct().join(classes.select("node", "first_doc"), "node"), "near-involved")
@@ -216,82 +301,27 @@ def _components(
         "near-sets",
     )
 
-    def compared(todo: DataFrame) -> DataFrame:
+    def linked(todo: DataFrame) -> DataFrame:
         left = todo.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-        return written(both.select("a", "b", "x", "y").mapInArrow(_compare(threshold), "a binary, b binary, linked boolean"), "near-compared")
-
-    def components(links: DataFrame) -> DataFrame:
-        return connected_components(links.filter("linked").select("a", "b"))
-
-    def with_component(df: DataFrame, col: str, labels: DataFrame) -> DataFrame:
-        own = labels.select(F.col("node").alias(col), F.col("component").alias("found"))
-        return df.join(own, col, "left").withColumn(f"{col}_in", F.coalesce("found", col)).drop("found")
+        return written(both.select("a", "b", "x", "y").mapInArrow(_compare(threshold), "a binary, b binary, linked boolean").filter("linked").select("a", "b"), "near-linked")
 
     best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    tested = compared(best)
-    labels = components(tested)
-
-    rest = pairs.select("a", "b").join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    rest = with_component(with_component(rest, "a", labels), "b", labels).filter("a_in != b_in").select("a", "b")
+    labels = connected_components(linked(best))
+    rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
+    rest = _with_component(_with_component(rest, "a", labels), "b", labels).filter("a_in != b_in").select("a", "b")
     rest = written(rest, "near-rest")
     if not rest.isEmpty():
-        more = compared(rest)
-        tested = tested.unionByName(more)
-        if not more.filter("linked").isEmpty():
-            labels = components(tested)
-
-    def still_open(df: DataFrame) -> DataFrame:
-        keys = df.groupBy("key").agg(F.min("node_in").alias("lo"), F.max("node_in").alias("hi")).filter("lo != hi").select("key")
-        return df.join(keys, "key", "left_semi")
-
-    def untested(df: DataFrame) -> DataFrame:
-        once = df.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        return once.join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-
-    # buckets that still hold several components. A shingle that no other class in them has cannot
-    # be shared, so n - n_alone bounds the intersection
-    apart = written(still_open(with_component(members.select("key", "node"), "node", labels)), "near-open")
-    here = written(apart.select("node").distinct().join(sets, "node"), "near-open-sets")
-    alone = here.mapInArrow(_elements, "element long, node binary").groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node")).filter("n = 1")
-    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
-    sizes = here.select("node", F.expr("octet_length(hashes) div 8").alias("n")).join(alone, "node", "left")
-    viable = sizes.select("node", "n", (F.col("n") - F.coalesce("n_alone", F.lit(0))).alias("m")).filter(100 * F.col("m") >= threshold * F.col("n"))
-    apart = still_open(written(apart.join(viable, "node"), "near-viable"))
-
-    # each bucket's most central class, the one with the least of its own, is a better pivot
-    centers = apart.groupBy("key").agg(F.max_by(F.struct("node", "node_in"), F.struct(F.col("m") / F.col("n"), "node")).alias("c"))
-    to_center = apart.join(centers, "key").filter(F.col("node_in") != F.col("c.node_in")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
-    to_center = written(untested(to_center), "near-centers")
-    if not to_center.isEmpty():
-        more = compared(to_center)
-        tested = tested.unionByName(more)
-        if not more.filter("linked").isEmpty():
-            labels = components(tested)
-            apart = with_component(apart.drop("node_in"), "node", labels)
-    apart = written(still_open(apart), "near-apart")
-
-    # what is left: classes that hang together through buckets are compared block by block
+        labels = _merged(labels, linked(rest))
+
+    apart = written(_still_open(_with_component(members.select("key", "node"), "node", labels)), "near-open")
     if not apart.isEmpty():
-        hubs = apart.groupBy("key").agg(F.min("node").alias("hub"))
-        crowd = connected_components(apart.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-        placed = apart.select("node", "node_in").distinct().join(crowd, "node")
-        counts = placed.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-        own = placed.join(counts, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(here, "node")
-        copies = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "component",
-            F.least("own", "other").alias("p"),
-            F.greatest("own", "other").alias("q"),
-            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-            "node",
-            "node_in",
-            "hashes",
-        )
-        more = written(copies.groupBy("component", "p", "q").applyInArrow(_compare_blocks(threshold), "a binary, b binary, linked boolean"), "near-blocks")
-        if not more.isEmpty():
-            labels = components(tested.unionByName(more))
-
-    homes = with_component(classes.select("node", "first_doc"), "node", labels)
+        here = written(_viable(apart, sets, threshold), "near-viable")
+        apart = written(_still_open(apart.join(here.select("node"), "node")), "near-apart")
+        if not apart.isEmpty():
+            labels = _crowd_links(apart, here, labels, threshold, block, block_bytes, dealings)
+
+    homes = _with_component(classes.select("node", "first_doc"), "node", labels)
     smallest = homes.groupBy("node_in").agg(F.min("first_doc").alias("component_id"))
     found = homes.join(smallest, "node_in").select("node", F.col("node_in").alias("component"), "component_id")
     out = sketched.select("doc_id", "content", "again", "n_shingles", "node").join(found, "node", "left")
@@ -320,3 +350,32 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed = docs.select("*", F.col("doc_id").cast("long").alias("_id"), content.alias("_content"), again.alias("_again"))
     same = keyed["_id"].eqNullSafe(chosen["_id"]) & (keyed["_content"] == chosen["_content"]) & (keyed["_again"] == chosen["_again"])
     return keyed.join(chosen, same, "left_semi").dropDuplicates(["_id", "_content", "_again"]).select(docs.columns)
+
+
+#: The contract: all pairs of sets that share a shingle, and a walk over the links.
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda k: array_to_string(list_slice(words, k, k + 4), ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ') || ' '] ELSE [] END) AS shingles FROM w
+), sets AS (
+  SELECT min(doc_id) AS doc_id, shingles, len(shingles) AS n FROM (SELECT doc_id, list_sort(shingles) AS shingles FROM s) GROUP BY shingles
+), e AS (
+  SELECT doc_id, n, unnest(shingles) AS shingle FROM sets
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS total, count(*) AS shared FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2, 3
+), links AS (
+  SELECT a, b FROM met WHERE 100 * shared >= 75 * (total - shared)
+), ends AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), walk(node, label) AS (
+  SELECT doc_id, doc_id FROM sets WHERE n > 0 UNION SELECT ends.b, walk.label FROM walk JOIN ends ON ends.a = walk.node
+), roots AS (
+  SELECT node, min(label) AS root FROM walk GROUP BY node
+), named AS (
+  SELECT s.doc_id, len(s.shingles) AS n, CASE WHEN len(s.shingles) = 0 THEN s.doc_id ELSE roots.root END AS component_id
+  FROM s LEFT JOIN sets ON sets.shingles = list_sort(s.shingles) LEFT JOIN roots ON roots.node = sets.doc_id
+)
+SELECT doc_id, n::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM named
+"""
