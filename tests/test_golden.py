@@ -15,9 +15,129 @@ def test_rich_tree(spark):
     assert [r["body"] for r in pages.rich_tree_to_text(df, "body").orderBy("id").collect()] == ["Head\none", "", ""]
 
 
-def test_quote_and_bbcode(spark):
-    df = spark.createDataFrame([("a[quote]x\ny[/quote]b [b]c[/b]",)], "t string")
-    assert df.select(tx.quote_lines(tx.bbcode_to_markdown(F.col("t")))).first()[0] == "a> x\n> yb **c**"
+def one(spark, fn, *texts):
+    return [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1).orderBy("i").select(fn(F.col("t"))).collect()]
+
+
+def test_bbcode(spark):
+    texts = [
+        "a[quote]\nx\n\ny\n[/quote]b [B]c[/b]",
+        "[code]\nif x:\n  y\n[/code]z",
+        "[url=/a/b] see (this] [/url] [url]https://e.com[/url] [img] p.png [/img]",
+        "[i]one[/i] [b]open [u]under[/u] shut[/b] [/b] [b]left",
+        "[list]\n[*]  one\n[*]two[/LIST]<br/>x<!-- gone\nfor good -->\r\n\n \n\nend",
+        "[url=]x[/url] [url=a]b",
+        None,
+    ]
+    got = one(spark, lambda c: tx.bbcode_to_markdown(c, "https://kb.example.com"), *texts)
+    assert got == [
+        "a\n> x\n>\n> y\nb **c**",
+        "```\nif x:\n  y\n```\nz",
+        "[see (this\\]](https://kb.example.com/a/b) <https://e.com> ![](https://kb.example.com/p.png)",
+        "_one_ **open <u>under</u> shut** [/b] [b]left",
+        "- one\n- two\nx\n\nend",
+        got[5],
+        "",
+    ]
+
+
+def test_markdown_to_text(spark):
+    got = one(
+        spark,
+        tx.markdown_to_text,
+        "```json\n{}\n``` and ``` open",
+        "  > quoted\n>x\n![alt](u.png) [t](https://e.com)",
+        "## Head\n**bold** __strong__ _it_ *em* 2 * 3 a_b",
+        "-    item\n* star\t\ttab   blank\n\n\n\nend <u>u</U>",
+        "***both*** __a_b__ _x",
+        None,
+    )
+    assert got == ["json\n{}\n and ``` open", "quoted\nx\nu.png t (https://e.com)", "Head\nbold strong it em 2 * 3 a_b", "- item\n* star tab blank\n\nend u", "both ab x", ""]
+
+
+def test_html_and_entities(spark):
+    assert one(spark, tx.clean_html, "<p>caf&eacute; &#8217;x&ouml</p><pre>a</pre>b<br>c <div class=x>d</div>") == ["café ’xö\n\na\nb\nc \nd"]
+    assert one(spark, lambda c: tx.clean_html(c, "inline"), "<p>a&nbsp;b</p>c<BR/>d", None) == ["a\xa0bc\nd", ""]
+    assert one(spark, tx.normalise_unicode, "“a” ‑ ﬁ…\x07\x7f ½", None) == ['"a" - fi...\x7f 1⁄2', None]
+
+
+def test_similarity_noise(spark):
+    got = spark.range(1).select(tx.similarity_text(F.lit("5 per 10 users NN12 https://x.y/z q"), F.lit("PERSNR: 123 pern#4 persn 7 per.493 per. 8"), F.lit(None).cast("string"))).first()[0]
+    assert got == "5 per 10 users q . per. 8 ."
+
+
+def test_attachment_and_image_links(spark):
+    urls = {"https://h/a/b.webp": True, "https://h/img/7": True, "https://h/x.msg": False, "https://h/x?y=Download": True, "mailto:a@b.pdf": False, "https://file.example.com/x": False, "https://h/a.PDF;v=1": True, "/Attach": True, "https://h/kb/1": False}
+    assert one(spark, filters.is_attachment_link, *urls) == list(urls.values())
+    assert one(spark, lambda c: filters.is_attachment_link(c, ("kb",)), "https://h/kb/1") == [True]
+    cases = [
+        ("https://h/File/get/7", "", True, False), ("https://h/file/get/7", "x.csv", True, False), ("https://h/file/get/7.png", None, True, True), ("https://h/file/get/7", "x.JPG", True, True),
+        ("https://t/rest/api/3/attachment/content/5", "", True, True), ("https://t/rest/api/3/attachment/content/5", "a.pdf", False, False), ("https://h/x.png?y", "", True, False), ("https://h/x", "", False, False), (None, "a.png", False, False),
+    ]
+    df = spark.createDataFrame([(i, u, n) for i, (u, n, _, _) in enumerate(cases)], "i int, u string, n string").coalesce(1).orderBy("i")
+    rows = df.select(filters.is_image_link(F.col("u"), F.col("n")).alias("s"), filters.is_image_link(F.col("u"), F.col("n"), "refresh").alias("r")).collect()
+    assert [(r["s"], r["r"]) for r in rows] == [(s, r) for _, _, s, r in cases]
+
+
+def test_links_of_bbcode_bodies(spark):
+    text = '[img] /a.png [/img][url=/file/1]x[/url] <a href="/b.pdf">b</a> see https://h/c.zip). [url]mailto:x@y.pdf[/url]'
+    rows = tx.extract_links(spark.createDataFrame([(1, text)], "id int, t string"), "id", "t", "https://b", bbcode=True).orderBy("ord").collect()
+    assert [(r["FileName"], r["Url"]) for r in rows] == [("a.png", "https://b/a.png"), ("1", "https://b/file/1"), ("b.pdf", "https://b/b.pdf"), ("c.zip", "https://h/c.zip")]
+
+
+def test_collisions_take_the_first_free_name(spark):
+    names = ["a.pdf", "a.pdf", "a_1.pdf", "b.pdf", "a.pdf", "a_1.pdf", "b.pdf", None, "c", "c", "c_1"]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "ord int, name string")
+    got = [r["final_name"] for r in windows.number_collisions(df).orderBy("ord").collect()]
+    assert got == ["a.pdf", "a_1.pdf", "a_1_1.pdf", "b.pdf", "a_2.pdf", "a_1_2.pdf", "b_1.pdf", None, "c", "c_1", "c_1_1"]
+    two = spark.createDataFrame([(0, "x", "a.pdf"), (1, "y", "a.pdf"), (2, "x", "a.pdf")], "ord int, dir string, name string")
+    assert [r["final_name"] for r in windows.number_collisions(two, folder="dir").orderBy("ord").collect()] == ["a.pdf", "a.pdf", "a_1.pdf"]
+
+
+def test_names(spark):
+    assert one(spark, lambda c: windows.safe_file_name(c, F.lit(7), F.lit("pdf")), "a/b:c ü.pdf", "???", None) == ["abc ü.pdf", "document_7.pdf", "document_7.pdf"]
+    assert one(spark, lambda c: windows.strip_prefix(c, "X_"), "X_1X_2", "1X_2") == ["12", "1X_2"]
+    df = spark.createDataFrame([("7", "a<b"), ("8", "c")], "ticket_id string, subject string")
+    assert {r["file_name"] for r in windows.assign_batches(df, 1, ["ticket_id"]).collect()} == {"ticket_7_a_b.docx", "ticket_8_c.docx"}
+    assert {r["file_name"] for r in windows.assign_batches(df, 2, ["ticket_id"]).collect()} == {"tickets_0001-0002_batch_001.docx"}
+
+
+def test_work_slice(spark):
+    df = spark.createDataFrame([(k, str(k), k % 3 == 0) for k in range(20)], "ord int, ticket_id string, relevant boolean")
+    ords = lambda **o: sorted(r["ord"] for r in filters.work_slice(df, **o).collect())
+    assert ords(start_index=4, limit_relevant=2) == list(range(4, 10)) and ords(max_calls=3) == [0, 1, 2]
+    assert ords(start_index=18, limit_relevant=5) == [18, 19] and ords(only_id="7") == [7] and ords(limit_relevant=0) == [] and ords(max_calls=5, limit_relevant=2) == [0, 1, 2, 3]
+
+
+def test_blocks_with_bold_runs_and_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "a **b** c\nd\n\n- x\n* <b>y</b>\n2) z **open"), (1, "a"), (1, "a"), (2, " \n"), (3, None)], "id int, t string")
+    rows = tx.text_to_blocks(df, "id", "t").collect()
+    assert sorted((r["block_ord"], r["style"], r["content"]) for r in rows if r["id"] == 1) == [(0, "paragraph", "a"), (0, "paragraph", "a"), (0, "paragraph", "a **b** c d"), (1, "bullet", "x\n<b>y</b>"), (2, "number", "z **open")]
+    runs = {r["content"]: [(x["text"], x["bold"]) for x in r["runs"]] for r in rows}
+    assert runs["a **b** c d"] == [("a ", False), ("b", True), (" c d", False)] and runs["x\n<b>y</b>"] == [("x\n", False), ("y", True)] and runs["z **open"] == [("z **open", False)]
+    assert [r["content"] for r in rows if r["id"] in (2, 3)] == ["(No content)"] * 2
+
+
+def test_chapters(spark):
+    rows = [("d", 1, "Normal", None, "lost"), ("d", 2, "Heading 1", None, "A"), ("d", 3, "Normal", None, "x"), ("d", 4, "Normal", None, " "), ("d", 5, "Überschrift 1", None, "B"), ("d", 6, "Normal", None, "y"), ("e", 1, "Heading 1", None, "T"), ("e", 2, "heading 2", None, "S"), ("e", 3, "n", 1, "R"), ("e", 4, "n", None, "z"), ("f", 1, None, None, "all")]
+    df = spark.createDataFrame(rows, "doc string, ord int, style string, outline_level int, text string")
+    got = sorted((r["doc"], r["index"], r["title"], r["content"], r["level"]) for r in pages.split_chapters(df).collect())
+    assert got == [("d", 1, "A", "x", 1), ("d", 2, "B", "y", 1), ("e", 1, "S", "", 2), ("e", 2, "R", "z", 2), ("f", 1, "Document", "all", 1)]
+
+
+def test_operation_catalog(spark):
+    html = '<ul><li><a href="/s?op=Get_it">call  it</a> - returns <b>rows</b> -</li><li><a href="/s?op=b_c"></a></li></ul><p>x <a href="http://o/t?op=Get_it">again</a>'
+    df = spark.createDataFrame([(1, html), (2, None), (3, "<a href='?op=z'>z</a>")], "page_id long, html string")
+    got = {r["name"]: (r["page_id"], r["pos"], r["display_name"], r["url"], r["description"]) for r in pages.operation_catalog(df, "https://h/d/").collect()}
+    assert got == {"Get_it": (1, 0, "again", "http://o/t?op=Get_it", "x"), "b_c": (1, 1, "B C", "https://h/s?op=b_c", ""), "z": (3, 0, "z", "https://h/d/?op=z", "")}
+
+
+def test_page_titles(spark):
+    df = spark.createDataFrame(
+        [(1, "http://h/x?op=get_a1b", "<h2>Long head</h2>"), (2, "http://h/x?op=q", "<p>The following operations are supported here</p><p>This says what it does, at length.</p>"), (3, "http://h/x?op=q", "<p>The following operations are supported here</p>"), (4, "http://h/s?WSDL", ""), (5, "http://h/", "<title>Website</title><h1>Own</h1>"), (6, "http://h/", "x")],
+        "page_id long, url string, html string",
+    )
+    assert [r["title"] for r in pages.page_titles(df).orderBy("page_id").collect()] == ["Get A1B - Long head", "Q API", "Q API Endpoint", "WSDL Service Description", "Own", "API Documentation"]
 
 
 def test_page_elements_nested_div_and_regions(spark):
@@ -26,7 +146,11 @@ def test_page_elements_nested_div_and_regions(spark):
     texts = [r["text"] for r in rows]
     assert "inner text that repeats" in texts and any("outer text here inner" in t for t in texts)
     assert not any("navigation" in t or "outside" in t for t in texts)
-    assert [r["level"] for r in rows if r["type"] == "heading"] == [2]
+    assert [(r["type"], r["level"]) for r in rows if r["level"]] == [("h2", 2)]
+    two = '<div class="content"><p>text of the class region</p></div><article><p>text of the first article</p></article><article><p>text of the second article</p></article>'
+    rows = pages.page_elements(spark.createDataFrame([(1, two)], "page_id long, html string")).collect()
+    assert [r["text"] for r in rows] == ["text of the first article"]
+    assert pages.page_elements(spark.createDataFrame([(1, two)], "page_id long, html string"), "api").count() == 4
 
 
 @pytest.mark.parametrize(
@@ -50,8 +174,41 @@ def test_reply_repair(text, problem, reason):
     assert why == reason and (fields or {}).get("problem") == problem
 
 
-def test_reply_numeric_keys_join_the_solution():
-    assert replies.repair_reply('{"problem":"p","solution":"s","3":"more"}')[0]["solution"] == "s\nmore"
+def test_reply_numeric_keys_join_the_solution_of_broken_replies():
+    assert replies.repair_reply('{"problem":"p","solution":"s","3":"more"}')[0]["solution"] == "s"
+    assert replies.repair_reply('{12, "problem":"p","solution":"s","3":"more","4":"and"}')[0] == {"ticket_id": "12", "problem": "p", "solution": "s more and"}
+
+
+def test_reply_bare_dates_and_salvage():
+    fields, _ = replies.repair_reply('{"ticket_id": 1, 2024-01-02T10:00:00Z, "problem":"p","solution":"he said "no" to it"}')
+    assert fields == {"ticket_id": "1", "date": "2024-01-02T10:00:00Z", "problem": "p", "solution": 'he said "no" to it'}
+    assert replies.repair_reply('"problem": "p", "solution": "s", 2024-01-02T10:00:00Z')[0] == {"problem": "p", "solution": "s", "date": "2024-01-02T10:00:00Z"}
+    assert replies.repair_reply('```\n{"problem":"cut of') == ({"problem": "cut of"}, None)
+
+
+def test_replies_in_a_table(spark):
+    rows = [(1, '{"problem":"p","solution":"s"}', None), (2, "no", None), (3, '{"problem":"Nicht relevant"}', None), (4, "{1, \"problem\":\"x\"}", None), (5, None, "timeout"), (6, "{'problem':'q'}", None)]
+    df = spark.createDataFrame(rows, "ord int, reply string, call_error string")
+    assert {r["ord"]: r["route"] for r in replies.route_replies(df).collect()} == {1: "summary", 2: "unparseable", 3: "not_relevant", 4: "summary", 5: "call_failed", 6: "unparseable"}
+
+
+def test_each_prompt_reaches_the_model_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(texts):
+        calls.add(len(texts))
+        return ['{"problem":"p","solution":"s"}' for _ in texts]
+
+    df = spark.createDataFrame([(str(i), "t") for i in range(20)], "ticket_id string, prompt string")
+    routed = replies.route_replies(replies.score_prompts(df, model))
+    assert routed.count() == 20 and routed.filter("route = 'summary'").count() == 20 and calls.value == 20
+
+
+def test_summaries_keep_image_links_only(spark):
+    parsed = spark.createDataFrame([("7", (None, " ", "p", None))], "ticket_id string, fields struct<ticket_id:string,date:string,problem:string,solution:string>")
+    tickets = spark.createDataFrame([("7", "s", "d", "https://t/browse/X-1", ["https://h/a.png", "https://h/b", "https://h/file/get/1", "https://h/a.png", "/c.png"], ["", "b.pdf", "x.zip", "", ""])], "ticket_id string, subject string, issue_date string, url string, urls array<string>, filenames array<string>")
+    r = replies.build_summaries(parsed, tickets, "HD-").first()
+    assert (r["ticket_id"], r["date"], r["solution"], r["ticket_url"], r["image_urls"]) == ("HD-7", "d", "", "https://t/browse/HD-7", ["https://h/a.png"])
 
 
 def test_generated_items(spark):
@@ -179,9 +336,12 @@ def test_generation(spark):
     rows = generation.generate_qa(ch, lambda t, n: [{"question": f"Q{k % 2}", "answer": "a"} for k in range(n)], 5).collect()
     assert {r["question"] for r in rows} == {"Q0", "Q1"}
     covered = generation.generate_until_covered(
-        ch.filter("chapter = 1"), lambda t: [{"title": x, "importance": 2} for x in ("A", "a", "B", "C")], lambda t, open_, n: [{"question": f"about {k}", "answer": "x", "covers": [k]} for k, _ in open_[:n]]
+        ch.filter("chapter = 1"), lambda t, n: [{"title": x, "importance": 2} for x in ("A", "a", "B", "C")][:n], lambda t, open_, n: [{"question": f"about {k}", "answer": "x", "covers": [k]} for k, _ in open_[:n]]
     ).collect()
     assert len(covered) == 3 and covered[0]["coverage"] == 1.0
+    long = spark.createDataFrame([("f", 1, "\n\n".join("w" * 4000 for _ in range(6)))], "source_file string, chapter long, content string")
+    rows = generation.extract_concepts(long, lambda t, n: [{"title": f"{len(t)}-{k}"} for k in range(n)], max_concepts=7, max_tokens=1000).collect()
+    assert len(rows) == 2 and {r["concept_id"] for r in rows} == {"c1", "c2"}  # six chunks of one size share seven titles
 
 
 def test_sources_round_trip(spark, tmp_path):
@@ -200,7 +360,43 @@ def test_sources_round_trip(spark, tmp_path):
 
 def test_redaction_and_contacts(spark):
     df = spark.createDataFrame([("Bearer abc token=x password: y",)], "t string")
-    assert df.select(tx.redact(F.col("t"))).first()[0] == "Bearer *** token=*** password: ***"
+    assert df.select(tx.redact(F.col("t"))).first()[0] == "Bearer abc token=[REDACTED] password=[REDACTED]"
+    assert one(spark, tx.redact, "authorization: bearer a.b c&d", "basic knowledge of the bearer of news", "Authorization:BASIC x monkey: y&z") == ["Authorization: Bearer [REDACTED] c&d", "basic knowledge of the bearer of news", "Authorization: Basic [REDACTED] monkey=[REDACTED]&z"]
     m = spark.createDataFrame([({"ApiKey": "1", "mode": "x"},)], "m map<string,string>")
     assert m.select(tx.redact_params(F.col("m"))).first()[0] == {"mode": "x"}
-    assert tx.nfkc(spark.createDataFrame([("ﬁ",), ("a",), (None,)], "t string"), "t").collect()[0]["t"] == "fi"
+
+
+def test_json_is_normalised_at_every_depth(spark, tmp_path):
+    df = spark.createDataFrame([("“x”", ["ﬁ"], (1, "a\u00a0b"), {"k": "–"})], "t string, l array<string>, s struct<n:int,v:string>, m map<string,string>")
+    replies.write_json_normalised(df, str(tmp_path / "out"))
+    line = "".join(p.read_text() for p in (tmp_path / "out").glob("*.json"))
+    assert json.loads(line) == {"t": '"x"', "l": ["fi"], "s": {"n": 1, "v": "a b"}, "m": {"k": "-"}}
+
+
+def test_articles_chapters_exports_and_blocks(spark, tmp_path):
+    (tmp_path / "kb").mkdir()
+    (tmp_path / "kb" / "a.json").write_text(json.dumps({"export_info": {"api_base_url": "https://b"}, "articles": [{"ArticleId": 3, "Subject": "s", "Tags": ["x"]}]}))
+    (tmp_path / "kb" / "b.json").write_text(json.dumps([{"ArticleId": 4}]))
+    rows = files.read_articles(spark, str(tmp_path / "kb"), "https://d").orderBy("ord").collect()
+    assert [(r["ArticleId"], r["base_url"]) for r in rows] == [(3, "https://b"), (4, "https://d")]
+    (tmp_path / "ch").mkdir()
+    (tmp_path / "ch" / "b.json").write_text(json.dumps({"source_file": "b", "chapters": [{"index": 1, "title": "t", "content": "c"}]}))
+    (tmp_path / "ch" / "a.json").write_text(json.dumps({"source_file": "a", "chapters": [{"index": 1, "title": "u"}, {"index": 2}]}))
+    (tmp_path / "ch" / "bad.json").write_text("{broken")
+    (tmp_path / "ch" / "note.txt").write_text("no")
+    assert [(r["source_file"], r["index"]) for r in files.read_chapter_dir(spark, str(tmp_path / "ch")).collect()] == [("a", 1), ("a", 2), ("b", 1)]
+    tickets = spark.createDataFrame([("1", [("f", "u", 1)], [("d", "b", "n", [("g", "v", 2)])])], "ticket_id string, Attachments array<struct<FileName:string,Url:string,Size:bigint>>, kommentare array<struct<CommentDate:string,Body:string,UserName:string,Attachments:array<struct<FileName:string,Url:string,Size:bigint>>>>")
+    files.write_export(tickets, str(tmp_path / "export"))
+    info = spark.read.json(str(tmp_path / "export" / "export_info")).first()
+    assert (info["total_tickets"], info["total_comments"], info["total_ticket_attachments"], info["total_comment_attachments"]) == (1, 1, 1, 1) and spark.read.parquet(str(tmp_path / "export" / "tickets")).count() == 1
+    blocks = tx.text_to_blocks(spark.createDataFrame([(1, "x"), (2, "y")], "id int, t string"), "id", "t").withColumn("doc_file", F.concat(F.lit("f"), "id"))
+    files.write_blocks(blocks, str(tmp_path / "blocks"))
+    assert {p.name for p in (tmp_path / "blocks").iterdir() if p.is_dir()} == {"doc_file=f1", "doc_file=f2"}
+
+
+def test_refresh_of_image_links(spark):
+    summaries = spark.createDataFrame([("HD_1", ["old"]), ("2", ["old"]), ("HD_3", ["old"])], "ticket_id string, image_urls array<string>")
+    raw = spark.createDataFrame([(0, "1", [("a.png", "u1", 0)]), (1, "1", [("b.png", "u2", 0), ("b.png", "u2", 0), ("c.pdf", "u3", 0)]), (2, "2", [("c.pdf", "u4", 0)])], "ord int, ticket_id string, Attachments array<struct<FileName:string,Url:string,Size:bigint>>")
+    out = joins.refresh_image_urls(summaries, raw, "HD_")
+    assert {r["ticket_id"]: r["image_urls"] for r in out.collect()} == {"1": ["u2", "u2"], "2": ["old"], "3": ["old"]}
+    assert tuple(joins.refresh_counts(out).first()) == (1, 2, 2)

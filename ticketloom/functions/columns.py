@@ -11,23 +11,25 @@ def filled(c: Column | str) -> Column:
     return F.nullif(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-def with_ordinal(df: DataFrame, order: list[str], name: str = "ord", start: int = 0, slots: int = 256) -> DataFrame:
+def with_ordinal(df: DataFrame, order: list[str], name: str = "ord", start: int = 0, slots: int | None = None) -> DataFrame:
     """A gapless global ordinal in the given order, without gathering all rows in one task.
 
     Rows are range-partitioned; each partition is numbered by itself and shifted by the sizes of the
-    partitions before it. Only the partition sizes (at most ``slots`` rows) meet in one place.
+    partitions before it. Only the partition sizes (``slots`` rows, spark.sql.shuffle.partitions if not
+    given) meet in one place.
     """
     from pyspark.sql import Window
 
     from ticketloom.session import written
 
-    ranged = written(df.repartitionByRange(slots, *order).withColumn("_slot", F.spark_partition_id()), "ordinal")
-    sizes = ranged.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_slot", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    place = Window.partitionBy("_slot").orderBy(*order)
-    numbered = ranged.withColumn("_k", F.row_number().over(place)).join(F.broadcast(shifts), "_slot")
-    return numbered.withColumn(name, F.col("_before") + F.col("_k") - 1 + start).drop("_slot", "_k", "_before")
+    slots = slots or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(df.repartitionByRange(slots, *order).withColumn("_ordinal_slot", F.spark_partition_id()), "ordinal")
+    sizes = ranged.groupBy("_ordinal_slot").agg(F.count(F.lit(1)).alias("_ordinal_n"))
+    before = Window.orderBy("_ordinal_slot").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_ordinal_slot", F.coalesce(F.sum("_ordinal_n").over(before), F.lit(0)).alias("_ordinal_before"))
+    place = Window.partitionBy("_ordinal_slot").orderBy(*order)
+    numbered = ranged.withColumn("_ordinal_k", F.row_number().over(place)).join(F.broadcast(shifts), "_ordinal_slot")
+    return numbered.withColumn(name, F.col("_ordinal_before") + F.col("_ordinal_k") - 1 + start).drop("_ordinal_slot", "_ordinal_k", "_ordinal_before")
 
 
 def first_wins(df: DataFrame, keys: list[str | Column], order: list[str | Column]) -> DataFrame:

@@ -1,18 +1,59 @@
-"""Cleaning and parsing of text columns as column expressions."""
+"""Cleaning and parsing of text columns as column expressions.
+
+Python takes part in three places only, in Arrow batches: character references (the table of HTML5 has some
+2,200), Unicode compatibility forms, and the two markup languages, whose rules call each other. Texts
+without "&", or of ASCII, are passed by the first two as they are.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import html
+import re
+import unicodedata
+from collections.abc import Callable
+from urllib.parse import urljoin, urlsplit
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entities that are replaced natively, in this order (ampersand last).
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&szlig;", "ß"), ("&amp;", "&")]
+from ticketloom.session import ship
+
+#: White space at an end of a text, Unicode's and the four separators that are control characters.
+_ENDS = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z"
+
+
+def stripped(c: Column) -> Column:
+    return F.regexp_replace(c, _ENDS, "")
+
+
+def _text_function(fn: Callable[[str], str]) -> Callable[[Column], Column]:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)  # executors read functions of this module
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(fn, na_action="ignore")
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")
 
 
 def unescape(c: Column) -> Column:
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Named and numeric character references as characters."""
+    read = html.unescape
+    return _text_function(lambda t: read(t) if "&" in t else t)(c)
+
+
+def compatible(c: Column) -> Column:
+    """NFKC."""
+    form = unicodedata.normalize
+    return _text_function(lambda t: t if t.isascii() else form("NFKC", t))(c)
+
+
+def title_case(c: Column) -> Column:
+    """Each letter behind something that is no letter as a capital, the others small."""
+    return _text_function(str.title)(c)
 
 
 def clean_html(c: Column, style: str = "breaks") -> Column:
@@ -20,107 +61,151 @@ def clean_html(c: Column, style: str = "breaks") -> Column:
     rx = F.regexp_replace
     if style == "inline":
         out = rx(F.coalesce(c, F.lit("")), r"(?i)<br\s*/?>", "\n")
-        return F.btrim(rx(unescape(rx(out, r"<[^>]+>", "")), r"\n{3,}", "\n\n"), F.lit(" \t\r\n"))
+        return stripped(rx(unescape(rx(out, r"<[^>]+>", "")), r"\n{3,}", "\n\n"))
     out = F.replace(c, F.lit("<!--html-->"), F.lit(""))
     out = rx(out, r"(?i)<br\s*/?>", "\n")
     out = rx(out, r"(?i)</?(div|p)[^>]*>", "\n")
     out = unescape(rx(out, r"<[^>]+>", ""))
-    out = rx(rx(out, r" +", " "), r"\n\s*\n\s*\n+", "\n\n")
-    return F.btrim(out, F.lit(" \t\r\n"))
+    return stripped(fewer_blank_lines(rx(out, r" +", " ")))
 
 
-def bbcode_to_markdown(c: Column) -> Column:
-    """The rules without callbacks: bold, italic, underline, code, images, links, lists, breaks."""
-    rx = F.regexp_replace
-    out = F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    for pattern, to in (
-        (r"(?is)\[b\](.*?)\[/b\]", "**$1**"),
-        (r"(?is)\[i\](.*?)\[/i\]", "*$1*"),
-        (r"(?is)\[u\](.*?)\[/u\]", "<u>$1</u>"),
-        (r"(?is)\[code\](.*?)\[/code\]", "```\n$1\n```"),
-        (r"(?is)\[img\]\s*(.*?)\s*\[/img\]", "![]($1)"),
-        (r"(?is)\[url\]\s*(.*?)\s*\[/url\]", "[$1]($1)"),
-        (r"(?is)\[url=([^\]]+)\](.*?)\[/url\]", "[$2]($1)"),
-        (r"(?i)\[\*\]\s*", "- "),
-        (r"(?i)\[/?(list|ul|ol|li)[^\]]*\]", ""),
-        (r"(?i)<br\s*/?>", "\n"),
-        (r"(?s)<!--.*?-->", ""),
-        (r"\n{3,}", "\n\n"),
-    ):
-        out = rx(out, pattern, to)
-    return F.btrim(out, F.lit(" \t\n"))
-
-
-def quote_lines(c: Column) -> Column:
-    """[quote] blocks become lines that start with "> "."""
-    def part(piece: Column) -> Column:
-        body, rest = F.substring_index(piece, "[/quote]", 1), F.regexp_replace(piece, r"(?s)^.*?\[/quote\]", "")
-        quoted = F.concat(F.lit("> "), F.replace(F.btrim(body), F.lit("\n"), F.lit("\n> ")))
-        return F.when(piece.contains("[/quote]"), F.concat(quoted, rest)).otherwise(piece)
-
-    pieces = F.split(F.regexp_replace(c, r"(?i)\[(/?)quote[^\]]*\]", "[$1quote]"), r"\[quote\]")
-    return F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(part(p))), "")
+def fewer_blank_lines(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)\n\s*\n\s*\n+", "\n\n")
+
+
+def _between(text: str, opening: str, closing: str, shown: Callable[[str], str]) -> str:
+    """Each stretch from an opening mark to the next closing one, both given as patterns, becomes ``shown``
+    of what is between. The text is cut at the closing marks; each piece but the last is looked through for
+    its first opening mark, so nothing is tried twice. A mark without its other half stays."""
+    pieces, out = re.split(f"(?i)({closing})", text), []
+    for piece, mark in zip(pieces[:-1:2], pieces[1::2], strict=True):
+        found = re.search(f"(?i){opening}", piece)
+        out += [piece[: found.start()], shown(piece[found.end() :])] if found else [piece, mark]
+    return "".join(out) + pieces[-1]
+
+
+def _absolute(url: str, base: str) -> str:
+    url = url.strip()
+    return url if not url or urlsplit(url).scheme in ("http", "https") else urljoin(base.rstrip("/") + "/", url.lstrip("/"))
+
+
+def _quoted(inner: str) -> str:
+    """Lines that start with "> ", a bare ">" where a line is blank."""
+    return "\n" + "\n".join(f"> {x}" if x.strip() else ">" for x in inner.strip("\n").split("\n")) + "\n"
+
+
+def _fewer_blank_lines(text: str) -> str:
+    return re.sub(r"\n\s*\n\s*\n+", "\n\n", text).strip()
+
+
+def _markdown_of(text: str, base: str) -> str:
+    def link(inner: str) -> str:
+        """``inner`` starts behind "[url="; a target is at least one character and ends at the next "]"."""
+        end = inner.find("]", 1)
+        if end < 0 or "\n" in inner[:end]:
+            return f"[url={inner}[/url]"
+        label = inner[end + 1 :].strip().replace("]", "\\]").replace(")", "\\)")
+        return f"[{label}]({_absolute(inner[:end], base)})"
+
+    shapes: dict[str, Callable[[str], str]] = {
+        "b": "**{}**".format,
+        "i": "_{}_".format,
+        "u": "<u>{}</u>".format,
+        "code": lambda x: "\n```\n" + x.strip("\n") + "\n```\n",
+        "quote": _quoted,
+        "img": lambda x: f"![]({_absolute(x, base)})",
+        "url": lambda x: f"<{_absolute(x, base)}>",
+    }
+    text = text.replace("\r\n", "\n")
+    for tag, shown in shapes.items():
+        text = _between(text, rf"\[{tag}\]", rf"\[/{tag}\]", shown)
+    text = _between(text, r"\[url=", r"\[/url\]", link)
+    for gone, instead in ((r"\[\*\]\s*", "- "), (r"(?i)\[/?list\]", ""), (r"(?i)<br\s*/?>", "\n"), (r"(?s)<!--.*?-->", "")):
+        text = re.sub(gone, instead, text)
+    return _fewer_blank_lines(text)
+
+
+def bbcode_to_markdown(c: Column, base: str = "") -> Column:
+    """Bold, italic, underline, code, quotes, images, links, lists and breaks of BBCode in Markdown; targets
+    are made absolute. Null gives ""."""
+    read = _markdown_of
+    return _text_function(lambda t: read(t, base))(F.coalesce(c, F.lit("")))
+
+
+def _without_pairs(line: str, mark: str) -> str:
+    """A line without the marks that stand in pairs; an odd last one stays."""
+    parts = line.split(mark)
+    return "".join(parts) if len(parts) % 2 else "".join(parts[:-1]) + mark + parts[-1]
+
+
+def _text_of_markdown(text: str) -> str:
+    parts = text.replace("\r\n", "\n").split("```")  # every second part is inside a fence, if another fence follows
+    last = len(parts) - 1
+    text = "".join(x if k % 2 == 0 else f"\n{x.strip()}\n" if k < last else f"```{x}" for k, x in enumerate(parts))
+    text = "\n".join(re.sub(r"^[ \t]*> ?", "", x) for x in text.split("\n"))
+    text = re.sub(r"!\[[^\]]*\]\(([^)]+)\)", r"\1", text)
+    text = re.sub(r"\[([^\]]+)\]\(([^)]+)\)", r"\1 (\2)", text)
+    text = re.sub(r"(?m)^\s{0,3}#{1,6}\s*", "", re.sub(r"(?i)</?u>", "", text))  # blank lines around a heading's mark go with it
+    lines = text.split("\n")
+    for mark in ("**", "__", "_", "*"):
+        lines = [_without_pairs(x, mark) if mark in x else x for x in lines]
+    return _fewer_blank_lines(re.sub(r"[ \t]+", " ", re.sub(r"(?m)^-\s+", "- ", "\n".join(lines))))
 
 
 def markdown_to_text(c: Column) -> Column:
-    rx, out = F.regexp_replace, c
-    for pattern, to in (
-        (r"(?s)```[^\n]*\n(.*?)```", "$1"),
-        (r"(?m)^> ?", ""),
-        (r"!\[[^\]]*\]\(([^)]+)\)", "$1"),
-        (r"\[([^\]]+)\]\(([^)]+)\)", "$1 ($2)"),
-        (r"(?i)</?u>", ""),
-        (r"(?m)^#{1,6} +", ""),
-        (r"\*\*(.+?)\*\*", "$1"),
-        (r"__(.+?)__", "$1"),
-        (r"\*([^*\n]+)\*", "$1"),
-        (r"(?m)^[-*] +", "- "),
-        (r"[ \t]+\n", "\n"),
-        (r"\n{3,}", "\n\n"),
-    ):
-        out = rx(out, pattern, to)
-    return F.btrim(out, F.lit(" \t\n"))
+    """Code without fences, quotes without marks, images as URL, links as "text (url)", headings and
+    emphasis without marks, one blank where there are several. Null gives ""."""
+    read = _text_of_markdown
+    return _text_function(lambda t: read(t))(F.coalesce(c, F.lit("")))
+
+
+#: What a text for similarity goes without, in this order, in lower case.
+SIMILARITY_NOISE = [
+    r"https?://[^\s]+",
+    r"\bfile/get/\d+\b",
+    r"\bnn\d+\b",
+    r"\bpers?nr?\s*[:#-]?\s*\d+\b",
+    r"\bper\.\d+\b",
+]
 
 
 def similarity_text(subject: Column, problem: Column, solution: Column) -> Column:
     """Lower-cased ``subject . problem . solution`` without links, file ids and person numbers."""
     out = F.lower(F.concat_ws(" . ", *[F.coalesce(c, F.lit("")) for c in (subject, problem, solution)]))
-    for pattern in (r"https?://\S+", r"file/get/\d+", r"\bnn\d+\b", r"\bpers?n?r?\s*[:#-]?\s*\d+\b", r"\bper\.\s*\d+\b"):
-        out = F.regexp_replace(out, pattern, " ")
-    return F.btrim(F.regexp_replace(out, r"(?U)\s+", " "))
+    for pattern in SIMILARITY_NOISE:
+        out = F.regexp_replace(out, f"(?U){pattern}", " ")
+    return F.btrim(F.regexp_replace(out, r"(?U)[\s\x1C-\x1F]+", " "))
 
 
 #: Typographic characters and their plain forms.
-PLAIN = {"‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"', "‑": "-", "–": "-", "—": "-", " ": " ", " ": " "}
+PLAIN = {"\u2011": "-", "\u201c": '"', "\u201d": '"', "\u201e": '"', "\u2018": "'", "\u2019": "'", "\u201a": "'", "\u202f": " ", "\u00a0": " ", "\u2013": "-", "\u2014": "-"}
 
 
-def normalise_unicode(c: Column) -> Column:
-    """Plain quotes, dashes and spaces; no control characters but line end, tab and return."""
-    out = F.translate(c, "".join(PLAIN), "".join(PLAIN.values()))
-    out = F.replace(out, F.lit("…"), F.lit("..."))
-    return F.regexp_replace(out, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
+def plain_marks(c: Column) -> Column:
+    """Plain quotes, dashes and spaces, three full stops for an ellipsis."""
+    return F.replace(F.translate(c, "".join(PLAIN), "".join(PLAIN.values())), F.lit("\u2026"), F.lit("..."))
 
 
-def nfkc(df: DataFrame, col: str) -> DataFrame:
-    """NFKC of a column, in Arrow batches; ASCII texts are passed as they are."""
-    import unicodedata
-    from collections.abc import Iterator
+def without_controls(c: Column) -> Column:
+    """Without control characters but line end, tab and return."""
+    return F.regexp_replace(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
 
-    import pyarrow as pa
 
-    at = df.columns.index(col)
+def normalise_unicode(c: Column) -> Column:
+    """Plain marks, then NFKC, then no control characters."""
+    return without_controls(compatible(plain_marks(c)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = list(batch.columns)
-            columns[at] = pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFKC", t) for t in columns[at].to_pylist()], columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return df.mapInArrow(run, df.schema)
+def plain_text(t: str) -> str:
+    """``normalise_unicode`` of one text, for values inside nested columns and broken replies."""
+    for mark, plain in PLAIN.items():
+        t = t.replace(mark, plain)
+    t = unicodedata.normalize("NFKC", t.replace("\u2026", "..."))
+    return "".join(x for x in t if x >= " " or x in "\n\t\r")
 
 
 def normalise_url(c: Column, base: str) -> Column:
-    out = F.btrim(F.coalesce(c, F.lit("")), F.lit(" \t\r\n"))
+    out = stripped(F.coalesce(c, F.lit("")))
     joined = F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(out, "^/+", ""))
     return F.when(out == "", "").when(F.lower(out).rlike("^https?://"), out).otherwise(joined)
 
@@ -130,8 +215,15 @@ def strict_url(c: Column) -> Column:
     return F.regexp_extract(F.btrim(c, F.lit(" \"'<>")), r"^([^\s<>]*)", 1)
 
 
+def url_part(url: Column, part: str) -> Column:
+    """``path`` (without parameters behind a semicolon of its last segment) or ``query``; "" if there is none."""
+    if part == "query":
+        return F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    return F.regexp_replace(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), r";[^/]*\z", "")
+
+
 def file_name_of(url: Column) -> Column:
-    return F.element_at(F.split(F.regexp_replace(url, r"[?#].*$", ""), "/"), -1)
+    return F.element_at(F.split(url_part(url, "path"), "/"), -1)
 
 
 def file_id_of(url: Column) -> Column:
@@ -141,20 +233,20 @@ def file_id_of(url: Column) -> Column:
     return F.when(query != "", query).when(last != "", last)
 
 
-#: What is replaced in logs, in order.
+#: What is replaced in logs, in this order, whatever the case.
 SECRET_RULES = [
-    (r"(?i)(bearer\s+)[A-Za-z0-9._~+/=-]+", "$1***"),
-    (r"(?i)(basic\s+)[A-Za-z0-9+/=]+", "$1***"),
-    (r"(?i)(token[\"']?\s*[:=]\s*[\"']?)[^\s\"'&,;]+", "$1***"),
-    (r"(?i)(key[\"']?\s*[:=]\s*[\"']?)[^\s\"'&,;]+", "$1***"),
-    (r"(?i)(password[\"']?\s*[:=]\s*[\"']?)[^\s\"'&,;]+", "$1***"),
-    (r"(?i)(secret[\"']?\s*[:=]\s*[\"']?)[^\s\"'&,;]+", "$1***"),
+    (r"Authorization:\s*Bearer\s+[^\s]+", "Authorization: Bearer [REDACTED]"),
+    (r"Authorization:\s*Basic\s+[^\s]+", "Authorization: Basic [REDACTED]"),
+    (r"token[=:]\s*[^\s&]+", "token=[REDACTED]"),
+    (r"key[=:]\s*[^\s&]+", "key=[REDACTED]"),
+    (r"password[=:]\s*[^\s&]+", "password=[REDACTED]"),
+    (r"secret[=:]\s*[^\s&]+", "secret=[REDACTED]"),
 ]
 
 
 def redact(c: Column) -> Column:
     for pattern, to in SECRET_RULES:
-        c = F.regexp_replace(c, pattern, to)
+        c = F.regexp_replace(c, f"(?iU){pattern}", to)
     return c
 
 
@@ -171,78 +263,93 @@ def question_target(tokens: Column, most: int, tokens_per_question: int = 350) -
     return F.greatest(F.lit(1), F.least(F.lit(most), F.bround(tokens / tokens_per_question, 0).cast("int")))
 
 
+_ATTRIBUTE = r"(?i)(?:href|src)=[\"']([^\"']+)[\"']"
+
+
+def link_candidates(text: Column, bbcode: bool = False) -> Column:
+    """Targets of href and src; with ``bbcode`` those of [img], [url] and [url=] before them and bare
+    http(s) addresses behind them. An array, in the order of the text for each kind."""
+    found = F.regexp_extract_all(text, F.lit(_ATTRIBUTE), F.lit(1))
+    if not bbcode:
+        return found
+    tagged = [F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in (r"(?is)\[img\](.*?)\[/img\]", r"(?is)\[url\](.*?)\[/url\]", r"(?i)\[url=(.+?)\](?s:.*?)\[/url\]")]
+    bare = F.transform(F.regexp_extract_all(text, F.lit(r"(?iU)(https?://[^\s\])]+)"), F.lit(1)), lambda u: F.regexp_replace(u, r"[).,;\"']+\z", ""))
+    return F.transform(F.concat(*tagged, found, bare), stripped)
+
+
 def extract_links(df: DataFrame, id_col: str, html_col: str, base: str, bbcode: bool = False) -> DataFrame:
-    """(id, ord, FileName, Url, Size) of attachment links, first occurrence first."""
+    """(id, ord, FileName, Url, Size) of attachment links, first occurrence first; ord counts all links."""
     from ticketloom.operators.filters import is_attachment_link
 
-    found = F.regexp_extract_all(F.col(html_col), F.lit(r"(?i)(?:href|src)\s*=\s*[\"']([^\"']+)[\"']"), F.lit(1))
-    if bbcode:
-        for pattern in (r"(?i)\[img\]\s*([^\[\s]+)", r"(?i)\[url\]\s*([^\[\s]+)", r"(?i)\[url=([^\]\s]+)\]", r"(https?://[^\s\"'<>\[\])]+[^\s\"'<>\[\]).,;:!?])"):
-            found = F.concat(found, F.regexp_extract_all(F.col(html_col), F.lit(pattern), F.lit(1)))
-    usable = F.filter(found, lambda u: ~F.lower(u).rlike("^(mailto:|javascript:|#)"))
-    urls = F.array_distinct(F.transform(usable, lambda u: normalise_url(unescape(u), base)))
+    usable = F.filter(link_candidates(F.col(html_col), bbcode), lambda u: (u != "") & ~F.lower(u).rlike("^(mailto:|javascript:|#)"))
+    urls = F.array_distinct(F.transform(usable, lambda u: normalise_url(u, base)))
     rows = df.select(F.col(id_col), F.posexplode(urls).alias("ord", "Url"))
     return rows.filter(is_attachment_link(F.col("Url"), ("kb",) if bbcode else ())).select(id_col, "ord", file_name_of(F.col("Url")).alias("FileName"), "Url", F.lit(0).cast("long").alias("Size"))
 
 
 def all_links(df: DataFrame, id_col: str, html_col: str, base: str) -> DataFrame:
     """(id, ord, Url) of every href and src, first occurrence first."""
-    found = F.regexp_extract_all(F.col(html_col), F.lit(r"(?i)(?:href|src)\s*=\s*[\"']([^\"']+)[\"']"), F.lit(1))
-    urls = F.array_distinct(F.transform(found, lambda u: normalise_url(u, base)))
+    urls = F.array_distinct(F.transform(link_candidates(F.col(html_col)), lambda u: normalise_url(u, base)))
     return df.select(F.col(id_col), F.posexplode(urls).alias("ord", "Url"))
 
 
-def text_to_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, block_ord, style, items): runs of bullets, runs of numbered lines, and paragraphs up to a
-    blank line or a list; blank text is one "(No content)" paragraph. Folded inside each row: no
-    shuffle, whatever the number of lines."""
-    line_type = "struct<kind:string,body:string>"
-    blocks_type = "array<struct<style:string,items:array<string>,open:boolean>>"
+def bold_runs(c: Column) -> Column:
+    """array<struct<text, bold>>: stretches between ** marks, or between <b> and </b>, are bold; a mark
+    without its other half, or around nothing, stays."""
+    marked = F.regexp_replace(c, r"(?is)<b>(.*?)</b>", "**$1**")
+    # what is bold gets marks that texts do not hold, so that one cut suffices
+    cut = F.split(F.regexp_replace(marked, r"\*\*(.+?)\*\*", "\x02$1\x02"), "\x02", -1)
+    runs = F.transform(cut, lambda x, i: F.struct(x.alias("text"), (i % 2 == 1).alias("bold")))
+    return F.filter(runs, lambda r: r["text"] != "")
+
 
+def text_to_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, block_ord, style, content, runs): runs of bullets, runs of numbered lines, and paragraphs up to a
+    blank line or a list; blank text is one "(No content)" paragraph. Done inside each row, so rows that
+    share an id stay apart and nothing is shuffled."""
     def line(raw: Column) -> Column:
         x = F.btrim(raw, F.lit(" \t\r"))
         bullet, number = r"^[-*•]\s+", r"^\d+[.)]\s+"
         kind = F.when(x == "", "blank").when(x.rlike(bullet), "bullet").when(x.rlike(number), "number").otherwise("paragraph")
-        return F.struct(kind.alias("kind"), F.when(kind == "bullet", F.regexp_replace(x, bullet, "")).when(kind == "number", F.regexp_replace(x, number, "")).otherwise(x).alias("body")).cast(line_type)
+        return F.struct(kind.alias("kind"), F.when(kind == "bullet", F.regexp_replace(x, bullet, "")).when(kind == "number", F.regexp_replace(x, number, "")).otherwise(x).alias("body"))
+
+    text = F.regexp_replace(without_controls(F.coalesce(F.col(text_col), F.lit(""))), r"\r\n?", "\n")
+    lines = df.select(F.col(id_col), F.transform(F.split(text, "\n"), line).alias("lines"))
+    # each line that is not blank starts a block unless it goes on with the kind of the line before
+    begins = F.transform("lines", lambda x, i: F.when((x["kind"] != "blank") & ((i == 0) | (F.get("lines", i - 1)["kind"] != x["kind"])), i))
+    ends = F.transform("lines", lambda x, i: F.when((x["kind"] != "blank") & F.coalesce(F.get("lines", i + 1)["kind"] != x["kind"], F.lit(True)), i))
+    placed = lines.select(id_col, "lines", F.array_compact(begins).alias("begins"), F.array_compact(ends).alias("ends"))
 
-    # each line starts a block unless it goes on with the kind of the line before
-    lines = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), line)
-    marked = df.select(F.col(id_col), lines.alias("lines")).select(
-        id_col, F.filter(F.transform("lines", lambda x, i: F.struct(x["kind"].alias("kind"), x["body"].alias("body"), ((i == 0) | (F.get("lines", i - 1)["kind"] != x["kind"])).alias("starts"))), lambda x: x["kind"] != "blank").alias("lines")
-    )
-    exploded = marked.select(id_col, F.posexplode_outer("lines").alias("i", "x"))
-    from pyspark.sql import Window
+    def block(begin: Column, k: Column) -> Column:
+        kind = F.get("lines", begin)["kind"]
+        bodies = F.transform(F.slice("lines", begin + 1, F.get("ends", k) - begin + 1), lambda x: x["body"])
+        return F.struct(kind.alias("style"), F.when(kind == "paragraph", F.array_join(bodies, " ")).otherwise(F.array_join(bodies, "\n")).alias("content"))
 
-    w = Window.partitionBy(id_col).orderBy("i")
-    numbered = exploded.select(id_col, "i", "x", F.coalesce(F.sum(F.col("x.starts").cast("int")).over(w), F.lit(1)).alias("block"))
-    grouped = numbered.groupBy(id_col, "block").agg(F.first("x.kind", ignorenulls=True).alias("style"), F.array_sort(F.collect_list(F.struct("i", "x.body"))).alias("parts"))
-    body = F.transform("parts", lambda p: p["body"])
-    text = F.when(F.col("style").isNull(), "(No content)").when(F.col("style") == "paragraph", F.array_join(body, " ")).otherwise(F.array_join(body, "\n"))
-    return grouped.select(id_col, (F.col("block") - 1).cast("long").alias("block_ord"), F.coalesce("style", F.lit("paragraph")).alias("style"), text.alias("content"))
+    none = F.array(F.struct(F.lit("paragraph").alias("style"), F.lit("(No content)").alias("content")))
+    blocks = placed.select(id_col, F.when(F.size("begins") == 0, none).otherwise(F.transform("begins", block)).alias("blocks"))
+    rows = blocks.select(id_col, F.posexplode("blocks").alias("block_ord", "b"))
+    return rows.select(id_col, F.col("block_ord").cast("long").alias("block_ord"), "b.style", "b.content", bold_runs(F.col("b.content")).alias("runs"))
 
 
 def pack_chunks(df: DataFrame, id_col: str, text_col: str, max_tokens: int = 3500, separator: str = r"\n\s*\n", joiner: str = "\n\n") -> DataFrame:
     """(id, chunk_ord, content, tokens): parts packed greedily up to max_tokens, a tail below a fifth
     merged into the chunk before. A fold inside each row; nothing is shuffled."""
     limit = max(1000, max_tokens) if max_tokens >= 1000 else max_tokens
-    kind = "struct<done:array<array<string>>,now:array<string>,n:bigint>"
     parts = F.filter(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), separator), lambda p: F.btrim(p, F.lit(" \t\r\n"))), lambda p: p != "")
-    none = F.array().cast("array<string>")
-
-    def step(acc: Column, p: Column) -> Column:
-        t = token_estimate(F.length(p))
-        full = (F.size(acc["now"]) > 0) & (acc["n"] + t > limit)
-        closed = F.struct(F.concat(acc["done"], F.array(acc["now"])).alias("done"), F.array(p).alias("now"), t.alias("n")).cast(kind)
-        longer = F.struct(acc["done"].alias("done"), F.concat(acc["now"], F.array(p)).alias("now"), (acc["n"] + t).alias("n")).cast(kind)
-        return F.when(full, closed).otherwise(longer)
-
-    def finish(acc: Column) -> Column:
-        tail = (acc["n"] < limit * 0.2) & (F.size(acc["done"]) > 0)
-        merged = F.concat(F.slice(acc["done"], 1, F.greatest(F.size(acc["done"]) - 1, F.lit(0))), F.array(F.concat(F.element_at(acc["done"], -1), acc["now"])))
-        return F.when(F.size(acc["now"]) == 0, acc["done"]).when(tail, merged).otherwise(F.concat(acc["done"], F.array(acc["now"])))
-
-    start = F.struct(F.array().cast("array<array<string>>").alias("done"), none.alias("now"), F.lit(0).cast("bigint").alias("n")).cast(kind)
-    chunks = F.aggregate(parts, start, step, finish)
-    rows = df.select(F.col(id_col), F.posexplode(chunks).alias("chunk_ord", "p"))
-    content = F.array_join("p", joiner)
-    return rows.select(id_col, F.col("chunk_ord").cast("long").alias("chunk_ord"), content.alias("content"), token_estimate(F.length(content)).alias("tokens"))
+    kind = "struct<begins:array<int>,at:int,n:bigint>"
+
+    def step(acc: Column, t: Column) -> Column:
+        """Keeps where chunks begin; the array grows only with chunks."""
+        new = (acc["at"] == 0) | (acc["n"] + t > limit)
+        begins = F.when(new, F.concat(acc["begins"], F.array(acc["at"]))).otherwise(acc["begins"])
+        return F.struct(begins.alias("begins"), (acc["at"] + 1).alias("at"), F.when(new, t).otherwise(acc["n"] + t).alias("n")).cast(kind)
+
+    start = F.struct(F.array().cast("array<int>").alias("begins"), F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("n")).cast(kind)
+    folded = df.select(F.col(id_col), parts.alias("parts")).withColumn("tokens", F.transform("parts", lambda p: token_estimate(F.length(p))))
+    folded = folded.select(id_col, "parts", F.aggregate("tokens", start, step).alias("f"))
+    small_tail = (F.size("f.begins") > 1) & (F.col("f.n") < limit * 0.2)
+    begins = F.when(small_tail, F.slice("f.begins", 1, F.size("f.begins") - 1)).otherwise(F.col("f.begins"))
+    ready = folded.select(id_col, "parts", begins.alias("begins"))
+    content = F.transform("begins", lambda b, k: F.array_join(F.slice("parts", b + 1, F.coalesce(F.get("begins", k + 1), F.size("parts")) - b), joiner))
+    rows = ready.select(id_col, F.posexplode(content).alias("chunk_ord", "content"))
+    return rows.select(id_col, F.col("chunk_ord").cast("long").alias("chunk_ord"), "content", token_estimate(F.length("content")).alias("tokens"))

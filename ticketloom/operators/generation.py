@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.columns import first_wins
-from ticketloom.functions.text import pack_chunks, question_target
-from ticketloom.operators.windows import allocate_quota, limit_per_group, split_quota_over_chunks
-from ticketloom.session import ship
+from ticketloom.functions.text import pack_chunks
+from ticketloom.operators.windows import allocate_quota, limit_per_group, ranked, split_quota_over_chunks
+from ticketloom.session import bounded_batches, written
 
 
 def generate_qa(chapters: DataFrame, qa_fn: Callable[[str, int], list[dict]], per_chapter: int = 30, per_document: int | None = None, max_tokens: int = 3500) -> DataFrame:
     """chapters(source_file, chapter, content, token_estimate) -> (source_file, chapter, question,
-    answer). Long chapters are chunked and share their quota; questions are distinct by folded text."""
-    ship(chapters.sparkSession)
+    answer). Long chapters are chunked and share their quota; questions are distinct by folded text. The
+    answers are written, so each chunk reaches the model once."""
+    bounded_batches(chapters.sparkSession)
     quota = allocate_quota(chapters.filter("content != ''"), "source_file", "chapter", "token_estimate", per_chapter, per_document).filter("quota > 0")
     keyed = quota.withColumn("doc", F.concat_ws("\u0001", "source_file", F.col("chapter").cast("string")))
     chunks = pack_chunks(keyed, "doc", "content", max_tokens).select("doc", F.col("chunk_ord").alias("chunk"), "content", "tokens")
@@ -28,30 +29,51 @@ def generate_qa(chapters: DataFrame, qa_fn: Callable[[str, int], list[dict]], pe
             rows = [(d, c, k, x["question"], x["answer"]) for d, c, t, n in zip(pdf["doc"], pdf["chunk"], pdf["content"], pdf["quota"], strict=True) for k, x in enumerate(qa_fn(t, int(n))[: int(n)])]
             yield pd.DataFrame(rows, columns=["doc", "chunk", "k", "question", "answer"])
 
-    items = shared.select("doc", "chunk", "content", "quota").mapInPandas(run, "doc string, chunk long, k long, question string, answer string")
+    items = written(shared.select("doc", "chunk", "content", "quota").mapInPandas(run, "doc string, chunk long, k long, question string, answer string"), "questions")
     distinct = first_wins(items, ["doc", F.lower(F.btrim("question"))], ["chunk", "k"])
     clamped = limit_per_group(distinct.join(keyed.select("doc", "source_file", "chapter", "quota"), "doc"), ["doc"], per_chapter, ["chunk", "k"])
     return clamped.select("source_file", "chapter", "question", "answer")
 
 
-def generate_until_covered(chapters: DataFrame, concept_fn: Callable, qa_fn: Callable, threshold: float = 0.85, max_concepts: int = 50, rounds: int = 8, cap: int = 60) -> DataFrame:
-    """For each chapter: at most max_concepts concepts, then questions until the covered share reaches
-    the threshold, nothing new comes, or the cap is met. Chapters are independent rows."""
-    ship(chapters.sparkSession)
+def extract_concepts(chapters: DataFrame, concept_fn: Callable[[str, int], list[dict]], max_concepts: int = 50, max_tokens: int = 3500) -> DataFrame:
+    """chapters(source_file, chapter, content) -> (source_file, chapter, concept_id, title, summary,
+    importance). Long chapters are chunked, the budget is split over chunks by size (at least one each),
+    titles are distinct by folded text, first chunk first. The answers are written, so each chunk reaches the
+    model once."""
+    bounded_batches(chapters.sparkSession)
+    keyed = chapters.filter(F.coalesce(F.btrim("content"), F.lit("")) != "").withColumn("doc", F.concat_ws("\u0001", "source_file", F.col("chapter").cast("string")))
+    chunks = pack_chunks(keyed, "doc", "content", max_tokens).select("doc", F.col("chunk_ord").alias("chunk"), "content", "tokens", F.lit(max_concepts).cast("long").alias("n"))
+    shared = split_quota_over_chunks(chunks, floor=1)
 
-    def one(content: str) -> list[tuple[str, str, list[str], float]]:
-        concepts, titles = [], set()
-        for c in concept_fn(content):
-            if c["title"].casefold() not in titles and len(concepts) < max_concepts:
-                titles.add(c["title"].casefold())
-                concepts.append(c)
-        ids = {f"c{i + 1}": c for i, c in enumerate(concepts)}
-        open_ids, seen, out = dict(ids), set(), []
+    def run(parts):
+        for pdf in parts:
+            rows = [(d, c, k, x["title"].strip(), x.get("summary") or "", int(x.get("importance", 2))) for d, c, t, n in zip(pdf["doc"], pdf["chunk"], pdf["content"], pdf["quota"], strict=True) for k, x in enumerate(concept_fn(t, int(n))[: int(n)]) if (x.get("title") or "").strip()]
+            yield pd.DataFrame(rows, columns=["doc", "chunk", "k", "title", "summary", "importance"])
+
+    items = written(shared.select("doc", "chunk", "content", "quota").mapInPandas(run, "doc string, chunk long, k long, title string, summary string, importance int"), "concepts")
+    distinct = first_wins(items, ["doc", F.lower(F.col("title"))], ["chunk", "k"])
+    numbered = ranked(distinct, ["doc"], ["chunk", "k"], "_rank").filter(F.col("_rank") <= max_concepts)
+    return numbered.join(keyed.select("doc", "source_file", "chapter"), "doc").select("source_file", F.col("chapter").cast("long").alias("chapter"), F.concat(F.lit("c"), F.col("_rank").cast("string")).alias("concept_id"), "title", "summary", "importance")
+
+
+def generate_until_covered(
+    chapters: DataFrame, concept_fn: Callable[[str, int], list[dict]], qa_fn: Callable[[str, list[tuple[str, str]], int], list[dict]], threshold: float = 0.85, max_concepts: int = 50, rounds: int = 8, cap: int = 60, max_tokens: int = 3500
+) -> DataFrame:
+    """For each chapter: its concepts (``extract_concepts``), then questions until the covered share reaches
+    the threshold, nothing new comes, or the cap is met. Chapters are independent rows; the answers are
+    written, so each request reaches the model once."""
+    concepts = extract_concepts(chapters, concept_fn, max_concepts, max_tokens)
+    listed = concepts.groupBy("source_file", "chapter").agg(F.collect_list(F.struct("concept_id", "title", "importance")).alias("concepts"))
+    ready = chapters.select("source_file", F.col("chapter").cast("long").alias("chapter"), "content").join(listed, ["source_file", "chapter"])
+
+    def one(content: str, concepts: list[dict]) -> list[tuple[str, str, list[str], float]]:
+        open_ids = {c["concept_id"]: c for c in concepts}
+        total, seen, out = len(open_ids), set(), []
         for _ in range(rounds):
-            if not ids or 1 - len(open_ids) / len(ids) >= threshold or len(out) >= cap:
+            if not total or 1 - len(open_ids) / total >= threshold or len(out) >= cap:
                 break
             ask = min(max(3, round(len(open_ids) / 3)), cap - len(out))
-            first = sorted(open_ids, key=lambda k: (open_ids[k].get("importance", 2), open_ids[k]["title"]), reverse=True)[:20]
+            first = sorted(open_ids, key=lambda k: (open_ids[k]["importance"], open_ids[k]["title"]), reverse=True)[:20]
             new = [q for q in qa_fn(content, [(k, open_ids[k]["title"]) for k in first], ask)[:ask] if q["question"].casefold() not in seen]
             if not new:
                 break
@@ -60,16 +82,12 @@ def generate_until_covered(chapters: DataFrame, concept_fn: Callable, qa_fn: Cal
                 out.append(q)
                 for k in q.get("covers", []):
                     open_ids.pop(k, None)
-        share = 1 - len(open_ids) / len(ids) if ids else 1.0
+        share = 1 - len(open_ids) / total if total else 1.0
         return [(q["question"], q["answer"], list(q.get("covers", [])), share) for q in out]
 
     def run(parts):
         for pdf in parts:
-            rows = [(s, c, *r) for s, c, t in zip(pdf["source_file"], pdf["chapter"], pdf["content"], strict=True) for r in one(t or "")]
+            rows = [(s, c, *r) for s, c, t, found in zip(pdf["source_file"], pdf["chapter"], pdf["content"], pdf["concepts"], strict=True) for r in one(t or "", list(found))]
             yield pd.DataFrame(rows, columns=["source_file", "chapter", "question", "answer", "covers", "coverage"])
 
-    return chapters.select("source_file", F.col("chapter").cast("long").alias("chapter"), "content").mapInPandas(run, "source_file string, chapter long, question string, answer string, covers array<string>, coverage double")
-
-
-def with_targets(chapters: DataFrame, most: int = 30) -> DataFrame:
-    return chapters.withColumn("target", question_target(F.col("token_estimate"), most))
+    return written(ready.mapInPandas(run, "source_file string, chapter long, question string, answer string, covers array<string>, coverage double"), "covering-questions")

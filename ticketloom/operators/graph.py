@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.session import written
+from ticketloom.session import release, written
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 50) -> DataFrame:
@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Minimum-label hooking with pointer jumping. Each round is two joins on node keys and two
     aggregations with map-side combine; labels are written to the shared folder after each round,
     so the plan stays short and lost executors cost no recomputation of earlier rounds. Nulls and
-    self loops: an edge with a null end is ignored, a self loop makes a component of one.
+    self loops: an edge with a null end is ignored, a self loop makes a component of one. Rounds grow with
+    the logarithm of the longest path; more than ``max_rounds`` are an error, never a partial result.
     """
     links = written(
         edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
@@ -24,12 +25,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         "cc-links",
     )
     labels = written(links.groupBy(F.col("s").alias("node")).agg(F.least(F.min("t"), F.first("s")).alias("component")), "cc-labels")
+    before = labels
     for _ in range(max_rounds):
         heard = links.join(labels, links.t == labels.node).groupBy(F.col("s").alias("node")).agg(F.min("component").alias("heard"))
         met = labels.join(heard, "node", "left").select("node", "component", F.least("component", "heard").alias("near"))
         roots = labels.select(F.col("node").alias("near"), F.col("component").alias("root"))
         new = written(met.join(roots, "near", "left").select("node", F.col("component").alias("old"), F.least("near", F.coalesce("root", "near")).alias("component")), "cc-labels")
-        labels = new.select("node", "component")
-        if new.filter(F.col("old") != F.col("component")).isEmpty():
+        done = new.filter(F.col("old") != F.col("component")).isEmpty()
+        release(before)
+        before, labels = new, new.select("node", "component")
+        if done:
+            release(links)
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

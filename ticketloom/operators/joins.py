@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.columns import filled, first_wins
+from ticketloom.operators.filters import is_image_link
+from ticketloom.operators.windows import strip_prefix
 
 ATTACHMENT = "struct<FileName:string,Url:string,Size:bigint>"
 COMMENT = f"struct<c_ord:bigint,CommentDate:string,Body:string,UserName:string,Attachments:array<{ATTACHMENT}>>"
@@ -53,6 +55,24 @@ def append_new(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     return existing.unionByName(new)
 
 
+def append_info(info: DataFrame, existing: DataFrame, incoming: DataFrame, key: str, criteria: str) -> DataFrame:
+    """The one-row export info after ``append_new``: the ticket total counts all rows, the other totals grow by
+    what the new rows hold (attachments of comments are not counted here), criteria are joined."""
+    known = existing.select(F.col(key).cast("string").alias("_id")).distinct()
+    new = incoming.join(known, incoming[key].cast("string") == F.col("_id"), "left_anti")
+    size = lambda c: F.coalesce(F.sum(F.greatest(F.size(c), F.lit(0)).cast("long")), F.lit(0))
+    added = new.agg(F.count(F.lit(1)).alias("_rows"), size("kommentare").alias("_comments"), size("Attachments").alias("_files"))
+    before = existing.agg(F.count(F.lit(1)).alias("_before"))
+    plus = lambda c, d: F.coalesce(F.col(c), F.lit(0)).cast("long") + F.col(d)
+    return info.join(F.broadcast(added)).join(F.broadcast(before)).select(
+        (F.col("_before") + F.col("_rows")).alias("total_closed_tickets"),
+        plus("total_comments", "_comments").alias("total_comments"),
+        plus("total_ticket_attachments", "_files").alias("total_ticket_attachments"),
+        F.coalesce("total_comment_attachments", F.lit(0)).cast("long").alias("total_comment_attachments"),
+        F.concat(F.when(F.coalesce("filter_criteria", F.lit("")) != "", F.concat("filter_criteria", F.lit(" | "))).otherwise(""), F.lit(criteria)).alias("filter_criteria"),
+    )
+
+
 def append_all(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(incoming, allowMissingColumns=True)
 
@@ -92,6 +112,23 @@ def refresh_values(rows: DataFrame, fresh: DataFrame, key: str, value: str, orde
     return rows.join(last, key, "left").withColumn("updated", changed).withColumn(value, F.when(F.col("updated"), F.col("_new")).otherwise(F.col(value))).drop("_new")
 
 
+def refresh_image_urls(summaries: DataFrame, raw: DataFrame, prefix: str) -> DataFrame:
+    """summaries(ticket_id, image_urls, …) with ids without prefix, and image_urls replaced by the image links
+    among the attachments of the last raw(ord, ticket_id, Attachments) row of the ticket, if there are any.
+    Adds ``prefix_removed`` and ``updated``; ``refresh_counts`` sums them up."""
+    shown = F.filter("Attachments", lambda a: (F.coalesce(a["Url"], F.lit("")) != "") & is_image_link(a["Url"], a["FileName"], "refresh"))
+    fresh = raw.select(F.col("ticket_id").cast("string").alias("ticket_id"), "ord", F.transform(shown, lambda a: a["Url"]).alias("image_urls"))
+    own = F.col("ticket_id").cast("string")
+    marked = summaries.withColumn("prefix_removed", F.coalesce(own.startswith(prefix), F.lit(False))).withColumn("ticket_id", strip_prefix(own, prefix))
+    return refresh_values(marked, fresh, "ticket_id", "image_urls", "ord")
+
+
+def refresh_counts(refreshed: DataFrame) -> DataFrame:
+    one = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    images = F.when(F.col("updated"), F.size("image_urls")).otherwise(0)
+    return refreshed.agg(one(F.col("updated")).alias("updated"), one(images).alias("images"), one(F.col("prefix_removed")).alias("prefixes"))
+
+
 def drop_existing_files(docs: DataFrame, manifest: DataFrame) -> DataFrame:
     """docs(ord, dir, stem, ext) without those whose directory holds a file, of the manifest(dir,
     name, ext) or of an earlier row, that starts with the stem and has the extension. Equal

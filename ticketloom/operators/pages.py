@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.functions.text import token_estimate
+from ticketloom.functions.text import title_case, token_estimate
 from ticketloom.session import bounded_batches, written
 
 _DROPPED = {"script", "style", "nav", "footer", "header"}
@@ -18,24 +19,29 @@ _WANTED = {"site": {"h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "div"}, "api"
 _LEAST = {"site": 10, "api": 5}
 
 
+def _region(tag: str, attrs: dict[str, str | None]) -> int | None:
+    """The rank of a main region; the first of the best rank is the page's."""
+    classes = (attrs.get("class") or "").split()
+    marks = (tag == "main", tag == "article", "content" in classes, attrs.get("id") == "content", "main-content" in classes, "post-content" in classes, tag == "div" and attrs.get("role") == "main")
+    return marks.index(True) if any(marks) else None
+
+
 class _Elements(HTMLParser):
     """Elements with their text; a div repeats the text of what is inside it."""
 
     def __init__(self, profile: str):
         super().__init__(convert_charrefs=True)
         self.wanted, self.least, self.profile = _WANTED[profile], _LEAST[profile], profile
-        self.stack: list[tuple[str, int, bool]] = []  # tag, index of its element or -1, is it dropped
-        self.found: list[tuple[str, list[str], bool]] = []
-        self.dropped = self.inside = 0
-        self.has_main = False
+        self.stack: list[tuple[str, int, int]] = []  # tag, index of its element or -1, its region or -1
+        self.found: list[tuple[str, list[str], tuple[int, ...]]] = []  # tag, texts, regions around it
+        self.regions: list[int] = []  # ranks, in order of appearance
+        self.inside: tuple[int, ...] = ()
+        self.dropped = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _VOID:
             return
-        named = dict(attrs)
-        main = tag in ("main", "article") or named.get("role") == "main" or "content" in (named.get("class") or "").split() or named.get("id") in ("content", "main")
-        self.has_main |= main and not self.dropped
-        at = -1
+        at = region = -1
         if tag in ("p", "li"):  # an open one of the same kind ends here
             for k in range(len(self.stack) - 1, -1, -1):
                 if self.stack[k][0] == tag:
@@ -45,15 +51,20 @@ class _Elements(HTMLParser):
                     break
         if tag in self.wanted and not self.dropped:
             at = len(self.found)
-            self.found.append((tag, [], self.inside > 0 or main))
-        self.stack.append((tag, at, main))
+            self.found.append((tag, [], self.inside))
+        rank = None if self.dropped else _region(tag, dict(attrs))
+        if rank is not None:
+            region = len(self.regions)
+            self.regions.append(rank)
+            self.inside += (region,)
+        self.stack.append((tag, at, region))
         self.dropped += tag in _DROPPED
-        self.inside += main
 
     def _close(self, k: int) -> None:
-        for tag, _, main in self.stack[k:]:
+        for tag, _, region in self.stack[k:]:
             self.dropped -= tag in _DROPPED
-            self.inside -= main
+            if region >= 0:
+                self.inside = tuple(r for r in self.inside if r != region)
         del self.stack[k:]
 
     def handle_endtag(self, tag: str) -> None:
@@ -68,19 +79,19 @@ class _Elements(HTMLParser):
                 if at >= 0:
                     self.found[at][1].append(data)
 
-    def rows(self) -> list[tuple[str, str, int | None]]:
-        main_only = self.has_main and self.profile == "site"
+    def rows(self) -> list[tuple[str, str, int]]:
+        main = min(range(len(self.regions)), key=self.regions.__getitem__) if self.regions and self.profile == "site" else None
         out = []
         for tag, parts, inside in self.found:
             text = " ".join("".join(parts).split())
-            if len(text) > self.least and (inside or not main_only):
-                level = int(tag[1]) if tag[0] == "h" and tag[1:].isdigit() else None
-                out.append(("heading" if level else tag, text, level))
+            if len(text) > self.least and (main is None or main in inside):
+                out.append((tag, text, int(tag[1]) if tag[0] == "h" and tag[1:].isdigit() else 0))
         return out
 
 
 def page_elements(pages: DataFrame, profile: str = "site", key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, elem_ord, type, text, level) in document order."""
+    """(key, elem_ord, type, text, level) in document order: type is the tag, level the digit of a
+    heading, else 0. The ``site`` profile reads the first of the best main regions only, ``api`` the page."""
     bounded_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,42 +116,111 @@ def inner_text(tag: str, html: Column) -> Column:
     return F.transform(raw, lambda x: F.btrim(F.regexp_replace(F.regexp_replace(x, "<[^>]*>", " "), r"[ \t\r\n]+", " ")))
 
 
-def page_titles(pages: DataFrame, site_name: str = "Website", default: str = "Untitled") -> DataFrame:
+#: How the paragraph begins that tells nothing of an operation, and two titles.
+BOILERPLATE = "The following operations are supported"
+WSDL_TITLE, DEFAULT_TITLE = "WSDL Service Description", "API Documentation"
+
+
+def page_titles(pages: DataFrame, site_name: str = "Website") -> DataFrame:
     """(page_id, url, title): operation pages by operation and heading, WSDL pages by a fixed label,
-    others by title, else h1, else a default."""
+    others by title, else h1, else a fixed default. The site's own name is no title."""
     html, url = F.col("html"), F.col("url")
     heads = F.filter(F.concat(inner_text("h1", html), inner_text("h2", html)), lambda x: (F.length(x) > 3) & (x != site_name))
-    paragraphs = F.filter(inner_text("p", html), lambda x: F.length(x).between(21, 199))
-    operation = F.initcap(F.replace(F.regexp_extract(url, r"[?&]op=([^&#]*)", 1), F.lit("_"), F.lit(" ")))
+    paragraphs = F.filter(inner_text("p", html), lambda x: F.length(x).between(21, 199) & ~x.startswith(BOILERPLATE))
+    operation = title_case(F.replace(F.element_at(F.split(url, r"\?op="), -1), F.lit("_"), F.lit(" ")))
     of_operation = F.when(F.size(heads) > 0, F.concat(operation, F.lit(" - "), F.get(heads, F.lit(0)))).when(F.size(paragraphs) > 0, F.concat(operation, F.lit(" API"))).otherwise(F.concat(operation, F.lit(" API Endpoint")))
-    first = lambda tag: F.nullif(F.get(inner_text(tag, html), F.lit(0)), F.lit(""))
-    title = F.when(url.contains("?op="), of_operation).when(url.contains("WSDL"), "WSDL Definition").otherwise(F.coalesce(first("title"), first("h1"), F.lit(default)))
+    first = lambda tag: F.nullif(F.nullif(F.get(inner_text(tag, html), F.lit(0)), F.lit("")), F.lit(site_name))
+    title = F.when(url.contains("?op="), of_operation).when(url.contains("WSDL"), WSDL_TITLE).otherwise(F.coalesce(first("title"), first("h1"), F.lit(DEFAULT_TITLE)))
     return pages.select("page_id", "url", title.alias("title"))
 
 
+class _Operations(HTMLParser):
+    """Links with ?op= and the text of the element around each; every piece of text is kept once."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.pieces: list[str] = []
+        self.open: list[tuple[str, int, list[list], list | None]] = [("", 0, [], None)]  # tag, first piece, links right inside, itself as a link
+        self.links: list[list] = []  # href, link text, text around
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in _VOID:
+            return
+        href = dict(attrs).get("href") or "" if tag == "a" else ""
+        own = None
+        if "?op=" in href:
+            own = [href, "", ""]
+            self.links.append(own)
+            self.open[-1][2].append(own)
+        self.open.append((tag, len(self.pieces), [], own))
+
+    def _close(self, k: int) -> None:
+        for _, start, links, own in reversed(self.open[k:]):
+            text = " ".join("".join(self.pieces[start:]).split()) if links or own else ""
+            if own:
+                own[1] = text
+            for link in links:
+                link[2] = text
+        del self.open[k:]
+
+    def handle_endtag(self, tag: str) -> None:
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k][0] == tag:
+                self._close(k)
+                return
+
+    def handle_data(self, data: str) -> None:
+        self.pieces.append(data)
+
+    def close(self) -> None:
+        super().close()
+        self._close(0)
+
+
+def _operations(html: str, base: str) -> list[tuple[str, str, str, str]]:
+    """(name, label, url, description) of each link; description is what the element around says besides."""
+    if "?op=" not in html:
+        return []
+    parser = _Operations()
+    parser.feed(html)
+    parser.close()
+    out = []
+    for href, label, around in parser.links:
+        name = href.split("?op=")[-1]
+        about = around.replace(label, "").strip(" \t\r\n-") if len(around) > len(label) else ""
+        out.append((name, label or name.replace("_", " ").title(), urljoin(base, href), about))
+    return out
+
+
 def operation_catalog(pages: DataFrame, base: str) -> DataFrame:
-    """(name, ord, display_name, url, description) of links with ?op=. A repeated name keeps its first
-    place and its last values."""
-    item = r'(?is)([^<>]*)<a[^>]*href\s*=\s*"([^"]*\?op=[^"]*)"[^>]*>(.*?)</a>([^<>]*)'
-    part = lambda k: F.regexp_extract_all(F.col("html"), F.lit(item), F.lit(k))
-    rows = pages.select("page_id", F.posexplode(F.arrays_zip(part(1).alias("before"), part(2).alias("href"), part(3).alias("label"), part(4).alias("after"))).alias("pos", "x"))
-    name = F.regexp_extract("x.href", r"\?op=([^&#]*)", 1)
-    label = F.btrim(F.regexp_replace("x.label", "<[^>]*>", ""))
-    about = F.btrim(F.concat_ws(" ", F.btrim("x.before"), F.btrim("x.after")), F.lit(" -"))
-    url = F.when(F.col("x.href").rlike("^https?://"), F.col("x.href")).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace("x.href", "^/+", "")))
-    found = rows.select(F.struct("page_id", "pos").alias("at"), name.alias("name"), F.when(label != "", label).otherwise(F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))).alias("display_name"), url.alias("url"), about.alias("description"))
+    """(name, page_id, pos, display_name, url, description) of links with ?op=, parsed once in Arrow batches.
+    A repeated name keeps its first place and its last values."""
+    bounded_batches(pages.sparkSession)
+    kind = dict(pages.dtypes)["page_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, i, *x) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, x in enumerate(_operations(t or "", base))]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            kinds = [batch.schema.field(0).type, pa.int32(), *[pa.string()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["page_id", "pos", "name", "display_name", "url", "description"])
+
+    found = pages.select("page_id", "html").mapInArrow(run, f"page_id {kind}, pos int, name string, display_name string, url string, description string")
+    found = found.withColumn("at", F.struct("page_id", "pos"))
     last = found.groupBy("name").agg(F.min("at").alias("at"), F.max_by(F.struct("display_name", "url", "description"), "at").alias("v"))
     return last.select("name", F.col("at.page_id").alias("page_id"), F.col("at.pos").alias("pos"), "v.display_name", "v.url", "v.description")
 
 
-def reachable_pages(links: DataFrame, start: list, max_depth: int = 3, src: str = "src", dst: str = "dst") -> DataFrame:
-    """(page, depth) of everything reachable from start within max_depth links, at minimum depth. Each
+def reachable_pages(links: DataFrame, start: list | DataFrame, max_depth: int = 3, src: str = "src", dst: str = "dst") -> DataFrame:
+    """(page, depth) of everything reachable from start (a list, or a table with column ``page``) within
+    max_depth links, at minimum depth. Each
     level is one join of the frontier with the links and one anti-join with what was seen; levels are
     written to the shared folder, so the plan stays short."""
     spark = links.sparkSession
     kind = dict(links.dtypes)[src]
-    seen = spark.createDataFrame([(s,) for s in start], f"page {kind}").distinct().withColumn("depth", F.lit(0))
-    edges = links.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).distinct()
+    first = start.select(F.col("page").cast(kind).alias("page")) if isinstance(start, DataFrame) else spark.createDataFrame([(s,) for s in start], f"page {kind}")
+    seen = first.distinct().withColumn("depth", F.lit(0))
+    edges = written(links.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).distinct(), "reach-links")  # read by each level
     frontier = seen
     for depth in range(1, max_depth + 1):
         step = frontier.join(edges, frontier.page == edges._s).select(F.col("_d").alias("page")).distinct()
@@ -159,30 +239,29 @@ def is_heading(style: Column, outline: Column, level: int) -> Column:
     return named | F.coalesce(outline == level - 1, F.lit(False))
 
 
-def _chapters_at(paragraphs: DataFrame, level: int) -> DataFrame:
-    w = Window.partitionBy("doc").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    heads = paragraphs.withColumn("_head", is_heading(F.col("style"), F.col("outline_level"), level))
-    marked = heads.withColumn("_chapter", F.sum(F.col("_head").cast("int")).over(w)).withColumn("_any", F.max("_head").over(Window.partitionBy("doc")))
-    used = marked.filter((F.col("_chapter") > 0) | ~F.col("_any"))
-    packed = F.array_sort(F.collect_list(F.when(~F.col("_head") & (F.btrim("text") != ""), F.struct("ord", "text"))))
-    rows = used.groupBy("doc", "_chapter").agg(F.max(F.when(F.col("_head"), F.col("text"))).alias("title"), packed.alias("_body"))
-    content = F.array_join(F.transform("_body", lambda p: p["text"]), "\n\n")
-    out = rows.select("doc", F.greatest(F.col("_chapter"), F.lit(1)).cast("long").alias("index"), F.coalesce("title", F.lit("Document")).alias("title"), content.alias("content"))
-    return out.withColumn("char_count", F.length("content").cast("long")).withColumn("token_estimate", token_estimate(F.length("content"))).withColumn("level", F.lit(level))
-
-
 def split_chapters(paragraphs: DataFrame, level: int = 1) -> DataFrame:
     """paragraphs(doc, ord, style, outline_level, text) -> chapters. Text before the first heading goes,
     unless there is none at all. Documents with at most one chapter take, of levels 1 to 3, the first
-    with most chapters."""
-    candidates = [_chapters_at(paragraphs, k) for k in dict.fromkeys([level, 1, 2, 3])]
-    every = candidates[0]
-    for c in candidates[1:]:
-        every = every.unionByName(c)
-    counts = every.groupBy("doc", "level").agg(F.count(F.lit(1)).alias("n"))
-    fits = F.when((F.col("level") == level) & (F.col("n") > 1), 1).otherwise(0)
-    chosen = counts.groupBy("doc").agg(F.max_by("level", F.struct(fits.alias("a"), F.col("n"), (-F.col("level")).alias("b"))).alias("level"))
-    return every.join(chosen, ["doc", "level"]).select("doc", "index", "title", "content", "char_count", "token_estimate", "level")
+    with most chapters. Rows of one doc and ord count each, in any order.
+
+    Two passes: how many headings each level has decides on the level of a document (an aggregation with
+    map-side combine); then running counts over that level alone number the chapters."""
+    levels = list(dict.fromkeys([level, 1, 2, 3]))
+    heads = F.array(*[is_heading(F.col("style"), F.col("outline_level"), k) for k in levels])
+    marked = paragraphs.select("doc", "ord", "text", heads.alias("heads"))
+    counts = marked.groupBy("doc").agg(F.array(*[F.sum(F.get("heads", F.lit(i)).cast("int")) for i in range(len(levels))]).alias("n"))
+    # a document without headings of a level is one chapter there
+    size = lambda i: F.greatest(F.lit(1), F.get("n", F.lit(i)))
+    order = {k: F.struct(size(i).alias("n"), F.lit(-k).alias("low"), F.lit(i).alias("at")) for i, k in enumerate(levels) if k in (1, 2, 3)}
+    chosen = counts.select("doc", F.when(size(0) > 1, 0).otherwise(F.greatest(*order.values())["at"]).alias("at"), "n")
+    placed = marked.join(chosen, "doc").select("doc", "ord", "text", F.get("heads", F.col("at")).alias("head"), (F.get("n", F.col("at")) > 0).alias("any"), F.get(F.array(*map(F.lit, levels)), F.col("at")).alias("level"))
+    w = Window.partitionBy("doc").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = placed.withColumn("index", F.sum(F.col("head").cast("int")).over(w).cast("long")).filter((F.col("index") > 0) | ~F.col("any"))
+    body = F.array_sort(F.collect_list(F.when(~F.col("head") & (F.btrim("text") != ""), F.struct("ord", "text"))))
+    rows = numbered.groupBy("doc", "index", "level").agg(F.max(F.when(F.col("head"), F.col("text"))).alias("title"), body.alias("body"))
+    content = F.array_join(F.transform("body", lambda p: p["text"]), "\n\n")
+    out = rows.select("doc", F.greatest("index", F.lit(1)).alias("index"), F.coalesce("title", F.lit("Document")).alias("title"), content.alias("content"), "level")
+    return out.select("doc", "index", "title", "content", F.length("content").cast("long").alias("char_count"), token_estimate(F.length("content")).alias("token_estimate"), "level")
 
 
 def rich_tree_to_text(df: DataFrame, col: str) -> DataFrame:

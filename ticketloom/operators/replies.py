@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.functions.text import normalise_unicode
-from ticketloom.operators.filters import is_not_relevant
-from ticketloom.session import ship
+from ticketloom.functions.text import plain_text
+from ticketloom.operators.filters import is_image_link, is_not_relevant
+from ticketloom.session import bounded_batches, ship, written
 
 FIELDS = ("ticket_id", "date", "problem", "solution")
 REPLY = "struct<ticket_id:string,date:string,problem:string,solution:string>"
@@ -46,7 +46,8 @@ def build_prompts(tickets: DataFrame, suffix: str = "Answer with one JSON object
 
 def score_prompts(prompts: DataFrame, fn: Callable[[list[str]], list[str]], id_col: str = "ticket_id") -> DataFrame:
     """(id, reply, call_error): fn over batches; where a batch fails, row by row, so that a failing
-    call costs only its own row."""
+    call costs only its own row. The answers are written before anything reads them, so each prompt reaches
+    the model once however often they are used."""
     ship(prompts.sparkSession)
     kind = dict(prompts.dtypes)[id_col]
 
@@ -65,87 +66,164 @@ def score_prompts(prompts: DataFrame, fn: Callable[[list[str]], list[str]], id_c
                         errors[k] = f"{type(e).__name__}: {e}"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(replies, pa.string()), pa.array(errors, pa.string())], [id_col, "reply", "call_error"])
 
-    return prompts.select(id_col, "prompt").mapInArrow(run, f"{id_col} {kind}, reply string, call_error string")
-
-
-def first_object(text: str) -> str | None:
-    """The first balanced {...}, minding strings and escapes; else from the first { to the last }."""
-    start = text.find("{")
-    if start < 0:
-        return None
-    depth, inside, skip = 0, False, False
-    for i in range(start, len(text)):
-        c = text[i]
-        if skip:
-            skip = False
-        elif inside:
-            skip, inside = c == "\\", c != '"'
-        elif c == '"':
-            inside = True
-        elif c == "{":
-            depth += 1
-        elif c == "}":
-            depth -= 1
-            if not depth:
-                return text[start : i + 1]
-    end = text.rfind("}")
-    return text[start : end + 1] if end > start else None
-
-
-_TYPOGRAPHIC = str.maketrans({"“": '"', "”": '"', "„": '"', "‘": "'", "’": "'", "–": "-", "—": "-", " ": " "})
-
+    return written(prompts.select(id_col, "prompt").mapInArrow(run, f"{id_col} {kind}, reply string, call_error string"), "model-replies")
+
+
+_DECODER = json.JSONDecoder()
+_DATE_TIME = re.compile(r"[12]\d{3}-\d{2}-\d{2}T[0-9:.+\-Zz]+")
+
+
+def unfenced(text: str) -> str:
+    """What stands between the first and the last code fence, if the text starts with one."""
+    body = text.strip()
+    if not body.startswith("```"):
+        return body
+    lines = body.split("\n")
+    if len(lines) == 1:
+        return body.strip("`").strip()
+    ends = [k for k, line in enumerate(lines) if k and line.startswith("```")]
+    return "\n".join(lines[1 : ends[-1]]).strip() if ends else body
+
+
+class _Loose:
+    """Reads an object that is nearly JSON. A string ends at the first quote that a comma, a colon, a
+    closing brace or bracket, the name of a field, or the end of the text follows, so quotes inside it
+    need no escape and a comma may be missing."""
+
+    def __init__(self, text: str):
+        self.text, self.at = text, 0
+
+    def _blank(self) -> None:
+        while self.at < len(self.text) and (self.text[self.at].isspace() or self.text[self.at] == ","):
+            self.at += 1
+
+    def _string(self) -> str:
+        start = self.at = self.at + 1
+        while self.at < len(self.text):
+            c = self.text[self.at]
+            if c == "\\":
+                self.at += 2
+                continue
+            if c == '"':
+                rest = self.text[self.at + 1 :].lstrip()
+                if not rest or rest[0] in ":}]" or re.match(r',\s*(["\d}\]]|$)|"(ticket_id|date|problem|solution)"\s*:', rest):
+                    break
+            self.at += 1
+        raw, self.at = self.text[start : self.at], self.at + 1
+        try:
+            return json.loads(f'"{raw}"', strict=False)
+        except ValueError:
+            return raw.replace('\\"', '"')
 
-def _texts(found: dict) -> dict[str, str]:
-    out = {k: v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for k, v in found.items() if v is not None}
-    extra = [v for k, v in out.items() if re.fullmatch(r"\d+", k)]
-    if extra:
-        out["solution"] = "\n".join(x for x in [out.get("solution", ""), *extra] if x)
-    return {k: out[k] for k in FIELDS if k in out}
+    def _value(self) -> object:
+        if self.text.startswith('"', self.at):
+            return self._string()
+        try:
+            value, self.at = _DECODER.raw_decode(self.text, self.at)
+            return value
+        except ValueError:
+            bare = re.compile(r'[^,{}\[\]":]*').match(self.text, self.at)
+            self.at = max(bare.end(), self.at + 1)
+            return bare[0].strip()
+
+    def members(self) -> list[tuple[str | None, object]]:
+        """(key, value) in order; the key is null where a value stands alone."""
+        self.at, found = self.text.index("{") + 1, []
+        while True:
+            self._blank()
+            if self.at >= len(self.text) or self.text[self.at] == "}":
+                return found
+            stamp = _DATE_TIME.match(self.text, self.at)
+            if stamp:
+                self.at = stamp.end()
+                found.append((None, stamp[0]))
+                continue
+            first = self._value()
+            after = re.compile(r"\s*:\s*").match(self.text, self.at)
+            if isinstance(first, str) and after and after.end() < len(self.text):
+                self.at = after.end()
+                found.append((first, self._value()))
+            else:
+                found.append((None, first))
+
+
+def _text_of(value: object) -> str:
+    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
+
+def _fields(found: dict) -> dict[str, str]:
+    return {k: _text_of(found[k]) for k in FIELDS if found.get(k) is not None}
+
+
+def _salvaged(text: str) -> dict[str, str]:
+    """The known fields, wherever they stand; a date and time by itself if there is no date field."""
+    out: dict[str, str] = {}
+    for name in FIELDS:
+        if m := re.search(rf'"{name}"\s*:\s*(?=["\d])', text):
+            reader = _Loose(text)
+            reader.at = m.end()
+            out[name] = _text_of(reader._value()).strip()
+    if "date" not in out and (stamp := _DATE_TIME.search(text)):
+        out["date"] = stamp[0]
+    return out
 
 
 def repair_reply(text: str) -> tuple[dict[str, str] | None, str | None]:
-    """(fields, reason of failure) of a reply that is not strict JSON as it stands."""
-    body = re.sub(r"^\s*```\w*\s*|\s*```\s*$", "", text.strip())
-    found = first_object(body)
-    if found is None:
-        return None, "no object"
-    for attempt in (found, None):
-        if attempt is None:
-            attempt = re.sub(r"\s*\n\s*", " ", re.sub(r",\s*([}\]])", r"\1", found.translate(_TYPOGRAPHIC)))
-            attempt = re.sub(r"^\{\s*\"?([A-Z]*-?\d+)\"?\s*,", r'{"ticket_id": "\1",', attempt)
-            attempt = re.sub(r",\s*\"?(\d{4}-\d{2}-\d{2})\"?\s*,", r', "date": "\1",', attempt)
+    """(fields, reason of failure) of a model's reply. The first object is taken as it is if it is strict
+    JSON; else it is read loosely: plain marks, a number alone at the start is the id, a date and time
+    alone is the date, texts under numeric keys are added to the solution. At last the fields are looked for
+    one by one, which needs no object."""
+    body = unfenced(text)
+    start = body.find("{")
+    if start >= 0:
         try:
-            value = json.loads(attempt)
-            if isinstance(value, dict):
-                return _texts(value), None
+            value, _ = _DECODER.raw_decode(body, start)
+            return _fields(value), None
         except ValueError:
-            continue
-    plain = found.translate(_TYPOGRAPHIC)
-    saved = {k: m[1].replace('\\"', '"') for k in FIELDS if (m := re.search(rf'"{k}"\s*:\s*"((?:[^"\\]|\\.)*)"', plain, re.DOTALL))}
-    return (saved, None) if saved.get("problem") or saved.get("solution") else (None, "invalid object")
+            pass
+        plain = plain_text(body[start:]).replace("\r", " ").replace("\n", " ")
+        out: dict[str, object] = {}
+        more: list[str] = []
+        for k, (key, value) in enumerate(_Loose(plain).members()):
+            if key is None and k == 0 and re.fullmatch(r"[A-Z]*-?\d+", _text_of(value)):
+                out["ticket_id"] = value
+            elif key is None and isinstance(value, str) and (_DATE_TIME.fullmatch(value) or re.fullmatch(r"\d{4}-\d{2}-\d{2}", value)):
+                out.setdefault("date", value)
+            elif key is not None and key.isdigit() and isinstance(value, str):
+                more.append(value)
+            elif key is not None:
+                out.setdefault(key, value)
+        if more:
+            out["solution"] = " ".join([x for x in [_text_of(out.get("solution") or "")] if x] + [x for x in more if x])
+        fields = _fields(out)
+        if fields.get("problem") or fields.get("solution"):
+            return fields, None
+    saved = _salvaged(plain_text(body))
+    if "problem" in saved or "solution" in saved:
+        return {"problem": "", "solution": ""} | saved, None
+    return None, "no object" if start < 0 else "invalid object"
 
 
 def parse_model_replies(replies: DataFrame, col: str = "reply") -> tuple[DataFrame, DataFrame]:
-    """(parsed with ``fields``, failed with ``reason``). Strict JSON stays in the JVM; only rows that
-    it cannot read go to Python for repair."""
-    ship(replies.sparkSession)
-    strict = F.from_json(F.trim(F.col(col)), REPLY, {"mode": "PERMISSIVE"})
-    clean = F.trim(F.col(col)).rlike(r"(?s)^\{.*\}$") & (strict["ticket_id"].isNotNull() | strict["problem"].isNotNull() | strict["solution"].isNotNull()) & ~F.col(col).rlike(r'"\d+"\s*:')
-    fast = F.coalesce(clean, F.lit(False))
-    at = replies.columns.index(col)
+    """(parsed with ``fields``, failed with ``reason``). The input is read once: strict JSON is parsed in the
+    JVM, only what it cannot read is repaired in Python, and the result is written before it is split."""
+    bounded_batches(replies.sparkSession)
+    strict = F.from_json(F.trim(F.col(col)), REPLY, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    clean = F.trim(F.col(col)).rlike(r"(?s)^\{.*\}$") & (strict["ticket_id"].isNotNull() | strict["problem"].isNotNull() | strict["solution"].isNotNull())
+    at, names = replies.columns.index(col), replies.columns
+    marked = replies.withColumn("fields", F.when(F.coalesce(clean, F.lit(False)), strict))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([(k, pa.string()) for k in FIELDS])
         for b in batches:
-            found = [repair_reply(t) if t else (None, "no object") for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f for f, _ in found], kind), pa.array([r for _, r in found], pa.string())], [*b.schema.names, "fields", "reason"])
+            done = b.column(len(names)).to_pylist()
+            found = [(f, None) if f else repair_reply(t) if t else (None, "no object") for t, f in zip(b.column(at).to_pylist(), done, strict=True)]
+            columns = [b.column(k) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([f for f, _ in found], kind), pa.array([r for _, r in found], pa.string())], [*names, "fields", "reason"])
 
-    schema = replies.schema.simpleString()[len("struct<") : -1]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in replies.schema.fields)
-    assert schema
-    slow = replies.filter(~fast).mapInArrow(run, f"{ddl}, fields {REPLY}, reason string")
-    parsed = replies.filter(fast).withColumn("fields", strict).unionByName(slow.filter("fields is not null").drop("reason"))
-    return parsed, slow.filter("fields is null").drop("fields")
+    every = written(marked.mapInArrow(run, f"{ddl}, fields {REPLY}, reason string"), "parsed-replies")
+    return every.filter("fields is not null").drop("reason"), every.filter("fields is null").drop("fields")
 
 
 CONCEPTS = "struct<concepts:array<struct<title:string,summary:string,importance:string>>>"
@@ -187,9 +265,14 @@ def repaired_link(url, ticket_id):
 
 
 def build_summaries(parsed: DataFrame, tickets: DataFrame, prefix: str = "HD-") -> DataFrame:
-    """Ids, subject and link of the ticket; date of the reply if it is not blank, else of the ticket."""
-    joined = parsed.select(F.col("ticket_id").cast("string").alias("ticket_id"), "fields").join(tickets.select(F.col("ticket_id").cast("string").alias("ticket_id"), "subject", "issue_date", "url", "urls"), "ticket_id")
+    """Ids, subject and link of the ticket; date of the reply if it is not blank, else of the ticket; the
+    image links among tickets' urls and filenames (parallel arrays), first occurrence first."""
+    own_fields = ["subject", "issue_date", "url", "urls", "filenames"]
+    known = tickets if "filenames" in tickets.columns else tickets.withColumn("filenames", F.transform("urls", lambda _: F.lit("")))
+    joined = parsed.select(F.col("ticket_id").cast("string").alias("ticket_id"), "fields").join(known.select(F.col("ticket_id").cast("string").alias("ticket_id"), *own_fields), "ticket_id")
     own = canonical_id(F.col("ticket_id"), prefix)
+    linked = F.transform("urls", lambda u, i: F.struct(u.alias("url"), F.coalesce(F.get("filenames", i), F.lit("")).alias("name")))
+    shown = F.filter(linked, lambda a: a["url"].rlike("^https?://") & is_image_link(a["url"], a["name"]))
     return joined.select(
         own.alias("ticket_id"),
         F.coalesce(F.nullif(F.btrim("fields.date"), F.lit("")), "issue_date").alias("date"),
@@ -197,16 +280,25 @@ def build_summaries(parsed: DataFrame, tickets: DataFrame, prefix: str = "HD-")
         F.coalesce("fields.problem", F.lit("")).alias("problem"),
         F.coalesce("fields.solution", F.lit("")).alias("solution"),
         repaired_link(F.col("url"), own).alias("ticket_url"),
-        F.array_distinct(F.filter("urls", lambda u: u.rlike("^https?://"))).alias("image_urls"),
+        F.array_distinct(F.transform(shown, lambda a: a["url"])).alias("image_urls"),
     )
 
 
 def write_json_normalised(df: DataFrame, path: str) -> None:
-    """Every string column, and strings in arrays, in plain Unicode; then JSON lines."""
-    out = {}
-    for name, kind in df.dtypes:
-        if kind == "string":
-            out[name] = normalise_unicode(F.col(name))
-        elif kind == "array<string>":
-            out[name] = F.transform(name, normalise_unicode)
-    df.withColumns(out).write.json(path)
+    """Every string in plain Unicode, also inside arrays, structs and map values; then JSON lines."""
+    bounded_batches(df.sparkSession)
+
+    def plain(value: object) -> object:
+        if isinstance(value, str):
+            return plain_text(value)
+        if isinstance(value, dict):
+            return {k: plain(v) for k, v in value.items()}
+        if isinstance(value, list):
+            return [plain(v) for v in value]
+        return (value[0], plain(value[1])) if isinstance(value, tuple) and len(value) == 2 else value
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([plain(v) for v in c.to_pylist()], c.type) for c in b.columns], names=b.schema.names)
+
+    df.mapInArrow(run, df.schema).write.json(path)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom.functions.text import redact
+
 
 def export_stats(tickets: DataFrame) -> DataFrame:
     comments = F.coalesce(F.size("kommentare"), F.lit(0))
@@ -29,6 +31,11 @@ def rejection_report(rejected: DataFrame) -> DataFrame:
     return out.select("section", "value", "n")
 
 
+def error_samples(rejected: DataFrame, n: int = 3, reason: str = "http") -> DataFrame:
+    """(ticket_id, load_error) of the first n rejected rows of a reason, by ord."""
+    return rejected.filter(F.col("reason") == reason).orderBy("ord").limit(n).select("ticket_id", "load_error")
+
+
 def folder_report(docs: DataFrame, col: str, order: str, missing: str = "(No folder)") -> DataFrame:
     """Count and share of each value, most frequent first, ties by first appearance."""
     label = F.coalesce(F.nullif(F.col(col), F.lit("")), F.lit(missing))
@@ -43,6 +50,11 @@ def dedupe_report(clusters: DataFrame, pairs: DataFrame, merge: float, review: f
     return c.crossJoin(pairs.agg(F.count(F.lit(1)).alias("review_pairs"))).withColumns({"canonical_rows": F.col("clusters"), "merge_threshold": F.lit(merge), "review_threshold": F.lit(review)})
 
 
+def largest_clusters(clusters: DataFrame, n: int = 5) -> DataFrame:
+    """(cluster_id, size, member_ticket_ids) of the n largest clusters, ties to the smaller id."""
+    return clusters.orderBy(F.desc("size"), "cluster_id").limit(n).select("cluster_id", "size", "member_ticket_ids")
+
+
 def run_status(events: DataFrame, declared: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """step_events(run_id, seq, ts, step, status, error) -> (steps, runs). A step starts with its first
     running event and ends with its first success or failure; steps that were not declared are
@@ -77,10 +89,21 @@ def download_report(docs: DataFrame) -> DataFrame:
     )
 
 
+def download_log(docs: DataFrame) -> DataFrame:
+    """docs with ``outcome``: downloaded, skipped_existing, skipped_other or failed, one for each row."""
+    kept, there, failed = F.col("kept"), F.col("exists_already"), F.col("failed")
+    return docs.withColumn("outcome", F.when(~kept, "skipped_other").when(there, "skipped_existing").when(failed, "failed").otherwise("downloaded"))
+
+
+def tail_log(lines: DataFrame, offset: int = 0, n: int = 100) -> DataFrame:
+    """lines(run_id, line_no, line) -> the last n redacted lines of each run from line number offset on. A
+    limit for each run before the shuffle, so a long log is not gathered."""
+    from ticketloom.operators.windows import limit_per_group
+
+    last = limit_per_group(lines.filter(F.col("line_no") >= offset), ["run_id"], n, [F.desc("line_no")])
+    return last.withColumn("line", redact(F.col("line")))
+
+
 def qa_totals(items: DataFrame) -> DataFrame:
     """Questions by chapter and by document (chapter null) in one pass."""
     return items.rollup("source_file", "chapter").agg(F.count(F.lit(1)).alias("question_count"), F.grouping_id().alias("_g")).filter("_g in (0, 1)").select("source_file", "chapter", (F.col("_g") == 1).alias("is_total"), "question_count")
-
-
-def share_over(df: DataFrame, value: str, group: list[str]) -> DataFrame:
-    return df.withColumn("share", F.col(value) / F.sum(value).over(Window.partitionBy(*group)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions.columns import first_wins, with_ordinal
 from ticketloom.operators.graph import connected_components
 from ticketloom.operators.windows import pick_representative
-from ticketloom.session import ship
+from ticketloom.session import ship, written
 
 
 def _block_scores(t_low: float):
@@ -95,7 +95,8 @@ def cluster_duplicates(tickets: DataFrame, edges: DataFrame) -> tuple[DataFrame,
     canonical). Clusters are numbered by smallest member; singletons are clusters."""
     labels = connected_components(edges.select(F.col("i").alias("a"), F.col("j").alias("b")))
     placed = tickets.join(labels.select(F.col("node").alias("ord"), "component"), "ord", "left").withColumn("root", F.coalesce("component", "ord")).drop("component")
-    roots = with_ordinal(placed.filter("ord = root").select("root"), ["root"], "cluster_id", slots=64)
+    placed = written(placed, "placed")
+    roots = with_ordinal(placed.filter("ord = root").select("root"), ["root"], "cluster_id")
     members = placed.join(roots, "root").drop("root")
     picked = pick_representative(members)
     packed = F.array_sort(F.collect_list(F.struct("ord", F.col("ticket_id").cast("string").alias("id"))))
@@ -122,12 +123,13 @@ def mean_hash(pixels):
 
 def _distinct_images(threshold: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[int] = []
         rows = []
-        for k, h in zip(pdf.sort_values("ord")["ord"], pdf.sort_values("ord")["hash"], strict=True):
-            keep = all(int(np.int64(h ^ x).view(np.uint64)).bit_count() > threshold for x in kept)
+        ordered, found, n = pdf.sort_values("ord"), np.zeros(len(pdf), np.int64), 0
+        for k, h in zip(ordered["ord"], ordered["hash"].to_numpy(), strict=True):
+            keep = not n or bool((np.bitwise_count((found[:n] ^ h).view(np.uint64)) > threshold).all())
             if keep:
-                kept.append(h)
+                found[n] = h
+                n += 1
             rows.append((k, keep))
         return pd.DataFrame({"ticket_id": [pdf["ticket_id"].iloc[0]] * len(rows), "ord": [r[0] for r in rows], "kept": [r[1] for r in rows]})
 
@@ -137,25 +139,28 @@ def _distinct_images(threshold: int):
 def near_duplicate_images(images: DataFrame, mode: str = "ahash", threshold: int = 5) -> DataFrame:
     """images(ticket_id, ord, pixels array<int>) -> (ticket_id, ord, kept). ``exact`` keeps the first of
     equal images; ``ahash`` keeps an image that differs in more than threshold bits from every one
-    kept before in its ticket. A ticket's hashes (8 bytes an image) are judged in one task."""
+    kept before in its ticket. A ticket's distinct hashes (8 bytes each) are judged in one task."""
     if mode == "exact":
         first = first_wins(images.withColumn("digest", F.sha2(F.to_json("pixels"), 256)).select("ticket_id", "ord", "digest"), ["ticket_id", "digest"], ["ord"])
         return images.join(first.select("ticket_id", "ord", F.lit(True).alias("kept")), ["ticket_id", "ord"], "left").select("ticket_id", "ord", F.coalesce("kept", F.lit(False)).alias("kept"))
     ship(images.sparkSession)
-    hashed = images.select("ticket_id", F.col("ord").cast("long").alias("ord"), mean_hash(F.col("pixels")).alias("hash"))
+    hashed = written(images.select("ticket_id", F.col("ord").cast("long").alias("ord"), mean_hash(F.col("pixels")).alias("hash")), "image-hashes")
     kind = dict(hashed.dtypes)["ticket_id"]
-    return hashed.groupBy("ticket_id").applyInPandas(_distinct_images(threshold), f"ticket_id {kind}, ord long, kept boolean")
+    # only the first of equal hashes can be kept, so the others need no comparison
+    first = first_wins(hashed, ["ticket_id", "hash"], ["ord"])
+    judged = first.groupBy("ticket_id").applyInPandas(_distinct_images(threshold), f"ticket_id {kind}, ord long, kept boolean")
+    return hashed.select("ticket_id", "ord").join(judged, ["ticket_id", "ord"], "left").select("ticket_id", "ord", F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
-def embed_texts(texts: DataFrame, id_col: str = "ord", text_col: str = "text", features: int = 1 << 12) -> DataFrame:
-    """Local embeddings: hashed words, inverse document frequency, unit length."""
+def embed_texts(texts: DataFrame, id_col: str = "ord", text_col: str = "text", features: int = 1 << 9) -> DataFrame:
+    """Local embeddings: hashed words, inverse document frequency, unit length; ``features`` floats a row."""
     from pyspark.ml.feature import IDF, HashingTF, Normalizer
     from pyspark.ml.functions import vector_to_array
 
     words = texts.select(id_col, F.filter(F.split(F.lower(F.coalesce(text_col, F.lit(""))), r"\W+"), lambda w: w != "").alias("words"))
     counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(words)
     weighted = IDF(inputCol="tf", outputCol="idf").fit(counted).transform(counted)
-    return Normalizer(inputCol="idf", outputCol="v").transform(weighted).select(id_col, vector_to_array("v").alias("embedding"))
+    return Normalizer(inputCol="idf", outputCol="v").transform(weighted).select(id_col, vector_to_array("v", "float32").alias("embedding"))
 
 
 def embed_with(texts: DataFrame, fn, batch: int = 64, id_col: str = "ord", text_col: str = "text") -> DataFrame:

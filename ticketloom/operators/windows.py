@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ticketloom.functions.columns import first_wins, with_ordinal
+from ticketloom.session import bounded_batches, written
 
 __all__ = ["first_wins", "with_ordinal"]
 
 
-def limit_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    return df.orderBy(*order).limit(n)
-
-
 def limit_per_group(df: DataFrame, group: list[str], n: int, order: list) -> DataFrame:
     """The first n rows of each group; Spark limits groups before the shuffle as well."""
     w = Window.partitionBy(*group).orderBy(*order)
@@ -39,7 +38,8 @@ def group_samples(df: DataFrame, group: str, groups: int, n: int, order: str) ->
 
 
 def assign_batches(df: DataFrame, size: int, order: list[str]) -> DataFrame:
-    """Consecutive batches in order, with the file name of each."""
+    """Consecutive batches in order, with the file name of each; batches of one are named after their
+    ticket, if there are ticket_id and subject."""
     if size < 1:
         raise ValueError("batch size below 1")
     n = with_ordinal(df, order, "position", start=1)
@@ -47,50 +47,131 @@ def assign_batches(df: DataFrame, size: int, order: list[str]) -> DataFrame:
     total = n.agg(F.max("position").alias("_total"))
     ends = F.least(batch * size, F.col("_total"))
     named = n.withColumn("batch", batch).join(F.broadcast(total))
-    return named.withColumn("file_name", F.format_string("tickets_%04d-%04d_batch%03d.docx", (F.col("batch") - 1) * size + 1, ends, F.col("batch"))).drop("_total")
+    if size == 1 and {"ticket_id", "subject"} <= set(df.columns):
+        return named.withColumn("file_name", F.concat(F.lit("ticket_"), F.col("ticket_id").cast("string"), F.lit("_"), safe_subject(F.col("subject")), F.lit(".docx"))).drop("_total")
+    return named.withColumn("file_name", F.format_string("tickets_%04d-%04d_batch_%03d.docx", (F.col("batch") - 1) * size + 1, ends, F.col("batch"))).drop("_total")
+
+
+def safe_subject(c: Column) -> Column:
+    """A subject as part of a file name: reserved characters become "_", 50 characters at most."""
+    return F.substring(F.regexp_replace(F.coalesce(c, F.lit("")), r'[<>:"/\\|?*]', "_"), 1, 50)
+
+
+def safe_file_name(name: Column, doc_id: Column, ext: Column) -> Column:
+    """Letters, digits, blank, full stop, underscore and hyphen of a name; document_<id>.<ext> if nothing
+    is left."""
+    kept = F.btrim(F.regexp_replace(F.coalesce(name, F.lit("")), r"[^\p{L}\p{N} ._-]", ""))
+    spare = F.concat(F.lit("document_"), doc_id.cast("string"), F.lit("."), F.regexp_replace(F.coalesce(ext, F.lit("")), r"^\.", ""))
+    return F.when(kept == "", spare).otherwise(kept)
+
+
+def strip_prefix(c: Column, prefix: str) -> Column:
+    """If an id starts with the prefix, it loses every occurrence of it."""
+    return F.when(c.startswith(prefix), F.replace(c, F.lit(prefix), F.lit(""))).otherwise(c)
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds the rank of each row within its group, from 1. Groups are not gathered: ranks are differences
+    of global ordinals, so a group with a third of all rows is spread like any other."""
+    placed = with_ordinal(df, [*group, *order], "_place")
+    firsts = placed.groupBy(*group).agg(F.min("_place").alias("_first"))
+    return placed.join(firsts, group).withColumn(name, F.col("_place") - F.col("_first") + 1).drop("_place", "_first")
 
 
 def allocate_quota(df: DataFrame, group: str, index: str, tokens: str, per_chapter: int, per_document: int | None = None, tokens_per_question: int = 350) -> DataFrame:
     """Questions for each chapter: half-even tokens / 350 within [0, per_chapter]; above the cap
-    of the document scaled down by largest remainder, remainder ties to the larger index."""
+    of the document scaled down by largest remainder, remainder ties to the larger index. Sums are
+    aggregations with map-side combine, ranks come from ordinals; no document is gathered."""
     base = df.withColumn("base", F.greatest(F.lit(0), F.least(F.lit(per_chapter), F.bround(F.col(tokens) / tokens_per_question, 0).cast("long"))))
     if per_document is None:
         return base.withColumn("quota", F.col("base"))
-    whole = Window.partitionBy(group)
-    share = F.col("base") * F.lit(per_document) / F.nullif(F.col("_sum"), F.lit(0))
-    parts = base.withColumn("_sum", F.sum("base").over(whole)).withColumn("_share", share).withColumn("_floor", F.floor("_share"))
-    parts = parts.withColumn("_left", F.lit(per_document) - F.sum("_floor").over(whole)).withColumn("_frac", F.round(F.col("_share") - F.col("_floor"), 9))
-    rank = F.row_number().over(whole.orderBy(F.desc("_frac"), F.desc(index)))
-    scaled = F.col("_floor") + (F.col("_rank") <= F.col("_left")).cast("int")
-    out = parts.withColumn("_rank", rank).withColumn("quota", F.when(F.col("_sum") <= per_document, F.col("base")).otherwise(scaled).cast("long"))
-    return out.drop("_sum", "_share", "_floor", "_left", "_frac", "_rank")
+    base = written(base, "quota")
+    sums = base.groupBy(group).agg(F.sum("base").alias("_sum")).filter(F.col("_sum") > per_document)
+    within = base.join(sums.select(group), group, "left_anti").withColumn("quota", F.col("base").cast("long"))
+    share = F.col("base") * F.lit(per_document) / F.col("_sum")
+    over = base.join(sums, group).withColumn("_floor", F.floor(share)).withColumn("_neg", -F.round(share - F.col("_floor"), 9)).withColumn("_back", -F.col(index))
+    left = over.groupBy(group).agg((F.lit(per_document) - F.sum("_floor")).alias("_left"))
+    rows = ranked(over, [group], ["_neg", "_back"], "_rank").join(left, group)
+    scaled = rows.withColumn("quota", (F.col("_floor") + (F.col("_rank") <= F.col("_left")).cast("int")).cast("long"))
+    return within.unionByName(scaled.select(within.columns))
 
 
 def split_quota_over_chunks(df: DataFrame, n_col: str = "n", floor: int = 0) -> DataFrame:
     """chunks(doc, chunk, tokens, n) -> ``quota``: max(1, half-even share), then one up or down in turn
-    from the first chunk until the sum is n. The budget is at least floor * chunks."""
-    doc = Window.partitionBy("doc")
-    shares = df.withColumn("_share", F.greatest(F.lit(1), F.bround(F.col(n_col) * F.col("tokens") / F.sum("tokens").over(doc), 0).cast("long")))
-    shares = shares.withColumn("_k", F.count(F.lit(1)).over(doc)).withColumn("_n", F.greatest(F.col(n_col), floor * F.col("_k")))
-    shares = shares.withColumn("_missing", F.col("_n") - F.sum("_share").over(doc)).withColumn("_i", F.row_number().over(doc.orderBy("chunk")) - 1)
-    up = F.col("_share") + F.floor(F.col("_missing") / F.col("_k")) + (F.col("_i") < F.pmod(F.col("_missing"), F.col("_k"))).cast("int")
-
-    # going down stops at the floor: level by level, the first chunks of a level give first
-    over = F.greatest(F.lit(0), -F.col("_missing"))
-    levels = shares.withColumn("_over", over).withColumn("_levels", F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1), F.col("_share") - floor)))
-    units = levels.filter("_over > 0").withColumn("_level", F.explode("_levels")).filter(F.col("_level") <= F.col("_share") - floor)
-    order = Window.partitionBy("doc").orderBy("_level", "_i")
-    taken = units.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= F.col("_over")).groupBy("doc", "chunk").agg(F.count(F.lit(1)).alias("_taken"))
-    out = shares.join(taken, ["doc", "chunk"], "left")
-    quota = F.when(F.col("_missing") >= 0, up).otherwise(F.col("_share") - F.coalesce("_taken", F.lit(0)))
-    return out.withColumn("quota", quota.cast("long")).drop("_share", "_k", "_n", "_missing", "_i", "_taken")
-
-
-def number_collisions(df: DataFrame, name_col: str = "name", order: str = "ord") -> DataFrame:
-    """stem.ext, stem_1.ext, stem_2.ext ... for rows with one name, in order."""
-    k = F.row_number().over(Window.partitionBy(name_col).orderBy(order)) - 1
+    from the first chunk until the sum is n. The budget is at least floor * chunks. Going down, each turn
+    takes one from every chunk above the floor: the number of whole turns is found from the sizes of
+    levels, a count for each (document, share), not by walking over chunks."""
+    base = written(df, "chunks")
+    sums = base.groupBy("doc").agg(F.sum("tokens").alias("_tokens"), F.count(F.lit(1)).alias("_k"))
+    share = F.greatest(F.lit(1), F.bround(F.col(n_col) * F.col("tokens") / F.col("_tokens"), 0).cast("long"))
+    shares = written(ranked(base.join(sums, "doc").withColumn("_share", share), ["doc"], ["chunk"], "_i"), "shares")
+    budget = shares.groupBy("doc").agg((F.greatest(F.max(n_col), floor * F.max("_k")) - F.sum("_share")).alias("_missing"))
+    rows = shares.join(budget, "doc")
+    up = F.col("_share") + F.floor(F.col("_missing") / F.col("_k")) + (F.col("_i") <= F.pmod(F.col("_missing"), F.col("_k"))).cast("int")
+
+    # t turns take sum(least(share - floor, t)); the last full turn is the largest t that does not take too much
+    kinds = rows.filter("_missing < 0").groupBy("doc", (F.col("_share") - floor).alias("_high")).agg(F.count(F.lit(1)).alias("_n"), (-F.max("_missing")).alias("_over"))
+    packed = kinds.groupBy("doc").agg(F.max("_over").alias("_over"), F.array_sort(F.collect_list(F.struct("_high", "_n"))).alias("_levels"))
+    start = F.struct(F.lit(0).cast("long").alias("turns"), F.col("_over").alias("rest"), F.aggregate("_levels", F.lit(0).cast("long"), lambda acc, x: acc + x["_n"]).alias("open"))
+
+    def turn(acc: Column, x: Column) -> Column:
+        most = F.when(acc["open"] > 0, F.floor(acc["rest"] / acc["open"])).otherwise(0)
+        t = F.least(x["_high"] - acc["turns"], most)
+        on = F.when(t == x["_high"] - acc["turns"], acc["open"] - x["_n"]).otherwise(acc["open"])
+        return F.struct((acc["turns"] + t).cast("long").alias("turns"), (acc["rest"] - t * acc["open"]).cast("long").alias("rest"), on.cast("long").alias("open"))
+
+    done = packed.select("doc", F.aggregate("_levels", start, turn).alias("_t"))
+    down = rows.filter("_missing < 0").join(done, "doc")
+    still = down.filter(F.col("_share") - floor > F.col("_t.turns"))
+    extra = ranked(still.select("doc", "chunk", "_i"), ["doc"], ["_i"], "_turn").drop("_i")
+    lowered = down.join(extra, ["doc", "chunk"], "left")
+    taken = F.least(F.col("_share") - floor, F.col("_t.turns")) + F.coalesce((F.col("_turn") <= F.col("_t.rest")).cast("int"), F.lit(0))
+    out = rows.filter("_missing >= 0").withColumn("quota", up.cast("long")).select(*df.columns, "quota")
+    return out.unionByName(lowered.withColumn("quota", (F.col("_share") - taken).cast("long")).select(*df.columns, "quota"))
+
+
+def number_collisions(df: DataFrame, name_col: str = "name", order: str = "ord", folder: str | None = None) -> DataFrame:
+    """Adds ``final_name``: rows in order take their name if it is free in the folder, else the first free
+    one of stem_1.ext, stem_2.ext ... A null name stays null.
+
+    Names can only meet within a family: one folder, extension and stem without numbers at its end. Where
+    all rows of a family have one name, its numbers are ranks, counted without gathering the family in a
+    task; families with several names, which are as large as the numbers in use, go through one by one.
+    """
+    bounded_batches(df.sparkSession)
+    where = F.col(folder).cast("string") if folder else F.lit("")
     stem, ext = F.regexp_extract(name_col, r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(name_col, r"^(.*?)(\.[^.]*)?$", 2)
-    return df.withColumn("_k", k).withColumn("final_name", F.when(F.col("_k") == 0, F.col(name_col)).otherwise(F.concat(stem, F.lit("_"), F.col("_k").cast("string"), ext))).drop("_k")
+    named = df.withColumn("_family", F.struct(where.alias("folder"), F.regexp_replace(stem, r"(_\d+)+$", "").alias("stem"), ext.alias("ext")))
+    named = written(named.withColumn("_name", F.col(name_col).cast("string")), "names")
+    mixed = named.filter("_name is not null").groupBy("_family").agg(F.min("_name").alias("lo"), F.max("_name").alias("hi")).filter("lo != hi").select("_family", F.lit(True).alias("_mixed"))
+    marked = named.join(mixed, "_family", "left")
+    plain = ranked(marked.filter("_mixed is null"), ["_family"], [order], "_rank")
+    final = F.when(F.col("_rank") == 1, F.col("_name")).otherwise(F.concat(stem, F.lit("_"), (F.col("_rank") - 1).cast("string"), ext))
+    plain = plain.withColumn("final_name", final)
+
+    columns = df.columns
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by(order)
+        taken: set[str] = set()
+        tried: dict[str, int] = {}
+        out: list[str | None] = []
+        for name in group["_name"].to_pylist():
+            if name in taken:
+                head, dot, tail = name.rpartition(".")
+                head, tail = (head, dot + tail) if dot else (name, "")
+                i = tried.get(name, 0) + 1
+                while f"{head}_{i}{tail}" in taken:
+                    i += 1
+                tried[name] = i
+                name = f"{head}_{i}{tail}"
+            taken.add(name)
+            out.append(name)
+        return group.select(columns).append_column("final_name", pa.array(out, pa.string()))
+
+    rest = marked.filter("_mixed").select(*df.columns, "_name", "_family")
+    rest = rest.groupBy("_family").applyInArrow(run, StructType([*df.schema.fields, StructField("final_name", StringType())]))
+    return plain.select(*df.columns, "final_name").unionByName(rest)
 
 
 def keep_newest(df: DataFrame, n: int, order: list) -> DataFrame:

@@ -78,12 +78,14 @@ def conversation_tickets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A link table over pages: the next page of the same host, and page_id -> 2 * page_id. The next
-    page is found by an equi-join of neighbours' ranks within hashed slots of a host."""
-    from pyspark.sql import Window
+    """A link table over pages: the next page of the same host, and page_id -> 2 * page_id. The next page
+    has the next ordinal by (host, page_id), so no host is gathered."""
+    from ticketloom.functions.columns import with_ordinal
 
     p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host"))
-    nxt = p.select(F.col("page_id").alias("src"), F.lead("page_id").over(Window.partitionBy("host").orderBy("page_id")).alias("dst")).filter("dst is not null")
+    placed = with_ordinal(p, ["host", "page_id"], "place")
+    after = placed.select((F.col("place") - 1).alias("place"), "host", F.col("page_id").alias("dst"))
+    nxt = placed.join(after, ["place", "host"]).select(F.col("page_id").alias("src"), "dst")
     twice = p.select(F.col("page_id").alias("src"), (2 * F.col("page_id")).alias("dst"))
     known = p.select(F.col("page_id").alias("dst"))
     return nxt.unionByName(twice.join(known, "dst", "left_semi").select("src", "dst"))

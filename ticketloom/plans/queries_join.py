@@ -7,7 +7,7 @@ from pyspark.sql.functions import col
 
 from ticketloom.operators import joins, replies, reports, similarity
 from ticketloom.plans.common import Register, conversation_tickets, documents
-from ticketloom.session import table
+from ticketloom.session import table, written
 
 register = Register()
 QUERIES, ORACLE_SQL = register.queries, register.sql
@@ -46,8 +46,9 @@ def review_pairs(spark, d):
     return similarity.review_pairs(_pairs(spark, d), _vector_tickets(spark, d))
 
 
-def _clusters(spark, d):
-    return similarity.cluster_duplicates(_vector_tickets(spark, d), _pairs(spark, d).filter("kind = 'merge'"))
+def _clusters(spark, d, pairs=None):
+    pairs = _pairs(spark, d) if pairs is None else pairs
+    return similarity.cluster_duplicates(_vector_tickets(spark, d), pairs.filter("kind = 'merge'"))
 
 
 @register(
@@ -62,11 +63,23 @@ def clusters(spark, d):
     return found.select("cluster_id", "representative_index", F.array_join(F.transform("member_indices", lambda x: x.cast("string")), ",").alias("members"), "size").orderBy(F.desc("size"), "cluster_id")
 
 
-@register("canonical_tickets")
+@register(
+    "canonical_tickets",
+    f"""WITH RECURSIVE {_CLUSTERS}, m AS (SELECT node AS ord, dense_rank() OVER (ORDER BY root) - 1 AS cluster_id FROM roots),
+    x AS (SELECT *, max(ord % 7) OVER (PARTITION BY cluster_id) AS ms, max(ord % 5) OVER (PARTITION BY cluster_id) AS mp FROM m),
+    r AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY CASE WHEN ms > 0 THEN ord % 7 WHEN mp > 0 THEN ord % 5 ELSE length('Subject ' || ord) END DESC, ord) AS rn FROM x),
+    g AS (SELECT cluster_id, max(ord) FILTER (rn = 1) AS ord, count(*) AS size, list('T' || ord ORDER BY ord) AS names FROM r GROUP BY cluster_id)
+    SELECT cluster_id, ord, 'T' || ord AS ticket_id, '2024-01-' || lpad(CAST(ord % 28 + 1 AS VARCHAR), 2, '0') AS date, 'Subject ' || ord AS subject, repeat('x', ord % 5) AS problem, repeat('x', ord % 7) AS solution, array_to_string(list_filter(names, lambda n: n <> 'T' || ord), ',') AS duplicates, size FROM g""",
+)
 def canonical_tickets(spark, d):
     from ticketloom.operators.windows import canonical_order
 
-    return canonical_order(_clusters(spark, d)[1])
+    return canonical_order(_clusters(spark, d)[1].withColumn("duplicates", F.array_join("duplicates", ",")))
+
+
+@register("largest_clusters", f"WITH RECURSIVE {_CLUSTERS}, m AS (SELECT node AS ord, dense_rank() OVER (ORDER BY root) - 1 AS cluster_id FROM roots) SELECT cluster_id, count(*) AS size, string_agg('T' || ord, ',' ORDER BY ord) AS members FROM m GROUP BY 1 ORDER BY size DESC, cluster_id LIMIT 5")
+def largest_clusters(spark, d):
+    return reports.largest_clusters(_clusters(spark, d)[0]).select("cluster_id", "size", F.array_join("member_ticket_ids", ",").alias("members"))
 
 
 @register(
@@ -76,8 +89,9 @@ def canonical_tickets(spark, d):
     SELECT sum(size)::BIGINT AS input_rows, count(*) AS clusters, sum((size > 1)::BIGINT)::BIGINT AS clusters_of_several, max(size) AS largest, (SELECT count(*) FROM q WHERE rn = 1) AS review_pairs, count(*) AS canonical_rows, {MERGE}::DOUBLE AS merge_threshold, {REVIEW}::DOUBLE AS review_threshold FROM c""",
 )
 def dedupe_report(spark, d):
-    found, _ = _clusters(spark, d)
-    return reports.dedupe_report(found, similarity.review_pairs(_pairs(spark, d), _vector_tickets(spark, d)), MERGE, REVIEW)
+    pairs = written(_pairs(spark, d), "pairs")
+    found, _ = _clusters(spark, d, pairs)
+    return reports.dedupe_report(found, similarity.review_pairs(pairs, _vector_tickets(spark, d)), MERGE, REVIEW)
 
 
 _GRID = "g AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor((greatest(-1.0, least(1.0, x::DOUBLE)) + 1) * 127.5) AS BIGINT)) AS p FROM embeddings)"
@@ -85,7 +99,7 @@ _GRID = "g AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor((gr
 
 def _grids(spark, d):
     pixel = lambda x: F.floor((F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x.cast("double"))) + 1) * 127.5).cast("int")
-    return table(spark, d, "embeddings").select((col("vec_id") % 25).alias("ticket_id"), col("vec_id").alias("ord"), F.transform("embedding", pixel).alias("pixels"))
+    return table(spark, d, "embeddings").select(F.floor(col("vec_id") / 25).alias("ticket_id"), col("vec_id").alias("ord"), F.transform("embedding", pixel).alias("pixels"))
 
 
 @register("mean_hash", f"WITH {_GRID}, b AS (SELECT vec_id, list_sum(p) / 64.0 AS m, p FROM g) SELECT vec_id AS ord, list_aggregate(list_transform(range(1, 65), lambda k: CASE WHEN p[k] >= m THEN 1 ELSE 0 END), 'sum')::BIGINT AS bits FROM b")
@@ -129,12 +143,12 @@ def landed_pages(spark, d):
     return joins.union_landed_pages(pages, 5)
 
 
-@register("merge_fields", "SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN r_name ELSE n_name END AS title, CASE WHEN n_nationkey % 4 = 0 THEN r_name WHEN n_nationkey % 4 = 1 THEN '' ELSE n_name END AS tags FROM nation JOIN region ON n_regionkey = r_regionkey")
+@register("merge_fields", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN n_name ELSE c_name END AS title, CASE WHEN c_custkey % 4 = 0 THEN n_name WHEN c_custkey % 4 = 1 THEN '' ELSE c_name END AS tags FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def merge_fields(spark, d):
-    n, r, k = table(spark, d, "nation"), table(spark, d, "region"), col("n_nationkey")
-    detail = n.select("n_nationkey", F.when(k % 3 == 0, "").otherwise(col("n_name")).alias("title"), F.when(k % 4 == 0, None).when(k % 4 == 1, "").otherwise(col("n_name")).alias("tags"))
-    overview = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", col("r_name").alias("title"), col("r_name").alias("tags"))
-    return joins.merge_article_fields(detail, overview, "n_nationkey", ["title"], ["tags"])
+    c, n, k = table(spark, d, "customer"), table(spark, d, "nation"), col("c_custkey")
+    detail = c.select("c_custkey", F.when(k % 3 == 0, "").otherwise(col("c_name")).alias("title"), F.when(k % 4 == 0, None).when(k % 4 == 1, "").otherwise(col("c_name")).alias("tags"))
+    overview = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", col("n_name").alias("title"), col("n_name").alias("tags"))
+    return joins.merge_article_fields(detail, overview, "c_custkey", ["title"], ["tags"])
 
 
 @register("union_first_wins", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'overview' ELSE 'category' END AS origin FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
@@ -156,6 +170,31 @@ def refresh_values(spark, d):
     return joins.refresh_values(rows, fresh, "o_orderkey", "urls", "at").select("o_orderkey", "updated", F.array_join("urls", ",").alias("url"))
 
 
+_REFRESH = """f AS (SELECT l_orderkey, arg_max([l_linenumber, l_partkey], l_linenumber::BIGINT * 1000000000 + l_partkey) AS v FROM lineitem GROUP BY 1),
+    r AS (SELECT o_orderkey, o_orderkey % 2 = 0 AS prefixed, CASE WHEN v[1] % 4 = 0 THEN 'https://t/rest/api/3/attachment/content/' || v[2] WHEN v[1] % 4 = 1 THEN 'https://h/file/get/' || v[2] || '.png' END AS fresh FROM orders LEFT JOIN f ON l_orderkey = o_orderkey)"""
+
+
+def _refreshed(spark, d):
+    key, part = col("l_orderkey").cast("string"), col("l_partkey").cast("string")
+    line = table(spark, d, "lineitem")
+    url = F.when(col("l_linenumber") % 4 == 0, F.concat(F.lit("https://t/rest/api/3/attachment/content/"), part)).when(col("l_linenumber") % 4 == 1, F.concat(F.lit("https://h/file/get/"), part, F.lit(".png"))).otherwise(F.concat(F.lit("https://h/x.png?"), part))
+    files = F.array(F.struct(F.lit("").alias("FileName"), url.alias("Url"), F.lit(0).cast("long").alias("Size")), F.struct(F.lit("a.pdf").alias("FileName"), url.alias("Url"), F.lit(0).cast("long").alias("Size")))
+    raw = line.select((col("l_linenumber") * F.lit(1_000_000_000).cast("long") + col("l_partkey")).alias("ord"), key.alias("ticket_id"), files.alias("Attachments"))
+    own = col("o_orderkey").cast("string")
+    summaries = table(spark, d, "orders").select("o_orderkey", F.when(col("o_orderkey") % 2 == 0, F.concat(F.lit("HD_"), own)).otherwise(own).alias("ticket_id"), F.array(F.lit("old")).alias("image_urls"))
+    return joins.refresh_image_urls(summaries, raw, "HD_")
+
+
+@register("refresh_image_urls", f"WITH {_REFRESH} SELECT CAST(o_orderkey AS VARCHAR) AS ticket_id, prefixed AS prefix_removed, fresh IS NOT NULL AS updated, coalesce(fresh, 'old') AS image_urls FROM r")
+def refresh_image_urls(spark, d):
+    return _refreshed(spark, d).select("ticket_id", "prefix_removed", "updated", F.array_join("image_urls", ",").alias("image_urls"))
+
+
+@register("refresh_counts", f"WITH {_REFRESH} SELECT count(fresh) AS updated, count(fresh) AS images, sum(prefixed::BIGINT)::BIGINT AS prefixes FROM r")
+def refresh_counts(spark, d):
+    return joins.refresh_counts(_refreshed(spark, d))
+
+
 @register(
     "drop_existing",
     """WITH s AS (SELECT p_partkey AS ord, p_brand AS dir, p_name AS stem, '.pdf' AS ext FROM part), t AS (SELECT p_brand AS dir, '.pdf' AS ext, p_name || '_1' AS name, -1 AS at FROM part WHERE p_partkey % 40 = 0 UNION ALL SELECT dir, ext, stem, ord FROM s)
@@ -211,3 +250,11 @@ def build_prompts(spark, d):
     whole = joins.assemble_tickets(*conversation_tickets(spark, d))
     whole = whole.withColumns({"issue_date": F.lit("2024-01-01"), "category": F.lit("support"), "url": F.concat(F.lit("https://t/"), "ticket_id")})
     return replies.build_prompts(whole).select("ticket_id", "prompt")
+
+
+@register("append_info", """SELECT count(*) FILTER (turn = 0) AS total_closed_tickets, 7 + count(*) FILTER (turn > 0 AND conv_id % 3 = 0) AS total_comments, 1 + count(*) FILTER (turn = 0 AND conv_id % 6 = 0) AS total_ticket_attachments, 2::BIGINT AS total_comment_attachments, 'resolved | project X' AS filter_criteria FROM conversations""")
+def append_info(spark, d):
+    whole = joins.assemble_tickets(*conversation_tickets(spark, d))
+    old = whole.filter("CAST(ticket_id AS BIGINT) % 3 <> 0")
+    info = spark.createDataFrame([(0, 7, 1, 2, "resolved")], "total_closed_tickets long, total_comments long, total_ticket_attachments long, total_comment_attachments long, filter_criteria string")
+    return joins.append_info(info, old, whole, "ticket_id", "project X")

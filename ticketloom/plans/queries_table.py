@@ -67,6 +67,28 @@ def rejection_report(spark, d):
     return reports.rejection_report(filters.route_rejections(ticket_rows(spark, d), "closed", ["en", "de"])[1])
 
 
+@register("error_samples", f"WITH {TICKET_ROWS} SELECT ticket_id, load_error FROM marked WHERE reason = 'http' ORDER BY ord LIMIT 3")
+def error_samples(spark, d):
+    return reports.error_samples(filters.route_rejections(ticket_rows(spark, d), "closed", ["en", "de"])[1])
+
+
+@register("download_log", f"WITH {_KINDS} SELECT doc_id, CASE WHEN NOT kept THEN 'skipped_other' WHEN doc_id % 5 = 0 THEN 'skipped_existing' WHEN doc_id % 11 = 0 THEN 'failed' ELSE 'downloaded' END AS outcome FROM f")
+def download_log(spark, d):
+    rows = _crm(spark, d).withColumn("exists_already", F.col("doc_id") % 5 == 0).withColumn("failed", F.col("doc_id") % 11 == 0)
+    return reports.download_log(rows).select("doc_id", "outcome")
+
+
+@register(
+    "tail_log",
+    r"""WITH l AS (SELECT doc_id AS run_id, unnest(string_split(text || chr(10) || 'token=' || doc_id, chr(10))) AS line, generate_subscripts(string_split(text || chr(10) || 'token=' || doc_id, chr(10)), 1) - 1 AS line_no FROM documents),
+    r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY line_no DESC) AS k FROM l WHERE line_no >= 2)
+    SELECT run_id, CAST(line_no AS INT) AS line_no, CASE WHEN starts_with(line, 'token=') THEN 'token=[REDACTED]' ELSE line END AS line FROM r WHERE k <= 10""",
+)
+def tail_log(spark, d):
+    lines = documents(spark, d).select(F.col("doc_id").alias("run_id"), F.posexplode(F.split(F.concat("text", F.lit("\ntoken="), F.col("doc_id").cast("string")), "\n")).alias("line_no", "line"))
+    return reports.tail_log(lines, 2, 10)
+
+
 @register("scope_first", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 25")
 def scope_first(spark, d):
     return filters.select_scope(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "first", 25, id_col="o_orderkey")
@@ -139,20 +161,17 @@ def repair_link(spark, d):
 
 @register("strip_prefix", "SELECT c_custkey, CASE WHEN starts_with(c_name, 'Cust') THEN replace(c_name, 'Cust', '') ELSE c_name END AS id FROM customer")
 def strip_prefix(spark, d):
-    name = F.col("c_name")
-    return table(spark, d, "customer").select("c_custkey", F.when(name.startswith("Cust"), F.replace(name, F.lit("Cust"), F.lit(""))).otherwise(name).alias("id"))
+    return table(spark, d, "customer").select("c_custkey", windows.strip_prefix(F.col("c_name"), "Cust").alias("id"))
 
 
 @register("safe_names", r"""SELECT p_partkey, CASE WHEN trim(regexp_replace(p_name || '/a:' || p_partkey, '[^\p{L}\p{N} ._-]', '', 'g')) = '' THEN 'document_' || p_partkey || '.bin' ELSE trim(regexp_replace(p_name || '/a:' || p_partkey, '[^\p{L}\p{N} ._-]', '', 'g')) END AS file_name,
     substr(regexp_replace(p_name || '/a:' || p_partkey, '[<>:"/\\|?*]', '_', 'g'), 1, 50) AS ticket_file FROM part""")
 def safe_names(spark, d):
     raw = F.concat("p_name", F.lit("/a:"), F.col("p_partkey").cast("string"))
-    clean = F.btrim(F.regexp_replace(raw, r"[^\p{L}\p{N} ._-]", ""))
-    named = F.when(clean == "", F.concat(F.lit("document_"), F.col("p_partkey").cast("string"), F.lit(".bin"))).otherwise(clean)
-    return table(spark, d, "part").select("p_partkey", named.alias("file_name"), F.substring(F.regexp_replace(raw, r'[<>:"/\\|?*]', "_"), 1, 50).alias("ticket_file"))
+    return table(spark, d, "part").select("p_partkey", windows.safe_file_name(raw, F.col("p_partkey"), F.lit("bin")).alias("file_name"), windows.safe_subject(raw).alias("ticket_file"))
 
 
-@register("assign_batches", "WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS position, count(*) OVER () AS n FROM documents) SELECT doc_id, position, (position - 1) // 50 + 1 AS batch, format('tickets_{:04d}-{:04d}_batch{:03d}.docx', (position - 1) // 50 * 50 + 1, least(((position - 1) // 50 + 1) * 50, n), (position - 1) // 50 + 1) AS file_name FROM r")
+@register("assign_batches", "WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS position, count(*) OVER () AS n FROM documents) SELECT doc_id, position, (position - 1) // 50 + 1 AS batch, format('tickets_{:04d}-{:04d}_batch_{:03d}.docx', (position - 1) // 50 * 50 + 1, least(((position - 1) // 50 + 1) * 50, n), (position - 1) // 50 + 1) AS file_name FROM r")
 def assign_batches(spark, d):
     return windows.assign_batches(documents(spark, d).select("doc_id"), 50, ["doc_id"]).select("doc_id", "position", "batch", "file_name")
 
@@ -187,6 +206,23 @@ def number_collisions(spark, d):
     return windows.number_collisions(rows, "name", "p_partkey").select("p_partkey", "final_name")
 
 
+@register(
+    "split_quota",
+    """WITH RECURSIVE c AS (SELECT l_orderkey AS doc, l_linenumber AS chunk, CAST(l_quantity AS BIGINT) AS tokens, CASE WHEN l_orderkey % 2 = 0 THEN 3 ELSE 17 END AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS k FROM lineitem) WHERE k = 1),
+    s AS (SELECT *, greatest(1, CAST(round_even(n * tokens / CAST(sum(tokens) OVER (PARTITION BY doc) AS DOUBLE), 0) AS BIGINT)) AS share, row_number() OVER (PARTITION BY doc ORDER BY chunk) - 1 AS i, count(*) OVER (PARTITION BY doc) AS k FROM c),
+    g AS (SELECT doc, list(share ORDER BY i) AS shares, max(n) - sum(share) AS missing, max(k) AS k FROM s GROUP BY doc),
+    w(doc, shares, missing, k, i) AS (SELECT doc, shares, missing, k, 0 FROM g
+      UNION ALL SELECT doc, CASE WHEN missing > 0 THEN list_transform(shares, lambda x, j: CASE WHEN j - 1 = i THEN x + 1 ELSE x END) WHEN shares[i + 1] > 0 THEN list_transform(shares, lambda x, j: CASE WHEN j - 1 = i THEN x - 1 ELSE x END) ELSE shares END,
+        CASE WHEN missing > 0 THEN missing - 1 WHEN shares[i + 1] > 0 THEN missing + 1 ELSE missing END, k, CAST((i + 1) % k AS INT) FROM w WHERE missing <> 0),
+    f AS (SELECT doc, shares FROM w WHERE missing = 0)
+    SELECT s.doc, s.chunk, f.shares[s.i + 1] AS quota FROM s JOIN f USING (doc)""",
+)
+def split_quota(spark, d):
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("chunk")).agg(F.min_by(F.col("l_quantity").cast("long"), F.struct("l_partkey", "l_suppkey")).alias("tokens"))
+    rows = rows.withColumn("n", F.when(F.col("doc") % 2 == 0, 3).otherwise(17).cast("long"))
+    return windows.split_quota_over_chunks(rows).select("doc", "chunk", "quota")
+
+
 @register("keep_newest", "SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 50")
 def keep_newest(spark, d):
     return windows.keep_newest(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), 50, [F.desc("o_orderdate"), F.col("o_orderkey")]).select("o_orderkey")

@@ -14,19 +14,17 @@ register = Register()
 QUERIES, ORACLE_SQL = register.queries, register.sql
 
 
-def _entities(c: str) -> str:
-    for name, char in tx.ENTITIES:
-        c = f"replace({c}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
-    return c
+def _trim(c: str) -> str:
+    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 
 
-def _trim(c: str, chars: str = " \t\r\n") -> str:
-    spelled = "||".join(f"chr({ord(x)})" for x in chars)
-    return f"trim({c}, {spelled})"
+def _entities(c: str) -> str:
+    """What the pages hold of character references, the ampersand last."""
+    return f"regexp_replace(replace(replace(replace({c}, '&middot;', '·'), '&copy;', '©'), '&quot;', chr(34)), '&amp;?', '&', 'g')"
 
 
-_BREAKS = _entities(replaced(replaced(replaced("replace(html, '<!--html-->', '')", [(r"(?i)<br\s*/?>", "\n")]), [(r"(?i)</?(div|p)[^>]*>", "\n")]), [(r"<[^>]+>", "")]))
-_BREAKS = _trim(replaced(_BREAKS, [(" +", " "), (r"\n\s*\n\s*\n+", "\n\n")]))
+_BREAKS = _entities(replaced("replace(html, '<!--html-->', '')", [(r"(?i)<br\s*/?>|</?(?:div|p)[^>]*>", "\n"), (r"<[^>]+>", "")]))
+_BREAKS = _trim(replaced(_BREAKS, [(" {2,}", " "), (r"\n\s*\n\s*\n+", "\n\n")]))
 _INLINE = _trim(replaced(_entities(replaced("html", [(r"(?i)<br\s*/?>", "\n"), (r"<[^>]+>", "")])), [(r"\n{3,}", "\n\n")]))
 
 
@@ -40,49 +38,62 @@ def strip_html(spark, d):
     return table(spark, d, "pages").select("page_id", tx.clean_html(col("html"), "inline").alias("body"))
 
 
-_BB = "'[b]' || substr(text, 1, 40) || '[/b] [url=https://e.com/a]link[/url]' || chr(13) || chr(10) || '[list][*] one [*]two[/list][img]/x.png[/img]' || chr(10) || substr(text, 41)"
-_BB_RULES = [(r"(?is)\[b\](.*?)\[/b\]", r"**\1**"), (r"(?is)\[i\](.*?)\[/i\]", r"*\1*"), (r"(?is)\[u\](.*?)\[/u\]", r"<u>\1</u>"), (r"(?is)\[code\](.*?)\[/code\]", "```\n\\1\n```"), (r"(?is)\[img\]\s*(.*?)\s*\[/img\]", r"![](\1)"), (r"(?is)\[url\]\s*(.*?)\s*\[/url\]", r"[\1](\1)"), (r"(?is)\[url=([^\]]+)\](.*?)\[/url\]", r"[\2](\1)"), (r"(?i)\[\*\]\s*", "- "), (r"(?i)\[/?(list|ul|ol|li)[^\]]*\]", ""), (r"(?i)<br\s*/?>", "\n"), (r"(?s)<!--.*?-->", ""), (r"\n{3,}", "\n\n")]
+# the documents hold no square bracket, so what the planted tags become can be spelled out
+_QUOTE = r"array_to_string(list_transform(string_split(regexp_replace(substr(text, 41, 200), '^\n+|\n+$', '', 'g'), chr(10)), lambda x: CASE WHEN regexp_matches(x, '^\s*$') THEN '>' ELSE '> ' || x END), chr(10))"
+_BB = rf"""'**' || substr(text, 1, 40) || '** [li\)n\]k](https://e.com/a) <https://kb.example.com/rel>' || chr(10) || '- one - two![](https://kb.example.com/x.png)' || chr(10) || chr(10) || {_QUOTE} || chr(10) || '_it_<u>un</u>[b]open' || chr(10) || '```' || chr(10) || 'code' || chr(10) || '```' || chr(10) || substr(text, 241)"""
 
 
-@register("bbcode", f"SELECT doc_id, {_trim(replaced(f'replace(replace({_BB}, chr(13) || chr(10), chr(10)), chr(13), chr(10))', _BB_RULES), ' ' + chr(9) + chr(10))} AS body FROM documents")
+@register("bbcode", f"SELECT doc_id, {_trim(replaced(_BB, [(r'(?i)<br' + chr(92) + r's*/?>', chr(10)), (r'(?s)<!--.*?-->', ''), (chr(92) + 'n' + chr(92) + 's*' + chr(92) + 'n' + chr(92) + 's*' + chr(92) + 'n+', chr(10) * 2)]))} AS body FROM documents")
 def bbcode(spark, d):
-    raw = F.concat(F.lit("[b]"), F.substring("text", 1, 40), F.lit("[/b] [url=https://e.com/a]link[/url]\r\n[list][*] one [*]two[/list][img]/x.png[/img]\n"), F.expr("substring(text, 41)"))
-    return documents(spark, d).select("doc_id", tx.bbcode_to_markdown(raw).alias("body"))
+    raw = F.concat(
+        F.lit("[b]"), F.substring("text", 1, 40), F.lit("[/b] [URL=https://e.com/a] li)n]k [/url] [url] /rel [/url]\r\n[list][*] one [*]two[/list][img]/x.png[/img]\n[quote]"),
+        F.substring("text", 41, 200), F.lit("[/quote][i]it[/I][u]un[/u][b]open[code]\ncode\n[/code]"), F.expr("substring(text, 241)"),
+    )
+    return documents(spark, d).select("doc_id", tx.bbcode_to_markdown(raw, "https://kb.example.com").alias("body"))
 
 
-_MD_RULES = [(r"(?s)```[^\n]*\n(.*?)```", r"\1"), (r"(?m)^> ?", ""), (r"!\[[^\]]*\]\(([^)]+)\)", r"\1"), (r"\[([^\]]+)\]\(([^)]+)\)", r"\1 (\2)"), (r"(?i)</?u>", ""), (r"(?m)^#{1,6} +", ""), (r"\*\*(.+?)\*\*", r"\1"), (r"__(.+?)__", r"\1"), (r"\*([^*\n]+)\*", r"\1"), (r"(?m)^[-*] +", "- "), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n")]
-_MD = "'# Title' || chr(10) || '> quoted **bold** and [a](https://e.com)' || chr(10) || '* item  ' || chr(10) || replace(replace(text, '*', ''), '_', '')"
+_MD_RULES = [(r"(?s)```\s*(.*?)\s*```", "\n\\1\n"), (r"(?m)^[ \t]*> ?", ""), (r"!\[[^\]]*\]\(([^)]+)\)", r"\1"), (r"\[([^\]]+)\]\(([^)]+)\)", r"\1 (\2)"), (r"(?i)</?u>", ""), (r"(?m)^\s{0,3}#{1,6}\s*", ""), (r"\*\*(.*?)\*\*", r"\1"), (r"__(.*?)__", r"\1"), (r"_(.*?)_", r"\1"), (r"\*(.*?)\*", r"\1"), (r"(?m)^-\s+", "- "), (r"[ \t]+", " "), (r"\n\s*\n\s*\n+", "\n\n")]
+_MD = "'# Title' || chr(10) || '> quoted **bold** _x_ and [a](https://e.com) ![i](https://e.com/i.png)' || chr(10) || '-   item  * one' || chr(10) || '```sql' || chr(10) || 'select 1' || chr(10) || '```' || text || '__end__ ** _'"
 
 
-@register("md_to_text", f"SELECT doc_id, {_trim(replaced(_MD, _MD_RULES), ' ' + chr(9) + chr(10))} AS body FROM documents")
+@register("md_to_text", f"SELECT doc_id, {_trim(replaced(_MD, _MD_RULES))} AS body FROM documents")
 def md_to_text(spark, d):
-    raw = F.concat(F.lit("# Title\n> quoted **bold** and [a](https://e.com)\n* item  \n"), F.replace(F.replace("text", F.lit("*"), F.lit("")), F.lit("_"), F.lit("")))
+    raw = F.concat(F.lit("# Title\n> quoted **bold** _x_ and [a](https://e.com) ![i](https://e.com/i.png)\n-   item  * one\n```sql\nselect 1\n```"), col("text"), F.lit("__end__ ** _"))
     return documents(spark, d).select("doc_id", tx.markdown_to_text(raw).alias("body"))
 
 
-_SIM = [(r"https?://\S+", " "), (r"file/get/\d+", " "), (r"\bnn\d+\b", " "), (r"\bpers?n?r?\s*[:#-]?\s*\d+\b", " "), (r"\bper\.\s*\d+\b", " "), (r"[\s\x0B]+", " ")]
+_SIM = [(r"https?://\S+", " "), (r"\bfile/get/[0-9]+\b", " "), (r"\bnn[0-9]+\b", " "), (r"\bpers?nr?\s*[:#-]?\s*[0-9]+\b", " "), (r"\bper\.[0-9]+\b", " "), (r"[\s\x0B]+", " ")]
+_SIM_TEXT = "lower(substr(text, 1, 40) || ' . ' || substr(text, 41) || ' . ' || ' see https://h.example/' || doc_id || ' persnr: ' || doc_id || ' pern#' || doc_id || ' 5 per 10 users per.' || doc_id || ' nn' || doc_id || ' ' || source)"
 
 
-@register("similarity_text", f"SELECT doc_id, trim({replaced('lower(substr(text, 1, 40) || chr(32) || chr(46) || chr(32) || substr(text, 41, 200) || chr(32) || chr(46) || chr(32) || chr(32) || doc_id || chr(32) || source)'.replace('doc_id ||', 'format(' + repr('see https://h.example/{} persnr: {} nn{}') + ', doc_id, doc_id, doc_id) ||'), _SIM)}) AS body FROM documents")
+@register("similarity_text", f"SELECT doc_id, trim({replaced(_SIM_TEXT, _SIM)}) AS body FROM documents")
 def similarity_text(spark, d):
     i = col("doc_id").cast("string")
-    solution = F.concat(F.lit(" see https://h.example/"), i, F.lit(" persnr: "), i, F.lit(" nn"), i, F.lit(" "), col("source"))
-    return documents(spark, d).select("doc_id", tx.similarity_text(F.substring("text", 1, 40), F.substring("text", 41, 200), solution).alias("body"))
+    solution = F.concat(F.lit(" see https://h.example/"), i, F.lit(" persnr: "), i, F.lit(" pern#"), i, F.lit(" 5 per 10 users per."), i, F.lit(" nn"), i, F.lit(" "), col("source"))
+    return documents(spark, d).select("doc_id", tx.similarity_text(F.substring("text", 1, 40), F.expr("substring(text, 41)"), solution).alias("body"))
 
 
-@register("strip_controls", f"SELECT doc_id, {replaced(f'replace(translate(text || chr(8220) || chr(7) || chr(8230) || chr(8211), {chr(39)}‘’‚“”„‑–—  {chr(39)}, {chr(39) * 2}{chr(39) * 2}{chr(39) * 2}{chr(39) * 2}' + chr(34) * 3 + f'---  {chr(39)}), chr(8230), {chr(39)}...{chr(39)})', [('[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '')])} AS body FROM documents".replace("''''''''", "'''''''"))
+@register("strip_controls", r"SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g') || chr(34) || '...-fi ' || chr(127) AS body FROM documents")
 def strip_controls(spark, d):
-    return documents(spark, d).select("doc_id", tx.normalise_unicode(F.concat("text", F.lit("“\x07…–"))).alias("body"))
+    return documents(spark, d).select("doc_id", tx.normalise_unicode(F.concat("text", F.lit("“\x07…–ﬁ \x7f"))).alias("body"))
+
+
+_LOG = "text || chr(10) || 'token=' || doc_id || '&x password: p' || doc_id || ' authorization: bearer abc.' || doc_id || ' Authorization:Basic x basic knowledge of the bearer of news'"
 
 
-@register("redact_secrets", f"SELECT doc_id, {replaced('text || chr(10) || format(' + repr('token={} password: p{} Authorization: Bearer abc.{}') + ', doc_id, doc_id, doc_id)', [(p, to.replace('$1', chr(92) + '1')) for p, to in tx.SECRET_RULES])} AS body FROM documents")
+def _redacted(c: str) -> str:
+    c = replaced(c, [(r"(?i)authorization:\s*bearer\s+\S+", "Authorization: Bearer [REDACTED]"), (r"(?i)authorization:\s*basic\s+\S+", "Authorization: Basic [REDACTED]")])
+    return replaced(c, [(rf"(?i){word}[=:]\s*[^\s&]+", f"{word}=[REDACTED]") for word in ("token", "key", "password", "secret")])
+
+
+@register("redact_secrets", f"SELECT doc_id, {_redacted(_LOG)} AS body FROM documents")
 def redact_secrets(spark, d):
     i = col("doc_id").cast("string")
-    raw = F.concat(col("text"), F.lit("\ntoken="), i, F.lit(" password: p"), i, F.lit(" Authorization: Bearer abc."), i)
+    raw = F.concat(col("text"), F.lit("\ntoken="), i, F.lit("&x password: p"), i, F.lit(" authorization: bearer abc."), i, F.lit(" Authorization:Basic x basic knowledge of the bearer of news"))
     return documents(spark, d).select("doc_id", tx.redact(raw).alias("body"))
 
 
-_LINKS = r"""l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)(?:href|src)\s*=\s*["'']([^"'']+)["'']', 1)) AS h, generate_subscripts(regexp_extract_all(html, '(?i)(?:href|src)\s*=\s*["'']([^"'']+)["'']', 1), 1) AS k FROM pages),
+_LINKS = r"""l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)(?:href|src)=["'']([^"'']+)["'']', 1)) AS h, generate_subscripts(regexp_extract_all(html, '(?i)(?:href|src)=["'']([^"'']+)["'']', 1), 1) AS k FROM pages),
 n AS (SELECT page_id, k, CASE WHEN regexp_matches(lower(trim(h)), '^https?://') THEN trim(h) ELSE 'https://base.example.com/' || regexp_replace(trim(h), '^/+', '') END AS url FROM l),
 u AS (SELECT page_id, url, min(k) AS k FROM n GROUP BY 1, 2)"""
 
@@ -92,23 +103,20 @@ def normalise_urls(spark, d):
     return tx.all_links(table(spark, d, "pages"), "page_id", "html", "https://base.example.com/").select("page_id", "ord", col("Url").alias("url"))
 
 
-_ATTACH = r"""a AS (SELECT page_id, url || CASE page_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '?download=1' ELSE '' END AS url FROM u WHERE k <= 4)"""
+_IS_ATTACHMENT = r"""(regexp_matches(lower(regexp_replace(url, '[?#].*$', '')), '\.(png|jpe?g|gif|bmp|webp|svg|pdf|docx?|xlsx?|pptx?|zip|7z|rar|txt|log|csv)$')
+    OR regexp_matches(regexp_replace(lower(regexp_replace(url, '#.*$', '')), '^https?://[^/?]*', ''), 'attach|download|file|upload|image|img'))"""
+_ATTACH = """a AS (SELECT page_id, url || CASE page_id % 4 WHEN 0 THEN '.webp' WHEN 1 THEN '?download=1' WHEN 2 THEN '.msg' ELSE '' END AS url FROM u)"""
 
 
-@register("attachment_links", f"""WITH {_LINKS}, {_ATTACH} SELECT page_id, url FROM a WHERE regexp_matches(lower(regexp_replace(url, '[?#].*$', '')), '\\.({'|'.join(filters.ATTACHMENT_ENDINGS)})$')
-    OR regexp_matches(regexp_replace(lower(regexp_replace(url, '#.*$', '')), '^https?://[^/?]*', ''), '{'|'.join(filters.ATTACHMENT_WORDS)}')""")
+@register("attachment_links", f"WITH {_LINKS}, {_ATTACH} SELECT page_id, url FROM a WHERE {_IS_ATTACHMENT}")
 def attachment_links(spark, d):
     links = tx.all_links(table(spark, d, "pages"), "page_id", "html", "https://base.example.com/")
-    firsts = table(spark, d, "pages").select("page_id", F.slice(F.regexp_extract_all("html", F.lit(r"(?i)(?:href|src)\s*=\s*[\"']([^\"']+)[\"']"), F.lit(1)), 1, 4).alias("h"))
-    known = firsts.select("page_id", F.explode(F.array_distinct(F.transform("h", lambda h: tx.normalise_url(h, "https://base.example.com/")))).alias("Url"))
-    tail = F.when(col("page_id") % 3 == 0, ".pdf").when(col("page_id") % 3 == 1, "?download=1").otherwise("")
-    rows = links.join(known, ["page_id", "Url"], "left_semi").select("page_id", F.concat("Url", tail).alias("url"))
-    return rows.filter(filters.is_attachment_link(col("url")))
+    tail = F.when(col("page_id") % 4 == 0, ".webp").when(col("page_id") % 4 == 1, "?download=1").when(col("page_id") % 4 == 2, ".msg").otherwise("")
+    return links.select("page_id", F.concat("Url", tail).alias("url")).filter(filters.is_attachment_link(col("url")))
 
 
 @register("extract_links", f"""WITH {_LINKS}, x AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INT) AS ord, url FROM (SELECT page_id, url, k FROM u UNION ALL SELECT page_id, 'https://base.example.com/file/get/' || page_id || '.png', 1000000 FROM pages))
-    SELECT page_id, ord, split_part(url, '/', -1) AS "FileName", url AS "Url", 0::BIGINT AS "Size" FROM x WHERE regexp_matches(lower(regexp_replace(url, '[?#].*$', '')), '\\.({'|'.join(filters.ATTACHMENT_ENDINGS)})$')
-    OR regexp_matches(regexp_replace(lower(regexp_replace(url, '#.*$', '')), '^https?://[^/?]*', ''), '{'|'.join(filters.ATTACHMENT_WORDS)}')""")
+    SELECT page_id, ord, split_part(regexp_replace(url, '[?#].*$', ''), '/', -1) AS "FileName", url AS "Url", 0::BIGINT AS "Size" FROM x WHERE {_IS_ATTACHMENT}""")
 def extract_links(spark, d):
     rows = table(spark, d, "pages").select("page_id", F.concat("html", F.lit('<img src="/file/get/'), col("page_id").cast("string"), F.lit('.png">')).alias("html"))
     return tx.extract_links(rows, "page_id", "html", "https://base.example.com/")
@@ -122,17 +130,15 @@ def file_ids(spark, d):
     return table(spark, d, "pages").select("page_id", tx.file_id_of(url).alias("file_id"))
 
 
-_IMG = "|".join(filters.IMAGE_ENDINGS)
-_OTH = "|".join(filters.OTHER_ENDINGS)
-
-
-@register("image_links", f"""WITH u AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN url || '/a.PNG' WHEN 1 THEN url || '/file/get/7' WHEN 2 THEN 'https://t/rest/api/3/attachment/content/5' WHEN 3 THEN url || '/File/Get/7.jpg' ELSE url END AS url, CASE page_id % 4 WHEN 0 THEN 'x.pdf' WHEN 1 THEN 'Y.JPG' ELSE '' END AS name FROM pages)
-    SELECT page_id, CASE WHEN regexp_matches(lower(name), '\\.({_IMG})$') THEN true WHEN regexp_matches(lower(name), '\\.({_OTH})$') THEN false WHEN regexp_matches(lower(url), '\\.({_IMG})') THEN true WHEN contains(lower(url), '/file/get/') THEN true ELSE contains(lower(url), '/rest/api/') AND contains(lower(url), '/attachment/content/') END AS in_summary,
-    CASE WHEN regexp_matches(lower(name), '\\.({_IMG})$') THEN true WHEN regexp_matches(lower(name), '\\.({_OTH})$') THEN false WHEN contains(lower(url), '/rest/api/') AND contains(lower(url), '/attachment/content/') THEN false ELSE regexp_matches(lower(url), '\\.({_IMG})$') END AS in_refresh FROM u""")
+@register("image_links", r"""WITH u AS (SELECT page_id, CASE page_id % 7 WHEN 0 THEN url || '/a.PNG' WHEN 1 THEN url || '/file/get/7' WHEN 2 THEN 'https://t/rest/api/3/attachment/content/5' WHEN 3 THEN url || '/File/Get/7.jpg' WHEN 4 THEN url || '/file/get/8.JPG' ELSE url END AS url,
+      CASE page_id % 5 WHEN 0 THEN 'x.pdf' WHEN 1 THEN 'Y.JPG' WHEN 2 THEN 'z.csv' ELSE '' END AS name FROM pages),
+    f AS (SELECT *, CASE WHEN regexp_matches(name, '(?i)\.(png|jpe?g|gif|bmp|webp|svg)$') THEN true WHEN regexp_matches(name, '(?i)\.(pdf|docx?|txt|xlsx?|zip|rar)$') THEN false END AS named FROM u)
+    SELECT page_id, coalesce(named, regexp_matches(url, '(?i)\.(png|jpe?g|gif|bmp|webp|svg)') OR regexp_matches(regexp_replace(url, '[?#].*$', ''), '(?i)/file/get/|/rest/api/.*/attachment/content/')) AS in_summary,
+      coalesce(named, url LIKE '%/rest/api/%' AND url LIKE '%/attachment/content/%' OR url LIKE '%/file/get/%' AND regexp_matches(url, '(?i)\.(png|jpe?g|gif|bmp|webp|svg)$')) AS in_refresh FROM f""")
 def image_links(spark, d):
     i, u = col("page_id"), col("url")
-    url = F.when(i % 6 == 0, F.concat(u, F.lit("/a.PNG"))).when(i % 6 == 1, F.concat(u, F.lit("/file/get/7"))).when(i % 6 == 2, "https://t/rest/api/3/attachment/content/5").when(i % 6 == 3, F.concat(u, F.lit("/File/Get/7.jpg"))).otherwise(u)
-    name = F.when(i % 4 == 0, "x.pdf").when(i % 4 == 1, "Y.JPG").otherwise("")
+    url = F.when(i % 7 == 0, F.concat(u, F.lit("/a.PNG"))).when(i % 7 == 1, F.concat(u, F.lit("/file/get/7"))).when(i % 7 == 2, "https://t/rest/api/3/attachment/content/5").when(i % 7 == 3, F.concat(u, F.lit("/File/Get/7.jpg"))).when(i % 7 == 4, F.concat(u, F.lit("/file/get/8.JPG"))).otherwise(u)
+    name = F.when(i % 5 == 0, "x.pdf").when(i % 5 == 1, "Y.JPG").when(i % 5 == 2, "z.csv").otherwise("")
     return table(spark, d, "pages").select("page_id", filters.is_image_link(url, name).alias("in_summary"), filters.is_image_link(url, name, "refresh").alias("in_refresh"))
 
 
@@ -152,9 +158,11 @@ def page_paragraphs(spark, d):
     return table(spark, d, "pages").select("page_id", F.posexplode(pages.inner_text("p", col("html"))).alias("ord", "text"))
 
 
-@register("page_titles", f"SELECT page_id, url, coalesce(nullif({_inner('title')}[1], ''), nullif({_inner('h1')}[1], ''), 'Untitled') AS title FROM pages")
+@register("page_titles", f"""WITH p AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN url || '?op=get_it-em2' WHEN 1 THEN url || '/WSDL' ELSE url END AS url, {_inner('title')}[1] AS t, {_inner('h1')} AS h1, list_filter(list_concat({_inner('h1')}, {_inner('h2')}), lambda x: length(x) > 3)[1] AS head FROM pages)
+    SELECT page_id, url, CASE page_id % 4 WHEN 0 THEN 'Get It-Em2 - ' || head WHEN 1 THEN 'WSDL Service Description' ELSE coalesce(nullif(t, ''), nullif(h1[1], ''), 'API Documentation') END AS title FROM p""")
 def page_titles(spark, d):
-    return pages.page_titles(table(spark, d, "pages"))
+    url = F.when(col("page_id") % 4 == 0, F.concat("url", F.lit("?op=get_it-em2"))).when(col("page_id") % 4 == 1, F.concat("url", F.lit("/WSDL"))).otherwise(col("url"))
+    return pages.page_titles(table(spark, d, "pages").withColumn("url", url))
 
 
 @register("page_elements")
@@ -210,7 +218,7 @@ def pack_chunks(spark, d):
 )
 def text_blocks(spark, d):
     rows = documents(spark, d).select("doc_id", F.concat("text", F.lit("\n\n- one\n* two\n1. first\nend")).alias("text"))
-    return tx.text_to_blocks(rows, "doc_id", "text")
+    return tx.text_to_blocks(rows, "doc_id", "text").drop("runs")
 
 
 @register(

@@ -70,11 +70,14 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset
-    (tests in local mode, one machine) a new temporary folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a new
+    temporary folder in local mode (tests, one machine), else an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_FOLDERS:
         _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="spark-ticketloom-", dir="/tmp")
@@ -85,13 +88,35 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark removes a query's shuffle files when the query ends, not when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back. Cuts the lineage, survives lost
-    executors, and computes what several branches need once."""
+    executors, and computes what several branches need once. The shuffle files of the write go with it;
+    ``release`` removes the table itself."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned, once nothing reads them any more."""
+    for df in tables:
+        path = getattr(df, "_written_path", None)
+        if isinstance(path, str):
+            jvm = df.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,9 +126,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class IdFilter:
     """A bitmap of hashed ids of at most ``max_bits`` bits: never misses an id, may let others pass.
 
-    Built by Spark as an OR of bits per 64-bit word, so the driver gets at most max_bits / 64
-    numbers however many ids there are (16 MiB at the default). A full bitmap only lets more rows
-    pass; it never changes a result. A null id has a slot of its own.
+    Built by Spark as an OR of bits for each word of 32, so the driver gets at most max_bits / 32 rows of
+    two numbers however many ids there are (64 MiB at the default) and tasks 16 MiB. Beyond some 10^8 ids it
+    fills up and lets more rows pass; it never changes a result. A null id has a slot of its own.
     """
 
     def __init__(self, bits: np.ndarray, hashed: bool = False):

@@ -13,18 +13,15 @@ from ticketloom.functions.text import redact
 def stream_tickets(spark: SparkSession, landing: str, store: str, checkpoint: str, schema: T.StructType, key: str = "ticket_id", files_per_trigger: int = 100) -> StreamingQuery:
     """Appends tickets of new landed JSON-lines files whose id is not in the store yet. The store is
     partitioned by batch id and a replayed batch overwrites its own partition, so a restart repeats
-    nothing."""
+    nothing. Of the store only the id column is read."""
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(landing)
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{store}/batch_id=-1")  # the store is there from the start
+    stored = T.StructType([schema[key], T.StructField("batch_id", T.LongType())])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        here = batch.sparkSession
-        try:
-            known = here.read.parquet(store).filter(F.col("batch_id") != batch_id).select(F.col(key).cast("string").alias("_id")).distinct()
-            batch = batch.join(known, batch[key].cast("string") == F.col("_id"), "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        batch.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        known = batch.sparkSession.read.schema(stored).parquet(store).filter(F.col("batch_id") != batch_id).select(F.col(key).cast("string").alias("_id")).distinct()
+        new = batch.join(known, batch[key].cast("string") == F.col("_id"), "left_anti")
+        new.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
