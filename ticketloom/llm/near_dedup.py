@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.llm.words import HASHES, mix, only, rolling, text_bytes, word_hashes
 from ticketloom.operators.graph import connected_components
-from ticketloom.session import IdFilter, bounded_batches, table, written
+from ticketloom.session import IdFilter, bounded_batches, release, table, written
 
 _SEED = np.uint64(0xD1B54A32D192ED03)
 
@@ -211,6 +211,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     if ends.isEmpty():
         return labels
     roots = connected_components(ends)
+    release(ends)
     moved = labels.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
     return written(moved.unionByName(roots.join(labels, "node", "left_anti")), "near-labels")
 
@@ -313,6 +314,7 @@ def _components(
     rest = written(rest, "near-rest")
     if not rest.isEmpty():
         labels = _merged(labels, linked(rest))
+    release(crowded, pairs, involved, rest)
 
     apart = written(_still_open(_with_component(members.select("key", "node"), "node", labels)), "near-open")
     if not apart.isEmpty():
@@ -320,6 +322,8 @@ def _components(
         apart = written(_still_open(apart.join(here.select("node"), "node")), "near-apart")
         if not apart.isEmpty():
             labels = _crowd_links(apart, here, labels, threshold, block, block_bytes, dealings)
+        release(here, apart)
+    release(members, sets)
 
     homes = _with_component(classes.select("node", "first_doc"), "node", labels)
     smallest = homes.groupBy("node_in").agg(F.min("first_doc").alias("component_id"))
