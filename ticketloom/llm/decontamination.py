@@ -10,6 +10,10 @@ first word, which may be a name. The tasks drop windows that no benchmark item h
 (a sorted array of the benchmark's window hashes, sent in blocks of at most ``block`` hashes = 8 *
 block bytes), the rest are hash-joined with the benchmark's windows.
 
+Windows that many items share would join documents with all of those items. So candidates come from each
+item's rarest windows: as many as it takes for the others to cover less than ``coverage`` of it, for then
+no match can do without one of them. Only pairs of a document and a candidate meet all windows.
+
 Matched windows are grouped by occurrence: the place in the document where the item would start. A
 document matches an item if in any occurrence the matched windows cover ``coverage`` of the item's
 tokens and either those with equal slot values do so alone (a copy), or the slots are consistent: each
@@ -19,7 +23,9 @@ windows of the document (the item is in pieces).
 
 Cases: null and empty texts match nothing; items shorter than ``width`` are one window; items with
 fewer than ``least`` literals are found as verbatim copies only; repeated rows match together; a
-null doc_id or item_id is dropped; empty tables give an empty result; other columns are ignored.
+null doc_id or item_id is dropped; very long texts are read whole, one at a time; empty tables give an
+empty result; other columns are ignored. The pipeline stage goes by texts, so null and repeated ids are
+judged like others, each row by its own text.
 """
 
 from __future__ import annotations
@@ -231,6 +237,28 @@ def _found(width: int, literals: int, short: list[int], whole: list[int], known:
     return run
 
 
+def _rarest(coverage: float):
+    """The windows (hash, start, width, n_tokens, n_items) of one item -> the rarest of them, as many as
+    it takes for the others to cover too little of the item."""
+
+    def run(group: pa.Table) -> pa.Table:
+        enough = coverage * max(group["n_tokens"].to_pylist()) - 1e-9
+        rows = sorted(zip(group["n_items"].to_pylist(), group["hash"].to_pylist(), group["width"].to_pylist(), group["start"].to_pylist(), strict=True))
+        # windows of one hash are found together; the shortest such beginning of the list, by bisection
+        ends = [k for k in range(1, len(rows) + 1) if k == len(rows) or rows[k][:3] != rows[k - 1][:3]]
+        lo, hi = 0, len(ends) - 1
+        while lo < hi:
+            mid = (lo + hi) // 2
+            if _covered([(0, r[3], r[2]) for r in rows[ends[mid] :]]) < enough:
+                hi = mid
+            else:
+                lo = mid + 1
+        kept = sorted({r[1:3] for r in rows[: ends[lo]]})
+        return pa.table({"item": pa.array([group["row"][0].as_py()] * len(kept), pa.int64()), "hash": pa.array([k[0] for k in kept], pa.int64()), "width": pa.array([k[1] for k in kept], pa.int32())})
+
+    return run
+
+
 _LEAK_DDL = "doc_id long, item_id long, coverage double, reparameterised boolean"
 
 
@@ -323,9 +351,12 @@ def contaminated(
     hits = parts[0]
     for more in parts[1:]:
         hits = hits.unionByName(more)
-    a, b = hits.alias("a"), item_windows.alias("b")
-    met = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.width") == F.col("b.width"))).select(
-        F.col("a.row").alias("doc_id"),
+    spread = item_windows.groupBy("hash", "width").agg(F.count_distinct("row").alias("n_items"))
+    rare = item_windows.select("row", "hash", "start", "width", "n_tokens").join(spread, ["hash", "width"]).groupBy("row").applyInArrow(_rarest(coverage), "item long, hash long, width int")
+    pairs = written(hits.join(rare, ["hash", "width"]).select(F.col("row").alias("doc"), "item").distinct(), "leak-pairs")
+    a, b = hits.join(pairs, hits["row"] == pairs["doc"]).alias("a"), item_windows.alias("b")
+    met = a.join(b, (F.col("a.item") == F.col("b.row")) & (F.col("a.hash") == F.col("b.hash")) & (F.col("a.width") == F.col("b.width"))).select(
+        F.col("a.doc").alias("doc_id"),
         F.col("b.row").alias("item_id"),
         "b.n_tokens",
         F.struct(F.col("a.start").alias("own_start"), F.col("b.start").alias("start"), "b.width", F.col("b.slots").alias("item"), F.when(F.col("a.raw") | F.col("b.raw"), F.col("b.slots")).otherwise(F.col("a.slots")).alias("own")).alias("hit"),
@@ -339,6 +370,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """Pipeline stage: rows whose text holds a benchmark item go, whatever their id. Rows are told apart by
+    a 64-bit hash of the text; rows of one text share its verdict, null texts stay."""
+    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
+    found = contaminated(keyed.select("_text_hash", "text"), table(spark, sf_dir, "benchmark"), id_col="_text_hash")
+    return keyed.join(found.select(F.col("doc_id").alias("_text_hash")).distinct(), "_text_hash", "left_anti").select(docs.columns)

@@ -4,11 +4,12 @@ Texts are lower-cased; n-grams of 1 to 3 characters are hashed to ``buckets`` fe
 language come from Spark over at most ``sample_rows`` labelled documents of each language (those
 with the smallest id hash); the log-probability matrix, buckets x languages of float32 and so of
 a size fixed by parameters, goes to the tasks, which score batches of whole texts in numpy:
-gather each n-gram's row, add up within each document.
+gather each n-gram's row, add up within each document. Texts are scored in segments of a bounded
+number of code points, whose sums are added up, so a very long text needs no more memory than others.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; ties go to the language that
 sorts first; with nothing to learn from, every text is ``und``; repeated rows and null ids are
-scored as they come; an empty table gives an empty result; other columns are ignored.
+scored as they come; very long texts count whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +27,40 @@ from ticketloom.session import bounded_batches, table
 _PRIME = np.uint32(0x9E3779B1)
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts, two spaces after each, and the bounds of each text."""
-    parts = [np.frombuffer((" " + t.lower() + "  ").encode("utf-32-le", "replace"), "<u4") for t in texts]
-    bounds = np.cumsum([0, *(len(p) for p in parts)])
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), bounds
+#: Numbers (code points times languages) that are held at a time.
+_HELD = 1 << 22
+
+
+def segments(text: str, most: int) -> Iterator[str]:
+    """Stretches of a text, a space before and two behind it, that overlap by the two code points which
+    only end n-grams of the stretch before."""
+    padded = f" {text}  "
+    for at in range(0, len(padded) - 2, most):
+        yield padded[at : at + most + 2]
+
+
+def _codes(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all stretches and the bounds of each."""
+    lowered = [np.frombuffer(t.lower().encode("utf-32-le", "replace"), "<u4") for t in parts]
+    bounds = np.cumsum([0, *(len(p) for p in lowered)])
+    return (np.concatenate(lowered) if lowered else np.zeros(0, np.uint32)), bounds
+
+
+def _grouped(texts: list[str], most: int) -> Iterator[tuple[list[int], list[str]]]:
+    """(numbers of the texts, stretches) of about ``most`` code points at a time."""
+    owners: list[int] = []
+    parts: list[str] = []
+    held = 0
+    for i, text in enumerate(texts):
+        for part in segments(text, most):
+            owners.append(i)
+            parts.append(part)
+            held += len(part)
+            if held >= most:
+                yield owners, parts
+                owners, parts, held = [], [], 0
+    if parts:
+        yield owners, parts
 
 
 def _features(codes: np.ndarray, buckets: int) -> list[np.ndarray]:
@@ -54,12 +84,15 @@ class LanguageModel:
         n = len(texts)
         if not self.languages or not n:
             return ["und"] * n, np.zeros(n)
-        codes, bounds = _codes(texts)
-        total = np.zeros((len(codes), len(self.languages)), np.float32)
-        for feature in _features(codes, len(self.weights)):
-            total[: len(feature)] += self.weights[feature]
-        total[(bounds[1:, None] - np.array([1, 2])).ravel()] = 0  # n-grams that reach into the next text
-        sums = np.add.reduceat(total, bounds[:-1], axis=0, dtype=np.float64) + self.prior
+        sums = np.zeros((n, len(self.languages)))
+        for owners, parts in _grouped(texts, max(1024, _HELD // len(self.languages))):
+            codes, bounds = _codes(parts)
+            total = np.zeros((len(codes), len(self.languages)), np.float32)
+            for feature in _features(codes, len(self.weights)):
+                total[: len(feature)] += self.weights[feature]
+            total[(bounds[1:, None] - np.array([1, 2])).ravel()] = 0  # n-grams that reach out of the stretch
+            np.add.at(sums, owners, np.add.reduceat(total, bounds[:-1], axis=0, dtype=np.float64))
+        sums += self.prior
         best = sums.argmax(axis=1)
         shown = np.exp(sums - sums.max(axis=1, keepdims=True))
         return [self.languages[i] for i in best], shown.max(axis=1) / shown.sum(axis=1)
@@ -71,13 +104,14 @@ def _counts(buckets: int):
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in set(langs):
-                codes, bounds = _codes([t for t, x in zip(texts, langs, strict=True) if x == lang])
-                keep = np.ones(max(len(codes) - 2, 0), bool)
-                cut = (bounds[1:, None] - np.array([1, 2])).ravel()
-                keep[cut[cut < len(keep)]] = False
                 mine = totals.setdefault(lang, np.zeros(buckets, np.int64))
-                for feature in _features(codes, buckets):
-                    mine += np.bincount(feature[keep], minlength=buckets)
+                for _, parts in _grouped([t for t, x in zip(texts, langs, strict=True) if x == lang], _HELD // 4):
+                    codes, bounds = _codes(parts)
+                    keep = np.ones(max(len(codes) - 2, 0), bool)
+                    cut = (bounds[1:, None] - np.array([1, 2])).ravel()
+                    keep[cut[cut < len(keep)]] = False
+                    for feature in _features(codes, buckets):
+                        mine += np.bincount(feature[keep], minlength=buckets)
         for lang, mine in totals.items():
             at = np.flatnonzero(mine)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(mine[at])], ["lang", "feature", "n"])
@@ -115,20 +149,10 @@ def _scored(model: LanguageModel):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             names, scores = ["und"] * len(texts), np.zeros(len(texts))
-            at, held = [], 0
-            for i, t in enumerate(texts):
-                if t and any(map(str.isalpha, t)):
-                    at.append(i)
-                    held += len(t)
-                if at and (held > 1 << 20 or i == len(texts) - 1):
-                    found, values = model.score([texts[k] for k in at])
-                    for k, name, value in zip(at, found, values.tolist(), strict=True):
-                        names[k], scores[k] = name, value
-                    at, held = [], 0
-            if at:
-                found, values = model.score([texts[k] for k in at])
-                for k, name, value in zip(at, found, values.tolist(), strict=True):
-                    names[k], scores[k] = name, value
+            at = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
+            found, values = model.score([texts[k] for k in at])
+            for k, name, value in zip(at, found, values.tolist(), strict=True):
+                names[k], scores[k] = name, value
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
     return run

@@ -7,13 +7,15 @@ revisit has one, else Last-Modified; without either the payload digest must agre
 resolved record has the response's body and headers, with those headers of the revisit merged in
 that a not-modified answer may carry.
 
-Response record ids are taken to be unique. The as-of join does not gather all captures of a URL: captures are cut into time slots, each (URL,
+The as-of join does not gather all captures of a URL: captures are cut into time slots, each (URL,
 slot) finds its own latest response, one row for each (URL, slot) carries the latest response on
-to later slots. A URL with a third of all rows is so spread over its slots.
+to later slots. A URL with a third of all rows is so spread over its slots; ``slot_seconds`` is to be
+chosen so that one URL's captures within a slot fit a task.
 
-Cases: null URL, null headers or null body stay null and match nothing; several responses at one
-time are ordered by record id; repeated rows are resolved each by itself; an empty table gives an
-empty result; other columns are dropped.
+Cases: null URL, null time, null headers or null body stay null and match nothing (a revisit without
+URL or time is ``no_response``); several responses at one time are ordered by record id; a repeated
+revisit is resolved for each row, a repeated response counts once (of several bodies under one record id
+the least is taken); an empty table gives an empty result; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -28,11 +30,11 @@ PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "la
 
 
 def canonical_url(url: Column) -> Column:
-    """Scheme and ``www.``/``m.`` dropped, host lower-cased, default port, fragment and trailing
-    slash dropped; the query stays."""
+    """Scheme and ``www.`` dropped, host lower-cased, default port, fragment and trailing slash
+    dropped; the query stays. Other hosts, a mobile one included, are other resources."""
     bare = F.regexp_replace(url, r"#.*$", "")
     bare = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^([^/?]*)", 1)), r"^(www|m)\.|:(80|443)$", "")
+    host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^([^/?]*)", 1)), r"^www\.|:(80|443)$", "")
     rest = F.regexp_replace(F.regexp_extract(bare, r"^[^/?]*(.*)$", 1), r"/+$", "")
     return F.concat(host, rest)
 
@@ -55,7 +57,7 @@ def resolve_revisits(captures: DataFrame, slot_seconds: int = 3600) -> DataFrame
     digest, headers map<string,string>, body) -> one row for each revisit: record_id, canonical,
     base_id, status ('resolved', 'changed', 'no_response'), headers, body."""
     ready = captures.select("record_id", canonical_url(F.col("url")).alias("canonical"), "captured", "kind", "etag", "last_modified", "digest", "headers")
-    found = _latest_before(ready.filter("canonical is not null"), slot_seconds).filter("kind = 'revisit'")
+    found = _latest_before(ready.filter("canonical is not null and captured is not null"), slot_seconds).filter("kind = 'revisit'")
 
     def tag(c: Column) -> Column:
         return F.regexp_replace(c, "^W/", "")
@@ -80,49 +82,59 @@ def resolve_revisits(captures: DataFrame, slot_seconds: int = 3600) -> DataFrame
         F.when(done, F.coalesce(merged, before, own)).alias("headers"),
     )
     # null URLs would meet in the windows, but they match nothing
-    nowhere = captures.filter("kind = 'revisit'").filter(canonical_url(F.col("url")).isNull())
+    nowhere = captures.filter("kind = 'revisit'").filter(canonical_url(F.col("url")).isNull() | F.col("captured").isNull())
     kinds = {f.name: f.dataType for f in judged.schema}
-    nulls = {c: F.lit(None).cast(kinds[c]).alias(c) for c in ("canonical", "base_id", "headers")}
-    nowhere = nowhere.select("record_id", nulls["canonical"], nulls["base_id"], F.lit("no_response").alias("status"), nulls["headers"])
+    nulls = {c: F.lit(None).cast(kinds[c]).alias(c) for c in ("base_id", "headers")}
+    nowhere = nowhere.select("record_id", canonical_url(F.col("url")).alias("canonical"), nulls["base_id"], F.lit("no_response").alias("status"), nulls["headers"])
     judged = written(judged.unionByName(nowhere), "revisits")
     # bodies stay out of the as-of join: only resolved revisits meet them, by the record they rest on
-    bodies = captures.filter("kind = 'response'").select(F.col("record_id").alias("base_id"), "body")
-    resolved = judged.filter("status = 'resolved'").join(bodies, "base_id", "left")
+    wanted = judged.filter("status = 'resolved'")
+    bodies = captures.filter("kind = 'response'").select(F.col("record_id").alias("base_id"), "body").groupBy("base_id").agg(F.min("body").alias("body"))
+    resolved = wanted.join(bodies, "base_id", "left")
     others = judged.filter("status != 'resolved'").withColumn("body", F.lit(None).cast(captures.schema["body"].dataType))
     return resolved.select(others.columns).unionByName(others)
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
-    """A capture log from the pages table: each page is fetched once (at page_id minutes) and asked
-    for again twice by a variant of its URL. Some revisits have a weak tag, a changed tag, only a
-    date, only a digest, or come before the response."""
-    page = F.col("page_id")
+    """A capture log from the pages table: each page is fetched at page_id minutes, each third one again
+    with a changed body 60 minutes later, and asked for twice by a variant of its URL. Some revisits have a
+    weak tag, a changed tag, only a date, only a digest, come before the response or between two."""
+    page, again_html = F.col("page_id"), F.concat("html", F.lit("<!-- again -->"))
     minute = lambda n: F.timestamp_seconds(F.lit(1_700_000_000) + 60 * n)
-    pages = pages.withColumn("digest", F.md5("html"))
     tag, day = F.concat(F.lit('"'), F.substring("digest", 1, 12), F.lit('"')), F.concat(F.lit("day "), (page % 28).cast("string"))
-    response = pages.select(
-        (3 * page).alias("record_id"),
-        "url",
-        minute(page).alias("captured"),
-        F.lit("response").alias("kind"),
-        tag.alias("etag"),
-        day.alias("last_modified"),
-        F.col("digest"),
-        F.create_map(F.lit("ETag"), tag, F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), F.concat(F.lit("d"), page.cast("string"))).alias("headers"),
-        F.col("html").alias("body"),
-    )
-    again = pages.select(F.explode(F.array(F.lit(1), F.lit(2))).alias("k"), "page_id", "url", "digest").select(
-        (3 * page + F.col("k")).alias("record_id"),
+
+    def responses(df: DataFrame, k: int) -> DataFrame:
+        return df.select(
+            (4 * page + k).alias("record_id"),
+            "url",
+            minute(page + 20 * k).alias("captured"),
+            F.lit("response").alias("kind"),
+            tag.alias("etag"),
+            day.alias("last_modified"),
+            F.col("digest"),
+            F.create_map(F.lit("ETag"), tag, F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), F.concat(F.lit("d"), page.cast("string"))).alias("headers"),
+            F.col("html").alias("body"),
+        )
+
+    first = responses(pages.withColumn("digest", F.md5("html")), 0)
+    second = responses(pages.filter(page % 3 == 0).withColumn("html", again_html).withColumn("digest", F.md5("html")), 3)
+    k = F.col("k")
+    at = F.when((page % 10 == 9) & (k == 1), page - 5).when((page % 4 == 0) & (k == 1), page + 30).otherwise(page + 90 * k)
+    asked = pages.select("page_id", "url", F.md5("html").alias("old"), F.when(page % 3 == 0, F.md5(again_html)).alias("new"))
+    asked = asked.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("at", at)
+    asked = asked.withColumn("digest", F.when((page % 3 == 0) & (F.col("at") >= page + 60), F.col("new")).otherwise(F.col("old")))
+    again = asked.select(
+        (4 * page + k).alias("record_id"),
         F.concat(F.regexp_replace("url", "^https?://", "https://www."), F.lit("#again")).alias("url"),
-        minute(F.when((page % 10 == 9) & (F.col("k") == 1), page - 5).otherwise(page + 90 * F.col("k"))).alias("captured"),
+        minute(F.col("at")).alias("captured"),
         F.lit("revisit").alias("kind"),
         F.when(page % 5 == 0, F.concat(F.lit("W/"), tag)).when(page % 5 == 1, F.lit('"other"')).when(page % 5 == 2, tag).alias("etag"),
         F.when(page % 5 == 3, day).alias("last_modified"),
         F.col("digest"),
-        F.create_map(F.lit("Date"), F.concat(F.lit("r"), F.col("k").cast("string")), F.lit("Content-Length"), F.lit("0"), F.lit("Expires"), F.lit("soon")).alias("headers"),
+        F.create_map(F.lit("Date"), F.concat(F.lit("r"), k.cast("string")), F.lit("Content-Length"), F.lit("0"), F.lit("Expires"), F.lit("soon")).alias("headers"),
         F.lit(None).cast("string").alias("body"),
     )
-    return response.unionByName(again)
+    return first.unionByName(second).unionByName(again)
 
 
 def op6_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,20 +154,27 @@ def op6_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH p AS (
-  SELECT page_id, url, html, md5(html) AS digest, '"' || substr(md5(html), 1, 12) || '"' AS tag FROM pages
-), k AS (SELECT unnest([1, 2]) AS k),
-captures AS (
-  SELECT 3 * page_id AS record_id, url, 1700000000 + 60 * page_id AS captured, 'response' AS kind, tag AS etag,
-         'day ' || (page_id % 28) AS last_modified, digest, page_id, NULL AS k, html AS body FROM p
+  SELECT page_id, url, html, md5(html) AS digest FROM pages
+  UNION ALL
+  SELECT page_id, url, html || '<!-- again -->', md5(html || '<!-- again -->') FROM pages WHERE page_id % 3 = 0
+), again AS (
+  SELECT page_id, url, k, md5(html) AS old, md5(html || '<!-- again -->') AS new,
+         CASE WHEN page_id % 10 = 9 AND k = 1 THEN page_id - 5 WHEN page_id % 4 = 0 AND k = 1 THEN page_id + 30 ELSE page_id + 90 * k END AS asked_at
+  FROM pages, (SELECT unnest([1, 2]) AS k)
+), asked AS (
+  SELECT *, CASE WHEN page_id % 3 = 0 AND asked_at >= page_id + 60 THEN new ELSE old END AS digest FROM again
+), captures AS (
+  SELECT 4 * page_id + CASE WHEN ends_with(html, '<!-- again -->') THEN 3 ELSE 0 END AS record_id, url,
+         1700000000 + 60 * (page_id + CASE WHEN ends_with(html, '<!-- again -->') THEN 60 ELSE 0 END) AS captured, 'response' AS kind,
+         '"' || substr(digest, 1, 12) || '"' AS etag, 'day ' || (page_id % 28) AS last_modified, digest, page_id, NULL AS k, html AS body FROM p
   UNION ALL
-  SELECT 3 * page_id + k, regexp_replace(url, '^https?://', 'https://www.') || '#again',
-         1700000000 + 60 * (CASE WHEN page_id % 10 = 9 AND k = 1 THEN page_id - 5 ELSE page_id + 90 * k END), 'revisit',
-         CASE page_id % 5 WHEN 0 THEN 'W/' || tag WHEN 1 THEN '"other"' WHEN 2 THEN tag END,
-         CASE WHEN page_id % 5 = 3 THEN 'day ' || (page_id % 28) END, digest, page_id, k, NULL FROM p, k
+  SELECT 4 * page_id + k, regexp_replace(url, '^https?://', 'https://www.') || '#again', 1700000000 + 60 * asked_at, 'revisit',
+         CASE page_id % 5 WHEN 0 THEN 'W/"' || substr(digest, 1, 12) || '"' WHEN 1 THEN '"other"' WHEN 2 THEN '"' || substr(digest, 1, 12) || '"' END,
+         CASE WHEN page_id % 5 = 3 THEN 'day ' || (page_id % 28) END, digest, page_id, k, NULL FROM asked
 ), bare AS (
   SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM captures
 ), named AS (
-  SELECT * EXCLUDE (b), regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), '^(www|m)\.|:(80|443)$', '', 'g')
+  SELECT * EXCLUDE (b), regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g')
        || regexp_replace(regexp_extract(b, '^[^/?]*(.*)$', 1), '/+$', '') AS canonical FROM bare
 ), ranked AS (
   SELECT v.record_id, v.canonical, v.etag, v.last_modified, v.digest, v.k,

@@ -2,8 +2,10 @@
 
 Plain patterns (assignments, access ids, hex runs) give base spans. On top of them, base64 and hex
 candidates are decoded and reported only if their bytes parse: a DER SEQUENCE whose nested lengths
-fit exactly and that holds the leading integer or object id of a key, the OpenSSH key container, a
-PEM block around such bytes, or a signed token whose header is a JSON object naming an algorithm.
+fit exactly and that begins as a private key does, the OpenSSH key container, a PEM block around such
+bytes or around an encrypted key, or a signed token whose header is a JSON object naming an algorithm
+other than none. A candidate's own header tells its length, so it is found also behind a path, before
+other text, and broken over lines (real line ends or their escapes). Public keys are no secrets.
 
 Cases: null text is empty text; repeated rows are scanned each by itself; whole texts, no prefixes;
 an empty table gives an empty result; other columns are ignored by ``find_secrets`` and kept by
@@ -31,11 +33,16 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
-_HEX_ANY = re.compile(r"[0-9A-Fa-f]{48,}")
-_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]|-(?!----))+)-----END \1-----")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
+#: What base64 of a DER SEQUENCE starts with (its first byte is 0x30); runs are broken by line ends.
+_DER_START = re.compile(r"(?<![A-Za-z0-9])M[A-P][A-Za-z0-9+/_-]{6}")
+_BROKEN = re.compile(r"(?:[A-Za-z0-9+/_-]|(?:\r?\n|\\r?\\n|\\n)[ \t]*)*")
+_BREAK = re.compile(r"(?:\r?\n|\\r?\\n|\\n)[ \t]*")
+_HEX_ANY = re.compile(r"[0-9A-Fa-f]{32,}")
+_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]+")
 _CONTAINER = b"openssh-key-v1\0"
+_CONTAINER_BASE64 = base64.b64encode(_CONTAINER).decode()  # 15 bytes, so 20 whole letters
 
 
 def _from_base64(text: str) -> bytes:
@@ -71,10 +78,23 @@ def der_items(data: bytes, depth: int = 0) -> list[tuple[int, bytes]] | None:
     return items
 
 
+def der_size(head: bytes) -> int:
+    """Bytes of the SEQUENCE that starts here, its header included; 0 if none does."""
+    if len(head) < 2 or head[0] != 0x30:
+        return 0
+    size, at = head[1], 2
+    if size & 0x80:
+        n = size & 0x7F
+        if not 1 <= n <= 4 or len(head) < 2 + n:
+            return 0
+        size, at = int.from_bytes(head[2 : 2 + n], "big"), 2 + n
+    return at + size
+
+
 def is_key_der(data: bytes) -> bool:
-    """A SEQUENCE that fills data, starting with a version INTEGER (private keys) or holding an
-    algorithm SEQUENCE with an OBJECT IDENTIFIER."""
-    if len(data) < 24 or data[0] != 0x30:
+    """A SEQUENCE that fills data and is a private key: it starts with a version INTEGER, or is an
+    encrypted one, an algorithm SEQUENCE with an OBJECT IDENTIFIER before an OCTET STRING."""
+    if len(data) < 16 or data[0] != 0x30:
         return False
     top = der_items(data)
     if top is None or len(top) != 1:
@@ -85,7 +105,7 @@ def is_key_der(data: bytes) -> bool:
         return False
     if tags[0] == 0x02 and len(inner[0][1]) <= 2:
         return any(t in (0x02, 0x04, 0x30) for t in tags[1:])
-    if tags[0] == 0x30:
+    if tags == [0x30, 0x04]:
         first = der_items(inner[0][1]) or []
         return bool(first) and first[0][0] == 0x06
     return False
@@ -96,7 +116,41 @@ def is_signed_header(text: str) -> bool:
         header = json.loads(_from_base64(text))
     except ValueError:
         return False
-    return isinstance(header, dict) and isinstance(header.get("alg"), str)
+    return isinstance(header, dict) and isinstance(header.get("alg"), str) and header["alg"].lower() not in ("", "none")
+
+
+def is_key_block(body: str) -> bool:
+    """What stands in a PEM block: header lines, then base64 of a key, or of whole cipher blocks."""
+    lines = [x.strip() for x in re.split(r"\r?\n|\\r?\\n|\\n", body)]
+    heads = [x for x in lines if ":" in x]
+    data = _from_base64("".join("".join(x for x in lines if ":" not in x).split()))
+    if any(x.startswith("Proc-Type:") and "ENCRYPTED" in x for x in heads):
+        return len(data) >= 16 and len(data) % 8 == 0
+    return is_key_der(data) or data.startswith(_CONTAINER)
+
+
+def _der_end(text: str, start: int) -> int | None:
+    """Where the base64 of a key that starts here ends, None if there is no key."""
+    size = der_size(_from_base64(text[start : start + 8]))
+    if size < 16:
+        return None
+    need, run = -(-4 * size // 3), _BROKEN.match(text, start)
+    if run.end() - start < need:
+        return None
+    letters, at = [], start
+    while need > 0:
+        stop = _BREAK.search(text, at, run.end())
+        end = min(stop.start() if stop else run.end(), at + need)
+        letters.append(text[at:end])
+        need -= end - at
+        if need > 0 and not stop:
+            return None
+        at = end if need <= 0 else stop.end()
+    if not is_key_der(_from_base64("".join(letters))[:size]):
+        return None
+    while at < len(text) and text[at] == "=":
+        at += 1
+    return at
 
 
 def secret_spans(text: str) -> list[tuple[int, str, int]]:
@@ -110,20 +164,21 @@ def secret_spans(text: str) -> list[tuple[int, str, int]]:
     runs = list(_HEX.finditer(text))
     found += [(m.start(), "hex", m.end()) for m in runs]
     if "PRIVATE KEY-----" in text:
-        for m in _PEM.finditer(text):
-            data = _from_base64("".join(m[2].split()))
-            if is_key_der(data) or data.startswith(_CONTAINER):
-                found.append((m.start(), "pem", m.end()))
-    for m in _BASE64.finditer(text):
-        data = _from_base64(m[0])
-        if data.startswith(_CONTAINER):
-            found.append((m.start(), "openssh", m.end()))
-        elif data[:1] == b"\x30" and is_key_der(data):
-            found.append((m.start(), "der", m.end()))
+        found += [(m.start(), "pem", m.end()) for m in _PEM.finditer(text) if is_key_block(m[2])]
+    if _CONTAINER_BASE64 in text:
+        for m in _BASE64.finditer(text):
+            if (at := m[0].find(_CONTAINER_BASE64)) >= 0:
+                found.append((m.start() + at, "openssh", m.end()))
+    for m in _DER_START.finditer(text):
+        if (end := _der_end(text, m.start())) is not None:
+            found.append((m.start(), "der", end))
     if "30" in text:
         for m in _HEX_ANY.finditer(text):
-            if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_key_der(bytes.fromhex(m[0])):
-                found.append((m.start(), "der", m.end()))
+            if m[0].startswith("30"):
+                data = bytes.fromhex(m[0][: len(m[0]) // 2 * 2])
+                size = der_size(data)
+                if 16 <= size <= len(data) and is_key_der(data[:size]):
+                    found.append((m.start(), "der", m.start() + 2 * size))
     if "eyJ" in text:
         found += [(m.start(), "jwt", m.end()) for m in _TOKEN.finditer(text) if is_signed_header(m[0].split(".")[0])]
     return sorted(set(found), key=lambda x: (x[0], KINDS.index(x[1]), x[2]))

@@ -1,25 +1,27 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become classes: insult, threat, target, negation, report, or other; a class carries a mark
-if a clause ends after the word. Three small transducers read the classes of a clause and are
-composed into one table:
+if a clause ends after the word. Three small weighted transducers read the classes of a clause and are
+composed into one (``compose``):
 
-- negation: within three words after a negation, what follows weighs little;
-- reported speech: after a word of reporting, the rest of the clause weighs half;
-- target: an insult weighs more once somebody is addressed; a threat weighs only with a target,
-  before or after it.
+- ``negation``: within three words after a negation, what follows weighs little;
+- ``reported``: after a word of reporting, the rest of the clause weighs half;
+- ``addressed``: an insult weighs more once somebody is addressed; a threat weighs only with a target,
+  before it or after it (until then its weight waits).
 
 A clause's score is the sum of its weighted matches. Only clauses with an insult or a threat are read.
 A document is scored by a logistic function of its total and of its best clause.
 
 Insults are learned from labelled rows: whole words and word beginnings of 4 to 7 letters whose
 documents are toxic far more often than others, chosen greedily so that each toxic document is
-covered up to three times, which leaves out words that only come along. At most
-``sample_rows`` labelled documents of each label are used (smallest id hash).
+covered up to three times, which leaves out words that only come along. Threats are learned from the
+toxic documents that no insult covers: words that go with toxic labels where their clause has a target,
+but not by themselves. At most ``sample_rows`` labelled documents of each label are used (smallest id
+hash); that is the only bound.
 
 Cases: null, empty and blank texts have no clause and get the base score; without labels the built-in
-lists alone are used; repeated rows and null ids are scored as they come; an empty table gives an
-empty result; other columns are ignored (``reject_toxic`` keeps them).
+lists alone are used; very long texts are scored whole, clause by clause; repeated rows and null ids are
+scored as they come; an empty table gives an empty result; other columns are ignored (``reject_toxic`` keeps them).
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from __future__ import annotations
 import math
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.session import bounded_batches, table
+from ticketloom.session import bounded_batches, table, written
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
@@ -54,36 +56,91 @@ _EDGE = string.punctuation + "«»“”„‚‘’¡¿…"
 _ENDS = (".", "!", "?", ";", ":")
 
 
-def _compose() -> tuple[list[list[int]], list[list[float]], list[list[bool]]]:
-    """Tables over states (negation 0-3, reported, addressed, threat waiting): next state, factor of
-    what is matched now, and whether a waiting threat is released."""
-    states = list(product(range(4), (0, 1), (0, 1), (0, 1)))
-    number = {s: i for i, s in enumerate(states)}
-    step, factor, release = [], [], []
-    for near, told, seen, waiting in states:
-        to, by, out = [], [], []
+@dataclass(frozen=True)
+class Transducer:
+    """Deterministic and weighted: (state, symbol) -> (next state, output symbol, weight)."""
+
+    start: Hashable
+    step: dict[tuple[Hashable, Hashable], tuple[Hashable, Hashable, float]]
+
+    def run(self, symbols: Iterable[Hashable]) -> list[tuple[Hashable, float]]:
+        state, out = self.start, []
+        for symbol in symbols:
+            state, given, weight = self.step[state, symbol]
+            out.append((given, weight))
+        return out
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """Reads what first reads and gives what second makes of first's output; weights are multiplied.
+    Only states that can be reached are made."""
+    symbols = {c for _, c in first.step}
+    start = (first.start, second.start)
+    step, todo, seen = {}, [start], {start}
+    while todo:
+        here = todo.pop()
+        for c in symbols:
+            to, between, weight = first.step[here[0], c]
+            after, given, more = second.step[here[1], between]
+            step[here, c] = ((to, after), given, weight * more)
+            if (to, after) not in seen:
+                seen.add((to, after))
+                todo.append((to, after))
+    return Transducer(start, step)
+
+
+#: What the grammar tells of a word: nothing, a match, a match that waits for a target, that target.
+NOTHING, MATCH, WAIT, RELEASE = range(4)
+
+
+def negation(reach: int = 3, weight: float = 0.15) -> Transducer:
+    """Passes classes on; the ``reach`` words after a negation weigh little."""
+    return Transducer(0, {(left, c): (reach if c == NEGATION else max(left - 1, 0), c, weight if left else 1.0) for left in range(reach + 1) for c in range(6)})
+
+
+def reported(weight: float = 0.5) -> Transducer:
+    """Passes classes on; what comes after a word of reporting weighs less."""
+    return Transducer(False, {(told, c): (told or c == REPORT, c, weight if told else 1.0) for told in (False, True) for c in range(6)})
+
+
+def addressed(weight: float = 1.5) -> Transducer:
+    """Classes to matches; states are (somebody is addressed, a threat waits)."""
+    step = {}
+    for seen, waits in product((False, True), repeat=2):
         for c in range(6):
-            weight = (0.15 if near else 1.0) * (0.5 if told else 1.0)
-            addressed = seen or c == TARGET
-            waits = 0 if addressed else int(waiting or c == THREAT)
-            to.append(number[3 if c == NEGATION else max(near - 1, 0), int(told or c == REPORT), int(addressed), waits])
-            by.append(weight * (1.5 if seen else 1.0) if c == INSULT else weight if c == THREAT and seen else 0.0)
-            out.append(bool(waiting and c == TARGET))
-        step.append(to)
-        factor.append(by)
-        release.append(out)
-    return step, factor, release
+            if c == TARGET:
+                step[(seen, waits), c] = ((True, False), RELEASE if waits else NOTHING, 1.0)
+            elif c == INSULT:
+                step[(seen, waits), c] = ((seen, waits), MATCH, weight if seen else 1.0)
+            elif c == THREAT:
+                step[(seen, waits), c] = ((seen, waits or not seen), MATCH if seen else WAIT, 1.0)
+            else:
+                step[(seen, waits), c] = ((seen, waits), NOTHING, 1.0)
+    return Transducer((False, False), step)
+
+
+GRAMMAR = compose(compose(negation(), reported()), addressed())
+
+
+def _tables(machine: Transducer) -> tuple[list[list[int]], list[list[int]], list[list[float]]]:
+    """The transducer with numbered states, the start first: next states, outputs, weights by [state][class]."""
+    number = {machine.start: 0}
+    for state, _ in machine.step:
+        number.setdefault(state, len(number))
+    rows = [[machine.step[state, c] for c in range(6)] for state in number]
+    return [[number[x[0]] for x in r] for r in rows], [[x[1] for x in r] for r in rows], [[x[2] for x in r] for r in rows]
 
 
-STEP, FACTOR, RELEASE = _compose()
+STEP, GIVEN, WEIGHT = _tables(GRAMMAR)
 
 
 @dataclass
 class Grammar:
-    """Insult words and beginnings with weights, and the logistic function on top."""
+    """Insult words and beginnings and threat words with weights, and the logistic function on top."""
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
+    threats: dict[str, float] = field(default_factory=dict)
     bias: float = -2.5
     by_total: float = 1.5
     by_best: float = 1.5
@@ -102,9 +159,9 @@ class Grammar:
         """Twice the class, plus one if a clause ends here."""
         word = raw.strip(_EDGE)
         weight = self.insult_weight(word)
-        c = INSULT if weight else WORD_CLASS.get(word, OTHER)
-        if c == INSULT:
-            self._weights[raw] = weight or 1.0
+        c = INSULT if weight else THREAT if word in self.threats else WORD_CLASS.get(word, OTHER)
+        if c in (INSULT, THREAT):
+            self._weights[raw] = weight or self.threats.get(word, 1.0)
         if len(self._codes) > 200_000:
             self._codes.clear()
         code = self._codes[raw] = 2 * c + raw.endswith(_ENDS)
@@ -130,13 +187,15 @@ class Grammar:
             i, state, score, waiting = start, 0, 0.0, 0.0
             while i < n:
                 c = codes[i] >> 1
-                weight = self._weights.get(words[i], 1.0) if c == INSULT else 1.0
-                if RELEASE[state][c]:
-                    score += waiting
-                    waiting = 0.0
-                score += FACTOR[state][c] * weight
-                if c == THREAT:
-                    waiting = (0.15 if state >= 8 else 1.0) * 1.0
+                given = GIVEN[state][c]
+                if given == RELEASE:
+                    score, waiting = score + waiting, 0.0
+                elif given:
+                    weight = WEIGHT[state][c] * self._weights.get(words[i], 1.0)
+                    if given == MATCH:
+                        score += weight
+                    else:
+                        waiting += weight
                 state = STEP[state][c]
                 i += 1
                 if codes[i - 1] & 1:
@@ -156,11 +215,21 @@ class Grammar:
 
 
 def beginnings(text: str) -> set[str]:
-    """Whole words (marked $) and beginnings of 4 to 7 letters, as features of a document."""
-    words = {w.strip(_EDGE) for w in text.lower().split()}
-    out = {w + "$" for w in words if 2 <= len(w) <= 40}
+    """Whole words (marked $) and beginnings of 4 to 7 letters, as features of a document; words
+    whose clause has a target once more, marked @."""
+    raw = text.lower().split()
+    bare = [w.strip(_EDGE) for w in raw]
+    words = set(bare)
+    out = {w + "$" for w in words if len(w) >= 2}
     for k in (4, 5, 6, 7):
         out.update({w[:k] for w in words if len(w) >= k})
+    start = 0
+    for i, w in enumerate(raw):
+        if w.endswith(_ENDS) or i == len(raw) - 1:
+            clause = bare[start : i + 1]
+            if any(WORD_CLASS.get(x) == TARGET for x in clause):
+                out.update(f"@{x}$" for x in clause if len(x) >= 2)
+            start = i + 1
     return out
 
 
@@ -237,15 +306,15 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float =
     return w
 
 
-def fit_grammar(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, max_features: int = 3000) -> Grammar:
-    """Learn insults and the logistic function from docs(doc_id, text) and labels(doc_id, toxic).
-    Everything that reaches the driver is bounded by sample_rows and max_features."""
+def fit_grammar(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> Grammar:
+    """Learn insults, threats and the logistic function from docs(doc_id, text) and labels(doc_id,
+    toxic). Everything that reaches the driver is about at most 2 * sample_rows documents."""
     bounded_batches(docs.sparkSession)
     known = labels.filter("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("y"))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for y in (0, 1)]
     drawn = parts[0].unionByName(parts[1])  # at most 2 * sample_rows ids
-    sample = docs.join(F.broadcast(drawn), "doc_id").select("text", "y")
+    sample = written(docs.join(F.broadcast(drawn), "doc_id").select("text", "y"), "toxicity-sample")
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     seeds = {w: 1.0 for w in LISTS[INSULT].split()}
@@ -254,18 +323,22 @@ def fit_grammar(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, max
     least = max(4, round(0.006 * pos))
     log_odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
     counts = sample.mapInArrow(_feature_counts, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    found = counts.filter(F.col("pos") >= least).withColumn("odds", log_odds).filter("odds >= 3").orderBy(F.desc("pos"), "feature").limit(max_features).collect()
+    found = counts.filter(F.col("pos") >= least).withColumn("odds", log_odds).filter("odds >= 3").collect()
     odds = {r["feature"]: r["odds"] for r in found}
     rows = [(r["features"], r["y"]) for r in sample.mapInArrow(_with_features(set(odds)), "features array<string>, y int").filter(F.size("features") > 0).collect()]
-    chosen = _choose(rows, odds, least)
-    top = max((odds[x] for x in chosen), default=1.0)
+    chosen = _choose([([x for x in f if x[0] != "@"], y) for f, y in rows], odds, least)
+    # what insults leave: words that tell only with a target in their clause
+    told = {x for x in odds if x[0] == "@" and x[1:] not in odds}
+    bare = [([x for x in f if x in told], y) for f, y in rows if not (y and not set(chosen).isdisjoint(f))]
+    threats = _choose(bare, odds, least)
+    top = max((odds[x] for x in chosen + threats), default=1.0)
     words = seeds | {x[:-1]: odds[x] / top for x in chosen if x.endswith("$")}
     stems = {x: odds[x] / top for x in chosen if not x.endswith("$")}
-    grammar = Grammar(words, stems)
-    drawn_rows = sample.mapInArrow(_measured(grammar), "total double, best double, y int").toArrow()
+    learned = (words, stems, {x[1:-1]: odds[x] / top for x in threats})
+    drawn_rows = sample.mapInArrow(_measured(Grammar(*learned)), "total double, best double, y int").toArrow()
     x = np.column_stack([drawn_rows["total"].to_numpy(), drawn_rows["best"].to_numpy()])
     w = _fit_logistic(x, drawn_rows["y"].to_numpy().astype(float))
-    return Grammar(words, stems, *map(float, w))
+    return Grammar(*learned, *map(float, w))
 
 
 def _scored(grammar: Grammar):
