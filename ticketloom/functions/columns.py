@@ -11,6 +11,13 @@ def filled(c: Column | str) -> Column:
     return F.nullif(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def held(df: DataFrame, keys: list[str], **columns: Column) -> DataFrame:
+    """keys and computed columns, each computed once for a row. Without this the optimizer may put an
+    expression into every place that reads it, also inside a lambda, once for each element."""
+    row = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))).alias("_held")
+    return df.select(*keys, row).select(*keys, "_held.*")
+
+
 def with_ordinal(df: DataFrame, order: list[str], name: str = "ord", start: int = 0, slots: int | None = None) -> DataFrame:
     """A gapless global ordinal in the given order, without gathering all rows in one task.
 

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom.functions.columns import held
 from ticketloom.session import ship
 
 #: White space at an end of a text, Unicode's and the four separators that are control characters.
@@ -314,11 +315,11 @@ def text_to_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return F.struct(kind.alias("kind"), F.when(kind == "bullet", F.regexp_replace(x, bullet, "")).when(kind == "number", F.regexp_replace(x, number, "")).otherwise(x).alias("body"))
 
     text = F.regexp_replace(without_controls(F.coalesce(F.col(text_col), F.lit(""))), r"\r\n?", "\n")
-    lines = df.select(F.col(id_col), F.transform(F.split(text, "\n"), line).alias("lines"))
+    lines = held(df, [id_col], lines=F.transform(F.split(text, "\n"), line))
     # each line that is not blank starts a block unless it goes on with the kind of the line before
     begins = F.transform("lines", lambda x, i: F.when((x["kind"] != "blank") & ((i == 0) | (F.get("lines", i - 1)["kind"] != x["kind"])), i))
     ends = F.transform("lines", lambda x, i: F.when((x["kind"] != "blank") & F.coalesce(F.get("lines", i + 1)["kind"] != x["kind"], F.lit(True)), i))
-    placed = lines.select(id_col, "lines", F.array_compact(begins).alias("begins"), F.array_compact(ends).alias("ends"))
+    placed = held(lines, [id_col, "lines"], begins=F.array_compact(begins), ends=F.array_compact(ends))
 
     def block(begin: Column, k: Column) -> Column:
         kind = F.get("lines", begin)["kind"]
@@ -345,11 +346,11 @@ def pack_chunks(df: DataFrame, id_col: str, text_col: str, max_tokens: int = 350
         return F.struct(begins.alias("begins"), (acc["at"] + 1).alias("at"), F.when(new, t).otherwise(acc["n"] + t).alias("n")).cast(kind)
 
     start = F.struct(F.array().cast("array<int>").alias("begins"), F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("n")).cast(kind)
-    folded = df.select(F.col(id_col), parts.alias("parts")).withColumn("tokens", F.transform("parts", lambda p: token_estimate(F.length(p))))
-    folded = folded.select(id_col, "parts", F.aggregate("tokens", start, step).alias("f"))
+    cut = held(df, [id_col], parts=parts)
+    folded = held(cut, [id_col, "parts"], f=F.aggregate(F.transform("parts", lambda p: token_estimate(F.length(p))), start, step))
     small_tail = (F.size("f.begins") > 1) & (F.col("f.n") < limit * 0.2)
     begins = F.when(small_tail, F.slice("f.begins", 1, F.size("f.begins") - 1)).otherwise(F.col("f.begins"))
-    ready = folded.select(id_col, "parts", begins.alias("begins"))
+    ready = held(folded, [id_col, "parts"], begins=begins)
     content = F.transform("begins", lambda b, k: F.array_join(F.slice("parts", b + 1, F.coalesce(F.get("begins", k + 1), F.size("parts")) - b), joiner))
     rows = ready.select(id_col, F.posexplode(content).alias("chunk_ord", "content"))
     return rows.select(id_col, F.col("chunk_ord").cast("long").alias("chunk_ord"), "content", token_estimate(F.length("content")).alias("tokens"))
