@@ -4,19 +4,21 @@ A window is ``width`` consecutive words. A word goes if a window that covers it
 document with a smaller id; windows are judged on the input.
 
 1. Each window has an anchor: the ``gram``-word run in it with the least hash (long runs are seldom
-   shared by chance). Equal windows have
-   equal anchors, so only anchors that occur in several documents matter. (anchor -> smallest
-   document, "owner") is one aggregation with map-side combine.
-2. The stretch of windows around an anchor in its owner is the reference passage of that anchor.
-   Stretches equal to it are settled by fingerprint.
-3. Other stretches are streamed through suffix automata. A reference shard is the set of passages
-   that an Arrow batch needs (its size is bounded by the batch); its automaton is built in the task
-   beside the stretches that stream through it. A broadcast of one automaton over the corpus
-   would grow with the data, so shards travel with the join on anchors instead. Each state
-   keeps the smallest owner that contains it, and the matching statistics give, window by window,
-   whether it starts in a smaller document.
-4. Windows that the owner lacks may still be shared by later documents; they are settled by an
-   aggregation of 128-bit window fingerprints.
+   shared by chance). Equal windows have equal anchors at equal places, so only anchors that occur in
+   several documents matter: one aggregation with map-side combine, kept as a bitmap of bounded size.
+2. Texts stream past the bitmap and give up their repeated passages: for each anchor that it passes,
+   the stretch of windows that share it (at most ``2 * width - gram`` words).
+3. Each distinct passage, with the smallest document that has it, goes to a reference shard by its
+   anchor; a shard holds about ``shard_words`` words, however large the corpus is. An anchor with more than an
+   eighth of a shard to itself is dealt window by window instead. A task builds the suffix
+   automaton of its shard, documents in ascending order, so that each state knows the smallest document
+   that contains it; then every passage of the shard is streamed through, and the matching
+   statistics give, for each of its windows, the smallest document in which it starts.
+4. A document loses the words under those of its windows that start in a smaller one.
+
+The automata are not broadcast: the number of shards grows with the repeated part of the corpus, and a
+broadcast of one after another to all documents would cost their product. A passage meets the one
+shard that can hold its windows instead, so the work is linear.
 
 Cases: null text has no words; fewer than ``width`` words lose nothing; rows with the same id count
 as the same document and do not remove each other's words; a null id neither removes nor loses
@@ -34,8 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.words import HASHES, only, rolling, signed, text_bytes, word_hashes
-from ticketloom.session import IdFilter, bounded_batches, table, written
+from ticketloom.llm.words import HASHES, mix, only, rolling, signed, text_bytes, word_hashes
+from ticketloom.session import IdFilter, bounded_batches, release, table, written
 
 
 class SuffixAutomaton:
@@ -45,254 +47,294 @@ class SuffixAutomaton:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length, self.first = [-1], [0], [0]
 
-    def _state(self, length: int, first: int) -> int:
-        self.next.append({})
-        self.link.append(0)
-        self.length.append(length)
-        self.first.append(first)
-        return len(self.length) - 1
-
-    def _clone(self, p: int, q: int, c: int) -> int:
-        clone = self._state(self.length[p] + 1, self.first[q])
-        self.next[clone] = dict(self.next[q])
-        self.link[clone] = self.link[q]
-        while p != -1 and self.next[p].get(c) == q:
-            self.next[p][c] = clone
-            p = self.link[p]
-        self.link[q] = clone
-        return clone
-
-    def _extend(self, last: int, c: int, doc: int) -> int:
-        q = self.next[last].get(c)
-        if q is not None:
-            return q if self.length[last] + 1 == self.length[q] else self._clone(last, q, c)
-        new, p = self._state(self.length[last] + 1, doc), last
-        while p != -1 and c not in self.next[p]:
-            self.next[p][c] = new
-            p = self.link[p]
-        if p != -1:
-            q = self.next[p][c]
-            self.link[new] = q if self.length[p] + 1 == self.length[q] else self._clone(p, q, c)
-        return new
-
     def add(self, words: list[int], doc: int) -> None:
+        """Online construction; a word that is there already is followed, so sequences share states. A clone
+        is made where a state holds longer contexts than the one that is needed."""
+        next_, link, length, first = self.next, self.link, self.length, self.first
         last = 0
         for c in words:
-            last = self._extend(last, c, doc)
-
-    def matched(self, words: list[int], doc: int, width: int) -> list[int]:
-        """Starts of the width-word windows that occur in a document below doc. The matching
-        length is kept at width at most, so the state is that of the window itself."""
+            p, q = last, next_[last].get(c)
+            if q is None:
+                new = len(length)
+                next_.append({})
+                link.append(0)
+                length.append(length[last] + 1)
+                first.append(doc)
+                while q is None:
+                    next_[p][c] = new
+                    p = link[p]
+                    if p < 0:
+                        break
+                    q = next_[p].get(c)
+                last = new
+                if p < 0:
+                    continue
+            else:
+                new = -1
+            if length[p] + 1 < length[q]:
+                clone = len(length)
+                next_.append(next_[q].copy())
+                link.append(link[q])
+                length.append(length[p] + 1)
+                first.append(first[q])
+                link[q] = clone
+                while p >= 0 and next_[p].get(c) == q:
+                    next_[p][c] = clone
+                    p = link[p]
+                q = clone
+            if new < 0:
+                last = q
+            else:
+                link[new] = q
+
+    def earliest(self, words: list[int], width: int) -> list[int | None]:
+        """For each width-word window, the smallest document in which it occurs, None if there is none.
+        The matching length is kept at width at most, so the state is that of the window itself."""
+        next_, link, length, first = self.next, self.link, self.length, self.first
         state, size, out = 0, 0, []
         for i, c in enumerate(words):
-            while state and c not in self.next[state]:
-                state = self.link[state]
-                size = self.length[state]
-            to = self.next[state].get(c)
+            while state and c not in next_[state]:
+                state = link[state]
+                size = length[state]
+            to = next_[state].get(c)
             if to is None:
                 size = 0
-                continue
-            state, size = to, size + 1
+            else:
+                state, size = to, size + 1
             if size >= width:
                 size = width
-                while self.length[self.link[state]] >= width:
-                    state = self.link[state]
-                if self.first[state] < doc:
-                    out.append(i - width + 1)
+                while length[link[state]] >= width:
+                    state = link[state]
+            if i >= width - 1:
+                out.append(first[state] if size == width else None)
         return out
 
 
-def anchors(hashes: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, number of windows) for each stretch of windows with one anchor
-    occurrence."""
-    n = len(hashes) - width + 1
-    if n <= 0:
-        none = np.zeros(0, np.int64)
-        return none.view(np.uint64), none, none
-    grams = rolling(hashes, gram)
-    place = np.lib.stride_tricks.sliding_window_view(grams, width - gram + 1).argmin(axis=1) + np.arange(n)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return grams[place[first]], first, np.diff(np.append(first, n))
+def anchors(sizes: list[int], hashes: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of several texts of ``sizes`` words, one after another: (text, anchor hash, first window, number of
+    windows) for each stretch of windows whose least ``gram``-word run is the same. Stretches have at most
+    width - gram + 1 windows; longer ones, of a repeated run, are cut."""
+    reach = width - gram + 1
+    least = rolling(hashes, gram)
+    none = np.zeros(0, np.int64)
+    if len(least) < reach:
+        return none, none.view(np.uint64), none, none
+    have = 1  # the least of 1, 2, 4 ... neighbours
+    while have < reach:
+        step = min(have, reach - have)
+        least = np.minimum(least[:-step], least[step:])
+        have += step
+    ends = np.cumsum(sizes)
+    text = np.repeat(np.arange(len(sizes)), sizes)[: len(least)]
+    windows = np.flatnonzero(np.arange(len(least)) + width <= ends[text])  # those that stay in their text
+    if not len(windows):
+        return none, none.view(np.uint64), none, none
+    value = least[windows]
+    new = np.concatenate([[True], (value[1:] != value[:-1]) | (windows[1:] != windows[:-1] + 1)])
+    begin = np.flatnonzero(new)
+    in_run = np.arange(len(windows)) - np.repeat(begin, np.diff(np.append(begin, len(windows))))
+    at = np.flatnonzero(in_run % reach == 0)
+    return text[windows[at]], value[at], windows[at], np.diff(np.append(at, len(windows)))
 
 
 def _row_key(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def _described(width: int, gram: int):
+def _anchors(width: int, gram: int):
+    """(text) -> one row for each distinct anchor of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only(HASHES)
         for batch in batches:
-            keys, counts, shas, found = [], [], [], []
-            for text in text_bytes(batch.column(1)):
-                text = text or b""
-                words = text.split()
-                keys.append(_row_key(text))
-                counts.append(len(words))
-                shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                found.append(np.unique(anchors(word_hashes(words), width, gram)[0]) if len(words) >= width else np.zeros(0, np.uint64))
-            ends = np.cumsum([0, *(len(x) for x in found)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(keys, pa.int64()),
-                    pa.array(counts, pa.int64()),
-                    pa.array(shas, pa.string()),
-                    pa.ListArray.from_arrays(ends, signed(np.concatenate([np.zeros(0, np.uint64), *found]))),
-                ],
-                ["doc_id", "row_key", "n_words", "sha", "anchors"],
-            )
+            words = [(t or b"").split() for t in text_bytes(batch.column(0))]
+            sizes = [len(w) for w in words]
+            text, anchor, _, _ = anchors(sizes, word_hashes([x for w in words for x in w]), width, gram)
+            _, once = np.unique(mix(anchor ^ mix(text.astype(np.uint64) + np.uint64(1))), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(anchor[once]))], ["anchor"])
 
     return run
 
 
-def _wanted_rows(wanted: IdFilter):
-    """(doc_id, text, slot) -> rows that the id filter passes, with their row key."""
+_STRETCH = "anchor long, print long, doc_id long, row_key long, start int, n int, part binary"
+
+
+def _stretches(shared: IdFilter, width: int, gram: int, seen_most: int = 200_000):
+    """(doc_id, text) -> the stretches of the anchors that the filter passes: fingerprint, place, and the
+    words themselves, which are left out where this task has given them before. Equal stretches have equal
+    anchors, so a stretch is known by its anchor and fingerprint, 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(HASHES)
+        seen: set[int] = set()
         for batch in batches:
-            batch = batch.filter(pa.array(wanted.has(batch.column(2).to_numpy())))
-            keys = [_row_key(t or b"") for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), batch.column(1)], ["doc_id", "row_key", "text"])
+            texts = [t or b"" for t in text_bytes(batch.column(1))]
+            split = [t.split() for t in texts]
+            words = [x for w in split for x in w]
+            sizes = [len(w) for w in split]
+            hashes = word_hashes(words)
+            text, anchor, first, n = anchors(sizes, hashes, width, gram)
+            at = np.flatnonzero(shared.has_hash(signed(anchor)))
+            text, begins, counts = text[at], first[at].tolist(), n[at].tolist()
+            raw, prints, parts = hashes.tobytes(), [], []
+            for b, k in zip(begins, counts, strict=True):
+                mark = xxhash.xxh3_64_intdigest(raw[8 * b : 8 * (b + k + width - 1)]) - (1 << 63)
+                prints.append(mark)
+                if mark in seen:
+                    parts.append(None)
+                else:
+                    seen.add(mark)
+                    parts.append(b" ".join(words[b : b + k + width - 1]))
+            owner = pa.array(text)
+            keys = pa.array([_row_key(t) for t in texts], pa.int64())
+            start = first[at] - (np.cumsum([0, *sizes])[:-1])[text]
+            columns = [pa.array(signed(anchor[at])), pa.array(prints, pa.int64()), batch.column(0).take(owner), keys.take(owner), pa.array(start.astype(np.int32)), pa.array(n[at].astype(np.int32)), pa.array(parts, pa.binary())]
+            if len(seen) > seen_most:
+                seen.clear()
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _STRETCH.split(", ")])
 
     return run
 
 
-def _passing(shared: IdFilter):
-    """(doc_id, row_key, anchors) -> one row for each anchor that the filter of shared ones passes."""
+_FIRSTS = "anchor long, print long, at int, firsts array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            values = lists.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            keep = shared.has_hash(values)
-            at = pa.array(owner[keep])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(values[keep], pa.int64())], ["doc_id", "row_key", "anchor"])
+
+def _through_automaton(width: int):
+    """The passages of a shard -> for each of their windows the smallest document that has it."""
+
+    def run(group: pa.Table) -> pa.Table:
+        docs, parts = group["doc_id"].to_pylist(), [word_hashes(p.split(b" ")).tolist() for p in group["part"].to_pylist()]
+        automaton = SuffixAutomaton()
+        for i in sorted(range(len(docs)), key=docs.__getitem__):
+            automaton.add(parts[i], docs[i])
+        firsts = pa.array([automaton.earliest(p, width) for p in parts], pa.list_(pa.int64()))
+        return group.select(["anchor", "print", "at"]).append_column("firsts", firsts)
 
     return run
 
 
-def _stretches(width: int, gram: int, with_words: bool):
-    """(doc_id, row_key, text, anchors) -> stretches of the listed anchors, with a fingerprint or
-    with the word hashes themselves."""
+def _counted(words: list[bytes]) -> tuple[int, str]:
+    return len(words), hashlib.sha256(b" ".join(words)).hexdigest()
+
+
+def _untouched(touched: IdFilter):
+    """(doc_id, text, slot) -> what is left of the rows that the filter does not pass: all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only(HASHES)
         for batch in batches:
-            out: list[tuple] = []
-            for doc, key, text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-                hashes = word_hashes((text or b"").split())
-                anchor, first, n = anchors(hashes, width, gram)
-                anchor = signed(anchor)
-                for i in np.flatnonzero(np.isin(anchor, np.array(listed, np.int64))):
-                    part = hashes[first[i] : first[i] + n[i] + width - 1].tobytes()
-                    out.append((int(anchor[i]), doc, key, int(first[i]), int(n[i]), part if with_words else xxhash.xxh3_128_digest(part)))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "doc_id", "row_key", "start", "n", "part"])
+            batch = batch.filter(pa.array(~touched.has(batch.column(2).to_numpy())))
+            rows = [_counted((t or b"").split()) for t in text_bytes(batch.column(1))]
+            n = len(rows)
+            columns = [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([0] * n, pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.nulls(n, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     return run
 
 
-def _streamed(width: int):
-    """Stretches with the reference passages of their anchor: settled windows (hi null) and the
-    fingerprints of those that no reference has."""
+def _touched_rows(touched: IdFilter):
+    """(doc_id, text, slot) -> rows that the filter passes, with their row key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            shard = sorted({(owner, ref) for *_, owner, refs in rows for ref in refs})
-            automaton = SuffixAutomaton()
-            for owner, ref in shard:
-                automaton.add(np.frombuffer(ref, np.uint64).tolist(), owner)
-            out: list[tuple] = []
-            for doc, key, start, n, part, _, _ in rows:
-                words = np.frombuffer(part, np.uint64)
-                hit = set(automaton.matched(words.tolist(), doc, width))
-                for i in range(n):
-                    if i in hit:
-                        out.append((doc, key, start + i, None, None))
-                    else:
-                        h = xxhash.xxh3_128_intdigest(words[i : i + width].tobytes())
-                        out.append((doc, key, start + i, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "row_key", "start", "hi", "lo"])
+            batch = batch.filter(pa.array(touched.has(batch.column(2).to_numpy())))
+            keys = [_row_key(t or b"") for t in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), batch.column(1)], ["doc_id", "row_key", "text"])
 
     return run
 
 
 def _remaining(width: int):
+    """(doc_id, text, spans) -> what is left of each row; spans of windows, null if there is none."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone, shas, texts = [], [], []
-            for text, spans in zip(text_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+            rows: list[tuple] = []
+            for text, spans in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 words = (text or b"").split()
+                if not spans:
+                    n, sha = _counted(words)
+                    rows.append((n, 0, sha, None))
+                    continue
                 step = np.zeros(len(words) + 1, np.int64)
-                for s in spans:
-                    step[s["start"]] += 1
-                    step[s["start"] + s["n"] + width - 1] -= 1
+                np.add.at(step, [s["start"] for s in spans], 1)
+                np.add.at(step, [s["start"] + s["n"] + width - 1 for s in spans], -1)
                 out = np.cumsum(step[:-1]) > 0
                 kept = b" ".join(w for w, x in zip(words, out.tolist(), strict=True) if not x)
-                gone.append(int(out.sum()))
-                shas.append(hashlib.sha256(kept).hexdigest())
-                texts.append(kept.decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(gone, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())],
-                ["doc_id", "row_key", "n_removed", "kept_sha256", "kept_text"],
-            )
+                rows.append((len(words), int(out.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, gram: int = 7) -> DataFrame:
+_KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+
+def first_documents(stretches: DataFrame, width: int, shard_words: int) -> DataFrame:
+    """(anchor, print, at, firsts) for each distinct stretch: the smallest document that has the window,
+    for the windows from ``at`` on."""
+    passages = written(stretches.groupBy("anchor", "print").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("part", ignorenulls=True).alias("part")), "repeat-passages")
+    words = F.sum(F.col("n") + width - 1)
+    shards = max(1, -(-(passages.agg(words).first()[0] or 0) // shard_words))
+    crowded = written(passages.groupBy("anchor").agg(words.alias("words")).filter(F.col("words") > shard_words // 8).select("anchor", F.lit(True).alias("hot")), "repeat-hot")
+    marked = passages.join(crowded, "anchor", "left")
+    whole = marked.filter("hot is null").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "print", F.lit(0).alias("at"), "doc_id", "part")
+    single = marked.filter("hot").select("anchor", "print", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"), "doc_id", F.split(F.decode("part", "ISO-8859-1"), " ").alias("words"))
+    single = single.withColumn("part", F.encode(F.array_join(F.slice("words", F.col("at") + 1, width), " "), "ISO-8859-1"))
+    single = single.select(F.pmod(F.xxhash64("part"), F.lit(shards)).alias("shard"), "anchor", "print", "at", "doc_id", "part")
+    firsts = written(whole.unionByName(single).groupBy("shard").applyInArrow(_through_automaton(width), _FIRSTS), "repeat-firsts")
+    release(passages, crowded)
+    return firsts
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, gram: int = 7, shard_words: int = 1 << 17) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text) for every row of docs; kept_text (words
     joined by one space) is null where nothing was removed."""
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    described = written(source.mapInArrow(_described(width, gram), "doc_id long, row_key long, n_words long, sha string, anchors array<long>"), "repeat-docs")
-    listed = described.filter("doc_id is not null")
-    places = listed.select("doc_id", F.explode("anchors").alias("anchor"))
-    shared = places.groupBy("anchor").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last").select("anchor", "owner")
-    shared = written(shared, "repeat-anchors")
+    named = source.filter("doc_id is not null")
+    places = named.select("text").mapInArrow(_anchors(width, gram), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    shared = written(places.filter("n > 1").select("anchor"), "repeat-anchors")
     found = IdFilter.of(shared, "anchor", shared.count(), hashed=True)
-    likely = listed.select("doc_id", "row_key", "anchors").mapInArrow(_passing(found), "doc_id long, row_key long, anchor long")
-    owners = written(likely.join(shared, "anchor").groupBy("doc_id", "row_key").agg(F.collect_set("anchor").alias("anchors")), "repeat-hits")
-
-    def texts_of(ids: DataFrame) -> DataFrame:
-        wanted = IdFilter.of(ids, "doc_id", ids.count())
-        rows = source.select("doc_id", "text", wanted.slot("doc_id").alias("slot")).mapInArrow(_wanted_rows(wanted), "doc_id long, row_key long, text string")
-        return rows.join(ids, ["doc_id", "row_key"])
-
-    stretch = "anchor long, doc_id long, row_key long, start int, n int, part binary"
-    marked = written(texts_of(owners).select("doc_id", "row_key", "text", "anchors").mapInArrow(_stretches(width, gram, False), stretch).join(shared, "anchor"), "repeat-stretches")
-    prints = written(marked.filter("doc_id = owner").select("anchor", "part").distinct().withColumn("same", F.lit(True)), "repeat-prints")
-    judged = written(marked.filter("doc_id > owner").join(prints, ["anchor", "part"], "left").drop("part"), "repeat-judged")
-    equal = judged.filter("same").select("doc_id", "row_key", "start", "n")
-
-    # what differs from its reference, and those references, with their words
-    open_rows = judged.filter("same is null").select("anchor", "doc_id", "row_key")
-    refs = marked.filter("doc_id = owner").join(open_rows.select("anchor").distinct(), "anchor", "left_semi").select("anchor", "doc_id", "row_key")
-    needed = written(open_rows.unionByName(refs).groupBy("doc_id", "row_key").agg(F.collect_set("anchor").alias("anchors")), "repeat-needed")
-    spelled = written(texts_of(needed).select("doc_id", "row_key", "text", "anchors").mapInArrow(_stretches(width, gram, True), stretch).distinct().join(shared, "anchor"), "repeat-spelled")
-    passages = spelled.filter("doc_id = owner").groupBy("anchor").agg(F.collect_set("part").alias("refs"))
-    differing = spelled.filter("doc_id > owner").join(judged.filter("same is null").select("anchor", "doc_id", "row_key", "start"), ["anchor", "doc_id", "row_key", "start"], "left_semi")
-    streamed = written(
-        differing.join(passages, "anchor").select("doc_id", "row_key", "start", "n", "part", "owner", "refs").mapInArrow(_streamed(width), "doc_id long, row_key long, start int, hi long, lo long"),
-        "repeat-streamed",
-    )
-    settled = streamed.filter("hi is null").select("doc_id", "row_key", "start", F.lit(1).alias("n"))
-    unsettled = streamed.filter("hi is not null")
-    earliest = unsettled.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    later = unsettled.join(earliest, ["hi", "lo"]).filter("doc_id > least").select("doc_id", "row_key", "start", F.lit(1).alias("n"))
-
-    spans = equal.unionByName(settled).unionByName(later).groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-    spans = written(spans, "repeat-spans")
-    reduced = texts_of(spans).select("doc_id", "row_key", "text", "spans").mapInArrow(_remaining(width), "doc_id long, row_key long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(["doc_id", "row_key"])
-    out = described.select("doc_id", "row_key", "n_words", "sha").join(reduced, ["doc_id", "row_key"], "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept_text")
+    stretches = written(named.mapInArrow(_stretches(found, width, gram), _STRETCH), "repeat-stretches")
+    firsts = first_documents(stretches, width, shard_words)
+
+    # windows of a document that start in a smaller one, as (first window, number of windows)
+    met = stretches.drop("part", "n").join(firsts, ["anchor", "print"]).filter(F.array_min("firsts") < F.col("doc_id"))
+    begin = F.col("start") + F.col("at")
+    each = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.struct((begin + i).alias("start"), F.lit(1).alias("n")))), lambda x: x.isNotNull())
+    spans = F.when(F.array_max("firsts") < F.col("doc_id"), F.array(F.struct(begin.alias("start"), F.size("firsts").alias("n")))).otherwise(each)
+    gone = written(met.select("doc_id", "row_key", spans.alias("spans")).groupBy("doc_id", "row_key").agg(F.flatten(F.collect_list("spans")).alias("spans")), "repeat-spans")
+
+    release(shared, stretches, firsts)
+    touched = IdFilter.of(gone, "doc_id", gone.count())
+    rows = source.select("doc_id", "text", touched.slot("doc_id").alias("slot"))
+    reduced = rows.mapInArrow(_touched_rows(touched), "doc_id long, row_key long, text string").join(gone, ["doc_id", "row_key"], "left")
+    return rows.mapInArrow(_untouched(touched), _KEPT).unionByName(reduced.select("doc_id", "text", "spans").mapInArrow(_remaining(width), _KEPT))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+#: The contract, stated over windows as texts.
+OP4_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), win AS (
+  SELECT doc_id, k, array_to_string(list_slice(words, k, k + 12), ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS k FROM w)
+), firsts AS (
+  SELECT doc_id, k, min(doc_id) OVER (PARTITION BY run) AS first_doc FROM win
+), hit AS (
+  SELECT DISTINCT doc_id, k + unnest(range(0, 13)) AS place FROM firsts WHERE first_doc < doc_id
+), gone AS (
+  SELECT doc_id, list(place) AS places FROM hit GROUP BY doc_id
+), left_over AS (
+  SELECT w.doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+    CASE WHEN places IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END AS kept
+  FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM left_over
+"""
