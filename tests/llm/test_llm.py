@@ -73,30 +73,53 @@ def test_near_duplicates(spark, sf, texts):
     assert all(r["n_shingles"] == len(sets[r["doc_id"]]) and r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
-def test_near_duplicates_in_crowded_buckets(spark):
-    rng = np.random.default_rng(3)
-    base = [f"b{k}" for k in range(120)]
+def near_copies(seed, n, edits, words=120, spread=40):
+    rng = np.random.default_rng(seed)
     texts = {}
-    for i in range(150):
-        w = list(base)
-        for at in rng.integers(0, 120, rng.integers(0, 9)):
-            w[at] = f"e{rng.integers(0, 40)}"
+    for i in range(n):
+        w = [f"b{k}" for k in range(words)]
+        for at in rng.integers(0, words, rng.integers(0, edits)):
+            w[at] = f"e{rng.integers(0, spread)}"
         texts[i] = " ".join(w)
+    return texts
+
+
+@pytest.mark.parametrize(("n", "edits", "block"), [(150, 9, 32), (120, 14, 16), (90, 30, 8)])
+def test_near_duplicates_in_crowded_buckets(spark, n, edits, block):
+    texts = near_copies(3, n, edits)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, block=32).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, block=block).collect()}
     assert got == components(texts)[1]
 
 
-def test_block_comparison():
+def test_near_duplicates_of_two_thousand_alike(spark):
+    texts = near_copies(8, 2000, 7, words=150, spread=4000)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df).collect()}
+    assert got == components(texts)[1]
+
+
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_forest_of_a_block(two_sides):
     import pyarrow as pa
 
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(30)]
-    group = pa.table({"node": [bytes([i]) for i in range(30)], "node_in": [bytes([i]) for i in range(30)], "side": [2] * 30, "hashes": [s.tobytes() for s in sets]})
-    out = near_dedup._compare_blocks(30, columns=16)(group)
-    got = {tuple(sorted(p)) for p in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)}
-    want = {(bytes([i]), bytes([j])) for i in range(30) for j in range(i + 1, 30) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 30 * len(np.union1d(sets[i], sets[j]))}
-    assert got == want and got
+    sides = [k % 2 for k in range(30)] if two_sides else [2] * 30
+    homes = [bytes([k // 2 * 2]) for k in range(30)]
+    group = pa.table({"node": [bytes([i]) for i in range(30)], "node_in": homes, "side": sides, "hashes": [s.tobytes() for s in sets]})
+    out = near_dedup._forest(40, columns=16)(group)
+
+    def parts(pairs):
+        root = {h: h for h in homes}
+        for a, b in pairs:
+            ra, rb = root[homes[a]], root[homes[b]]
+            root = {k: ra if v == rb else v for k, v in root.items()}
+        return {frozenset(k for k in root if root[k] == r) for r in root.values()}
+
+    got = [(a[0], b[0]) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)]
+    want = [(i, j) for i in range(30) for j in range(30) if (sides[i] != sides[j] or not two_sides) and i != j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 40 * len(np.union1d(sets[i], sets[j]))]
+    assert set(got) <= set(want) and parts(got) == parts(want) and 0 < len(got) < 15
 
 
 def test_sketches_estimate_similarity_and_fill():
@@ -160,15 +183,17 @@ def test_substring_dedup_windows_that_the_owner_lacks(spark):
         mid = p[cut : cut + 13 + int(rng.integers(0, 6))]
         texts[i] = " ".join(w + mid + [f"t{rng.integers(0, 3)}"] * 3 + mid[:5] + w)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(df).collect()} == brute_repeats(texts)
+    for shard_words in (1 << 17, 600):  # the anchors of the passages are hot, then not
+        got = substring_dedup.remove_repeats(df, shard_words=shard_words).collect()
+        assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == brute_repeats(texts)
 
 
 def test_suffix_automaton_keeps_first_documents():
     a = substring_dedup.SuffixAutomaton()
     a.add([1, 2, 3, 4], 5)
     a.add([9, 2, 3, 4, 7], 8)
-    assert a.matched([2, 3, 4], 6, 3) == [0] and a.matched([2, 3, 4], 5, 3) == []
-    assert a.matched([3, 4, 7], 9, 3) == [0] and a.matched([3, 4, 7], 8, 3) == [] and a.matched([4, 4, 7], 9, 3) == []
+    assert a.earliest([2, 3, 4], 3) == [5] and a.earliest([3, 4, 7], 3) == [8] and a.earliest([4, 4, 7], 3) == [None]
+    assert a.earliest([0, 1, 2, 3, 4, 7, 2, 3, 4], 3) == [None, 5, 5, 8, None, None, 5] and a.earliest([2, 3], 3) == []
 
 
 def test_substring_dedup_odd_rows(odd, none):
@@ -216,6 +241,45 @@ def test_decontamination_judges_each_occurrence(spark):
     assert got == {(1, False), (2, True), (3, False), (4, True), (6, True)}
 
 
+def test_decontamination_finds_every_item_reparameterised(spark, sf):
+    """Each benchmark item with its numbers and names changed, alone and beside the original."""
+    from ticketloom.session import table
+
+    names = {"Paris": "Oslo", "Anna": "Tom"}
+    items = [(r["item_id"], r["text"]) for r in table(spark, sf, "benchmark").collect()]
+    # the benchmark has hardly a slot of its own, so each item gets a question with two numbers and a name
+    items = [(i, f"{t} If Anna walks {3 + i} km to Paris in {50 + i} minutes, how fast is she?") for i, t in items]
+
+    def other(text):
+        text = re.sub(r"\d+", lambda m: str(int(m[0]) * 7 + 1), text)
+        return re.sub("|".join(names), lambda m: names[m[0]], text)
+
+    fill = "then they went on and talked of other things for a while. "
+    docs = [(2 * i, f"Some words come first. {other(t)} {fill}") for i, t in items] + [(2 * i + 1, f"{fill}{t} {fill}{other(t)} {fill}") for i, t in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    got = {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in found}
+    assert {(2 * i, i) for i, _ in items} | {(2 * i + 1, i) for i, _ in items} <= set(got)
+    assert all(got[2 * i, i] and not got[2 * i + 1, i] for i, _ in items)
+
+
+def test_decontamination_with_windows_that_all_items_share(spark):
+    shared = "choose the one right answer among the four given below and explain your choice in a few words"
+    items = [(k, f"{shared} {' '.join(f'q{k}x{j}' for j in range(30))}") for k in range(40)]
+    docs = [(k, f"{shared} d{k} e{k}") for k in range(50)] + [(100 + k, f"so {items[k][1]} and so on") for k in range(40)]
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(100 + k, k) for k in range(40)}
+
+
+def test_contaminated_rows_go_whatever_their_id(spark, sf, odd, none):
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first()["text"]
+    rows = [(None, f"so. {item} and"), (None, "clean words only"), (1, item), (1, "other clean words"), (2, None), (2, ""), (3, "x y"), (3, "x y")]
+    df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, row int")
+    out = decontamination.drop_contaminated(spark, df, sf)
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(rows[k] for k in (1, 3, 4, 5, 6, 7)) and out.columns == df.columns
+    assert decontamination.drop_contaminated(spark, odd, sf).count() == odd.count() and decontamination.drop_contaminated(spark, none, sf).count() == 0
+
+
 def test_decontamination_of_items_dense_in_slots(spark):
     items = {1: "Anna gave Ben 3 apples and Carl 4 pears", 2: "Solve 3 x + 5 y = 17", 3: "12 7", 4: "Add 3 to 4, then 5 to 6, then 7 to 8, then 9 to 10, then 11 to 12 and tell Ben, Carl and Dora"}
     texts = {
@@ -287,6 +351,81 @@ def test_toxicity_held_out_and_grammar(spark, sf):
     assert g.score(None) == g.score("") < 0.5
 
 
+def plain_clauses(g, text):
+    """Clause scores by looking around each match, without any automaton."""
+    clauses, now = [], []
+    for raw in text.lower().split():
+        now.append(raw)
+        if raw.endswith((".", "!", "?", ";", ":")):
+            clauses.append(now)
+            now = []
+    out = []
+    for clause in [*clauses, now]:
+        bare = [w.strip(toxicity._EDGE) for w in clause]
+        kinds = [toxicity.INSULT if g.insult_weight(w) else toxicity.THREAT if w in g.threats else toxicity.WORD_CLASS.get(w, toxicity.OTHER) for w in bare]
+        score, match = 0.0, False
+        for i, (w, c) in enumerate(zip(bare, kinds, strict=True)):
+            if c not in (toxicity.INSULT, toxicity.THREAT):
+                continue
+            match = True
+            weight = g.insult_weight(w) or g.threats.get(w, 1.0)
+            weight *= (0.15 if toxicity.NEGATION in kinds[max(0, i - 3) : i] else 1.0) * (0.5 if toxicity.REPORT in kinds[:i] else 1.0)
+            if c == toxicity.INSULT:
+                score += weight * (1.5 if toxicity.TARGET in kinds[:i] else 1.0)
+            elif toxicity.TARGET in kinds:
+                score += weight
+        if match:
+            out.append(score)
+    return out
+
+
+def test_toxicity_scores_against_plain_rules():
+    rng = np.random.default_rng(6)
+    g = toxicity.Grammar({"idiot": 1.0, "fool": 0.4}, {"blux": 0.7}, {"burn": 0.6})
+    pool = "idiot fool bluxed kill burn you them not never said called and so. well; go! kill. you? the day".split()
+    for _ in range(400):
+        text = " ".join(rng.choice(pool, int(rng.integers(0, 40))))
+        assert np.allclose(g.clauses(text), plain_clauses(g, text))
+
+
+def test_transducers_compose():
+    t = toxicity
+    assert [w for _, w in t.negation().run([t.NEGATION, t.OTHER, t.INSULT, t.OTHER, t.INSULT])] == [1.0, 0.15, 0.15, 0.15, 1.0]
+    assert [x for x, _ in t.addressed().run([t.THREAT, t.OTHER, t.TARGET, t.THREAT])] == [t.WAIT, t.NOTHING, t.RELEASE, t.MATCH]
+    both = t.compose(t.negation(), t.reported())
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        symbols = rng.integers(0, 6, 12).tolist()
+        first = t.negation().run(symbols)
+        second = t.reported().run([x for x, _ in first])
+        assert both.run(symbols) == [(x, v * w) for (_, v), (x, w) in zip(first, second, strict=True)]
+
+
+def test_toxicity_of_held_out_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    scored = queries.QUERIES["op5_toxicity"](spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").collect()
+    toxic, clean = ([r["score"] for r in scored if r["toxic"] == y] for y in (1, 0))
+    assert toxic and clean and np.mean([(a > b) + 0.5 * (a == b) for a in toxic for b in clean]) >= 0.95
+    assert sum(r["predicted"] == r["toxic"] for r in scored) >= 0.95 * len(scored)
+
+
+def test_toxicity_learns_threats(spark):
+    """A word that is harmless by itself and goes with the label where somebody is addressed."""
+    rng = np.random.default_rng(7)
+    filler = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(900):
+        w = " ".join(rng.choice(filler, 30))
+        kind = i % 9
+        end = {0: "i will zorch you.", 1: "we will zorch wood.", 2: "i will thank you dear.", 3: "i will rest."}.get(kind, "the end.")
+        rows.append((i, f"{w}. {end} {w}", int(kind == 0)))
+    rows += [(900 + i, f"{' '.join(rng.choice(filler, 9))}. we zorch iron.", 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    g = toxicity.fit_grammar(df.select("doc_id", "text"), df.select("doc_id", "toxic").filter("doc_id % 5 <> 1"))
+    assert "zorch" in g.threats
+    assert all((g.score(t) >= 0.5) == bool(y) for _, t, y in rows)
+
+
 def test_toxicity_learns_words_and_beginnings(spark):
     rng = np.random.default_rng(4)
     filler = [f"w{k}" for k in range(300)]
@@ -311,8 +450,9 @@ def test_toxicity_odd_rows(spark, odd, none):
     assert toxicity.reject_toxic(odd, g).columns == odd.columns
 
 
-def test_revisits_match_sql(spark, sf):
-    same(queries.QUERIES["op6_revisit_resolution"](spark, sf), connection(sf), queries.ORACLE_SQL["op6_revisit_resolution"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_match_sql(spark, sf, name):
+    same(queries.QUERIES[name](spark, sf), connection(sf), queries.ORACLE_SQL[name])
 
 
 def test_revisits_edge_cases(spark):
@@ -326,11 +466,17 @@ def test_revisits_edge_cases(spark):
         (5, "http://a.example/x", at(0), "revisit", '"a"', None, None, {}, None, 0),
         (6, None, at(3), "revisit", None, None, None, None, None, 0),
         (7, "http://a.example/x", at(9), "revisit", None, None, "e", None, None, 0),
+        (8, "http://m.a.example/x", at(9), "revisit", None, None, "e", None, None, 0),
+        (9, "http://a.example/x", None, "revisit", '"b"', None, None, None, None, 0),
+        (10, "http://a.example/x", None, "response", '"z"', None, "e", None, "never", 0),
+        (2, "https://a.example:443/x", at(5), "response", '"b"', None, "e", {"ETag": '"b"'}, "two", 0),
     ]
     df = spark.createDataFrame(rows, schema.replace("timestamp", "string")).withColumn("captured", F.col("captured").cast("timestamp"))
     for slot in (60, 3600):
-        got = {r["record_id"]: r for r in revisits.resolve_revisits(df, slot).collect()}
-        assert {k: (r["base_id"], r["status"]) for k, r in got.items()} == {3: (2, "resolved"), 4: (1, "changed"), 5: (None, "no_response"), 6: (None, "no_response"), 7: (2, "resolved")}
+        rows = revisits.resolve_revisits(df, slot).collect()
+        got = {r["record_id"]: r for r in rows}
+        assert len(rows) == len(got)
+        assert {k: (r["base_id"], r["status"]) for k, r in got.items()} == {3: (2, "resolved"), 4: (1, "changed"), 5: (None, "no_response"), 6: (None, "no_response"), 7: (2, "resolved"), 8: (None, "no_response"), 9: (None, "no_response")}
         assert got[3]["headers"] == {"etag": '"b"', "date": "now"} and got[3]["body"] == "two" and got[7]["headers"] == {"etag": '"b"'}
     assert revisits.resolve_revisits(df.limit(0)).count() == 0
 
@@ -348,7 +494,6 @@ def encoded(name, texts, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.vocabulary(name))
-    t.encode_special_tokens = True
     return [np.array([*e.ids, end], "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -445,6 +590,44 @@ def test_language_id_odd_rows(spark, odd, none):
     assert {r["lang_pred"] for r in language_id.identify_languages(odd, empty).collect()} == {"und"}
 
 
+def test_language_scores_against_plain_counts(spark, sf, texts, monkeypatch):
+    """Held-out scores and verdicts are those of a naive Bayes written with dictionaries."""
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op8_language_id"](spark, sf).collect()}
+    buckets = 1 << 15
+
+    def grams(text):
+        padded = [ord(c) for c in f" {text}  ".lower()]
+        out = []
+        for k in range(len(padded) - 2):
+            acc = 0
+            for c in padded[k : k + 3]:
+                acc = (acc ^ c) * 0x9E3779B1 & 0xFFFFFFFF
+                acc ^= acc >> 15
+                out.append((acc * 0x9E3779B1 & 0xFFFFFFFF) >> 17)
+        return out
+
+    learned = {i: t for i, t in texts.items() if t and lang[i] and zlib.crc32(str(i).encode()) % 4 != 2}
+    names = sorted({lang[i] for i in learned})
+    counts = {x: Counter() for x in names}
+    for i, t in learned.items():
+        counts[lang[i]].update(grams(t))
+    sizes = {x: sum(c.values()) + 0.1 * buckets for x, c in counts.items()}
+    share = Counter(lang[i] for i in learned)
+    for i in list(texts)[:60]:
+        z = [math.log(share[x] / len(learned)) + sum(math.log((counts[x][g] + 0.1) / sizes[x]) for g in grams(texts[i])) for x in names]
+        assert rows[i]["lang_pred"] == names[int(np.argmax(z))]
+        assert abs(rows[i]["score"] - 1 / sum(math.exp(v - max(z)) for v in z)) < 0.02
+
+    # a long text in segments scores as in one
+    model = language_id.LanguageModel(names, np.log(np.random.default_rng(0).random((buckets, len(names))) + 0.1).astype(np.float32), np.zeros(len(names)))
+    long = [" ".join(texts.values())[:50_000], "short one", ""]
+    whole = model.score(long)
+    monkeypatch.setattr(language_id, "_HELD", 4096)
+    parts = model.score(long)
+    assert whole[0] == parts[0] and np.allclose(whole[1], parts[1])
+
+
 def test_token_files_round_trip(spark, sf, texts):
     rows = {r["doc_id"]: r for r in queries.QUERIES["op9_token_files"](spark, sf).collect()}
     ids = sorted(texts)
@@ -461,6 +644,7 @@ def test_token_files_many_shards_and_single_documents(spark, sf, texts):
     assert [r["doc_id"] for r in rows] == sorted(texts)
     one = token_files.read_document(spark, path, 17).collect()
     assert len(one) == 1 and one[0]["ids"] == rows[17]["ids"]
+    assert token_files.read_document(spark, path, None).count() == token_files.read_document(spark, path, -5).count() == 0
     assert spark.read.parquet(f"{path}/dictionary").first()["dictionary"] == hashlib.sha256(spark.read.parquet(f"{path}/dictionary").first()["content"]).hexdigest()
 
 
@@ -468,12 +652,31 @@ def test_token_files_odd_rows(spark, odd, none):
     path = new_path(spark, "tokens")
     token_files.write_token_files(odd, path)
     rows = token_files.read_token_files(spark, path).orderBy("start").collect()
+    assert token_files.read_document(spark, path, 4).count() == 2 and token_files.read_document(spark, path, None).first()["ids"] == rows[0]["ids"]
     assert len(rows) == odd.count() and rows[0]["doc_id"] is None and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
     path = new_path(spark, "tokens")
     token_files.write_token_files(none, path)
     assert token_files.read_token_files(spark, path).count() == 0
 
 
+def test_token_files_spread_one_id(spark):
+    path = new_path(spark, "tokens")
+    docs = spark.range(200).select(F.when(F.col("id") > 60, F.col("id") % 2).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    token_files.write_token_files(docs, path, bucket_docs=20)
+    assert spark.read.parquet(f"{path}/shards").filter("last_doc = 1").select("bucket").distinct().count() > 2
+    rows = token_files.read_token_files(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == [None] * 61 + [0] * 69 + [1] * 70 and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_special_tokens_can_be_text():
+    from tokenizers import Tokenizer
+
+    path, text = tokens.vocabulary("byte_bpe_50k.json"), "x <|endoftext|> y"
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    assert tokens.Encoder(path, special_as_text=True).ids([text])[0] == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes() != tokens.Encoder(path).ids([text])[0]
+
+
 def der(tag, content):
     n = len(content)
     size = bytes([n]) if n < 128 else bytes([0x80 | len(b := n.to_bytes((n.bit_length() + 7) // 8, "big"))]) + b
@@ -488,7 +691,20 @@ def test_secret_structures():
     pem = f"-----BEGIN RSA PRIVATE KEY-----\n{b64[:64]}\n{b64[64:]}\n-----END RSA PRIVATE KEY-----"
     ssh = base64.b64encode(b"openssh-key-v1\0none and more bytes here").decode()
     kinds = lambda t: [k for _, k, _ in secrets.secret_spans(t)]
-    assert kinds(f"x {b64} y") == ["der"] and kinds(f"x {base64.b64encode(spki).decode()} y") == ["der"]
+    assert kinds(f"x {b64} y") == ["der"] and kinds(f"x {base64.b64encode(spki).decode()} y") == []
+    assert kinds(f"path/key/{b64}/more {b64[:50]}") == ["der"] and kinds(f"{b64[:64]}\n  {b64[64:128]}\\n{b64[128:]} y") == ["der"]
+    x = f"a {b64[:60]}\r\n{b64[60:]}, b"
+    assert [x[a:z] for a, _, z in secrets.secret_spans(x)] == [x[2:-3]]
+    eddsa = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, bytes(range(32)))))
+    locked = der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(0x30, b"")) + der(4, b"c" * 40))
+    for k in (eddsa, locked):
+        assert kinds(base64.b64encode(k).decode()) == kinds(base64.urlsafe_b64encode(k).decode().rstrip("=")) == kinds(k.hex() + "zz")[-1:] == ["der"]
+    none = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (json.dumps({"alg": "none"}).encode(), b'{"sub":1}', b"sig" * 9))
+    assert kinds(none) == kinds(token.rsplit(".", 1)[0] + ".") == []
+    armour = "-----BEGIN RSA PRIVATE KEY-----{0}Proc-Type: 4,ENCRYPTED{0}DEK-Info: AES-128-CBC,00{0}{0}{1}{0}-----END RSA PRIVATE KEY-----"
+    assert all(kinds(armour.format(x, base64.b64encode(b"c" * 64).decode())) == ["pem"] for x in ("\n", "\r\n", "\\n"))
+    assert kinds("-----BEGIN PRIVATE KEY-----" + base64.b64encode(b"c" * 64).decode() + "-----END PRIVATE KEY-----") == []
+    assert "pem" in kinds(pem.replace("\n", "\\n"))
     assert "pem" in kinds(pem) and kinds(f"a {ssh}") == ["openssh"] and kinds(f"t {token} u") == ["jwt"]
     assert "der" in kinds(key.hex().upper())
     assert kinds("x " + base64.b64encode(b"0" + bytes(60)).decode()) == [] and kinds("eyJhbGciO.not.signed") == []
@@ -533,3 +749,17 @@ def test_pipeline(spark, sf, texts):
     assert {r["doc_id"] for r in final} == set(inputs["packing"])
     order = sorted(inputs["packing"])
     check_packing(final, list(zip(order, encoded("word_bpe_49k.json", [inputs["packing"][i] for i in order], 1), strict=True)))
+
+
+def test_pipeline_run_and_odd_rows(spark, sf, odd, none):
+    import corpus_pipeline
+
+    rows = corpus_pipeline.run(spark, sf).collect()
+    assert rows and {"doc_id", "piece", "sequence_id", "offset", "length"} <= set(rows[0].asDict())
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, sf)
+        assert stage(spark, none, sf).count() == 0
+        if name == "packing":
+            assert {r["doc_id"] for r in out.collect()} == {None, *range(1, 9)}
+        else:
+            assert out.columns == odd.columns and {r["doc_id"] for r in out.collect()} >= {None, 1, 4, 5, 7}
