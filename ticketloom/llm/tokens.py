@@ -16,6 +16,7 @@ import gc
 import os
 import re
 import sys
+import unicodedata
 from array import array
 
 import public_tokenizers
@@ -59,11 +60,20 @@ def pieces(chunk: str) -> list[str]:
     return [chunk] if _UNCUT.search(chunk) else _PIECE.findall(chunk) or [chunk]
 
 
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write each byte as a character: printable ones of Latin-1 as themselves, the
+    others as the characters from 256 on, in order."""
+    others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
 #: vocabulary file: (how texts are cut, what precedes each chunk but the first, what can stand
-#: between pieces that are spelled in one call, pieces for which it cannot)
+#: between pieces that are spelled in one call, pieces for which it cannot, are letters made small)
 CHUNKS = {
-    "byte_bpe_50k.json": (byte_level_chunks, " ", "\n", _INNER_SPACE),
-    "word_bpe_49k.json": (spaced_chunks, "", " 0 ", _DIGIT),
+    "byte_bpe_50k.json": (byte_level_chunks, " ", "\n", _INNER_SPACE, False),
+    "word_bpe_49k.json": (spaced_chunks, "", " 0 ", _DIGIT, True),
 }
 
 
@@ -71,7 +81,7 @@ class Encoder:
     """ids of texts as little-endian unsigned 32-bit bytes."""
 
     #: Pieces of one generation; two are remembered. Pieces spelled in one call of the library.
-    LIMIT, JOINED = 250_000, 400
+    LIMIT, JOINED = 200_000, 400
     #: Characters of texts that are cut at a time.
     AT_ONCE = 3 << 20
 
@@ -80,7 +90,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.chunks, self.lead, self.between, self.apart = CHUNKS.get(os.path.basename(path), (lambda text: None, "", "", None))
+        self.chunks, self.lead, self.between, self.apart, self.small = CHUNKS.get(os.path.basename(path), (lambda text: None, "", "", None, False))
+        self.model = self.tokenizer.model
         self.marks = [] if special_as_text else sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.begins = sorted({m[:2] for m in self.marks})
         self.between_id = self.tokenizer.encode(self.between.strip(" "), add_special_tokens=False).ids[0] if self.between else 0
@@ -90,14 +101,29 @@ class Encoder:
     def _encoded(self, parts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def _word(self, piece: str) -> bytes:
+        """The ids of one pre-token of Latin letters, a space before it or not: normalised as the library
+        does, it goes to the library's model alone, without what a whole text needs around it."""
+        if self.small:
+            piece = (piece if piece.isascii() else unicodedata.normalize("NFC", piece)).lower()
+        spelled = piece.replace(" ", "Ġ") if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
     def _spell(self, parts: list[str]) -> list[bytes]:
-        """The ids of each piece; many go to the library as one text, with a token between them."""
-        alone = [i for i, p in enumerate(parts) if self.apart.search(p) or not p]
+        """The ids of each piece: words by themselves, other pieces many in one text, with a token between
+        them that none of them holds."""
         out: list[bytes] = [b""] * len(parts)
+        alone, rest = [], []
+        for i, p in enumerate(parts):
+            word = p[1:] if p[:1] == " " else p
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250" and "İ" not in word):
+                out[i] = self._word(p)
+            elif not p or self.apart.search(p):
+                alone.append(i)
+            else:
+                rest.append(i)
         for i, ids in zip(alone, self._encoded([parts[i] for i in alone]), strict=True):
             out[i] = ids
-        lone = set(alone)
-        rest = [i for i in range(len(parts)) if i not in lone]
         groups = [rest[k : k + self.JOINED] for k in range(0, len(rest), self.JOINED)]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.between.join([parts[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
             ids, mark = e.ids, self.between_id
@@ -163,7 +189,7 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]
         self._learn(set().union(*[parts[1:] if self.lead else parts for parts in cut if parts]))
-        first = iter(self._encoded([parts[0] for parts in cut if parts]) if self.lead else [])
+        first = iter(self._spell([parts[0] for parts in cut if parts]) if self.lead else [])
         whole = iter(self._encoded([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
         get, out = self.known.__getitem__, []
         for parts in cut:
