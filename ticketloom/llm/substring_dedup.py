@@ -27,8 +27,9 @@ anything; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +45,10 @@ class SuffixAutomaton:
     """Of several word sequences, added in ascending order of their document."""
 
     def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
+        self.next: list[dict[Hashable, int]] = [{}]
         self.link, self.length, self.first = [-1], [0], [0]
 
-    def add(self, words: list[int], doc: int) -> None:
+    def add(self, words: Sequence[Hashable], doc: int) -> None:
         """Online construction; a word that is there already is followed, so sequences share states. A clone
         is made where a state holds longer contexts than the one that is needed."""
         next_, link, length, first = self.next, self.link, self.length, self.first
@@ -87,7 +88,7 @@ class SuffixAutomaton:
             else:
                 link[new] = q
 
-    def earliest(self, words: list[int], width: int) -> list[int | None]:
+    def earliest(self, words: Sequence[Hashable], width: int) -> list[int | None]:
         """For each width-word window, the smallest document in which it occurs, None if there is none.
         The matching length is kept at width at most, so the state is that of the window itself."""
         next_, link, length, first = self.next, self.link, self.length, self.first
@@ -203,11 +204,16 @@ def _through_automaton(width: int):
     """The passages of a shard -> for each of their windows the smallest document that has it."""
 
     def run(group: pa.Table) -> pa.Table:
-        docs, parts = group["doc_id"].to_pylist(), [word_hashes(p.split(b" ")).tolist() for p in group["part"].to_pylist()]
+        docs, parts = group["doc_id"].to_pylist(), [p.split(b" ") for p in group["part"].to_pylist()]
         automaton = SuffixAutomaton()
-        for i in sorted(range(len(docs)), key=docs.__getitem__):
-            automaton.add(parts[i], docs[i])
-        firsts = pa.array([automaton.earliest(p, width) for p in parts], pa.list_(pa.int64()))
+        gc.disable()  # an automaton is many small tables without reference cycles
+        try:
+            for i in sorted(range(len(docs)), key=docs.__getitem__):
+                automaton.add(parts[i], docs[i])
+            firsts = pa.array([automaton.earliest(p, width) for p in parts], pa.list_(pa.int64()))
+            del automaton
+        finally:
+            gc.enable()
         return group.select(["anchor", "print", "at"]).append_column("firsts", firsts)
 
     return run
