@@ -13,6 +13,7 @@ from ticketloom.llm.substring_dedup import OP4_SQL, op4_substring_dedup
 from ticketloom.llm.token_files import op9_token_files
 from ticketloom.llm.toxicity import op5_toxicity
 from ticketloom.llm.url_rules import OP11_SQL, op11_url_filter
+from ticketloom.llm.vector_codes import OP12_SQL, op12_vector_codes
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
@@ -26,8 +27,9 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_secret_scan": op10_secret_scan,
     "op11_url_filter": op11_url_filter,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 #: The others depend on learning (2, 5, 8), on tokenizers (7, 9), on what a method adds to the contract's base
 #: (10), or on template matching (1); tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_revisit_resolution": OP6_SQL, "op11_url_filter": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_revisit_resolution": OP6_SQL, "op11_url_filter": OP11_SQL, "op12_vector_codes": OP12_SQL}
