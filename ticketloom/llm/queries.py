@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ticketloom.llm.conversations import OP13_SQL, op13_structure_repair
 from ticketloom.llm.decontamination import op1_decontamination
 from ticketloom.llm.language_id import op8_language_id
 from ticketloom.llm.near_dedup import OP3_SQL, op3_near_duplicates
@@ -28,8 +29,9 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_url_filter": op11_url_filter,
     "op12_vector_codes": op12_vector_codes,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 #: The others depend on learning (2, 5, 8), on tokenizers (7, 9), on what a method adds to the contract's base
 #: (10), or on template matching (1); tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_revisit_resolution": OP6_SQL, "op11_url_filter": OP11_SQL, "op12_vector_codes": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_revisit_resolution": OP6_SQL, "op11_url_filter": OP11_SQL, "op12_vector_codes": OP12_SQL, "op13_structure_repair": OP13_SQL}
