@@ -5,6 +5,7 @@ import hashlib
 import json
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -683,13 +684,67 @@ def der(tag, content):
     return bytes([tag]) + size + content
 
 
+def openssh(cipher=b"none", kdf=b"none", keys=1):
+    block = lambda b: len(b).to_bytes(4, "big") + b
+    return b"openssh-key-v1\0" + block(cipher) + block(kdf) + block(b"") + keys.to_bytes(4, "big") + block(b"p" * 51) * keys + block(b"s" * 136)
+
+
+def test_key_containers_are_parsed_to_their_ends():
+    spans = lambda t: [(t[a:z], k) for a, k, z in secrets.secret_spans(t) if k != "hex"]
+    for keys in (1, 2, 3):
+        one = base64.b64encode(openssh(b"aes256-ctr", b"bcrypt", keys)).decode()
+        broken = "\\n".join(one[k : k + 70] for k in range(0, len(one), 70))
+        assert spans(f"x{one}") == spans(f"x{one}y z") == [(one, "openssh")] and spans(f"{broken} {one}") == [(broken, "openssh"), (one, "openssh")]
+        assert spans(one[:-8]) == [] and spans(one[:20]) == []
+    assert spans("b3BlbnNzaC1rZXktdjEAAAAA") == [] and spans(base64.b64encode(openssh(b"\n", b"none")).decode()) == []
+    assert spans(base64.b64encode(b"openssh-key-v1\0" + b"\xff" * 300).decode()) == []
+
+
+def test_keys_stand_anywhere():
+    key = der(0x30, der(2, b"\0") + der(2, bytes(range(1, 128)) + b"x" * 40) + der(2, b"\1\0\1"))
+    b64, spans = base64.b64encode(key).decode(), lambda t: [(t[a:z], k) for a, k, z in secrets.secret_spans(t) if k == "der"]
+    for before in ("", "a", "ab", "Mab", "/x9", "MIIE"):
+        assert spans(before + b64 + "\n") == [(b64, "der")]
+    assert spans(b64 + b64) == [(b64, "der")] * 2
+    for before in ("0", "30", "3030", "abcdef1", "30820001"):
+        assert spans(before + key.hex() + "0" * 9) == [(key.hex(), "der")]
+    deep = der(2, b"\1")
+    for _ in range(40):
+        deep = der(0x30, deep)
+    nested = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70") + deep) + der(4, b"k" * 32))
+    assert spans(base64.b64encode(nested).decode().rstrip("=") + " ")[0][1] == "der"
+    request = der(0x30, der(2, b"\0") + der(0x30, der(0x31, b"")) + der(0x30, der(0x30, der(6, b"\x2a")) + der(3, b"k" * 60)) + der(0xA0, b""))
+    assert spans(base64.b64encode(request).decode()) == []
+
+
+def test_hostile_texts_take_linear_time():
+    rng = np.random.default_rng(8)
+    plain = base64.b64encode(rng.bytes(7_500_000)).decode()
+    texts = [
+        plain,
+        "\n".join(plain[k : k + 76] for k in range(0, len(plain), 76)),
+        "MIIEabcdefgh\n" * 80_000,
+        "eyJ" * 300_000,
+        "eyJ" * 3000 + ".ab.cd",
+        "30" * 500_000,
+        "-----BEGIN PRIVATE KEY-----" * 40_000,
+        "MIL//wIBAAQC" * 80_000,
+    ]
+    for t in texts:
+        began = time.process_time()
+        secrets.secret_spans(t)
+        assert time.process_time() - began < 12, t[:30]
+    nest = base64.urlsafe_b64encode(b'{"alg":' + b"[" * 200_000).decode().rstrip("=")
+    assert secrets.secret_spans(f"{nest}.ab.cd") == [] and secrets.der_items(b"\x30\x80" * 9000) is None
+
+
 def test_secret_structures():
     key = der(0x30, der(2, b"\0") + der(2, bytes(range(1, 128)) + b"x" * 40) + der(2, b"\1\0\1"))
     spki = der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01") + der(5, b"")) + der(3, b"\0" + b"k" * 60))
     token = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (json.dumps({"alg": "HS256"}).encode(), b'{"sub":1}', b"sig" * 9))
     b64 = base64.b64encode(key).decode()
     pem = f"-----BEGIN RSA PRIVATE KEY-----\n{b64[:64]}\n{b64[64:]}\n-----END RSA PRIVATE KEY-----"
-    ssh = base64.b64encode(b"openssh-key-v1\0none and more bytes here").decode()
+    ssh = base64.b64encode(openssh()).decode()
     kinds = lambda t: [k for _, k, _ in secrets.secret_spans(t)]
     assert kinds(f"x {b64} y") == ["der"] and kinds(f"x {base64.b64encode(spki).decode()} y") == []
     assert kinds(f"path/key/{b64}/more {b64[:50]}") == ["der"] and kinds(f"{b64[:64]}\n  {b64[64:128]}\\n{b64[128:]} y") == ["der"]
