@@ -54,7 +54,10 @@ def spaced_chunks(text: str) -> list[str]:
 
 
 def pieces(chunk: str) -> list[str]:
-    """The pre-tokens of a chunk in both vocabularies, or the chunk itself where that is not sure."""
+    """The pre-tokens of a chunk in both vocabularies, or the chunk itself where that is not sure: a vocabulary
+    that normalises first may take letters apart, and their marks go with what follows."""
+    if not chunk.isascii() and not unicodedata.is_normalized("NFC", chunk):
+        return [chunk]
     if chunk[-1:] in _STOPS and (word := chunk[:-1]).isalpha() and "İ" not in word and "Σ" not in word:
         return [word, chunk[-1]]
     return [chunk] if _UNCUT.search(chunk) else _PIECE.findall(chunk) or [chunk]
