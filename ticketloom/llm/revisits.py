@@ -15,7 +15,7 @@ chosen so that one URL's captures within a slot fit a task.
 Cases: null URL, null time, null headers or null body stay null and match nothing (a revisit without
 URL or time is ``no_response``); several responses at one time are ordered by record id; a repeated
 revisit is resolved for each row, a repeated response counts once (of several bodies under one record id
-the least is taken); an empty table gives an empty result; other columns are dropped.
+the least is taken); of header names that differ in case only, the last in ASCII order counts; an empty table gives an empty result; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -30,13 +30,13 @@ PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "la
 
 
 def canonical_url(url: Column) -> Column:
-    """Scheme and ``www.`` dropped, host lower-cased, default port, fragment and trailing slash
-    dropped; the query stays. Other hosts, a mobile one included, are other resources."""
+    """Scheme and ``www.`` dropped, host lower-cased, default port, fragment and slashes at the end of the path
+    dropped; the query stays as it is. Other hosts, a mobile one included, are other resources."""
     bare = F.regexp_replace(url, r"#.*$", "")
     bare = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^([^/?]*)", 1)), r"^www\.|:(80|443)$", "")
-    rest = F.regexp_replace(F.regexp_extract(bare, r"^[^/?]*(.*)$", 1), r"/+$", "")
-    return F.concat(host, rest)
+    path = F.regexp_replace(F.regexp_extract(bare, r"^[^/?]*([^?]*)", 1), r"/+$", "")
+    return F.concat(host, path, F.regexp_extract(bare, r"^[^?]*(.*)$", 1))
 
 
 def _latest_before(captures: DataFrame, slot_seconds: int) -> DataFrame:
@@ -69,7 +69,14 @@ def resolve_revisits(captures: DataFrame, slot_seconds: int = 3600) -> DataFrame
         .otherwise(F.col("digest") == base["digest"])
     )
     status = F.when(base.isNull(), "no_response").when(F.coalesce(fits, F.lit(False)), "resolved").otherwise("changed")
-    lowered = lambda m: F.transform_keys(m, lambda k, _: F.lower(k))
+
+    def lowered(m: Column) -> Column:
+        """Names in lower case; of several spellings of one name the last in ASCII order counts."""
+        names = F.array_distinct(F.transform(F.map_keys(m), F.lower))
+        entries = F.array_sort(F.map_entries(m))
+        last = lambda name: F.element_at(F.filter(entries, lambda e: F.lower(e["key"]) == name), -1)["value"]
+        return F.map_from_arrays(names, F.transform(names, last))
+
     own = F.map_filter(lowered(F.col("headers")), lambda k, _: k.isin(*PERMITTED))
     before = lowered(base["headers"])
     merged = F.map_concat(F.map_filter(before, lambda k, _: ~F.array_contains(F.map_keys(own), k)), own)
@@ -175,7 +182,7 @@ WITH p AS (
   SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM captures
 ), named AS (
   SELECT * EXCLUDE (b), regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g')
-       || regexp_replace(regexp_extract(b, '^[^/?]*(.*)$', 1), '/+$', '') AS canonical FROM bare
+       || regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '') || regexp_extract(b, '^[^?]*(.*)$', 1) AS canonical FROM bare
 ), ranked AS (
   SELECT v.record_id, v.canonical, v.etag, v.last_modified, v.digest, v.k,
          r.record_id AS base_id, r.etag AS b_etag, r.last_modified AS b_modified, r.digest AS b_digest, r.page_id AS b_page, r.body,
