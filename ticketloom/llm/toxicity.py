@@ -308,13 +308,18 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float =
 
 def fit_grammar(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> Grammar:
     """Learn insults, threats and the logistic function from docs(doc_id, text) and labels(doc_id,
-    toxic). Everything that reaches the driver is about at most 2 * sample_rows documents."""
+    toxic). Everything that reaches the driver is of at most 2 * sample_rows documents: of an id that
+    several rows share, the row with the least hash of its text counts."""
     bounded_batches(docs.sparkSession)
     known = labels.filter("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("y"))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for y in (0, 1)]
     drawn = parts[0].unionByName(parts[1])  # at most 2 * sample_rows ids
-    sample = written(docs.join(F.broadcast(drawn), "doc_id").select("text", "y"), "toxicity-sample")
+    # hashes travel through the aggregation, texts only of rows that were chosen
+    met = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").join(F.broadcast(drawn), "doc_id")
+    ids = met.groupBy("doc_id").agg(F.min("hash").alias("hash"))
+    chosen_rows = met.join(F.broadcast(ids), ["doc_id", "hash"]).groupBy("doc_id").agg(F.first("text").alias("text"), F.first("y").alias("y"))
+    sample = written(chosen_rows.select("text", "y"), "toxicity-sample")
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     seeds = {w: 1.0 for w in LISTS[INSULT].split()}
