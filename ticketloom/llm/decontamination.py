@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm.words import REMEMBERED, WordHashes, mix, only, signed
-from ticketloom.session import bounded_batches, table, written
+from ticketloom.session import bounded_batches, release, table, written
 
 _EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‚‘’¡¿…"
 _ENDS = (".", "!", "?", ":", ";", ".\"", ".”")
@@ -354,15 +354,17 @@ def contaminated(
     spread = item_windows.groupBy("hash", "width").agg(F.count_distinct("row").alias("n_items"))
     rare = item_windows.select("row", "hash", "start", "width", "n_tokens").join(spread, ["hash", "width"]).groupBy("row").applyInArrow(_rarest(coverage), "item long, hash long, width int")
     pairs = written(hits.join(rare, ["hash", "width"]).select(F.col("row").alias("doc"), "item").distinct(), "leak-pairs")
-    a, b = hits.join(pairs, hits["row"] == pairs["doc"]).alias("a"), item_windows.alias("b")
-    met = a.join(b, (F.col("a.item") == F.col("b.row")) & (F.col("a.hash") == F.col("b.hash")) & (F.col("a.width") == F.col("b.width"))).select(
-        F.col("a.doc").alias("doc_id"),
-        F.col("b.row").alias("item_id"),
-        "b.n_tokens",
-        F.struct(F.col("a.start").alias("own_start"), F.col("b.start").alias("start"), "b.width", F.col("b.slots").alias("item"), F.when(F.col("a.raw") | F.col("b.raw"), F.col("b.slots")).otherwise(F.col("a.slots")).alias("own")).alias("hit"),
-    )
+    # a pair takes the windows of its item along, at most an item's length; neither a document that holds the
+    # whole benchmark nor a window that all items share makes more rows than pairs times windows
+    b = item_windows.select(F.col("row").alias("item"), "hash", "width", "n_tokens", F.col("start").alias("item_start"), F.col("raw").alias("item_raw"), F.col("slots").alias("item_slots"))
+    a = hits.select(F.col("row").alias("doc"), "hash", "width", "start", "raw", "slots")
+    own = F.when(F.col("raw") | F.col("item_raw"), F.col("item_slots")).otherwise(F.col("slots"))
+    hit = F.struct(F.col("start").alias("own_start"), F.col("item_start").alias("start"), "width", F.col("item_slots").alias("item"), own.alias("own"))
+    met = pairs.join(b, "item").join(a, ["doc", "hash", "width"]).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_tokens", hit.alias("hit"))
     grouped = met.groupBy("doc_id", "item_id").agg(F.max("n_tokens").alias("n_tokens"), F.collect_set("hit").alias("hits"))
-    return grouped.mapInArrow(_judged(coverage), _LEAK_DDL)
+    found = written(grouped.mapInArrow(_judged(coverage), _LEAK_DDL), "leaks")
+    release(item_windows, pairs, *parts)
+    return found
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
