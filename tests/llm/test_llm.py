@@ -818,3 +818,60 @@ def test_pipeline_run_and_odd_rows(spark, sf, odd, none):
             assert {r["doc_id"] for r in out.collect()} == {None, *range(1, 9)}
         else:
             assert out.columns == odd.columns and {r["doc_id"] for r in out.collect()} >= {None, 1, 4, 5, 7}
+
+
+def test_ids_of_letters_that_normalisation_takes_apart():
+    """Chunks over many scripts, with marks, presentation forms and punctuation, against plain library calls."""
+    rng = np.random.default_rng(12)
+    letters = "aZé0 9.,!?;:'\"()-\n" + "ड़ढ़बपक़ि्" + "שּשׁאבּתּ" + "Å̊éñẛ̣" + "힣ᄀ가각" + "İΣσς" + "ﬁ½²" + "中文字。、" + "абвй" + "عربيﷺ" + "ไทย" + "😀‍́"
+    sample = ["".join(rng.choice(list(letters), rng.integers(1, 24))) for _ in range(100_000)]
+    sample += ["बड़,", "(बड़)", "पढ़.", "שּ,", "́a", "a ́b", "ड़" * 50 + "."]
+    from tokenizers import Tokenizer
+
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = tokens.vocabulary(name)
+        want = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(path).encode_batch_fast(sample, add_special_tokens=False)]
+        assert tokens.Encoder(path).ids(sample) == want
+
+
+def test_revisits_with_clashing_headers_and_queries(spark):
+    ddl = "record_id long, url string, captured timestamp, kind string, etag string, last_modified string, digest string, headers map<string,string>, body string"
+    t = lambda n: __import__("datetime").datetime(2024, 1, 1, 0, n)
+    rows = [
+        (1, "http://a/y?u=/", t(1), "response", "e", None, "d", {"Set-Cookie": "1", "set-cookie": "2", "ETag": "x"}, "slash"),
+        (2, "http://a/y/", t(2), "response", "e", None, "d", {"A": None, "a": "low"}, "bare"),
+        (3, "http://a/y?u=", t(5), "revisit", "e", None, "d", {"DATE": "1", "Date": "2", "date": "3"}, None),
+        (4, "http://www.a/y", t(6), "revisit", "e", None, "d", {"DATE": "1", "Date": "2", "date": "3"}, None),
+        (5, "http://a/y?u=/", t(7), "revisit", "e", None, "d", {}, None),
+        (6, "http://a/y?u=/", t(8), "revisit", "e", None, "d", None, None),
+    ]
+    got = {r["record_id"]: r for r in revisits.resolve_revisits(spark.createDataFrame(rows, ddl)).collect()}
+    assert got[3]["status"] == "no_response" and got[4]["body"] == "bare" and got[5]["body"] == got[6]["body"] == "slash"
+    assert got[4]["headers"] == {"a": "low", "date": "3"} and got[5]["headers"] == {"set-cookie": "2", "etag": "x"}
+
+
+def test_sample_is_bounded_by_rows(spark, tmp_path):
+    docs = spark.createDataFrame([(k % 4, f"text {k} you fool") for k in range(900)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, toxic int")
+    seen = []
+    real = toxicity.written
+
+    def spy(df, name):
+        out = real(df, name)
+        if name == "toxicity-sample":
+            seen.append(out.count())
+        return out
+
+    toxicity.written = spy
+    try:
+        toxicity.fit_grammar(docs, labels, sample_rows=10)
+    finally:
+        toxicity.written = real
+    assert seen == [4]
+
+
+def test_a_document_with_the_whole_benchmark(spark):
+    items = spark.createDataFrame([(k, f"what is the sum of {k} and {k + 3} if item number {k} costs {k} coins in the town of q{k}z") for k in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, "\n".join(r["text"] for r in items.collect())) for i in range(3)], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, items).collect()}
+    assert found == {(i, k) for i in range(3) for k in range(60)}
