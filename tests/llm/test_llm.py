@@ -89,8 +89,36 @@ def near_copies(seed, n, edits, words=120, spread=40):
 def test_near_duplicates_in_crowded_buckets(spark, n, edits, block):
     texts = near_copies(3, n, edits)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, block=block).collect()}
-    assert got == components(texts)[1]
+    for short in (256, block, 1):
+        got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, block=block, short=short).collect()}
+        assert got == components(texts)[1]
+
+
+@pytest.mark.parametrize("short", [256, 5])
+def test_near_duplicates_that_share_a_template_and_passages(spark, short):
+    """Most pairs resemble each other by a half; some reach the threshold by their passages, some just so."""
+    rng, texts = np.random.default_rng(6), {}
+    for i in range(260):
+        parts = [f"t{k}" for k in range(120)]
+        for p in rng.choice(14, 4, replace=False):
+            parts += [f"p{p}w{j}" for j in range(rng.integers(24, 27))]
+        texts[i] = " ".join(parts + [f"o{i}"] * int(rng.integers(0, 3)))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, short=short).collect()}
+    want = components(texts)[1]
+    assert got == want and 1 < len(set(want.values())) < 260
+
+
+def test_intermediates_go(spark, tmp_path, odd):
+    import os
+
+    from ticketloom.session import shared_folder
+
+    folder = shared_folder(spark)
+    for name, run in {"near-components": lambda: near_dedup.near_duplicates(spark.createDataFrame(list(near_copies(4, 60, 20).items()), "doc_id long, text string"), block=8, short=4), "leaks": lambda: decontamination.contaminated(odd, odd.select(F.col("doc_id").alias("item_id"), "text"))}.items():
+        before = set(os.listdir(folder))
+        run().count()
+        assert {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before} <= {name}
 
 
 def test_near_duplicates_of_two_thousand_alike(spark):

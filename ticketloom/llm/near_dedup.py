@@ -14,12 +14,15 @@ In each bucket the class with the smallest document is the pivot; first each cla
 the pivot it shares most bands with, then with its other pivots. Pairs inside one component cannot
 change a component, so they need no comparison; after each step new links are reduced to components
 and those merged. Classes that more than a quarter of their shingles have to themselves can have no
-link. What is left hangs together in crowds: in ``dealings`` rounds each crowd is dealt anew into blocks of
-``block`` classes (less if their sets are large) and each block returns a spanning forest of its own,
-never more links than classes. At last only classes outside the largest component of their crowd are
-compared with all of it, block by block, again for a forest between components. The number of those
-comparisons is the one that can grow faster than the input: with classes that share bands, resemble
-each other and yet stay below the threshold.
+link. What is left is joined exactly by a prefix filter: shingles are ordered by the number of classes that have
+them, and two sets at the threshold share one of the rarest n - ceil(0.75 n) + 1 of each. Of classes that meet in
+such a shingle only those are compared whose sizes, and whose common rare shingles, leave room for enough
+others. So what many classes share (a template, a licence) brings nobody together, and the work follows the
+rare shingles. Where a rare shingle still has more than ``short`` classes of several components, these are a
+crowd: in ``dealings`` rounds each crowd is dealt anew into blocks of ``block`` classes (less if their sets are
+large) and each block returns a spanning forest of its own, never more links than classes; then classes
+outside the largest component of their crowd are compared with all of it, block by block. Only that last
+step can grow faster than the input, with crowds whose rarest quarter many others have as well.
 
 Cases: null or blank text has no words, an empty set, n_shingles 0 and its own component; fewer
 than ``width`` words make one shingle; repeated rows are members of one class; a null doc_id is
@@ -34,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketloom.llm.words import HASHES, mix, only, rolling, text_bytes, word_hashes
@@ -205,15 +208,20 @@ def _with_component(df: DataFrame, col: str, labels: DataFrame) -> DataFrame:
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels (node, component) after more links (a, b); only components meet in the graph."""
+    """labels (node, component) after more links (a, b); only components meet in the graph. What was written
+    of both before goes."""
     ends = _with_component(_with_component(links.select("a", "b"), "a", labels), "b", labels).filter("a_in != b_in")
     ends = written(ends.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")).distinct(), "near-ends")
+    release(links)
     if ends.isEmpty():
+        release(ends)
         return labels
     roots = connected_components(ends)
     release(ends)
     moved = labels.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
-    return written(moved.unionByName(roots.join(labels, "node", "left_anti")), "near-labels")
+    out = written(moved.unionByName(roots.join(labels, "node", "left_anti")), "near-labels")
+    release(roots, labels)
+    return out
 
 
 def _still_open(df: DataFrame) -> DataFrame:
@@ -229,20 +237,74 @@ def _viable(apart: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     alone = here.mapInArrow(_elements, "element long, node binary").groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node")).filter("n = 1")
     alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
     n = F.expr("octet_length(hashes) div 8")
-    return here.join(alone, "node", "left").filter(100 * (n - F.coalesce("n_alone", F.lit(0))) >= threshold * n).select("node", "hashes")
+    out = written(here.join(alone, "node", "left").filter(100 * (n - F.coalesce("n_alone", F.lit(0))) >= threshold * n).select("node", "hashes"), "near-viable")
+    release(here)
+    return out
 
 
 _LINKS = "a binary, b binary"
 
 
+def _prefix_length(threshold: int) -> Column:
+    return F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
+
+
+def _prefixes(here: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """(element, seen, node, node_in, n): the rarest shingles of each class, as many as a link needs, that
+    another class has too; seen is the number of classes that have the shingle."""
+    n = F.expr("octet_length(hashes) div 8")
+    elements = written(here.mapInArrow(_elements, "element long, node binary"), "near-elements")
+    seen = written(elements.groupBy("element").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1"), "near-seen")
+    shared = elements.join(seen, "element")
+    sizes = here.select("node", n.cast("long").alias("n"))
+    order = Window.partitionBy("node").orderBy("seen", "element")
+    ranked = shared.select("node", "element", "seen", F.row_number().over(order).alias("k"))
+    n_shared = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n_shared"))
+    sized = _with_component(sizes.join(n_shared, "node"), "node", labels)
+    placed = ranked.join(sized, "node").withColumn("place", F.col("k") + F.col("n") - F.col("n_shared"))
+    out = placed.filter(F.col("place") <= _prefix_length(threshold))
+    out = written(out.select("element", "seen", "node", "node_in", "n"), "near-prefixes")
+    release(elements, seen)
+    return out
+
+
+def _met_in_prefix(prefixes: DataFrame, threshold: int, short: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs (a, b) of classes that meet in a rare shingle of at most ``short`` classes and may have a link,
+    rows (key, node) of the shingles with more).
+
+    Shingles of the same classes (those of one passage) meet as one, with their number as weight. What two classes
+    have in common is in both prefixes, or behind the end of the prefix that ends first: so the common weight
+    and the rest of that class bound the intersection."""
+    digests = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"digest{k}") for k in (1, 2)]
+    lists = prefixes.groupBy("element").agg(F.count(F.lit(1)).alias("m"), F.min("node_in").alias("lo"), F.max("node_in").alias("hi"), F.first("seen").alias("seen"), *digests)
+    lists = written(lists.filter("lo != hi").select("element", "seen", "m", "digest1", "digest2"), "near-lists")
+    same = lists.groupBy("m", "digest1", "digest2").agg(F.min(F.struct("seen", "element"))["element"].alias("element"), F.count(F.lit(1)).alias("weight"))
+    same = written(same.select("element", "weight", "m"), "near-alike")
+    long = lists.filter(F.col("m") > short).select("element", F.lit(1).alias("is_long"))
+    ends = prefixes.join(long, "element", "left").groupBy("node").agg(F.max(F.struct("seen", "element")).alias("last"), F.count("is_long").alias("n_long"))
+    few = prefixes.join(same.filter(F.col("m") <= short).select("element", "weight"), "element").join(ends, "node")
+    few = written(few.select("element", "weight", "node", "node_in", "n", "last", "n_long", (F.col("n") - _prefix_length(threshold)).alias("rest")), "near-few")
+    a, b = few.alias("a"), few.alias("b")
+    met = a.join(b, "element").filter((F.col("a.node") < F.col("b.node")) & (F.col("a.node_in") != F.col("b.node_in")) & (100 * F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n")))
+    rest = F.when(F.col("a.last") < F.col("b.last"), F.col("a.rest")).when(F.col("a.last") > F.col("b.last"), F.col("b.rest")).otherwise(F.least("a.rest", "b.rest"))
+    met = met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), "a.weight", (F.least("a.n_long", "b.n_long") + rest).alias("more"), (F.col("a.n") + F.col("b.n")).alias("total"))
+    pairs = met.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.first("more").alias("more"), F.first("total").alias("total"))
+    pairs = written(pairs.filter((100 + threshold) * (F.col("weight") + F.col("more")) >= threshold * F.col("total")).select("a", "b"), "near-met")
+    many = written(prefixes.join(same.filter(F.col("m") > short).select("element"), "element").select(F.col("element").alias("key"), "node"), "near-many")
+    release(lists, same, few)
+    return pairs, many
+
+
 def _crowd_links(apart: DataFrame, here: DataFrame, labels: DataFrame, threshold: int, block: int, block_bytes: int, dealings: int) -> DataFrame:
     """labels after all links between the classes (key, node, node_in) of buckets that still hold several
     components; here has their sets."""
     hubs = apart.groupBy("key").agg(F.min("node").alias("hub"))
-    crowd = connected_components(apart.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))).select("node", F.col("component").alias("crowd"))
+    found = connected_components(apart.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    crowd = found.select("node", F.col("component").alias("crowd"))
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum(F.octet_length("hashes")) / block_bytes)).cast("int")
     sized = crowd.join(here, "node")
     sized = written(sized.join(sized.groupBy("crowd").agg(blocks.alias("blocks")), "crowd"), "near-crowds")
+    release(found)
     for deal in range(dealings):
         dealt = _with_component(sized, "node", labels).withColumn("own", F.pmod(F.xxhash64("node", F.lit(deal)), F.col("blocks")))
         if deal:
@@ -253,15 +315,18 @@ def _crowd_links(apart: DataFrame, here: DataFrame, labels: DataFrame, threshold
     homes = placed.groupBy("crowd", "node_in").agg(F.count(F.lit(1)).alias("n")).groupBy("crowd").agg(F.max(F.struct("n", "node_in")).alias("home"))
     stray = written(placed.join(homes, "crowd").filter(F.col("node_in") != F.col("home.node_in")).select("crowd", "node", "node_in", "blocks"), "near-stray")
     if stray.isEmpty():
+        release(sized, placed, stray)
         return labels
-    stray = stray.join(here, "node")
+    strays, stray = stray, stray.join(here, "node")
     counts = stray.groupBy("crowd").agg(blocks.alias("stray_blocks"))
     asked = stray.join(counts, "crowd").withColumn("p", F.pmod(F.xxhash64("node"), F.col("stray_blocks")))
     asked = asked.select("crowd", "p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("q"), F.lit(0).alias("side"), "node", "node_in", "hashes")
     all_there = placed.join(counts, "crowd").join(here, "node").withColumn("q", F.pmod(F.xxhash64("node"), F.col("blocks")))
     all_there = all_there.select("crowd", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_blocks").cast("long") - 1)).alias("p"), "q", F.lit(1).alias("side"), "node", "node_in", "hashes")
     more = asked.unionByName(all_there).groupBy("crowd", "p", "q").applyInArrow(_forest(threshold), _LINKS)
-    return _merged(labels, written(more, "near-last"))
+    labels = _merged(labels, written(more, "near-last"))
+    release(sized, placed, strays)
+    return labels
 
 
 def _components(
@@ -275,6 +340,7 @@ def _components(
     block: int = 256,
     block_bytes: int = 16 << 20,
     dealings: int = 2,
+    short: int = 256,
 ) -> DataFrame:
     """(doc_id, content, again, n_shingles, component, component_id) for every row of docs; threshold in
     percent. ``content`` and ``again`` are hashes of the text; ``component`` is null for empty sets."""
@@ -308,7 +374,9 @@ def _components(
         return written(both.select("a", "b", "x", "y").mapInArrow(_compare(threshold), "a binary, b binary, linked boolean").filter("linked").select("a", "b"), "near-linked")
 
     best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    labels = connected_components(linked(best))
+    first = linked(best)
+    labels = connected_components(first)
+    release(first)
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
     rest = _with_component(_with_component(rest, "a", labels), "b", labels).filter("a_in != b_in").select("a", "b")
     rest = written(rest, "near-rest")
@@ -318,11 +386,17 @@ def _components(
 
     apart = written(_still_open(_with_component(members.select("key", "node"), "node", labels)), "near-open")
     if not apart.isEmpty():
-        here = written(_viable(apart, sets, threshold), "near-viable")
-        apart = written(_still_open(apart.join(here.select("node"), "node")), "near-apart")
-        if not apart.isEmpty():
-            labels = _crowd_links(apart, here, labels, threshold, block, block_bytes, dealings)
-        release(here, apart)
+        here = _viable(apart, sets, threshold)
+        prefixes = _prefixes(here, labels, threshold)
+        met, many = _met_in_prefix(prefixes, threshold, short)
+        release(prefixes)
+        if not met.isEmpty():
+            labels = _merged(labels, linked(met))
+        crowded = written(_still_open(_with_component(many, "node", labels)), "near-apart")
+        if not crowded.isEmpty():
+            labels = _crowd_links(crowded, here, labels, threshold, block, block_bytes, dealings)
+        release(here, met, many, crowded)
+    release(apart)
     release(members, sets)
 
     homes = _with_component(classes.select("node", "first_doc"), "node", labels)
@@ -330,7 +404,9 @@ def _components(
     found = homes.join(smallest, "node_in").select("node", F.col("node_in").alias("component"), "component_id")
     out = sketched.select("doc_id", "content", "again", "n_shingles", "node").join(found, "node", "left")
     component_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "content", "again", "n_shingles", "component", component_id.alias("component_id"))
+    out = written(out.select("doc_id", "content", "again", "n_shingles", "component", component_id.alias("component_id")), "near-components")
+    release(sketched, classes, labels)
+    return out
 
 
 def near_duplicates(docs: DataFrame, *args, **options) -> DataFrame:
