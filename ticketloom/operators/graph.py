@@ -34,6 +34,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         done = new.filter(F.col("old") != F.col("component")).isEmpty()
         release(before)
         before, labels = new, new.select("node", "component")
+        labels._written_path = new._written_path  # so that release() knows it
         if done:
             release(links)
             return labels
