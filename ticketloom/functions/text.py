@@ -11,7 +11,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Callable
-from urllib.parse import urljoin, urlsplit
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,9 +85,19 @@ def _between(text: str, opening: str, closing: str, shown: Callable[[str], str])
     return "".join(out) + pieces[-1]
 
 
+def joined_url(base: str, url: str) -> str:
+    """url against base; what cannot be read as a URL stays as it is."""
+    try:
+        return urljoin(base, url)
+    except ValueError:
+        return url
+
+
 def _absolute(url: str, base: str) -> str:
     url = url.strip()
-    return url if not url or urlsplit(url).scheme in ("http", "https") else urljoin(base.rstrip("/") + "/", url.lstrip("/"))
+    if not url or url.lower().startswith(("http:", "https:")):
+        return url
+    return joined_url(base.rstrip("/") + "/", url.lstrip("/"))
 
 
 def _quoted(inner: str) -> str:
@@ -217,7 +227,10 @@ def strict_url(c: Column) -> Column:
 
 
 def url_part(url: Column, part: str) -> Column:
-    """``path`` (without parameters behind a semicolon of its last segment) or ``query``; "" if there is none."""
+    """``authority`` (user, host and port, as written), ``path`` (without parameters behind a semicolon of its last
+    segment) or ``query``; "" if there is none."""
+    if part == "authority":
+        return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)
     if part == "query":
         return F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     return F.regexp_replace(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), r";[^/]*\z", "")

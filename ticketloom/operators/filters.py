@@ -152,9 +152,10 @@ def is_image_link(url: Column, name: Column, mode: str = "summary") -> Column:
 
 
 def is_crawlable(url: Column, domain: Column | str) -> Column:
-    """Same host, http(s), and no file ending that is not a page anywhere in the URL."""
-    host = F.try_parse_url(url, F.lit("HOST"))
-    scheme = F.lower(F.try_parse_url(url, F.lit("PROTOCOL")))
+    """Same host and port, as they are written, http(s), and no file ending that is not a page anywhere in the
+    URL."""
+    host = url_part(url, "authority")
+    scheme = F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
     return F.coalesce((host == domain) & scheme.isin("http", "https") & ~F.lower(url).rlike(r"\.(pdf|jpg|png|gif|zip|exe)"), F.lit(False))
 
 

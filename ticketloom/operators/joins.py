@@ -21,17 +21,33 @@ def nested_attachments(attachments: DataFrame, owner_kind: str, owner: str) -> D
 
 
 def assemble_tickets(tickets: DataFrame, comments: DataFrame, attachments: DataFrame) -> DataFrame:
-    """Tickets with ordered comments and attachments as nested arrays, empty where there are none."""
+    """Tickets with ordered comments and attachments as nested arrays, empty where there are none. A comment without
+    ``created`` has the date of its column ``Date``, if there is such a column."""
     empty = F.array().cast(f"array<{ATTACHMENT}>")
     c = comments.join(nested_attachments(attachments, "comment", "comment_id"), "comment_id", "left")
-    body = F.struct(F.col("c_ord").cast("long").alias("c_ord"), F.col("created").alias("CommentDate"), F.col("body").alias("Body"), F.col("author").alias("UserName"), F.coalesce("Attachments", empty).alias("Attachments"))
+    made = F.coalesce(filled("created"), F.col("Date").cast("string")) if "Date" in comments.columns else F.col("created")
+    body = F.struct(F.col("c_ord").cast("long").alias("c_ord"), made.alias("CommentDate"), F.col("body").alias("Body"), F.col("author").alias("UserName"), F.coalesce("Attachments", empty).alias("Attachments"))
     threads = c.groupBy("ticket_id").agg(F.array_sort(F.collect_list(body)).alias("kommentare"))
     out = tickets.join(threads, "ticket_id", "left").join(nested_attachments(attachments, "ticket", "ticket_id"), "ticket_id", "left")
     return out.withColumn("kommentare", F.coalesce("kommentare", F.array().cast(f"array<{COMMENT}>"))).withColumn("Attachments", F.coalesce("Attachments", empty))
 
 
+#: How the id of a comment may be spelled, the first that is there counts.
+COMMENT_IDS = ["CommentId", "CommentID", "Id", "ID"]
+
+
+def comment_id(comments: DataFrame) -> DataFrame:
+    """comments with ``comment_id``: as it is, or the first filled spelling among the columns."""
+    spelled = [c for c in comments.columns for known in ["comment_id", *COMMENT_IDS] if c == known]
+    ordered = sorted(spelled, key=["comment_id", *COMMENT_IDS].index)
+    return comments.withColumn("comment_id", F.coalesce(*[filled(F.col(c).cast("string")) for c in ordered]))
+
+
 def fill_missing_attachments(comments: DataFrame, by_comment: DataFrame) -> DataFrame:
-    """The embedded list if it is there and not empty, else what was fetched for the comment."""
+    """The embedded list if it is there and not empty, else what was fetched for the comment. The id is
+    ``comment_id``, or the first filled one of its spellings."""
+    if "comment_id" not in comments.columns:
+        comments = comment_id(comments)
     fetched = by_comment.select("comment_id", F.col("Attachments").alias("_fetched"))
     keep = F.coalesce(F.size("Attachments") > 0, F.lit(False))
     return comments.join(fetched, "comment_id", "left").withColumn("Attachments", F.when(keep, F.col("Attachments")).otherwise(F.coalesce("_fetched", F.array().cast(f"array<{ATTACHMENT}>")))).drop("_fetched")
@@ -129,15 +145,27 @@ def refresh_counts(refreshed: DataFrame) -> DataFrame:
     return refreshed.agg(one(F.col("updated")).alias("updated"), one(images).alias("images"), one(F.col("prefix_removed")).alias("prefixes"))
 
 
-def drop_existing_files(docs: DataFrame, manifest: DataFrame) -> DataFrame:
-    """docs(ord, dir, stem, ext) without those whose directory holds a file, of the manifest(dir,
-    name, ext) or of an earlier row, that starts with the stem and has the extension. Equal
+def _first_with_stem(docs: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, stem, first_at): the first of files(keys, name, at) whose name starts with the stem of a doc. Equal
     prefixes are an equi-join on the name's prefixes, so no two files are compared blindly."""
+    lengths = docs.groupBy(*keys).agg(F.collect_set(F.length("stem")).alias("lengths"))
+    cut = F.transform("lengths", lambda n: F.when(F.length("name") >= n, F.expr("name").substr(F.lit(1), n)))
+    prefixes = files.join(lengths, keys).select(*keys, "at", F.explode(F.array_distinct(cut)).alias("stem"))
+    return prefixes.filter("stem is not null").groupBy(*keys, "stem").agg(F.min("at").alias("first_at"))
+
+
+def drop_existing_files(docs: DataFrame, manifest: DataFrame) -> DataFrame:
+    """docs(ord, dir, stem, ext) without those whose directory holds a file, of the manifest(dir, name, ext) or of an
+    earlier row, that starts with the stem and has the extension; for a doc without extension (null or empty)
+    any file that starts with the stem."""
     there = manifest.select("dir", "ext", "name", F.lit(-1).cast("long").alias("at")).unionByName(docs.select("dir", "ext", F.col("stem").alias("name"), F.col("ord").cast("long").alias("at")))
-    lengths = docs.groupBy("dir", "ext").agg(F.collect_set(F.length("stem")).alias("lengths"))
-    prefixes = there.join(lengths, ["dir", "ext"]).select("dir", "ext", "at", F.explode(F.array_distinct(F.transform("lengths", lambda n: F.when(F.length("name") >= n, F.expr("name").substr(F.lit(1), n))))).alias("stem"))
-    first = prefixes.filter("stem is not null").groupBy("dir", "ext", "stem").agg(F.min("at").alias("first_at"))
-    return docs.join(first, ["dir", "ext", "stem"], "left").filter(F.col("first_at").isNull() | (F.col("first_at") >= F.col("ord"))).drop("first_at")
+    bare = filled("ext").isNull()
+    named = docs.filter(~bare)
+    whole = docs.filter(bare)
+    in_full = there.select("dir", F.concat("name", F.coalesce("ext", F.lit(""))).alias("name"), "at")
+    checked = named.join(_first_with_stem(named, there.filter(~bare), ["dir", "ext"]), ["dir", "ext", "stem"], "left")
+    checked = checked.unionByName(whole.join(_first_with_stem(whole, in_full, ["dir"]), ["dir", "stem"], "left"))
+    return checked.filter(F.col("first_at").isNull() | (F.col("first_at") >= F.col("ord"))).select(docs.columns)
 
 
 def concept_coverage(concepts: DataFrame, answers: DataFrame, top: int = 20) -> tuple[DataFrame, DataFrame]:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.functions.text import title_case, token_estimate
+from ticketloom.functions.text import joined_url, title_case, token_estimate, unescape, url_part, without_controls
+from ticketloom.functions.urls import anchors, resolve_url
+from ticketloom.operators.filters import is_crawlable
 from ticketloom.session import bounded_batches, written
 
 _DROPPED = {"script", "style", "nav", "footer", "header"}
@@ -110,10 +111,17 @@ def page_elements(pages: DataFrame, profile: str = "site", key: str = "page_id",
     return pages.select(key, html).mapInArrow(run, f"{key} {kind}, elem_ord int, type string, text string, level int")
 
 
+_MARK = "\uffff"
+
+
 def inner_text(tag: str, html: Column) -> Column:
-    """Texts of all simple elements of one tag, natively: tags inside removed, white space collapsed."""
+    """Texts of all simple elements of one tag: tags inside removed, character references read, white space
+    collapsed."""
     raw = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"), F.lit(1))
-    return F.transform(raw, lambda x: F.btrim(F.regexp_replace(F.regexp_replace(x, "<[^>]*>", " "), r"[ \t\r\n]+", " ")))
+    bare = F.transform(raw, lambda x: F.regexp_replace(x, "<[^>]*>", " "))
+    # all elements of a page are read in one go; no text holds the mark between them, a noncharacter
+    read = F.split(unescape(F.array_join(bare, _MARK)), _MARK, -1)
+    return F.when(F.size(bare) > 0, F.transform(read, lambda x: F.btrim(F.regexp_replace(x, r"[ \t\r\n]+", " ")))).otherwise(F.array().cast("array<string>"))
 
 
 #: How the paragraph begins that tells nothing of an operation, and two titles.
@@ -188,7 +196,7 @@ def _operations(html: str, base: str) -> list[tuple[str, str, str, str]]:
     for href, label, around in parser.links:
         name = href.split("?op=")[-1]
         about = around.replace(label, "").strip(" \t\r\n-") if len(around) > len(label) else ""
-        out.append((name, label or name.replace("_", " ").title(), urljoin(base, href), about))
+        out.append((name, label or name.replace("_", " ").title(), joined_url(base, href), about))
     return out
 
 
@@ -231,6 +239,160 @@ def reachable_pages(links: DataFrame, start: list | DataFrame, max_depth: int =
     return seen
 
 
+def page_link_graph(pages: DataFrame) -> DataFrame:
+    """(src, dst) page ids of the links that pages(page_id, url, html) hold: targets of <a href>, resolved against the
+    page's own URL, that can be crawled from it and are a known page's URL. URLs that differ in the fragment
+    are different; of several pages with one URL the first counts."""
+    targets = pages.select(F.col("page_id").alias("src"), "url", F.explode(F.array_distinct(anchors(F.col("html")))).alias("href"))
+    resolved = targets.select("src", F.col("url").alias("_from"), resolve_url(F.col("url"), F.col("href")).alias("url"))
+    wanted = resolved.filter(is_crawlable(F.col("url"), url_part(F.col("_from"), "authority"))).select("src", "url").distinct()
+    known = pages.groupBy("url").agg(F.min("page_id").alias("dst"))
+    return wanted.join(known, "url").select("src", "dst").distinct()
+
+
+class _Blocks(HTMLParser):
+    """Blocks of a document: (style, content, rows of a table, source of an image). One element at a time is
+    read as a block; inside of it, tags only say where its items and cells begin and end."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.blocks: list[tuple] = []
+        self.stack: list[str] = []
+        self.text: list[str] = []  # of the string that is being read
+        self.depth = -1  # of the element that is the block, -1 outside of any
+        self.items: list[list[str]] = []  # strings of the block, of each item, or of each cell
+        self.images: list[str] = []
+        self.rows: list[list[list[str]]] = []
+        self.open_rows: list[list[list[str]]] = []
+        self.open_cells: list[list[str]] = []
+        self.in_item = False
+
+    def _put(self, style: str, content: str | None, rows: list | None = None, src: str | None = None) -> None:
+        self.blocks.append((style, content, rows, src))
+
+    def _string(self) -> None:
+        """A whole string between two tags."""
+        text, self.text = "".join(self.text), []
+        if not text or "script" in self.stack or "style" in self.stack:
+            return
+        if self.depth < 0:
+            if text.strip():
+                self._put("paragraph", text)
+            return
+        kind = self.stack[self.depth]
+        if kind in ("pre", "code"):
+            self.items[0].append(text)
+        elif text := text.strip():
+            if kind in ("p", "div"):
+                self.items[0].append(text)
+            elif kind in ("ul", "ol") and self.in_item:
+                self.items[-1].append(text)
+            for cell in self.open_cells:
+                cell.append(text)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._string()
+        outside, kind = self.depth < 0, self.stack[self.depth] if self.depth >= 0 else ""
+        if tag == "img" and (src := dict(attrs).get("src")):
+            if outside:
+                self._put("image", None, None, src)
+            elif kind in ("p", "div"):
+                self.images.append(src)
+        if tag == "br" and outside:
+            self._put("blank", "")
+        if tag in _VOID:
+            return
+        self.stack.append(tag)
+        if outside and tag in ("p", "div", "ul", "ol", "pre", "code", "table"):
+            self.depth, self.items, self.images, self.rows = len(self.stack) - 1, [] if tag in ("ul", "ol") else [[]], [], []
+        elif kind in ("ul", "ol") and tag == "li" and len(self.stack) == self.depth + 2:
+            self.items.append([])
+            self.in_item = True
+        elif kind == "table" and tag == "tr":
+            self.rows.append([])
+            self.open_rows.append(self.rows[-1])
+        elif kind == "table" and tag in ("td", "th"):
+            self.open_cells.append([])
+            for row in self.open_rows:
+                row.append(self.open_cells[-1])
+
+    def _leave(self, tag: str) -> None:
+        at = len(self.stack)  # the place that was left
+        if at == self.depth + 1 and tag == "li":
+            self.in_item = False
+        elif tag == "tr" and self.open_rows:
+            self.open_rows.pop()
+        elif tag in ("td", "th") and self.open_cells:
+            self.open_cells.pop()
+        if at != self.depth:
+            return
+        self.depth, self.in_item, self.open_rows, self.open_cells = -1, False, [], []
+        if tag in ("ul", "ol"):
+            for item in self.items:
+                if item:
+                    self._put("number" if tag == "ol" else "bullet", " ".join(item))
+        elif tag == "table":
+            rows = [[" ".join(cell) for cell in row] for row in self.rows]
+            rows = [row for row in rows if any(row)]
+            if rows:
+                width = max(map(len, rows))
+                self._put("table", None, [row + [""] * (width - len(row)) for row in rows])
+        elif tag in ("pre", "code"):
+            if text := "\n".join(self.items[0]):
+                self._put("pre", text)
+        else:
+            if self.items[0]:
+                self._put("paragraph", " ".join(self.items[0]))
+            for src in self.images:
+                self._put("image", None, None, src)
+
+    def handle_endtag(self, tag: str) -> None:
+        self._string()
+        if tag in self.stack:
+            while True:
+                left = self.stack.pop()
+                self._leave(left)
+                if left == tag:
+                    return
+
+    def handle_data(self, data: str) -> None:
+        self.text.append(data)
+
+    def handle_comment(self, data: str) -> None:
+        self._string()
+
+    def close(self) -> None:
+        super().close()
+        self._string()
+        while self.stack:
+            self._leave(self.stack.pop())
+
+
+def markup_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, block_ord, style, content, rows, src) of HTML in document order: ``paragraph`` (p, div, or bare text),
+    ``blank`` (br between blocks), ``bullet`` and ``number`` (an item of a list, with the text of lists
+    inside it), ``pre``, ``table`` (rows of equal width, empty ones left out) and ``image``. Comments, scripts
+    and styles are no content; null and empty text gives no blocks; what is not closed ends with the text."""
+    bounded_batches(pages.sparkSession)
+    grid = pa.list_(pa.list_(pa.string()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for k, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parser = _Blocks()
+                parser.feed(source or "")
+                parser.close()
+                out += [(k, i, *block) for i, block in enumerate(parser.blocks)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            kinds = [batch.schema.field(0).type, pa.int32(), pa.string(), pa.string(), grid, pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [key, "block_ord", "style", "content", "rows", "src"])
+
+    kind = dict(pages.dtypes)[key]
+    found = pages.select(key, html).mapInArrow(run, f"{key} {kind}, block_ord int, style string, content string, rows array<array<string>>, src string")
+    return found.withColumn("content", without_controls(F.col("content"))).withColumn("rows", F.transform("rows", lambda r: F.transform(r, without_controls)))
+
+
 def is_heading(style: Column, outline: Column, level: int) -> Column:
     low = F.lower(F.coalesce(style, F.lit("")))
     named = F.lit(False)

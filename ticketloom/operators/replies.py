@@ -121,7 +121,7 @@ class _Loose:
         try:
             value, self.at = _DECODER.raw_decode(self.text, self.at)
             return value
-        except ValueError:
+        except (ValueError, RecursionError):
             bare = re.compile(r'[^,{}\[\]":]*').match(self.text, self.at)
             self.at = max(bare.end(), self.at + 1)
             return bare[0].strip()
@@ -179,7 +179,7 @@ def repair_reply(text: str) -> tuple[dict[str, str] | None, str | None]:
         try:
             value, _ = _DECODER.raw_decode(body, start)
             return _fields(value), None
-        except ValueError:
+        except (ValueError, RecursionError):  # also an object that is nested too deep
             pass
         plain = plain_text(body[start:]).replace("\r", " ").replace("\n", " ")
         out: dict[str, object] = {}

@@ -31,10 +31,12 @@ def pick_representative(members: DataFrame) -> DataFrame:
 
 
 def group_samples(df: DataFrame, group: str, groups: int, n: int, order: str) -> DataFrame:
-    """The first n rows of each of the largest groups; ties between groups by first appearance."""
+    """The first n rows of each of the largest groups; ties between groups by first appearance. Rows without
+    a group are a group."""
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("_first"))
     largest = counts.orderBy(F.desc("group_size"), "_first").limit(groups)
-    return limit_per_group(df.join(F.broadcast(largest.drop("_first")), group), [group], n, [order])
+    largest = F.broadcast(largest.select(F.col(group).alias("_group"), "group_size"))  # as many rows as groups are asked for
+    return limit_per_group(df.join(largest, df[group].eqNullSafe(largest["_group"])).drop("_group"), [group], n, [order])
 
 
 def assign_batches(df: DataFrame, size: int, order: list[str]) -> DataFrame:

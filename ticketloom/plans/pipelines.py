@@ -119,9 +119,10 @@ def _questions(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return items, reports.qa_totals(items), blocks
 
 
-def web_flow(landed: DataFrame, links: DataFrame, start: DataFrame, base: str, max_depth: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pages(page_id, url, html) reachable from start(page) -> (elements with the document of their depth, titles,
-    catalogue of operations)."""
+def web_flow(landed: DataFrame, start: DataFrame, base: str, max_depth: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pages(page_id, url, html) reachable from start(page) over the links that they hold -> (elements with the
+    document of their depth, titles, catalogue of operations)."""
+    links = pages.page_link_graph(landed)
     reached = written(pages.reachable_pages(links, start, max_depth), "reached")
     chosen = landed.join(reached.select(F.col("page").alias("page_id"), "depth"), "page_id")
     elements = pages.page_elements(chosen)

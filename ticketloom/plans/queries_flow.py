@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ticketloom.operators import mapping
+from ticketloom.operators import mapping, pages
 from ticketloom.plans import pipelines
 from ticketloom.plans.common import Register, conversation_tickets, documents, page_links
 from ticketloom.session import table
@@ -18,12 +19,12 @@ QUERIES, ORACLE_SQL = register.queries, register.sql
 
 def rule_model(prompts: list[str]) -> list[str]:
     """A stand-in for a language model: the first and the last line of the prompt's text."""
-    return [json.dumps({"ticket_id": "", "problem": p.split("\n")[5][:60], "solution": f"{len(p)} characters"}) for p in prompts]
+    return [json.dumps({"ticket_id": "", "problem": p.split("\n")[5], "solution": f"{len(p)} characters"}) for p in prompts]
 
 
 def rule_questions(content: str, n: int) -> list[dict]:
     sentences = [s.strip() for s in content.split(".") if s.strip()]
-    return [{"question": f"What about {s[:40]}?", "answer": s} for s in sentences[:n]]
+    return [{"question": f"What about {s}?", "answer": s} for s in sentences[:n]]
 
 
 def rule_concepts(content: str, n: int) -> list[dict]:
@@ -122,12 +123,49 @@ def flow_covering_qa(spark, d):
     return pipelines.covering_qa_flow(_paragraphs(spark, d), rule_concepts, rule_covering, max_concepts=12)[0]
 
 
+def linked_pages(spark, d):
+    """Pages with links to other pages of the same host written into them: relative to the root, to the folder, to
+    the scheme, and whole; and links that lead nowhere."""
+    p = table(spark, d, "pages").select("page_id", "url", "html")
+    ends = p.select(col("page_id").alias("dst"), col("url").alias("to"))
+    rest = F.regexp_extract("to", "^https?://[^/]*(.*)$", 1)
+    k = col("src") % 5
+    href = F.when(k == 0, rest).when(k == 1, F.concat(F.lit("../x/./.."), rest)).when(k == 2, F.concat(F.lit("//"), F.regexp_extract("to", "^https?://([^/]*)", 1), rest)).when(k == 3, col("to")).otherwise(F.concat(F.lit("../"), F.substring(rest, 2, 9999)))
+    same = F.regexp_extract("url", "^(https?)", 1) == F.regexp_extract("to", "^(https?)", 1)
+    href = F.when(same, href).otherwise(col("to"))  # another scheme needs the whole URL
+    made = page_links(spark, d).join(ends, "dst").join(p.select(col("page_id").alias("src"), "url"), "src")
+    tags = made.select("src", F.concat(F.lit('<a class="n" href="'), F.replace(href, F.lit("&"), F.lit("&amp;")), F.lit('">x</a><a href="mailto:a@b">m</a>')).alias("tag"))
+    own = tags.groupBy(col("src").alias("page_id")).agg(F.array_join(F.array_sort(F.collect_list("tag")), "").alias("tags"))
+    return p.join(own, "page_id", "left").select("page_id", "url", F.concat("html", F.coalesce("tags", F.lit(""))).alias("html"))
+
+
 def _web(spark, d):
     """Starts at the first page of every host."""
-    p = table(spark, d, "pages").select("page_id", "url", "html")
+    p = linked_pages(spark, d)
     first = p.groupBy(F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host")).agg(F.min("page_id").alias("page"))
     link = F.concat(F.lit('<ul><li><a href="/svc.asmx?op=Get_'), (col("page_id") % 50).cast("string"), F.lit('">call</a> - returns rows</li></ul>'))
-    return pipelines.web_flow(p.withColumn("html", F.concat("html", link)), page_links(spark, d), first.select("page"), "https://base.example.com/")
+    return pipelines.web_flow(p.withColumn("html", F.concat("html", link)), first.select("page"), "https://base.example.com/")
+
+
+@register("page_link_graph", r"""WITH h AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host FROM pages),
+    n AS (SELECT page_id AS src, lead(page_id) OVER (PARTITION BY host ORDER BY page_id) AS dst FROM h)
+    SELECT DISTINCT src, (SELECT min(page_id) FROM h b WHERE b.url = a.url) AS dst FROM (
+      SELECT src, dst FROM n WHERE dst IS NOT NULL UNION SELECT x.page_id, y.page_id FROM h x JOIN h y ON y.page_id = 2 * x.page_id WHERE x.host = y.host) JOIN h a ON a.page_id = dst""")
+def page_link_graph(spark, d):
+    return pages.page_link_graph(linked_pages(spark, d))
+
+
+@register("markup_blocks")
+def markup_blocks(spark, d):
+    return pages.markup_blocks(table(spark, d, "pages"))
+
+
+@register("markup_list_items", r"""SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) AS n, item FROM (
+    SELECT page_id, unnest(x) AS item, generate_subscripts(x, 1) AS k FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1), lambda i: trim(replace(replace(regexp_replace(i, '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'))) AS x FROM pages)) WHERE item <> ''""")
+def markup_list_items(spark, d):
+    items = pages.markup_blocks(table(spark, d, "pages")).filter("style = 'bullet'")
+    n = F.row_number().over(Window.partitionBy("page_id").orderBy("block_ord"))
+    return items.select("page_id", n.alias("n"), col("content").alias("item"))
 
 
 @register("flow_web")

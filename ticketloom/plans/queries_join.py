@@ -197,12 +197,14 @@ def refresh_counts(spark, d):
 
 @register(
     "drop_existing",
-    """WITH s AS (SELECT p_partkey AS ord, p_brand AS dir, p_name AS stem, '.pdf' AS ext FROM part), t AS (SELECT p_brand AS dir, '.pdf' AS ext, p_name || '_1' AS name, -1 AS at FROM part WHERE p_partkey % 40 = 0 UNION ALL SELECT dir, ext, stem, ord FROM s)
-    SELECT ord, dir, stem, ext FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.dir = s.dir AND t.ext = s.ext AND starts_with(t.name, s.stem) AND t.at < s.ord)""",
+    """WITH s AS (SELECT p_partkey AS ord, p_brand AS dir, p_name AS stem, CASE WHEN p_partkey % 6 <> 0 THEN '.pdf' END AS ext FROM part),
+    t AS (SELECT p_brand AS dir, '.pdf' AS ext, p_name || '_1' AS name, -1 AS at FROM part WHERE p_partkey % 40 = 0 UNION ALL SELECT dir, ext, stem, ord FROM s)
+    SELECT ord, dir, stem, ext FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.dir = s.dir AND t.at < s.ord AND CASE WHEN s.ext IS NULL THEN starts_with(t.name || coalesce(t.ext, ''), s.stem) ELSE t.ext = s.ext AND starts_with(t.name, s.stem) END)""",
 )
 def drop_existing(spark, d):
     p = table(spark, d, "part")
-    docs = p.select(col("p_partkey").alias("ord"), col("p_brand").alias("dir"), col("p_name").alias("stem"), F.lit(".pdf").alias("ext"))
+    ext = F.when(col("p_partkey") % 6 != 0, ".pdf")
+    docs = p.select(col("p_partkey").alias("ord"), col("p_brand").alias("dir"), col("p_name").alias("stem"), ext.alias("ext"))
     manifest = p.filter("p_partkey % 40 = 0").select(col("p_brand").alias("dir"), F.lit(".pdf").alias("ext"), F.concat("p_name", F.lit("_1")).alias("name"))
     return joins.drop_existing_files(docs, manifest).select("ord", "dir", "stem", "ext")
 

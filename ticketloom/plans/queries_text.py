@@ -142,15 +142,19 @@ def image_links(spark, d):
     return table(spark, d, "pages").select("page_id", filters.is_image_link(url, name).alias("in_summary"), filters.is_image_link(url, name, "refresh").alias("in_refresh"))
 
 
-@register("crawlable_pages", r"SELECT page_id, url FROM pages WHERE regexp_extract(url, '^https?://([^/?#:]+)', 1) = (SELECT regexp_extract(min(url), '^https?://([^/?#:]+)', 1) FROM pages) AND NOT regexp_matches(lower(url), '\.(pdf|jpg|png|gif|zip|exe)')")
+@register("crawlable_pages", r"""WITH u AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN regexp_replace(url, '^(https?://[^/]*)', '\1:8080') WHEN 1 THEN url || '.PDF' WHEN 2 THEN regexp_replace(url, '^https?', 'ftp') ELSE url END AS url FROM pages),
+    h AS (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS home FROM pages GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1)
+    SELECT page_id, u.url FROM u, h WHERE regexp_extract(u.url, '^https?://([^/?#]*)', 1) = home AND NOT regexp_matches(lower(u.url), '\.(pdf|jpg|png|gif|zip|exe)')""")
 def crawlable_pages(spark, d):
-    p = table(spark, d, "pages").select("page_id", "url")
-    host = p.agg(F.regexp_extract(F.min("url"), r"^https?://([^/?#:]+)", 1).alias("home"))
-    return p.join(F.broadcast(host)).filter(filters.is_crawlable(col("url"), col("home"))).select("page_id", "url")
+    i, u = col("page_id"), col("url")
+    p = table(spark, d, "pages")
+    host = p.groupBy(F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("home")).count().agg(F.max_by("home", F.struct("count", "home")).alias("home"))  # one row
+    url = F.when(i % 5 == 0, F.regexp_replace(u, "^(https?://[^/]*)", "$1:8080")).when(i % 5 == 1, F.concat(u, F.lit(".PDF"))).when(i % 5 == 2, F.regexp_replace(u, "^https?", "ftp")).otherwise(u)
+    return p.select("page_id", url.alias("url")).join(F.broadcast(host)).filter(filters.is_crawlable(col("url"), col("home"))).select("page_id", "url")
 
 
 def _inner(tag: str) -> str:
-    return f"list_transform(regexp_extract_all(html, '(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '[ \\t\\r\\n]+', ' ', 'g')))"
+    return f"list_transform(regexp_extract_all(html, '(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>', 1), lambda x: trim(regexp_replace({_entities("regexp_replace(x, '<[^>]*>', ' ', 'g')")}, '[ \\t\\r\\n]+', ' ', 'g')))"
 
 
 @register("page_paragraphs", f"SELECT page_id, CAST(unnest(range(len({_inner('p')}))) AS INT) AS ord, unnest({_inner('p')}) AS text FROM pages")
@@ -223,7 +227,7 @@ def text_blocks(spark, d):
 
 @register(
     "split_chapters",
-    r"""WITH p AS (SELECT page_id AS doc, unnest(list_concat([('heading 1', regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1))], list_transform(regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda x: ('normal', trim(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')))))) AS r, generate_subscripts(list_concat([1], list_transform(regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda x: 1)), 1) AS ord FROM pages),
+    r"""WITH p AS (SELECT page_id AS doc, unnest(list_concat([('heading 1', regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1))], list_transform(regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda x: ('normal', trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&quot;', chr(34)), '&middot;', chr(183)), '&copy;', chr(169)), '&amp;?', '&', 'g'), '[ \t\r\n]+', ' ', 'g')))))) AS r, generate_subscripts(list_concat([1], list_transform(regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda x: 1)), 1) AS ord FROM pages),
     q AS (SELECT doc, ord, r[1] AS style, r[2] AS text FROM p),
     z AS (SELECT doc, 1::BIGINT AS index, max(text) FILTER (style = 'heading 1') AS title, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY ord) FILTER (style = 'normal' AND text <> ''), '') AS content FROM q GROUP BY doc)
     SELECT doc, index, title, content, length(content) AS char_count, greatest(1, length(content) // 4) AS token_estimate FROM z""",
