@@ -43,7 +43,7 @@ def test_link_graph_equals_a_walk_over_pages(spark, sf):
             if to in of and urlsplit(to).netloc == urlsplit(r["url"]).netloc and not any(e in to.lower() for e in (".pdf", ".jpg", ".png", ".gif", ".zip", ".exe")):
                 want.add((r["page_id"], of[to]))
     graph = pages.page_link_graph(queries_flow.linked_pages(spark, sf))
-    assert {tuple(r) for r in graph.collect()} == want and len(want) > 20
+    assert {tuple(r) for r in graph.collect()} == want and len(want) > 10
     # depth by depth over the same links
     start = min(of.values())
     depth, frontier = {start: 0}, {start}

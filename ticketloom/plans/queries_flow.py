@@ -131,8 +131,8 @@ def linked_pages(spark, d):
     rest = F.regexp_extract("to", "^https?://[^/]*(.*)$", 1)
     k = col("src") % 5
     href = F.when(k == 0, rest).when(k == 1, F.concat(F.lit("../x/./.."), rest)).when(k == 2, F.concat(F.lit("//"), F.regexp_extract("to", "^https?://([^/]*)", 1), rest)).when(k == 3, col("to")).otherwise(F.concat(F.lit("../"), F.substring(rest, 2, 9999)))
-    same = F.regexp_extract("url", "^(https?)", 1) == F.regexp_extract("to", "^(https?)", 1)
-    href = F.when(same, href).otherwise(col("to"))  # another scheme needs the whole URL
+    place = lambda c: F.regexp_extract(c, "^(https?://[^/]*)", 1)
+    href = F.when(place("url") == place("to"), href).otherwise(col("to"))  # another scheme or host needs the whole URL
     made = page_links(spark, d).join(ends, "dst").join(p.select(col("page_id").alias("src"), "url"), "src")
     tags = made.select("src", F.concat(F.lit('<a class="n" href="'), F.replace(href, F.lit("&"), F.lit("&amp;")), F.lit('">x</a><a href="mailto:a@b">m</a>')).alias("tag"))
     own = tags.groupBy(col("src").alias("page_id")).agg(F.array_join(F.array_sort(F.collect_list("tag")), "").alias("tags"))
