@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions.columns import first_wins
 from ticketloom.functions.text import pack_chunks
 from ticketloom.operators.windows import allocate_quota, limit_per_group, ranked, split_quota_over_chunks
-from ticketloom.session import bounded_batches, written
+from ticketloom.session import bounded_batches, new_path, written
 
 
 def generate_qa(chapters: DataFrame, qa_fn: Callable[[str, int], list[dict]], per_chapter: int = 30, per_document: int | None = None, max_tokens: int = 3500) -> DataFrame:
@@ -56,38 +56,71 @@ def extract_concepts(chapters: DataFrame, concept_fn: Callable[[str, int], list[
     return numbered.join(keyed.select("doc", "source_file", "chapter"), "doc").select("source_file", F.col("chapter").cast("long").alias("chapter"), F.concat(F.lit("c"), F.col("_rank").cast("string")).alias("concept_id"), "title", "summary", "importance")
 
 
+def _once(folder: str, name: str, df: DataFrame) -> DataFrame:
+    """A table of a run that is written once: a run that goes on reads what it wrote before."""
+    spark, path = df.sparkSession, f"{folder}/{name}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_ASKED = "source_file string, chapter long, round int, k long, question string, answer string, covers array<string>, folded string"
+
+
 def generate_until_covered(
-    chapters: DataFrame, concept_fn: Callable[[str, int], list[dict]], qa_fn: Callable[[str, list[tuple[str, str]], int], list[dict]], threshold: float = 0.85, max_concepts: int = 50, rounds: int = 8, cap: int = 60, max_tokens: int = 3500
+    chapters: DataFrame,
+    concept_fn: Callable[[str, int], list[dict]],
+    qa_fn: Callable[[str, list[tuple[str, str]], int], list[dict]],
+    threshold: float = 0.85,
+    max_concepts: int = 50,
+    rounds: int = 8,
+    cap: int = 60,
+    max_tokens: int = 3500,
+    state: str | None = None,
 ) -> DataFrame:
     """For each chapter: its concepts (``extract_concepts``), then questions until the covered share reaches
-    the threshold, nothing new comes, or the cap is met. Chapters are independent rows; the answers are
-    written, so each request reaches the model once."""
-    concepts = extract_concepts(chapters, concept_fn, max_concepts, max_tokens)
-    listed = concepts.groupBy("source_file", "chapter").agg(F.collect_list(F.struct("concept_id", "title", "importance")).alias("concepts"))
-    ready = chapters.select("source_file", F.col("chapter").cast("long").alias("chapter"), "content").join(listed, ["source_file", "chapter"])
-
-    def one(content: str, concepts: list[dict]) -> list[tuple[str, str, list[str], float]]:
-        open_ids = {c["concept_id"]: c for c in concepts}
-        total, seen, out = len(open_ids), set(), []
-        for _ in range(rounds):
-            if not total or 1 - len(open_ids) / total >= threshold or len(out) >= cap:
-                break
-            ask = min(max(3, round(len(open_ids) / 3)), cap - len(out))
-            first = sorted(open_ids, key=lambda k: (open_ids[k]["importance"], open_ids[k]["title"]), reverse=True)[:20]
-            new = [q for q in qa_fn(content, [(k, open_ids[k]["title"]) for k in first], ask)[:ask] if q["question"].casefold() not in seen]
-            if not new:
-                break
-            for q in new:
-                seen.add(q["question"].casefold())
-                out.append(q)
-                for k in q.get("covers", []):
-                    open_ids.pop(k, None)
-        share = 1 - len(open_ids) / total if total else 1.0
-        return [(q["question"], q["answer"], list(q.get("covers", [])), share) for q in out]
+    the threshold, nothing new comes, or the cap is met: (source_file, chapter, question, answer, covers,
+    coverage).
+
+    A round asks for all chapters at once that still need it: open concepts are those that no answer covers, an
+    anti-join. Concepts and the answers of each round are written to the folder ``state`` (a new one, if not
+    given), so a run that fails goes on with the round that failed, and no request is repeated that was answered."""
+    spark = chapters.sparkSession
+    bounded_batches(spark)
+    folder = state or new_path(spark, "covering")
+    key = ["source_file", "chapter"]
+    concepts = _once(folder, "concepts", extract_concepts(chapters, concept_fn, max_concepts, max_tokens))
+    texts = chapters.select("source_file", F.col("chapter").cast("long").alias("chapter"), F.coalesce("content", F.lit("")).alias("content"))
+    totals = concepts.groupBy(*key).agg(F.count(F.lit(1)).alias("total"))
+    asked = spark.createDataFrame([], _ASKED)
 
     def run(parts):
         for pdf in parts:
-            rows = [(s, c, *r) for s, c, t, found in zip(pdf["source_file"], pdf["chapter"], pdf["content"], pdf["concepts"], strict=True) for r in one(t or "", list(found))]
-            yield pd.DataFrame(rows, columns=["source_file", "chapter", "question", "answer", "covers", "coverage"])
-
-    return written(ready.mapInPandas(run, "source_file string, chapter long, question string, answer string, covers array<string>, coverage double"), "covering-questions")
+            rows = [(s, c, r, k, x["question"], x["answer"], list(x.get("covers", [])), x["question"].casefold()) for s, c, t, n, r, found in zip(pdf["source_file"], pdf["chapter"], pdf["content"], pdf["ask"], pdf["round"], pdf["open"], strict=True) for k, x in enumerate(qa_fn(t, [(o["concept_id"], o["title"]) for o in found], int(n))[: int(n)])]
+            yield pd.DataFrame(rows, columns=["source_file", "chapter", "round", "k", "question", "answer", "covers", "folded"])
+
+    def standing() -> tuple[DataFrame, DataFrame]:
+        """(open concepts, chapters with total, n_open and n_asked)."""
+        covered = asked.select(*key, F.explode("covers").alias("concept_id")).distinct()
+        left = concepts.join(covered, [*key, "concept_id"], "left_anti")
+        counts = left.groupBy(*key).agg(F.count(F.lit(1)).alias("n_open"))
+        done = asked.groupBy(*key).agg(F.count(F.lit(1)).alias("n_asked"), F.max("round").alias("last"))
+        now = totals.join(counts, key, "left").join(done, key, "left").fillna({"n_open": 0, "n_asked": 0, "last": -1})
+        return left, now.withColumn("coverage", 1 - F.col("n_open") / F.col("total"))
+
+    for r in range(rounds):
+        left, now = standing()
+        # a chapter whose last round brought nothing new is done
+        todo = now.filter((F.col("coverage") < threshold) & (F.col("n_asked") < cap) & (F.col("last") == r - 1))
+        ask = F.least(F.greatest(F.lit(3), F.bround(F.col("n_open") / 3, 0)), cap - F.col("n_asked")).cast("long")
+        first = limit_per_group(left, key, 20, [F.desc("importance"), F.desc("title")]).groupBy(*key).agg(F.collect_list(F.struct("importance", "title", "concept_id")).alias("open"))
+        listed = F.reverse(F.array_sort("open"))
+        ready = texts.join(todo.select(*key, ask.alias("ask")), key).join(first, key).select(*key, "content", "ask", F.lit(r).alias("round"), listed.alias("open"))
+        answers = _once(folder, f"answers-{r}", ready.mapInPandas(run, _ASKED))
+        new = _once(folder, f"questions-{r}", answers.join(asked.select(*key, "folded").distinct(), [*key, "folded"], "left_anti").select(asked.columns))
+        if new.isEmpty():
+            break
+        asked = asked.unionByName(new)
+    share = standing()[1].select(*key, "coverage")
+    return asked.join(share, key).select(*key, "question", "answer", "covers", "coverage")

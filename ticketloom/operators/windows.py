@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ticketloom.functions.columns import first_wins, with_ordinal
-from ticketloom.session import bounded_batches, written
+from ticketloom.session import bounded_batches, release, written
 
 __all__ = ["first_wins", "with_ordinal"]
 
@@ -132,24 +132,46 @@ def split_quota_over_chunks(df: DataFrame, n_col: str = "n", floor: int = 0) ->
     return out.unionByName(lowered.withColumn("quota", (F.col("_share") - taken).cast("long")).select(*df.columns, "quota"))
 
 
+def _roots(named: DataFrame, stem: Column, ext: Column) -> DataFrame:
+    """(_where, _name, _root) of the names that a repeated name can reach: a name's forebears are what is left
+    when numbers go from the end of its stem one by one, itself included; its root is the shortest one that
+    is repeated in the folder. Other names meet nobody."""
+    names = named.filter("_name is not null").groupBy("_where", "_name").agg(F.count(F.lit(1)).alias("_n"))
+    names = written(names.withColumn("_stem", stem).withColumn("_ext", ext), "name-counts")
+    numbers = F.regexp_extract("_stem", r"((?:_\d+)+)$", 1)
+    base = F.expr("left(_stem, length(_stem) - length(_tail))")
+    cut = names.withColumn("_tail", numbers).withColumn("_base", base).withColumn("_parts", F.filter(F.split("_tail", "_"), lambda p: p != ""))
+    forebear = lambda k: F.concat("_base", F.array_join(F.transform(F.slice("_parts", 1, k), lambda p: F.concat(F.lit("_"), p)), ""), "_ext")
+    each = cut.select("_where", "_name", F.explode(F.transform(F.sequence(F.lit(0), F.size("_parts")), lambda k: F.struct(k.alias("k"), forebear(k).alias("name")))).alias("f"))
+    repeated = names.filter("_n > 1").select("_where", F.col("_name").alias("_root"))
+    met = each.select("_where", "_name", "f.k", F.col("f.name").alias("_root")).join(repeated, ["_where", "_root"])
+    out = written(met.groupBy("_where", "_name").agg(F.min_by("_root", "k").alias("_root")), "name-roots")
+    release(names)
+    return out
+
+
 def number_collisions(df: DataFrame, name_col: str = "name", order: str = "ord", folder: str | None = None) -> DataFrame:
     """Adds ``final_name``: rows in order take their name if it is free in the folder, else the first free
     one of stem_1.ext, stem_2.ext ... A null name stays null.
 
-    Names can only meet within a family: one folder, extension and stem without numbers at its end. Where
-    all rows of a family have one name, its numbers are ranks, counted without gathering the family in a
-    task; families with several names, which are as large as the numbers in use, go through one by one.
+    A name can only be in the way of a repeated one whose numbers lead to it (``_roots``); all others stay as
+    they are, however many share a stem. Where all rows of a family have one name, its numbers are ranks, counted
+    without gathering the family in a task; families of a repeated name and numbered ones go through one by
+    one.
     """
     bounded_batches(df.sparkSession)
     where = F.col(folder).cast("string") if folder else F.lit("")
-    stem, ext = F.regexp_extract(name_col, r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(name_col, r"^(.*?)(\.[^.]*)?$", 2)
-    named = df.withColumn("_family", F.struct(where.alias("folder"), F.regexp_replace(stem, r"(_\d+)+$", "").alias("stem"), ext.alias("ext")))
-    named = written(named.withColumn("_name", F.col(name_col).cast("string")), "names")
-    mixed = named.filter("_name is not null").groupBy("_family").agg(F.min("_name").alias("lo"), F.max("_name").alias("hi")).filter("lo != hi").select("_family", F.lit(True).alias("_mixed"))
-    marked = named.join(mixed, "_family", "left")
+    stem, ext = F.regexp_extract("_name", r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract("_name", r"^(.*?)(\.[^.]*)?$", 2)
+    named = written(df.withColumn("_where", F.coalesce(where, F.lit(""))).withColumn("_name", F.col(name_col).cast("string")), "names")
+    roots = _roots(named, stem, ext)
+    rooted = named.join(roots, ["_where", "_name"], "left")
+    free = rooted.filter("_root is null").withColumn("final_name", F.col("_name"))
+    family = rooted.filter("_root is not null").withColumn("_family", F.struct("_where", "_root"))
+    mixed = roots.groupBy(F.struct("_where", "_root").alias("_family")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_family", F.lit(True).alias("_mixed"))
+    marked = family.join(mixed, "_family", "left")
     plain = ranked(marked.filter("_mixed is null"), ["_family"], [order], "_rank")
     final = F.when(F.col("_rank") == 1, F.col("_name")).otherwise(F.concat(stem, F.lit("_"), (F.col("_rank") - 1).cast("string"), ext))
-    plain = plain.withColumn("final_name", final)
+    plain = free.select(*df.columns, "final_name").unionByName(plain.withColumn("final_name", final).select(*df.columns, "final_name"))
 
     columns = df.columns
 
