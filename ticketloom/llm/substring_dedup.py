@@ -10,7 +10,7 @@ document with a smaller id; windows are judged on the input.
    the stretch of windows that share it (at most ``2 * width - gram`` words).
 3. Each distinct passage, with the smallest document that has it, goes to a reference shard by its
    anchor; a shard holds about ``shard_words`` words, however large the corpus is. An anchor with more than an
-   eighth of a shard to itself is dealt window by window instead. A task builds the suffix
+   eighth of a shard to itself is dealt window by window instead, equal windows combined before. A task builds the suffix
    automaton of its shard, documents in ascending order, so that each state knows the smallest document
    that contains it; then every passage of the shard is streamed through, and the matching
    statistics give, for each of its windows, the smallest document in which it starts.
@@ -288,8 +288,16 @@ def first_documents(stretches: DataFrame, width: int, shard_words: int) -> DataF
     whole = marked.filter("hot is null").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "print", F.lit(0).alias("at"), "doc_id", "part")
     single = marked.filter("hot").select("anchor", "print", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"), "doc_id", F.split(F.decode("part", "ISO-8859-1"), " ").alias("words"))
     single = single.withColumn("part", F.encode(F.array_join(F.slice("words", F.col("at") + 1, width), " "), "ISO-8859-1"))
-    single = single.select(F.pmod(F.xxhash64("part"), F.lit(shards)).alias("shard"), "anchor", "print", "at", "doc_id", "part")
-    firsts = written(whole.unionByName(single).groupBy("shard").applyInArrow(_through_automaton(width), _FIRSTS), "repeat-firsts")
+    window = [F.xxhash64("part").alias("window"), F.xxhash64(F.lit(1), "part").alias("again")]
+    single = written(single.select("anchor", "print", "at", "doc_id", "part", *window), "repeat-single")
+    # equal windows are combined before they are dealt, so a window with many surroundings is one row of its shard
+    combined = single.groupBy("window", "again").agg(F.min("doc_id").alias("doc_id"), F.first("part").alias("part"))
+    combined = combined.select(F.pmod("window", F.lit(shards)).alias("shard"), F.col("window").alias("anchor"), F.col("again").alias("print"), F.lit(-1).alias("at"), "doc_id", "part")
+    through = written(whole.unionByName(combined).groupBy("shard").applyInArrow(_through_automaton(width), _FIRSTS), "repeat-through")
+    of_window = through.filter("at < 0").select(F.col("anchor").alias("window"), F.col("print").alias("again"), "firsts")
+    placed = single.join(of_window, ["window", "again"]).select("anchor", "print", "at", "firsts")
+    firsts = written(through.filter("at >= 0").unionByName(placed), "repeat-firsts")
+    release(single, through)
     release(passages, crowded)
     return firsts
 
