@@ -400,3 +400,34 @@ def test_refresh_of_image_links(spark):
     out = joins.refresh_image_urls(summaries, raw, "HD_")
     assert {r["ticket_id"]: r["image_urls"] for r in out.collect()} == {"1": ["u2", "u2"], "2": ["old"], "3": ["old"]}
     assert tuple(joins.refresh_counts(out).first()) == (1, 2, 2)
+
+
+def test_lsh_recall(spark, sf):
+    """Links of the approximate mode against all pairs, on local text vectors at the default thresholds."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("ord"), "text")
+    vectors = similarity.embed_texts(docs)
+    pairs = lambda mode: {(r["i"], r["j"]) for r in similarity.similarity_pairs(vectors, 0.78, 0.84, mode=mode).collect()}
+    exact, found = pairs("exact"), pairs("lsh")
+    assert len(exact) > 20 and found <= exact and len(found) >= 0.9 * len(exact)
+
+
+def test_index_mode_is_exact_and_compares_few_rows(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("ord"), "text")
+    vectors = similarity.embed_texts(docs, features=1 << 13)
+    seen, real = {}, similarity.written
+
+    def spy(df, name):
+        out = real(df, name)
+        seen[name] = out.count()
+        return out
+
+    similarity.written = spy
+    try:
+        index = {(r["i"], r["j"]): round(r["score"], 9) for r in similarity.similarity_pairs(vectors, 0.78, 0.84, mode="index").collect()}
+    finally:
+        similarity.written = real
+    exact = {(r["i"], r["j"]): round(r["score"], 9) for r in similarity.similarity_pairs(vectors, 0.78, 0.84).collect()}
+    n = docs.count()
+    assert index == exact and seen["index-pairs"] < 0.3 * n * (n - 1) / 2
+    odd = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [3.0, 0.0]), (4, [1.0, 1.0]), (5, [-1.0, 0.0])], "ord long, embedding array<double>")
+    assert {(r["i"], r["j"]) for r in similarity.similarity_pairs(odd, 0.7, 0.9, mode="index").collect()} == {(2, 3), (2, 4), (3, 4)}

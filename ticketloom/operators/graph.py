@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ticketloom.session import release, written
@@ -30,8 +30,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         heard = links.join(labels, links.t == labels.node).groupBy(F.col("s").alias("node")).agg(F.min("component").alias("heard"))
         met = labels.join(heard, "node", "left").select("node", "component", F.least("component", "heard").alias("near"))
         roots = labels.select(F.col("node").alias("near"), F.col("component").alias("root"))
-        new = written(met.join(roots, "near", "left").select("node", F.col("component").alias("old"), F.least("near", F.coalesce("root", "near")).alias("component")), "cc-labels")
-        done = new.filter(F.col("old") != F.col("component")).isEmpty()
+        step = met.join(roots, "near", "left").select("node", F.col("component").alias("old"), F.least("near", F.coalesce("root", "near")).alias("component"))
+        seen = Observation()  # counted while the labels are written
+        new = written(step.observe(seen, F.count(F.when(F.col("old") != F.col("component"), 1)).alias("changed")), "cc-labels")
+        done = not seen.get["changed"]
         release(before)
         before, labels = new, new.select("node", "component")
         labels._written_path = new._written_path  # so that release() knows it

@@ -8,13 +8,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.columns import first_wins, with_ordinal
 from ticketloom.operators.graph import connected_components
 from ticketloom.operators.windows import pick_representative
-from ticketloom.session import ship, written
+from ticketloom.session import release, ship, written
 
 
 def _block_scores(t_low: float):
@@ -46,7 +46,8 @@ def similarity_pairs(vectors: DataFrame, t_low: float, t_merge: float, block: in
 
     ``exact``: rows are dealt into blocks by hash, each pair of blocks is one matrix product in
     one task (2 * block vectors at most on average); scores never leave the task unless they reach
-    t_low. ``lsh``: random projections give candidates, the exact score decides.
+    t_low. ``index``: for sparse vectors, an inverted index with residual norms (``_index_pairs``), exact as
+    well. ``lsh``: random projections give candidates, the exact score decides.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -56,6 +57,8 @@ def similarity_pairs(vectors: DataFrame, t_low: float, t_merge: float, block: in
     rows = rows.select("ord", F.transform("v", lambda x: F.when(F.col("norm") > 0, x / F.col("norm")).otherwise(F.lit(0.0))).alias("vector"))
     if mode == "lsh":
         return _kinds(_lsh_pairs(rows, t_low), t_merge)
+    if mode == "index":
+        return _kinds(_index_pairs(rows, t_low), t_merge)
     blocks = max(1, math.ceil(vectors.count() / block))
     dealt = rows.withColumn("b", F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -65,6 +68,33 @@ def similarity_pairs(vectors: DataFrame, t_low: float, t_merge: float, block: in
     return _kinds(copies.groupBy("p", "q").applyInArrow(_block_scores(t_low), "i long, j long, score double"), t_merge)
 
 
+def _index_pairs(rows: DataFrame, t_low: float) -> DataFrame:
+    """All pairs of unit vectors with a dot product of at least t_low > 0.
+
+    Features are ordered by the number of vectors that have them, rare ones first. What two vectors have in
+    common from their first common feature on is at most the product of their norms from there on, so only
+    postings whose residual norm reaches t_low are kept, and only those meet whose product of residual norms
+    does. Of the candidates the exact score decides. A feature that most vectors have comes last, where
+    little of a vector is left: it brings nobody together unless there is nothing rarer."""
+    if t_low <= 0:
+        raise ValueError("the index finds pairs above a positive threshold only")
+    least = t_low - 1e-9  # sums of squares in another order
+    rows = written(rows, "index-vectors")
+    entries = rows.select("ord", F.posexplode("vector").alias("feature", "x")).filter("x != 0")
+    seen = written(entries.groupBy("feature").agg(F.count(F.lit(1)).alias("seen")), "index-features")  # a row for each feature
+    rest = Window.partitionBy("ord").orderBy("seen", "feature").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    postings = entries.join(seen.filter("seen > 1"), "feature").withColumn("rest", F.sqrt(F.sum(F.col("x") * F.col("x")).over(rest)))
+    postings = written(postings.filter(F.col("rest") >= least).select("feature", "ord", "rest"), "index-postings")
+    a, b = postings.alias("a"), postings.alias("b")
+    met = a.join(b, "feature").filter((F.col("a.ord") < F.col("b.ord")) & (F.col("a.rest") * F.col("b.rest") >= least))
+    pairs = written(met.select(F.col("a.ord").alias("i"), F.col("b.ord").alias("j")).distinct(), "index-pairs")
+    scored = pairs.join(rows.select(F.col("ord").alias("i"), F.col("vector").alias("u")), "i").join(rows.select(F.col("ord").alias("j"), F.col("vector").alias("w")), "j")
+    dot = F.aggregate(F.zip_with("u", "w", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    out = written(scored.select("i", "j", dot.alias("score")).filter(F.col("score") >= t_low), "index-scores")
+    release(rows, seen, postings, pairs)
+    return out
+
+
 def _kinds(pairs: DataFrame, t_merge: float) -> DataFrame:
     return pairs.withColumn("kind", F.when(F.col("score") >= t_merge, "merge").otherwise("review"))
 
