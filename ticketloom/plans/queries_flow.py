@@ -130,7 +130,7 @@ def linked_pages(spark, d):
     ends = p.select(col("page_id").alias("dst"), col("url").alias("to"))
     rest = F.regexp_extract("to", "^https?://[^/]*(.*)$", 1)
     k = col("src") % 5
-    href = F.when(k == 0, rest).when(k == 1, F.concat(F.lit("../x/./.."), rest)).when(k == 2, F.concat(F.lit("//"), F.regexp_extract("to", "^https?://([^/]*)", 1), rest)).when(k == 3, col("to")).otherwise(F.concat(F.lit("../"), F.substring(rest, 2, 9999)))
+    href = F.when(k == 0, rest).when(k == 1, F.concat(F.lit("../../../x/./.."), rest)).when(k == 2, F.concat(F.lit("//"), F.regexp_extract("to", "^https?://([^/]*)", 1), rest)).when(k == 3, col("to")).otherwise(F.concat(F.lit("../../../"), F.expr("substring(regexp_extract(to, '^https?://[^/]*(.*)$', 1), 2)")))
     place = lambda c: F.regexp_extract(c, "^(https?://[^/]*)", 1)
     href = F.when(place("url") == place("to"), href).otherwise(col("to"))  # another scheme or host needs the whole URL
     made = page_links(spark, d).join(ends, "dst").join(p.select(col("page_id").alias("src"), "url"), "src")
