@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions import text as tx
 from ticketloom.functions.columns import with_ordinal
-from ticketloom.operators import filters, generation, graph, joins, pages, replies, similarity, windows
+from ticketloom.operators import filters, generation, graph, images, joins, pages, replies, similarity, windows
 from ticketloom.sources import files
 
 
@@ -316,9 +316,9 @@ def test_images_greedy(spark):
     near = [255, 0] + base[2:]
     rows = [("t", 0, base), ("t", 1, near), ("t", 2, base[::-1]), ("u", 0, base)]
     df = spark.createDataFrame(rows, "ticket_id string, ord long, pixels array<int>")
-    got = {(r["ticket_id"], r["ord"]): r["kept"] for r in similarity.near_duplicate_images(df).collect()}
+    got = {(r["ticket_id"], r["ord"]): r["kept"] for r in images.near_duplicate_images(df).collect()}
     assert got == {("t", 0): True, ("t", 1): False, ("t", 2): True, ("u", 0): True}
-    assert {r["ord"] for r in similarity.near_duplicate_images(df, "exact").filter("kept and ticket_id = 't'").collect()} == {0, 1, 2}
+    assert {r["ord"] for r in images.near_duplicate_images(df, "exact").filter("kept and ticket_id = 't'").collect()} == {0, 1, 2}
 
 
 def test_ordinal_is_gapless(spark):

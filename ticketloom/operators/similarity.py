@@ -1,4 +1,4 @@
-"""Similarity join over vectors, review pairs, duplicate clusters, and near-duplicate images."""
+"""Similarity join over vectors, review pairs, and duplicate clusters."""
 
 from __future__ import annotations
 
@@ -6,12 +6,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.functions.columns import first_wins, with_ordinal
+from ticketloom.functions.columns import with_ordinal
 from ticketloom.operators.graph import connected_components
 from ticketloom.operators.windows import pick_representative
 from ticketloom.session import release, ship, written
@@ -144,44 +143,6 @@ def cluster_duplicates(tickets: DataFrame, edges: DataFrame) -> tuple[DataFrame,
     return clusters, canonical
 
 
-def mean_hash(pixels):
-    """64 bits of an 8 x 8 luminance grid: bit i is set where pixel i is at least the mean."""
-    mean = F.aggregate(pixels, F.lit(0).cast("long"), lambda acc, p: acc + p) / F.size(pixels)
-    bits = F.transform(pixels, lambda p, i: F.when(p >= mean, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(b))
-
-
-def _distinct_images(threshold: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        ordered, found, n = pdf.sort_values("ord"), np.zeros(len(pdf), np.int64), 0
-        for k, h in zip(ordered["ord"], ordered["hash"].to_numpy(), strict=True):
-            keep = not n or bool((np.bitwise_count((found[:n] ^ h).view(np.uint64)) > threshold).all())
-            if keep:
-                found[n] = h
-                n += 1
-            rows.append((k, keep))
-        return pd.DataFrame({"ticket_id": [pdf["ticket_id"].iloc[0]] * len(rows), "ord": [r[0] for r in rows], "kept": [r[1] for r in rows]})
-
-    return run
-
-
-def near_duplicate_images(images: DataFrame, mode: str = "ahash", threshold: int = 5) -> DataFrame:
-    """images(ticket_id, ord, pixels array<int>) -> (ticket_id, ord, kept). ``exact`` keeps the first of
-    equal images; ``ahash`` keeps an image that differs in more than threshold bits from every one
-    kept before in its ticket. A ticket's distinct hashes (8 bytes each) are judged in one task."""
-    if mode == "exact":
-        first = first_wins(images.withColumn("digest", F.sha2(F.to_json("pixels"), 256)).select("ticket_id", "ord", "digest"), ["ticket_id", "digest"], ["ord"])
-        return images.join(first.select("ticket_id", "ord", F.lit(True).alias("kept")), ["ticket_id", "ord"], "left").select("ticket_id", "ord", F.coalesce("kept", F.lit(False)).alias("kept"))
-    ship(images.sparkSession)
-    hashed = written(images.select("ticket_id", F.col("ord").cast("long").alias("ord"), mean_hash(F.col("pixels")).alias("hash")), "image-hashes")
-    kind = dict(hashed.dtypes)["ticket_id"]
-    # only the first of equal hashes can be kept, so the others need no comparison
-    first = first_wins(hashed, ["ticket_id", "hash"], ["ord"])
-    judged = first.groupBy("ticket_id").applyInPandas(_distinct_images(threshold), f"ticket_id {kind}, ord long, kept boolean")
-    return hashed.select("ticket_id", "ord").join(judged, ["ticket_id", "ord"], "left").select("ticket_id", "ord", F.coalesce("kept", F.lit(False)).alias("kept"))
-
-
 def embed_texts(texts: DataFrame, id_col: str = "ord", text_col: str = "text", features: int = 1 << 9) -> DataFrame:
     """Local embeddings: hashed words, inverse document frequency, unit length; ``features`` floats a row."""
     from pyspark.ml.feature import IDF, HashingTF, Normalizer

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ticketloom.operators import joins, replies, reports, similarity
+from ticketloom.operators import images, joins, replies, reports, similarity
 from ticketloom.plans.common import Register, conversation_tickets, documents
 from ticketloom.session import table, written
 
@@ -104,12 +104,20 @@ def _grids(spark, d):
 
 @register("mean_hash", f"WITH {_GRID}, b AS (SELECT vec_id, list_sum(p) / 64.0 AS m, p FROM g) SELECT vec_id AS ord, list_aggregate(list_transform(range(1, 65), lambda k: CASE WHEN p[k] >= m THEN 1 ELSE 0 END), 'sum')::BIGINT AS bits FROM b")
 def mean_hash(spark, d):
-    return _grids(spark, d).select("ord", F.bit_count(similarity.mean_hash(col("pixels"))).cast("long").alias("bits"))
+    return _grids(spark, d).select("ord", F.bit_count(images.mean_hash(col("pixels"))).cast("long").alias("bits"))
 
 
-@register("near_duplicate_images")
+_GREEDY = f"""WITH RECURSIVE {_GRID}, b AS (SELECT vec_id, list_sum(p) / 64.0 AS m, p FROM g),
+h AS (SELECT vec_id // 25 AS ticket_id, vec_id, row_number() OVER (PARTITION BY vec_id // 25 ORDER BY vec_id) AS k, CAST(list_sum(list_transform(range(0, 64), lambda i: CASE WHEN p[i + 1] >= m THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END)) AS HUGEINT) AS hash FROM b),
+w AS (SELECT DISTINCT ticket_id, 0::BIGINT AS k, NULL::BIGINT AS ord, []::HUGEINT[] AS found, false AS kept FROM h
+  UNION ALL SELECT n.ticket_id, n.k, n.vec_id, CASE WHEN n.near THEN n.found ELSE list_append(n.found, n.hash) END, NOT n.near
+  FROM (SELECT h.*, w.found, len(list_filter(w.found, lambda f: bit_count(xor(f, h.hash)) <= 20)) > 0 AS near FROM w JOIN h ON h.ticket_id = w.ticket_id AND h.k = w.k + 1) n)
+SELECT ticket_id, ord, kept FROM w WHERE ord IS NOT NULL"""
+
+
+@register("near_duplicate_images", _GREEDY)
 def near_duplicate_images(spark, d):
-    return similarity.near_duplicate_images(_grids(spark, d), "ahash", 20)
+    return images.near_duplicate_images(_grids(spark, d), "ahash", 20)
 
 
 @register("embed_texts")
