@@ -1,5 +1,8 @@
 """Links of real pages, markup in blocks, and rows that are hostile to every Python function."""
 
+import html
+import html.entities
+import random
 import re
 from urllib.parse import urljoin, urlsplit
 
@@ -141,3 +144,27 @@ def test_comment_dates_and_ids(spark):
     fetched = spark.createDataFrame([("7",), ("5",)], "comment_id string").withColumn("Attachments", F.array(F.struct(F.lit("f").alias("FileName"), F.lit("u").alias("Url"), F.lit(1).cast("long").alias("Size"))))
     rows = joins.fill_missing_attachments(spelled, fetched).collect()
     assert {(r["comment_id"], len(r["Attachments"])) for r in rows} == {("7", 1), (" ", 0), (None, 0), ("5", 1)}
+
+
+def test_urls_of_attributes(spark):
+    given = {' "http://h/a b" ': "http://h/a", "'x'": "x", "'x\"": "'x\"", '"': '"', "''": None, " ": None, "": None, "\u00a0a>b": "a", "<a": None, "' x'": "x", None: None}
+    df = spark.createDataFrame([(k,) for k in given], "u string")
+    assert {r["u"]: r["s"] for r in df.select("u", tx.strict_url(F.col("u")).alias("s")).collect()} == given
+    roots = {"http://h/helpdesk/x": "http://h/helpdesk/api", "HTTP://H:8/a/HELPDESK?b": "http://H:8/helpdesk/api", "//h/x?/helpdesk": "https://h/api", "h/x": None, "": "s://h/api", None: "s://h/api"}
+    df = spark.createDataFrame([(k,) for k in roots], "u string")
+    assert {r["u"]: r["s"] for r in df.select("u", tx.api_root(F.col("u"), F.lit("s://h")).alias("s")).collect()} == roots
+
+
+def test_character_references_are_those_of_the_standard(spark):
+    rng = random.Random(5)
+    names = list(html.entities.html5)
+    numbers = ["0", "00", "9", "13", "128", "159", "x9F", "X80", "xA0", "xfffe", "xFDD0", "xfeff", "xd800", "x1F600", "x10FFFF", "x110000", "9" * 30, "x" + "f" * 30]
+    kinds = [
+        lambda: "&" + rng.choice(names),
+        lambda: "&" + rng.choice(names)[:-1] + rng.choice(["", "x", "=", "\u00e9"]),
+        lambda: "&#" + rng.choice(numbers) + rng.choice([";", ""]),
+        lambda: rng.choice(["&", "&&", "&;", "&#", "&#x;", "& ", "a b", "\n", "\U0001f600", "&amp;lt;", "R&D"]),
+    ]
+    texts = ["".join(rng.choice(kinds)() for _ in range(rng.randint(1, 6))) for _ in range(2000)] + ["&" + n for n in names] + [None, ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.unescape(F.col("t")).alias("x")).collect()
+    assert [r for r in rows if r["x"] != (None if r["t"] is None else html.unescape(r["t"]))] == []

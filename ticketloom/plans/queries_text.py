@@ -38,6 +38,24 @@ def strip_html(spark, d):
     return table(spark, d, "pages").select("page_id", tx.clean_html(col("html"), "inline").alias("body"))
 
 
+_HOST = "regexp_extract(url, '//([^/?#]+)', 1)"
+
+
+@register(
+    "strict_urls",
+    f"""SELECT page_id, CASE page_id % 6 WHEN 3 THEN NULL WHEN 4 THEN '"' WHEN 5 THEN url || '"' ELSE url END AS strict,
+    CASE page_id % 5 WHEN 0 THEN split_part(url, '://', 1) || '://' || {_HOST} || '/api' WHEN 1 THEN split_part(url, '://', 1) || '://' || {_HOST} || '/helpdesk/api' WHEN 2 THEN 'https://spare.example.com:8080/helpdesk/api' WHEN 3 THEN 'https://' || {_HOST} || '/api' END AS api_root FROM pages""",
+)
+def strict_urls(spark, d):
+    url, lit = col("url"), F.lit
+    # as attributes hold them: in quotes, with something behind, none at all, and half quoted
+    raws = [F.concat(lit(' "'), url, lit('" ')), F.concat(lit("'"), url, lit(" x'")), F.concat(url, lit("<br>")), lit("\t  "), F.concat(lit('" '), url, lit("\ny")), F.concat(url, lit('"'))]
+    bases = [url, F.regexp_replace(url, r"^(\w+://[^/]+)", "$1/HelpDesk"), lit(""), F.regexp_replace(url, r"^\w+:", ""), lit("no host/helpdesk")]
+    pick = lambda values: F.get(F.array(*values), (col("page_id") % len(values)).cast("int"))
+    spare = lit("HTTPS://spare.example.com:8080/a/helpdesk;x?y")
+    return table(spark, d, "pages").select("page_id", tx.strict_url(pick(raws)).alias("strict"), tx.api_root(pick(bases), spare).alias("api_root"))
+
+
 # the documents hold no square bracket, so what the planted tags become can be spelled out
 _QUOTE = r"array_to_string(list_transform(string_split(regexp_replace(substr(text, 41, 200), '^\n+|\n+$', '', 'g'), chr(10)), lambda x: CASE WHEN regexp_matches(x, '^\s*$') THEN '>' ELSE '> ' || x END), chr(10))"
 _BB = rf"""'**' || substr(text, 1, 40) || '** [li\)n\]k](https://e.com/a) <https://kb.example.com/rel>' || chr(10) || '- one - two![](https://kb.example.com/x.png)' || chr(10) || chr(10) || {_QUOTE} || chr(10) || '_it_<u>un</u>[b]open' || chr(10) || '```' || chr(10) || 'code' || chr(10) || '```' || chr(10) || substr(text, 241)"""
