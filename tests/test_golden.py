@@ -431,3 +431,28 @@ def test_index_mode_is_exact_and_compares_few_rows(spark, sf):
     assert index == exact and seen["index-pairs"] < 0.3 * n * (n - 1) / 2
     odd = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [3.0, 0.0]), (4, [1.0, 1.0]), (5, [-1.0, 0.0])], "ord long, embedding array<double>")
     assert {(r["i"], r["j"]) for r in similarity.similarity_pairs(odd, 0.7, 0.9, mode="index").collect()} == {(2, 3), (2, 4), (3, 4)}
+
+
+def test_links_stand_for_all_pairs_in_few_rows(spark, sf):
+    """Components and best review partners of the links are those of all pairs; copies give no pair each."""
+    v = spark.read.parquet(f"{sf}/embeddings.parquet").filter("vec_id < 150").select(F.col("vec_id").alias("ord"), "embedding")
+    copies = v.filter("ord = 7").select(F.explode(F.sequence(F.lit(1000).cast("long"), F.lit(1099).cast("long"))).alias("ord"), "embedding")
+    v = v.unionByName(copies)
+    tickets = v.select("ord", F.col("ord").cast("string").alias("ticket_id"), F.lit("s").alias("subject"))
+    pairs = similarity.similarity_pairs(v, 0.3, 0.38, block=40).cache()
+    for block in (40, 1000):
+        links = similarity.similarity_links(v, 0.3, 0.38, block=block).cache()
+        parts = [{(r["node"], r["component"]) for r in similarity.connected_components(x.select(F.col("i").alias("a"), F.col("j").alias("b"))).collect()} for x in (links.filter("kind = 'link'"), pairs.filter("kind = 'merge'"), similarity.similarity_links(v, 0.38, 0.38, block=block))]
+        assert parts[0] == parts[1] == parts[2] and parts[0]
+        best = [{(r["i"], r["j"], r["similarity"]) for r in similarity.review_pairs(x, tickets).collect()} for x in (links, pairs)]
+        assert best[0] == best[1] and best[0]
+    assert links.count() < 2 * v.count() < pairs.count()
+
+
+def test_blocks_are_bounded_in_number_and_bytes(spark, monkeypatch):
+    """A row is copied once for each block, so many rows get few blocks until these are full."""
+    v = spark.range(400).select(F.col("id").alias("ord"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("embedding"))
+    sizes = lambda: {r["pair"]: r["count"] for r in similarity._dealt(v, 2, "ord", "embedding").count().collect()}
+    assert sum(sizes().values()) == 400 * similarity.BLOCKS
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 320)
+    assert sum(sizes().values()) == 400 * 20

@@ -7,29 +7,130 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from ticketloom.functions.columns import with_ordinal
 from ticketloom.operators.graph import connected_components
 from ticketloom.operators.windows import pick_representative
-from ticketloom.session import release, ship, written
+from ticketloom.session import bounded_batches, release, ship, written
+
+
+#: Vectors of a block take at most this many bytes in a task, as doubles.
+BLOCK_BYTES = 32 << 20
+#: As many blocks a table that fits into fewer is dealt into, for enough tasks (78).
+BLOCKS = 12
+#: Scores that a task holds at a time, and rows that it sends at a time.
+_TILE, _ROWS = 1 << 22, 1 << 16
+
+
+def _rows_of(i: np.ndarray, j: np.ndarray, score: np.ndarray | None, kind: str | None = None) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(i), _ROWS):
+        cut = slice(at, at + _ROWS)
+        n = len(i[cut])
+        values = pa.nulls(n, pa.float64()) if score is None else pa.array(score[cut], pa.float64())
+        columns = [pa.array(np.minimum(i[cut], j[cut]), pa.int64()), pa.array(np.maximum(i[cut], j[cut]), pa.int64()), values]
+        names = ["i", "j", "score"]
+        if kind is not None:
+            columns, names = [*columns, pa.array([kind] * n, pa.string())], [*names, "kind"]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+class _Block:
+    """A pair of blocks in a task: unit vectors, and which rows are on which side."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        group = pa.Table.from_batches(list(batches)).combine_chunks()
+        self.own = group["ord"].to_numpy()
+        side = group["side"].to_numpy()
+        v = group["vector"].combine_chunks()
+        v = v.flatten().to_numpy(zero_copy_only=False).reshape(len(self.own), -1).astype(np.float64)
+        norm = np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+        self.vectors = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
+        self.left, self.right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        self.same = bool((side == 2).any())
+
+    def near(self, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows (a, b) that may score ``least`` or more, each pair once. Single precision finds them, with what its
+        sums can be wrong by; ``scores`` decides."""
+        single = self.vectors.astype(np.float32)
+        other = np.ascontiguousarray(single[self.right].T)
+        least = np.float32(least - 1e-6 - 1.2e-7 * single.shape[1])
+        step = max(1, _TILE // max(1, len(self.right)))
+        for at in range(0, len(self.left), step):
+            rows = self.left[at : at + step]
+            at_once = np.flatnonzero((single[rows] @ other).ravel() >= least)
+            a, b = rows[at_once // len(self.right)], self.right[at_once % len(self.right)]
+            if self.same:
+                once = self.own[a] < self.own[b]
+                a, b = a[once], b[once]
+            if len(a):
+                yield a, b
+
+    def scores(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out, step = np.empty(len(a)), max(1, _TILE // (4 * self.vectors.shape[1]))
+        for at in range(0, len(a), step):
+            cut = slice(at, at + step)
+            out[cut] = np.einsum("ij,ij->i", self.vectors[a[cut]], self.vectors[b[cut]])
+        return out
 
 
 def _block_scores(t_low: float):
-    def run(group: pa.Table) -> pa.Table:
-        own, side = group["ord"].to_numpy(), group["side"].to_numpy()
-        vectors = np.array(group["vector"].to_pylist(), np.float64).reshape(len(own), -1)
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for at in range(0, len(left), 512):  # bounded: 512 x block scores at a time
-            rows = left[at : at + 512]
-            scores = vectors[rows] @ vectors[right].T
-            a, b = np.nonzero((scores >= t_low) & (own[rows][:, None] < own[right][None, :] if group["same"][0].as_py() else scores >= t_low))
-            i, j = own[rows[a]], own[right[b]]
-            out.append((np.minimum(i, j), np.maximum(i, j), scores[a, b]))
-        i, j, s = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table({"i": pa.array(i, pa.int64()), "j": pa.array(j, pa.int64()), "score": pa.array(s, pa.float64())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block(batches)
+        for a, b in block.near(t_low):
+            s = block.scores(a, b)
+            good = s >= t_low
+            yield from _rows_of(block.own[a[good]], block.own[b[good]], s[good])
+
+    return run
+
+
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots after the edges (a, b); the root of a component is its least row."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _best(i: np.ndarray, j: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best j of each i, ties to the smallest j."""
+    order = np.lexsort((j, -s, i))
+    i, j, s = i[order], j[order], s[order]
+    first = np.ones(len(i), bool)
+    first[1:] = i[1:] != i[:-1]
+    return i[first], j[first], s[first]
+
+
+def _block_links(t_low: float, t_merge: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block(batches)
+        own, root = block.own, np.arange(len(block.own))
+        best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for a, b in block.near(t_low):
+            if t_low >= t_merge:  # rows that are linked already need no score
+                apart = root[a] != root[b]
+                a, b = a[apart], b[apart]
+            s = block.scores(a, b)
+            merge = s >= t_merge
+            root = _joined(root, a[merge], b[merge])
+            review = (s >= t_low) & ~merge
+            if review.any():
+                a, b = own[a[review]], own[b[review]]
+                best.append(_best(np.minimum(a, b), np.maximum(a, b), s[review]))
+                if sum(len(x[0]) for x in best[1:]) > 4 * len(own):
+                    best = [_best(*(np.concatenate(x) for x in zip(*best, strict=True)))]
+        linked = np.flatnonzero(root != np.arange(len(own)))
+        yield from _rows_of(own[root[linked]], own[linked], None, "link")
+        if best:
+            yield from _rows_of(*_best(*(np.concatenate(x) for x in zip(*best, strict=True))), "review")
 
     return run
 
@@ -43,28 +144,45 @@ def unit(c):
 def similarity_pairs(vectors: DataFrame, t_low: float, t_merge: float, block: int = 2000, mode: str = "exact", ord_col: str = "ord", vector_col: str = "embedding") -> DataFrame:
     """(i, j, score, kind 'merge'|'review') for i < j with dot product of unit vectors >= t_low.
 
-    ``exact``: rows are dealt into blocks by hash, each pair of blocks is one matrix product in
-    one task (2 * block vectors at most on average); scores never leave the task unless they reach
-    t_low. ``index``: for sparse vectors, an inverted index with residual norms (``_index_pairs``), exact as
+    ``exact``: rows are dealt into blocks, each pair of blocks is one matrix product in one task
+    (``_dealt``); scores never leave the task unless they reach t_low, and pairs are sent as they are found.
+    ``index``: for sparse vectors, an inverted index with residual norms (``_index_pairs``), exact as
     well. ``lsh``: random projections give candidates, the exact score decides.
     """
-    spark = vectors.sparkSession
-    ship(spark)
+    if mode == "exact":
+        return _kinds(_dealt(vectors, block, ord_col, vector_col).applyInArrow(_block_scores(t_low), "i long, j long, score double"), t_merge)
+    ship(vectors.sparkSession)
     # the norm is a column of its own, so that it is computed once for each row
     norm = F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda acc, x: acc + x * x))
     rows = vectors.select(F.col(ord_col).cast("long").alias("ord"), F.transform(F.col(vector_col), lambda x: x.cast("double")).alias("v")).withColumn("norm", norm)
     rows = rows.select("ord", F.transform("v", lambda x: F.when(F.col("norm") > 0, x / F.col("norm")).otherwise(F.lit(0.0))).alias("vector"))
-    if mode == "lsh":
-        return _kinds(_lsh_pairs(rows, t_low), t_merge)
-    if mode == "index":
-        return _kinds(_index_pairs(rows, t_low), t_merge)
-    blocks = max(1, math.ceil(vectors.count() / block))
+    return _kinds(_lsh_pairs(rows, t_low) if mode == "lsh" else _index_pairs(rows, t_low), t_merge)
+
+
+def similarity_links(vectors: DataFrame, t_low: float, t_merge: float, block: int = 2000, ord_col: str = "ord", vector_col: str = "embedding") -> DataFrame:
+    """What clusters and review pairs need of all pairs, at most three rows for each row and pair of blocks
+    however many pairs there are: (i, j, null, 'link'), which connect the same rows as all pairs with a score >=
+    t_merge, and (i, j, score, 'review'), the best below of each i from a pair of blocks, ties to the smallest j.
+    Where t_low is t_merge there are links only. Every pair is scored."""
+    return _dealt(vectors, block, ord_col, vector_col).applyInArrow(_block_links(t_low, t_merge), "i long, j long, score double, kind string")
+
+
+def _dealt(vectors: DataFrame, block: int, ord_col: str, vector_col: str) -> GroupedData:
+    """Rows by pairs of blocks. A row is copied once for each block, so there are few and large ones: at least
+    ``block`` rows for each of ``BLOCKS``, and ``BLOCK_BYTES`` at most."""
+    bounded_batches(vectors.sparkSession)
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, FloatType)
+    rows = vectors.select(F.col(ord_col).cast("long").alias("ord"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("vector")).filter("vector is not null")
+    n, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    blocks = max(1, min(BLOCKS, math.ceil(n / block)), math.ceil(n * width * 8 / BLOCK_BYTES))
     dealt = rows.withColumn("b", F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    copies = dealt.withColumn("o", other).select(
-        F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"), (F.col("b") == F.col("o")).alias("same"), F.when(F.col("b") == F.col("o"), 2).when(F.col("b") < F.col("o"), 0).otherwise(1).alias("side"), "ord", "vector"
-    )
-    return _kinds(copies.groupBy("p", "q").applyInArrow(_block_scores(t_low), "i long, j long, score double"), t_merge)
+    p, q = F.least("b", "o"), F.greatest("b", "o")
+    pair = (p * blocks + q - F.floor(p * (p + 1) / 2)).cast("int")  # from 0, without gaps
+    copies = dealt.withColumn("o", other).select(pair.alias("pair"), F.when(F.col("b") == F.col("o"), 2).when(F.col("b") < F.col("o"), 0).otherwise(1).alias("side"), "ord", "vector")
+    # by number and not by hash, so that each pair of blocks is a task of its own
+    parts = min(blocks * (blocks + 1) // 2, 2000)
+    return copies.repartitionById(parts, "pair").groupBy("pair")
 
 
 def _index_pairs(rows: DataFrame, t_low: float) -> DataFrame:
@@ -110,7 +228,8 @@ def _lsh_pairs(rows: DataFrame, t_low: float) -> DataFrame:
 
 
 def review_pairs(pairs: DataFrame, tickets: DataFrame, max_pairs: int | None = None) -> DataFrame:
-    """For each i its best j in the review zone (ties to the smallest j), with ids and subjects."""
+    """For each i its best j in the review zone (ties to the smallest j), with ids and subjects. Of pairs all or those
+    of ``similarity_links`` are taken."""
     best = pairs.filter("kind = 'review'").groupBy("i").agg(F.max_by(F.struct("j", "score"), F.struct("score", (-F.col("j")).alias("n"))).alias("b"))
     best = best.select("i", F.col("b.j").alias("j"), F.round("b.score", 4).alias("similarity"))
     if max_pairs is not None:
@@ -120,8 +239,8 @@ def review_pairs(pairs: DataFrame, tickets: DataFrame, max_pairs: int | None = N
 
 
 def cluster_duplicates(tickets: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """tickets(ord, ticket_id, date, subject, problem, solution) and edges(i, j) -> (clusters,
-    canonical). Clusters are numbered by smallest member; singletons are clusters."""
+    """tickets(ord, ticket_id, date, subject, problem, solution) and edges(i, j), all of them or such that
+    connect the same tickets (``similarity_links``) -> (clusters, canonical). Clusters are numbered by smallest member; singletons are clusters."""
     labels = connected_components(edges.select(F.col("i").alias("a"), F.col("j").alias("b")))
     placed = tickets.join(labels.select(F.col("node").alias("ord"), "component"), "ord", "left").withColumn("root", F.coalesce("component", "ord")).drop("component")
     placed = written(placed, "placed")

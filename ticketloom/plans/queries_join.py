@@ -22,8 +22,12 @@ walk(node, label) AS (SELECT ord, ord FROM v UNION SELECT edges.b, walk.label FR
 roots AS (SELECT node, min(label) AS root FROM walk GROUP BY node)"""
 
 
+def _vectors(spark, d):
+    return table(spark, d, "embeddings").select(col("vec_id").alias("ord"), "embedding")
+
+
 def _pairs(spark, d):
-    return similarity.similarity_pairs(table(spark, d, "embeddings").select(col("vec_id").alias("ord"), "embedding"), REVIEW, MERGE)
+    return similarity.similarity_pairs(_vectors(spark, d), REVIEW, MERGE)
 
 
 def _vector_tickets(spark, d):
@@ -43,12 +47,12 @@ def similarity_pairs(spark, d):
     SELECT i, j, 'T' || i AS "ticket_id_A", 'T' || j AS "ticket_id_B", round(s, 4) AS similarity, 'Subject ' || i AS "subject_A", 'Subject ' || j AS "subject_B" FROM r WHERE rn = 1""",
 )
 def review_pairs(spark, d):
-    return similarity.review_pairs(_pairs(spark, d), _vector_tickets(spark, d))
+    return similarity.review_pairs(similarity.similarity_links(_vectors(spark, d), REVIEW, MERGE), _vector_tickets(spark, d))
 
 
 def _clusters(spark, d, pairs=None):
-    pairs = _pairs(spark, d) if pairs is None else pairs
-    return similarity.cluster_duplicates(_vector_tickets(spark, d), pairs.filter("kind = 'merge'"))
+    pairs = similarity.similarity_links(_vectors(spark, d), MERGE, MERGE) if pairs is None else pairs
+    return similarity.cluster_duplicates(_vector_tickets(spark, d), pairs.filter("kind = 'link'"))
 
 
 @register(
@@ -89,7 +93,7 @@ def largest_clusters(spark, d):
     SELECT sum(size)::BIGINT AS input_rows, count(*) AS clusters, sum((size > 1)::BIGINT)::BIGINT AS clusters_of_several, max(size) AS largest, (SELECT count(*) FROM q WHERE rn = 1) AS review_pairs, count(*) AS canonical_rows, {MERGE}::DOUBLE AS merge_threshold, {REVIEW}::DOUBLE AS review_threshold FROM c""",
 )
 def dedupe_report(spark, d):
-    pairs = written(_pairs(spark, d), "pairs")
+    pairs = written(similarity.similarity_links(_vectors(spark, d), REVIEW, MERGE), "pairs")
     found, _ = _clusters(spark, d, pairs)
     return reports.dedupe_report(found, similarity.review_pairs(pairs, _vector_tickets(spark, d)), MERGE, REVIEW)
 
