@@ -456,3 +456,12 @@ def test_blocks_are_bounded_in_number_and_bytes(spark, monkeypatch):
     assert sum(sizes().values()) == 400 * similarity.BLOCKS
     monkeypatch.setattr(similarity, "BLOCK_BYTES", 320)
     assert sum(sizes().values()) == 400 * 20
+
+
+def test_text_functions_bound_their_batches(spark):
+    """Python gets few rows and bytes of text at a time, whatever ran in the session before."""
+    for key, value in (("maxRecordsPerBatch", 10000), ("maxBytesPerBatch", 1 << 28)):
+        spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
+    tx.markdown_to_text(F.lit("x"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 16 << 20

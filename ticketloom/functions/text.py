@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.columns import held
-from ticketloom.session import ship
+from ticketloom.session import bounded_batches
 
 #: White space, Unicode's and the four separators that are control characters.
 _SPACE = r"[\s\x1C-\x1F]"
@@ -37,7 +37,7 @@ def let(c: Column, fn: Callable[[Column], Column]) -> Column:
 def _text_function(fn: Callable[[str], str]) -> Callable[[Column], Column]:
     spark = SparkSession.getActiveSession()
     if spark is not None:
-        ship(spark)  # executors read functions of this module
+        bounded_batches(spark)  # also ships this module, whose functions executors read
 
     def run(s: pd.Series) -> pd.Series:
         return s.map(fn, na_action="ignore")
