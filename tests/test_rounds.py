@@ -188,3 +188,19 @@ def test_numbered_names_without_a_repeat_are_no_family(spark):
     finally:
         windows.written = real
     assert seen == [0]
+
+
+def test_tracker_writes_links_and_not_all_pairs(spark, sf, monkeypatch):
+    """Clusters need no pair of each two similar tickets, and tickets are made once for prompts and summaries."""
+    from ticketloom.plans import pipelines, queries_flow
+
+    seen, real = {}, pipelines.written
+
+    def spy(df, name):
+        seen[name] = real(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(pipelines, "written", spy)
+    assert queries_flow.flow_tracker(spark, sf).count() > 0
+    assert {"tickets", "links"} <= set(seen) and "pairs" not in seen
+    assert seen["links"].count() < seen["placed"].count()

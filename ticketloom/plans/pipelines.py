@@ -18,6 +18,7 @@ Model = Callable[[list[str]], list[str]]
 def _summaries(tickets: DataFrame, model: Model, prefix: str) -> DataFrame:
     """Assembled tickets(ticket_id, subject, issue_date, category, url, body, kommentare, Attachments) through
     prompts, the model and the parser to summaries, written."""
+    tickets = written(tickets, "tickets")  # read twice; what made them went through Python
     prompts = written(replies.build_prompts(tickets), "prompts")
     routed = replies.route_replies(replies.score_prompts(prompts, model))
     known = tickets.select("ticket_id", "subject", "issue_date", "url").join(prompts.select("ticket_id", "urls", "filenames"), "ticket_id")
@@ -79,10 +80,12 @@ def tracker_flow(
     summaries = _summaries(new.withColumnsRenamed({v: k for k, v in named.items()}), model, "HD-")
     placed = written(with_ordinal(summaries, ["ticket_id"], "ord"), "placed")
     texts = placed.select("ord", tx.similarity_text(F.col("subject"), F.col("problem"), F.col("solution")).alias("text"))
-    pairs = written(similarity.similarity_pairs(similarity.embed_texts(texts), t_low, t_merge), "pairs")
-    clusters, canonical = similarity.cluster_duplicates(placed, pairs.filter("kind = 'merge'"))
+    vectors = written(similarity.embed_texts(texts), "vectors")
+    links = written(similarity.similarity_links(vectors, t_merge, t_merge), "links")
+    clusters, canonical = similarity.cluster_duplicates(placed, links)
     canonical = written(canonical, "canonical")
-    return clusters, windows.canonical_order(canonical), similarity.review_pairs(pairs, placed), _blocks(canonical, batch_size)
+    review = similarity.review_pairs(similarity.similarity_links(vectors, t_low, t_merge), placed)
+    return clusters, windows.canonical_order(canonical), review, _blocks(canonical, batch_size)
 
 
 def crm_flow(landed: DataFrame, manifest: DataFrame, extensions: list[str], folders: list[str], page_size: int = 100) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
