@@ -204,3 +204,14 @@ def test_tracker_writes_links_and_not_all_pairs(spark, sf, monkeypatch):
     assert queries_flow.flow_tracker(spark, sf).count() > 0
     assert {"tickets", "links"} <= set(seen) and "pairs" not in seen
     assert seen["links"].count() < seen["placed"].count()
+
+
+def test_quotas_are_shared_without_texts(spark, monkeypatch):
+    from ticketloom.operators import generation
+
+    seen, real = [], generation.split_quota_over_chunks
+    monkeypatch.setattr(generation, "split_quota_over_chunks", lambda df, **k: seen.append(df.columns) or real(df, **k))
+    rows = spark.createDataFrame([("d", 1, "a. b. c", 700), ("e", 1, "x. y", 350)], "source_file string, chapter long, content string, token_estimate long")
+    ask = lambda t, n: [{"question": s.strip(), "answer": "z"} for s in t.split(".")[:n]]
+    got = {(r["source_file"], r["question"]) for r in generation.generate_qa(rows, ask, 10).collect()}
+    assert got == {("d", "a"), ("d", "b"), ("e", "x")} and "content" not in seen[0]

@@ -14,6 +14,11 @@ from ticketloom.operators.windows import allocate_quota, limit_per_group, ranked
 from ticketloom.session import bounded_batches, new_path, written
 
 
+def _with_texts(chunks: DataFrame, quotas: DataFrame) -> DataFrame:
+    """Chunks with their quota. Quotas are shared out over sizes alone, so texts are shuffled once."""
+    return chunks.join(quotas.select("doc", "chunk", "quota"), ["doc", "chunk"])
+
+
 def generate_qa(chapters: DataFrame, qa_fn: Callable[[str, int], list[dict]], per_chapter: int = 30, per_document: int | None = None, max_tokens: int = 3500) -> DataFrame:
     """chapters(source_file, chapter, content, token_estimate) -> (source_file, chapter, question,
     answer). Long chapters are chunked and share their quota; questions are distinct by folded text. The
@@ -21,8 +26,9 @@ def generate_qa(chapters: DataFrame, qa_fn: Callable[[str, int], list[dict]], pe
     bounded_batches(chapters.sparkSession)
     quota = allocate_quota(chapters.filter("content != ''"), "source_file", "chapter", "token_estimate", per_chapter, per_document).filter("quota > 0")
     keyed = quota.withColumn("doc", F.concat_ws("\u0001", "source_file", F.col("chapter").cast("string")))
-    chunks = pack_chunks(keyed, "doc", "content", max_tokens).select("doc", F.col("chunk_ord").alias("chunk"), "content", "tokens")
-    shared = split_quota_over_chunks(chunks.join(keyed.select("doc", F.col("quota").alias("n")), "doc")).filter("quota > 0")
+    chunks = written(pack_chunks(keyed, "doc", "content", max_tokens).select("doc", F.col("chunk_ord").alias("chunk"), "content", "tokens"), "texts")
+    sizes = chunks.select("doc", "chunk", "tokens").join(keyed.select("doc", F.col("quota").alias("n")), "doc")
+    shared = _with_texts(chunks, split_quota_over_chunks(sizes).filter("quota > 0"))
 
     def run(parts):
         for pdf in parts:
@@ -42,8 +48,9 @@ def extract_concepts(chapters: DataFrame, concept_fn: Callable[[str, int], list[
     model once."""
     bounded_batches(chapters.sparkSession)
     keyed = chapters.filter(F.coalesce(F.btrim("content"), F.lit("")) != "").withColumn("doc", F.concat_ws("\u0001", "source_file", F.col("chapter").cast("string")))
-    chunks = pack_chunks(keyed, "doc", "content", max_tokens).select("doc", F.col("chunk_ord").alias("chunk"), "content", "tokens", F.lit(max_concepts).cast("long").alias("n"))
-    shared = split_quota_over_chunks(chunks, floor=1)
+    chunks = written(pack_chunks(keyed, "doc", "content", max_tokens).select("doc", F.col("chunk_ord").alias("chunk"), "content", "tokens"), "texts")
+    sizes = chunks.select("doc", "chunk", "tokens", F.lit(max_concepts).cast("long").alias("n"))
+    shared = _with_texts(chunks, split_quota_over_chunks(sizes, floor=1))
 
     def run(parts):
         for pdf in parts:
