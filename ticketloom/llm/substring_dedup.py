@@ -11,9 +11,9 @@ document with a smaller id; windows are judged on the input.
 3. Each distinct passage, with the smallest document that has it, goes to a reference shard by its
    anchor; a shard holds about ``shard_words`` words, however large the corpus is. An anchor with more than an
    eighth of a shard to itself is dealt window by window instead, equal windows combined before. A task builds the suffix
-   automaton of its shard, documents in ascending order, so that each state knows the smallest document
-   that contains it; then every passage of the shard is streamed through, and the matching
-   statistics give, for each of its windows, the smallest document in which it starts.
+   automata of its shard, one for each anchor, documents in ascending order, so that each state knows the smallest document
+   that contains it; every passage of the shard is streamed through as it is added, and the state of
+   each of its windows gives the smallest document in which it starts.
 4. A document loses the words under those of its windows that start in a smaller one.
 
 The automata are not broadcast: the number of shards grows with the repeated part of the corpus, and a
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.words import HASHES, mix, only, rolling, signed, text_bytes, word_hashes
+from ticketloom.llm.words import hashed_words, mix, only, rolling, runs, signed, text_bytes
 from ticketloom.session import IdFilter, bounded_batches, release, table, written
 
 
@@ -48,12 +48,20 @@ class SuffixAutomaton:
         self.next: list[dict[Hashable, int]] = [{}]
         self.link, self.length, self.first = [-1], [0], [0]
 
-    def add(self, words: Sequence[Hashable], doc: int) -> None:
+    def add(self, words: Sequence[Hashable], doc: int, width: int | None = None) -> list[int]:
         """Online construction; a word that is there already is followed, so sequences share states. A clone
-        is made where a state holds longer contexts than the one that is needed."""
+        is made where a state holds longer contexts than the one that is needed.
+
+        With ``width``: for each window of so many words the smallest document in which it occurs. Documents come
+        in ascending order, so that is known as soon as the window has been added."""
         next_, link, length, first = self.next, self.link, self.length, self.first
-        last = 0
-        for c in words:
+        last, out, end = 0, [], len(words) if width is None else width - 1
+        for i, c in enumerate(words):
+            if i > end:  # the window that the word before has ended
+                state = last
+                while length[link[state]] >= width:
+                    state = link[state]
+                out.append(first[state])
             p, q = last, next_[last].get(c)
             if q is None:
                 new = len(length)
@@ -87,6 +95,12 @@ class SuffixAutomaton:
                 last = q
             else:
                 link[new] = q
+        if width is not None and len(words) >= width:
+            state = last
+            while length[link[state]] >= width:
+                state = link[state]
+            out.append(first[state])
+        return out
 
     def earliest(self, words: Sequence[Hashable], width: int) -> list[int | None]:
         """For each width-word window, the smallest document in which it occurs, None if there is none.
@@ -146,11 +160,10 @@ def _anchors(width: int, gram: int):
     """(text) -> one row for each distinct anchor of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only(HASHES)
+        only()
         for batch in batches:
-            words = [(t or b"").split() for t in text_bytes(batch.column(0))]
-            sizes = [len(w) for w in words]
-            text, anchor, _, _ = anchors(sizes, word_hashes([x for w in words for x in w]), width, gram)
+            sizes, _, _, _, hashes = hashed_words([t or b"" for t in text_bytes(batch.column(0))])
+            text, anchor, _, _ = anchors(sizes, hashes, width, gram)
             _, once = np.unique(mix(anchor ^ mix(text.astype(np.uint64) + np.uint64(1))), return_index=True)
             yield pa.RecordBatch.from_arrays([pa.array(signed(anchor[once]))], ["anchor"])
 
@@ -166,26 +179,21 @@ def _stretches(shared: IdFilter, width: int, gram: int, seen_most: int = 200_000
     anchors, so a stretch is known by its anchor and fingerprint, 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only(HASHES)
+        only()
         seen: set[int] = set()
         for batch in batches:
             texts = [t or b"" for t in text_bytes(batch.column(1))]
-            split = [t.split() for t in texts]
-            words = [x for w in split for x in w]
-            sizes = [len(w) for w in split]
-            hashes = word_hashes(words)
+            sizes, joined, begins, ends, hashes = hashed_words(texts)
             text, anchor, first, n = anchors(sizes, hashes, width, gram)
             at = np.flatnonzero(shared.has_hash(signed(anchor)))
-            text, begins, counts = text[at], first[at].tolist(), n[at].tolist()
-            raw, prints, parts = hashes.tobytes(), [], []
-            for b, k in zip(begins, counts, strict=True):
-                mark = xxhash.xxh3_64_intdigest(raw[8 * b : 8 * (b + k + width - 1)]) - (1 << 63)
-                prints.append(mark)
+            text, last = text[at], first[at] + n[at] + width - 2
+            prints, parts = signed(runs(hashes, first[at], n[at] + width - 1)).tolist(), []
+            for mark, a, z in zip(prints, begins[first[at]].tolist(), ends[last].tolist(), strict=True):
                 if mark in seen:
                     parts.append(None)
                 else:
                     seen.add(mark)
-                    parts.append(b" ".join(words[b : b + k + width - 1]))
+                    parts.append(b" ".join(joined[a:z].split()))
             owner = pa.array(text)
             keys = pa.array([_row_key(t) for t in texts], pa.int64())
             start = first[at] - (np.cumsum([0, *sizes])[:-1])[text]
@@ -204,14 +212,16 @@ def _through_automaton(width: int):
     """The passages of a shard -> for each of their windows the smallest document that has it."""
 
     def run(group: pa.Table) -> pa.Table:
-        docs, parts = group["doc_id"].to_pylist(), [p.split(b" ") for p in group["part"].to_pylist()]
-        automaton = SuffixAutomaton()
+        docs, keys, parts = group["doc_id"].to_pylist(), group["anchor"].to_pylist(), group["part"].to_pylist()
+        found: list = [None] * len(docs)
         gc.disable()  # an automaton is many small tables without reference cycles
         try:
-            for i in sorted(range(len(docs)), key=docs.__getitem__):
-                automaton.add(parts[i], docs[i])
-            firsts = pa.array([automaton.earliest(p, width) for p in parts], pa.list_(pa.int64()))
-            del automaton
+            anchor, automaton = None, SuffixAutomaton()
+            for i in np.lexsort((group["doc_id"].to_numpy(), group["anchor"].to_numpy())).tolist():
+                if keys[i] != anchor:  # equal windows have equal anchors
+                    anchor, automaton = keys[i], SuffixAutomaton()
+                found[i] = automaton.add(parts[i].split(b" "), docs[i], width)
+            firsts = pa.array(found, pa.list_(pa.int64()))
         finally:
             gc.enable()
         return group.select(["anchor", "print", "at"]).append_column("firsts", firsts)
