@@ -98,12 +98,45 @@ def allocate_quota(df: DataFrame, group: str, index: str, tokens: str, per_chapt
     return within.unionByName(scaled.select(within.columns))
 
 
-def split_quota_over_chunks(df: DataFrame, n_col: str = "n", floor: int = 0) -> DataFrame:
+def split_quota_over_chunks(df: DataFrame, n_col: str = "n", floor: int = 0, crowded: int = 1 << 16) -> DataFrame:
     """chunks(doc, chunk, tokens, n) -> ``quota``: max(1, half-even share), then one up or down in turn
     from the first chunk until the sum is n. The budget is at least floor * chunks. Going down, each turn
     takes one from every chunk above the floor: the number of whole turns is found from the sizes of
-    levels, a count for each (document, share), not by walking over chunks."""
-    base = written(df, "chunks")
+    levels, not by walking over chunks. Documents of at most ``crowded`` chunks are shuffled once and take
+    windows; larger ones, of which there are few, are spread by ordinals."""
+    base = written(df.filter("doc is not null"), "chunks")
+    hot = written(base.groupBy("doc").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > crowded).select("doc"), "crowded-documents")
+    if hot.isEmpty():
+        return _split_by_windows(base, n_col, floor).select(*df.columns, "quota")
+    few = _split_by_windows(base.join(F.broadcast(hot), "doc", "left_anti"), n_col, floor)
+    many = _split_by_ordinals(written(base.join(F.broadcast(hot), "doc", "left_semi"), "chunks"), n_col, floor)
+    return few.select(*df.columns, "quota").unionByName(many.select(*df.columns, "quota"))
+
+
+def _split_by_windows(base: DataFrame, n_col: str, floor: int) -> DataFrame:
+    whole = Window.partitionBy("doc")
+    in_turn = whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = whole.orderBy("_high").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    share = F.greatest(F.lit(1), F.bround(F.col(n_col) * F.col("tokens") / F.col("_tokens"), 0).cast("long"))
+    rows = base.withColumn("_k", F.count(F.lit(1)).over(whole)).withColumn("_tokens", F.sum("tokens").over(whole)).withColumn("_share", share)
+    rows = rows.withColumn("_high", F.col("_share") - floor).withColumn("_missing", F.greatest(F.max(n_col).over(whole), floor * F.col("_k")) - F.sum("_share").over(whole))
+    # so many turns as a chunk has above the floor take _full from all chunks
+    rows = rows.withColumn("_below", F.count(F.lit(1)).over(levels)).withColumn("_full", F.sum("_high").over(levels) + (F.col("_k") - F.col("_below")) * F.col("_high"))
+    rows = rows.withColumn("_last", F.max(F.when(F.col("_full") <= -F.col("_missing"), F.struct("_high", "_full", "_below"))).over(whole))
+    none = F.lit(0).cast("long")
+    high, full, open_ = F.coalesce("_last._high", none), F.coalesce("_last._full", none), F.col("_k") - F.coalesce("_last._below", none)
+    more = F.when(open_ > 0, F.floor((-F.col("_missing") - full) / open_)).otherwise(none)
+    rows = rows.withColumn("_turns", (high + more).cast("long")).withColumn("_rest", (-F.col("_missing") - full - more * open_).cast("long"))
+    still = F.col("_high") > F.col("_turns")
+    rows = rows.withColumn("_i", F.row_number().over(whole.orderBy("chunk"))).withColumn("_turn", F.sum(still.cast("int")).over(in_turn))
+    up = F.col("_share") + F.floor(F.col("_missing") / F.col("_k")) + (F.col("_i") <= F.pmod(F.col("_missing"), F.col("_k"))).cast("int")
+    down = F.col("_share") - F.least("_high", "_turns") - (still & (F.col("_turn") <= F.col("_rest"))).cast("int")
+    return rows.withColumn("quota", F.when(F.col("_missing") >= 0, up).otherwise(down).cast("long"))
+
+
+def _split_by_ordinals(base: DataFrame, n_col: str, floor: int) -> DataFrame:
+    """The same without a task that gets all chunks of a document."""
+    columns = base.columns
     sums = base.groupBy("doc").agg(F.sum("tokens").alias("_tokens"), F.count(F.lit(1)).alias("_k"))
     share = F.greatest(F.lit(1), F.bround(F.col(n_col) * F.col("tokens") / F.col("_tokens"), 0).cast("long"))
     shares = written(ranked(base.join(sums, "doc").withColumn("_share", share), ["doc"], ["chunk"], "_i"), "shares")
@@ -128,8 +161,8 @@ def split_quota_over_chunks(df: DataFrame, n_col: str = "n", floor: int = 0) ->
     extra = ranked(still.select("doc", "chunk", "_i"), ["doc"], ["_i"], "_turn").drop("_i")
     lowered = down.join(extra, ["doc", "chunk"], "left")
     taken = F.least(F.col("_share") - floor, F.col("_t.turns")) + F.coalesce((F.col("_turn") <= F.col("_t.rest")).cast("int"), F.lit(0))
-    out = rows.filter("_missing >= 0").withColumn("quota", up.cast("long")).select(*df.columns, "quota")
-    return out.unionByName(lowered.withColumn("quota", (F.col("_share") - taken).cast("long")).select(*df.columns, "quota"))
+    out = rows.filter("_missing >= 0").withColumn("quota", up.cast("long")).select(*columns, "quota")
+    return out.unionByName(lowered.withColumn("quota", (F.col("_share") - taken).cast("long")).select(*columns, "quota"))
 
 
 def _roots(named: DataFrame, stem: Column, ext: Column) -> DataFrame:
