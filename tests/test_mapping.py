@@ -31,3 +31,11 @@ def test_missing_attachments(spark):
     fetched = spark.createDataFrame([("1", [("z", "z", 1)]), ("2", [("b", "v", 2)])], f"comment_id string, Attachments {kind}")
     rows = {r["comment_id"]: [a["FileName"] for a in r["Attachments"]] for r in joins.fill_missing_attachments(own, fetched).collect()}
     assert rows == {"1": ["a"], "2": ["b"], "3": []}
+
+
+def test_trees_equal_null_and_broken(spark):
+    from ticketloom.operators.pages import rich_tree_to_text
+
+    tree = '{"type":"paragraph","content":[{"type":"text","text":"a"}]}'
+    df = spark.createDataFrame([(1, tree), (2, None), (3, "{"), (4, tree), (5, "")], "ord long, tree string").coalesce(1)
+    assert {r["ord"]: r["tree"] for r in rich_tree_to_text(df, "tree").collect()} == {1: "a", 2: "", 3: "", 4: "a", 5: ""}

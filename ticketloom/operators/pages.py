@@ -458,7 +458,9 @@ def rich_tree_to_text(df: DataFrame, col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = list(batch.columns)
-            columns[at] = pa.array([text_of(t) for t in columns[at].to_pylist()], pa.string())
+            trees = columns[at].dictionary_encode()  # equal trees of a batch are parsed once
+            texts = pa.array([text_of(t) for t in trees.dictionary.to_pylist()], pa.string())
+            columns[at] = texts.take(trees.indices).fill_null("")
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return df.mapInArrow(run, df.schema)
