@@ -168,3 +168,12 @@ def test_character_references_are_those_of_the_standard(spark):
     texts = ["".join(rng.choice(kinds)() for _ in range(rng.randint(1, 6))) for _ in range(2000)] + ["&" + n for n in names] + [None, ""]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.unescape(F.col("t")).alias("x")).collect()
     assert [r for r in rows if r["x"] != (None if r["t"] is None else html.unescape(r["t"]))] == []
+
+
+def test_links_are_found_and_resolved_once(spark):
+    """An expression that a filter or a branch repeats is computed again; references were resolved many times."""
+    df = spark.createDataFrame([(1, "http://h/a", '<a href="b&amp;c">x</a>'), (2, "http://h/b&c", "")], "page_id long, url string, html string")
+    graph = pages.page_link_graph(df)
+    plan = graph._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<!--.*?-->") == plan.count(r"[\t\r\n]") == plan.count("[^/]+$") == 1
+    assert graph.collect() == [(1, 2)]

@@ -72,6 +72,12 @@ def _numbered(digits: Column, base: int) -> Column:
     return F.get(F.transform(F.array(code), of), F.lit(0))
 
 
+def once(use: Callable[[Column], Column], **values: Column) -> Column:
+    """use(a struct of the values), where each value is computed once however often it is used: an expression
+    that is written twice is computed twice, in branches and filters always, and twice again in what uses it."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), use), F.lit(0))
+
+
 def unescape(c: Column) -> Column:
     """Named and numeric character references as characters. Names with a semicolon are looked up whole; of others
     the longest name that may go without one counts, and what follows it stays. Texts without "&" pass as they are."""

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.functions.text import joined_url, title_case, token_estimate, unescape, url_part, without_controls
+from ticketloom.functions.text import joined_url, once, title_case, token_estimate, unescape, url_part, without_controls
 from ticketloom.functions.urls import anchors, resolve_url
 from ticketloom.operators.filters import is_crawlable
 from ticketloom.session import bounded_batches, written
@@ -243,9 +243,9 @@ def page_link_graph(pages: DataFrame) -> DataFrame:
     """(src, dst) page ids of the links that pages(page_id, url, html) hold: targets of <a href>, resolved against the
     page's own URL, that can be crawled from it and are a known page's URL. URLs that differ in the fragment
     are different; of several pages with one URL the first counts."""
-    targets = pages.select(F.col("page_id").alias("src"), "url", F.explode(F.array_distinct(anchors(F.col("html")))).alias("href"))
-    resolved = targets.select("src", F.col("url").alias("_from"), resolve_url(F.col("url"), F.col("href")).alias("url"))
-    wanted = resolved.filter(is_crawlable(F.col("url"), url_part(F.col("_from"), "authority"))).select("src", "url").distinct()
+    followed = F.transform(F.array_distinct(anchors(F.col("html"))), lambda href: resolve_url(F.col("url"), href))
+    of_host = once(lambda v: F.filter(v["urls"], lambda u: is_crawlable(u, v["home"])), urls=F.array_distinct(followed), home=url_part(F.col("url"), "authority"))
+    wanted = pages.select(F.col("page_id").alias("src"), F.explode(of_host).alias("url")).distinct()
     known = pages.groupBy("url").agg(F.min("page_id").alias("dst"))
     return wanted.join(known, "url").select("src", "dst").distinct()
 

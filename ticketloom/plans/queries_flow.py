@@ -11,7 +11,7 @@ from pyspark.sql.functions import col
 from ticketloom.operators import mapping, pages
 from ticketloom.plans import pipelines
 from ticketloom.plans.common import Register, conversation_tickets, documents, page_links
-from ticketloom.session import table
+from ticketloom.session import table, written
 
 register = Register()
 QUERIES, ORACLE_SQL = register.queries, register.sql
@@ -141,7 +141,7 @@ def linked_pages(spark, d):
 
 def _web(spark, d):
     """Starts at the first page of every host."""
-    p = linked_pages(spark, d)
+    p = written(linked_pages(spark, d), "linked-pages")  # read for links, for URLs and for what is reached
     first = p.groupBy(F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host")).agg(F.min("page_id").alias("page"))
     link = F.concat(F.lit('<ul><li><a href="/svc.asmx?op=Get_'), (col("page_id") % 50).cast("string"), F.lit('">call</a> - returns rows</li></ul>'))
     return pipelines.web_flow(p.withColumn("html", F.concat("html", link)), first.select("page"), "https://base.example.com/")
