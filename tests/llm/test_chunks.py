@@ -21,3 +21,12 @@ def test_chunks_are_numbered_and_spelled_once(monkeypatch, name):
     monkeypatch.setattr(Encoder, "LIMIT", 0)  # generations change and keep what is asked for
     assert coder.ids(TEXTS) == want and coder.ids(TEXTS[::-1]) == want[::-1] and len(asked) == before
     assert coder.ids([]) == []
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_spelled_together(monkeypatch, name):
+    """Not one call of the library for each; marks of the vocabularies in a text are told apart."""
+    text = " ".join(f"w{'abcdefghij'[i % 10]}{'ßéüÀø'[i % 5] if i % 3 else 'Q'}{'xyz' * (i % 7)}, v\n{'Ab' * (i % 11 + 1)}" for i in range(1000)) + " Ā Ġ Āb Ġe a\0b \0 ÷x </w> o</w>"
+    monkeypatch.setattr(Encoder, "_word", None)
+    coder = Encoder(vocabulary(name))
+    assert coder.ids([text, text[:50]]) == [array("I", coder.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in (text, text[:50])]
