@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -458,6 +459,39 @@ def test_blocks_are_bounded_in_number_and_bytes(spark, monkeypatch):
     assert sum(sizes().values()) == 400 * 20
 
 
+def test_sparse_vectors_are_sent_without_zeros(spark, sf, monkeypatch):
+    """Blocks are counted by what is not zero; links in one round, in several, and of whole vectors connect the same rows."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("ord"), F.substring("text", 1, 300).alias("text"))
+    v = similarity.embed_texts(docs.filter("doc_id % 3 > 0").unionByName(spark.createDataFrame([(-1, ""), (-2, None)], "ord long, text string"))).localCheckpoint()
+    n, full = v.count(), v.agg(F.sum(F.size(F.filter("embedding", lambda x: x != 0)))).first()[0]
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 1 << 11)
+    sent = similarity._dealt(v, 2000, "ord", "embedding").count().collect()
+    blocks = -(-6 * full // (1 << 11))
+    assert blocks > similarity.BLOCKS and sum(r["count"] for r in sent) == n * blocks and 4 * blocks < n * 512 * 8 >> 11
+    names, real = [], similarity.written
+    monkeypatch.setattr(similarity, "written", lambda df, name: names.append(name) or real(df, name))
+
+    def parts(edges):
+        root = {}
+        for r in edges.filter("kind in ('link', 'merge')").collect():
+            a, b = root.get(r["i"], {r["i"]}), root.get(r["j"], {r["j"]})
+            root |= dict.fromkeys(a | b, a | b)
+        return {frozenset(x) for x in root.values()}
+
+    pairs = similarity.similarity_pairs(v, 0.5, 0.6).cache()
+    rounds = similarity.similarity_links(v, 0.6, 0.6)
+    assert names == ["links-of-round"] * -(-blocks // similarity.BLOCKS) and len(names) > 1
+    assert parts(rounds) == parts(pairs) == parts(similarity.similarity_links(v, 0.6, 0.6, at_once=True)) == parts(similarity.similarity_links(v, 0.5, 0.6)) != set()
+    whole = {r["ord"]: r["embedding"] for r in v.collect()}
+    ids = sorted(whole)
+    x = np.array([whole[k] for k in ids], np.float64)
+    norm = np.sqrt((x * x).sum(1))[:, None]
+    x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+    product = x @ x.T
+    want = {(ids[i], ids[j]): round(product[i, j], 9) for i, j in zip(*np.nonzero(np.triu(product >= 0.5, 1)), strict=True)}
+    assert {(r["i"], r["j"]): round(r["score"], 9) for r in pairs.collect()} == want and len(want) > 20
+
+
 def test_text_functions_bound_their_batches(spark):
     """Python gets few rows and bytes of text at a time, whatever ran in the session before."""
     for key, value in (("maxRecordsPerBatch", 10000), ("maxBytesPerBatch", 1 << 28)):

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
@@ -17,12 +19,14 @@ from ticketloom.operators.windows import pick_representative
 from ticketloom.session import bounded_batches, release, ship, written
 
 
-#: Vectors of a block take at most this many bytes in a task, as doubles.
+#: Vectors of a block take at most this many bytes in a task: as doubles, or what is not zero and its places.
 BLOCK_BYTES = 32 << 20
 #: As many blocks a table that fits into fewer is dealt into, for enough tasks (78).
 BLOCKS = 12
-#: Scores that a task holds at a time, and rows that it sends at a time.
+#: Numbers that a task holds at a time, and rows that it sends at a time.
 _TILE, _ROWS = 1 << 22, 1 << 16
+#: Rows on the two sides that are compared at a time, at most; groups of features whose lengths bound a score.
+_LEFT, _RIGHT, _GROUPS = 512, 4096, 96
 
 
 def _rows_of(i: np.ndarray, j: np.ndarray, score: np.ndarray | None, kind: str | None = None) -> Iterator[pa.RecordBatch]:
@@ -37,44 +41,132 @@ def _rows_of(i: np.ndarray, j: np.ndarray, score: np.ndarray | None, kind: str |
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
+def _true(flags: np.ndarray) -> np.ndarray:
+    """Places of the few flags that are set, eight looked at together."""
+    n = len(flags) // 8 * 8
+    some = np.flatnonzero(flags[:n].view(np.uint64))
+    at = (some[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([at[flags[at]], n + np.flatnonzero(flags[n:])])
+
+
 class _Block:
-    """A pair of blocks in a task: unit vectors, and which rows are on which side."""
+    """A pair of blocks in a task: unit vectors, and which rows are on which side. Vectors that are mostly zeros come
+    as places and values, and are made whole for some rows at a time."""
 
     def __init__(self, batches: Iterator[pa.RecordBatch]):
         group = pa.Table.from_batches(list(batches)).combine_chunks()
         self.own = group["ord"].to_numpy()
         side = group["side"].to_numpy()
-        v = group["vector"].combine_chunks()
-        v = v.flatten().to_numpy(zero_copy_only=False).reshape(len(self.own), -1).astype(np.float64)
-        norm = np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
-        self.vectors = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
         self.left, self.right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         self.same = bool((side == 2).any())
+        values = group["vector"].combine_chunks()
+        self.sparse = "places" in group.column_names
+        self.values = values.flatten().to_numpy(zero_copy_only=False)
+        if self.sparse:
+            self.places = group["places"].combine_chunks().flatten().to_numpy()
+            self.sizes = pc.list_value_length(values).to_numpy().astype(np.int64)
+            self.starts = np.cumsum(self.sizes) - self.sizes
+            self.width = 64 * (int(self.places.max(initial=0)) // 64 + 1)  # zeros behind the last place count for nothing
+            self._measure()
+        else:
+            v = self.values.reshape(len(self.own), -1).astype(np.float64)
+            norm = np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+            self.vectors, self.width = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0), max(1, v.shape[1])
+
+    def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of what is not zero in some rows, the number of the row among these, and where it is kept."""
+        n = self.sizes[rows]
+        row = np.repeat(np.arange(len(rows)), n)
+        return row, np.arange(len(row)) + np.repeat(self.starts[rows] - (np.cumsum(n) - n), n)
+
+    def _measure(self) -> None:
+        """Norms, and the length of each row in each group of features. The product of two rows is at most that of
+        their lengths, summed over the groups. Features with much of all rows go to different groups."""
+        step, n = max(1, _TILE // self.width), len(self.own)
+        self.norm, weight = np.ones(n), np.zeros(self.width)
+        for at in range(0, n, step):
+            rows = np.arange(at, min(n, at + step))
+            v = self.whole(rows)
+            self.norm[rows] = np.sqrt(np.einsum("ij,ij->i", v, v))
+            _, where = self._entries(rows)
+            weight += np.bincount(self.places[where], self.values[where].astype(np.float64) ** 2, self.width)
+        group = np.empty(self.width, np.int64)
+        group[np.argsort(-weight, kind="stable")] = np.arange(self.width) % _GROUPS
+        self.lengths = np.empty((n, _GROUPS), np.float32)
+        for at in range(0, n, step):
+            rows = np.arange(at, min(n, at + step))
+            row, where = self._entries(rows)
+            norm = self.norm[rows][row]
+            u = np.divide(self.values[where], norm, out=np.zeros(len(row)), where=norm > 0)
+            self.lengths[rows] = np.sqrt(np.bincount(row * _GROUPS + group[self.places[where]], u * u, len(rows) * _GROUPS)).reshape(-1, _GROUPS)
+
+    def whole(self, rows: np.ndarray, kind: type = np.float64) -> np.ndarray:
+        """Unit vectors of some rows."""
+        if not self.sparse:
+            return self.vectors[rows].astype(kind, copy=False)
+        out = np.zeros((len(rows), self.width), kind)
+        row, where = self._entries(rows)
+        norm = self.norm[rows][row]
+        out[row, self.places[where]] = np.divide(self.values[where], norm, out=np.zeros(len(row)), where=norm > 0)
+        return out
 
-    def near(self, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows (a, b) that may score ``least`` or more, each pair once. Single precision finds them, with what its
-        sums can be wrong by; ``scores`` decides."""
-        single = self.vectors.astype(np.float32)
-        other = np.ascontiguousarray(single[self.right].T)
-        least = np.float32(least - 1e-6 - 1.2e-7 * single.shape[1])
-        step = max(1, _TILE // max(1, len(self.right)))
-        for at in range(0, len(self.left), step):
-            rows = self.left[at : at + step]
-            at_once = np.flatnonzero((single[rows] @ other).ravel() >= least)
-            a, b = rows[at_once // len(self.right)], self.right[at_once % len(self.right)]
-            if self.same:
-                once = self.own[a] < self.own[b]
-                a, b = a[once], b[once]
-            if len(a):
-                yield a, b
-
-    def scores(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        out, step = np.empty(len(a)), max(1, _TILE // (4 * self.vectors.shape[1]))
+    def near(self, least: float, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows (a, b) that may score ``least`` or more, each pair once, and of these what ``wanted`` leaves: it is asked
+        again after one pair of each row on the right, and of each on the left. Every pair is looked at: sparse rows by their lengths first, which few others pass. Single precision
+        finds them, with what its sums can be wrong by; ``scores`` decides."""
+        least = np.float32(least - 1e-6 - 1.2e-7 * self.width)
+        columns = max(1, min(_RIGHT, _TILE // self.width))
+        step = max(1, min(_LEFT, _TILE // max(columns, self.width)))
+        room, flags = np.empty(step * columns, np.float32), np.empty(step * columns, bool)
+
+        def reached(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            n = len(x) * y.shape[1]
+            product = np.matmul(x, y, out=room[:n].reshape(len(x), -1))
+            return _true(np.greater_equal(product.ravel(), least, out=flags[:n]))
+
+        for at in range(0, len(self.right), columns):
+            right, other = self.right[at : at + columns], None
+            n = len(right)
+            if self.sparse:
+                bound = np.ascontiguousarray(self.lengths[right].T)
+            for to in range(0, min(at + n, len(self.left)) if self.same else len(self.left), step):
+                left = self.left[to : to + step]
+                bounded = self.sparse
+                if bounded:
+                    found = reached(self.lengths[left], bound)
+                    bounded = len(found) <= len(left) * n >> 4  # else too many to be looked at one by one
+                if not bounded:
+                    other = np.ascontiguousarray(self.whole(right, np.float32).T) if other is None else other
+                    found = reached(self.whole(left, np.float32), other)
+                a, b = found // n, found % n
+                once = a + to < b + at if self.same else slice(None)
+                a, b = left[a[once]], right[b[once]]
+                if self.same:
+                    once = self.own[a] != self.own[b]
+                    a, b = a[once], b[once]
+                for side in (None,) if wanted is None else (1, 0, None):
+                    if wanted is not None:
+                        keep = wanted(a, b)
+                        a, b = a[keep], b[keep]
+                    now = np.zeros(len(a), bool)
+                    now[slice(None) if side is None else np.unique((a, b)[side], return_index=True)[1]] = True
+                    x, y, a, b = a[now], b[now], a[~now], b[~now]
+                    if bounded and len(x):
+                        keep = self._products(x, y, np.float32) >= least
+                        x, y = x[keep], y[keep]
+                    if len(x):
+                        yield x, y
+
+    def _products(self, a: np.ndarray, b: np.ndarray, kind: type) -> np.ndarray:
+        out, step = np.empty(len(a), kind), max(1, _TILE // (4 * self.width))
         for at in range(0, len(a), step):
-            cut = slice(at, at + step)
-            out[cut] = np.einsum("ij,ij->i", self.vectors[a[cut]], self.vectors[b[cut]])
+            (i, x), (j, y) = (np.unique(rows[at : at + step], return_inverse=True) for rows in (a, b))
+            out[at : at + step] = np.einsum("ij,ij->i", self.whole(i, kind)[x], self.whole(j, kind)[y])
         return out
 
+    def scores(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self._products(a, b, np.float64)
+
 
 def _block_scores(t_low: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,10 +206,8 @@ def _block_links(t_low: float, t_merge: float):
         block = _Block(batches)
         own, root = block.own, np.arange(len(block.own))
         best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for a, b in block.near(t_low):
-            if t_low >= t_merge:  # rows that are linked already need no score
-                apart = root[a] != root[b]
-                a, b = a[apart], b[apart]
+        # without review pairs, rows that are linked already need no score
+        for a, b in block.near(t_low, (lambda a, b: root[a] != root[b]) if t_low >= t_merge else None):
             s = block.scores(a, b)
             merge = s >= t_merge
             root = _joined(root, a[merge], b[merge])
@@ -159,30 +249,54 @@ def similarity_pairs(vectors: DataFrame, t_low: float, t_merge: float, block: in
     return _kinds(_lsh_pairs(rows, t_low) if mode == "lsh" else _index_pairs(rows, t_low), t_merge)
 
 
-def similarity_links(vectors: DataFrame, t_low: float, t_merge: float, block: int = 2000, ord_col: str = "ord", vector_col: str = "embedding") -> DataFrame:
+def similarity_links(vectors: DataFrame, t_low: float, t_merge: float, block: int = 2000, ord_col: str = "ord", vector_col: str = "embedding", at_once: bool = False) -> DataFrame:
     """What clusters and review pairs need of all pairs, at most three rows for each row and pair of blocks
     however many pairs there are: (i, j, null, 'link'), which connect the same rows as all pairs with a score >=
     t_merge, and (i, j, score, 'review'), the best below of each i from a pair of blocks, ties to the smallest j.
-    Where t_low is t_merge there are links only. Every pair is scored."""
-    return _dealt(vectors, block, ord_col, vector_col).applyInArrow(_block_links(t_low, t_merge), "i long, j long, score double, kind string")
+    Where t_low is t_merge there are links only. Every pair is compared.
+
+    More than ``BLOCKS`` blocks are compared in rounds, each written before the next, so that at most twice as many
+    copies of a row as that are on disk at a time. ``at_once`` leaves all to one job that runs when it is read."""
+    rows, blocks = _blocked(vectors, block, ord_col, vector_col)
+    each = blocks if at_once else BLOCKS
+    rounds = [_paired(rows, blocks, at, min(at + each, blocks)).applyInArrow(_block_links(t_low, t_merge), "i long, j long, score double, kind string") for at in range(0, blocks, each)]
+    return rounds[0] if len(rounds) == 1 else reduce(DataFrame.unionByName, [written(x, "links-of-round") for x in rounds])
 
 
 def _dealt(vectors: DataFrame, block: int, ord_col: str, vector_col: str) -> GroupedData:
-    """Rows by pairs of blocks. A row is copied once for each block, so there are few and large ones: at least
-    ``block`` rows for each of ``BLOCKS``, and ``BLOCK_BYTES`` at most."""
+    """Rows by all pairs of blocks."""
+    rows, blocks = _blocked(vectors, block, ord_col, vector_col)
+    return _paired(rows, blocks, 0, blocks)
+
+
+def _blocked(vectors: DataFrame, block: int, ord_col: str, vector_col: str) -> tuple[DataFrame, int]:
+    """Rows with their block ``b``, and the number of blocks. A row is copied once for each block, so there are few and
+    large ones: at least ``block`` rows for each of ``BLOCKS``, and ``BLOCK_BYTES`` at most. Of vectors that are mostly
+    zeros only the rest is sent."""
     bounded_batches(vectors.sparkSession)
     single = isinstance(vectors.schema[vector_col].dataType.elementType, FloatType)
     rows = vectors.select(F.col(ord_col).cast("long").alias("ord"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("vector")).filter("vector is not null")
-    n, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
-    blocks = max(1, min(BLOCKS, math.ceil(n / block)), math.ceil(n * width * 8 / BLOCK_BYTES))
-    dealt = rows.withColumn("b", F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    full = lambda x: x.isNull() | (x != 0)
+    n, width, filled = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0)), F.coalesce(F.sum(F.size(F.filter("vector", full))), F.lit(0))).first()
+    number, place = (4 if single else 8), (2 if width <= 1 << 15 else 4)
+    sparse = 2 * filled * (number + place) < n * width * number
+    if sparse:
+        places = F.array_compact(F.transform("vector", lambda x, i: F.when(full(x), i.cast("short" if place == 2 else "int"))))
+        rows = rows.select("ord", places.alias("places"), F.filter("vector", full).alias("vector"))
+    blocks = max(1, min(BLOCKS, math.ceil(n / block)), math.ceil((filled * (number + place) if sparse else n * width * 8) / BLOCK_BYTES))
+    return rows.withColumn("b", F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int")), blocks
+
+
+def _paired(rows: DataFrame, blocks: int, first: int, end: int) -> GroupedData:
+    """Rows by those pairs of blocks whose greater one is from ``first`` to before ``end``."""
+    other = F.explode(F.sequence(F.when(F.col("b") < first, first).otherwise(0), F.lit(end - 1)))
     p, q = F.least("b", "o"), F.greatest("b", "o")
-    pair = (p * blocks + q - F.floor(p * (p + 1) / 2)).cast("int")  # from 0, without gaps
-    copies = dealt.withColumn("o", other).select(pair.alias("pair"), F.when(F.col("b") == F.col("o"), 2).when(F.col("b") < F.col("o"), 0).otherwise(1).alias("side"), "ord", "vector")
+    before, count = first * (first + 1) // 2, end * (end + 1) // 2 - first * (first + 1) // 2
+    pair = (F.floor(q * (q + 1) / 2) + p - before).cast("int")  # from 0, without gaps
+    side = F.when(F.col("b") == F.col("o"), 2).when(F.col("b") < F.col("o"), 0).otherwise(1)
+    copies = rows.filter(F.col("b") < end).withColumn("o", other).select(pair.alias("pair"), side.alias("side"), *[c for c in rows.columns if c != "b"])
     # by number and not by hash, so that each pair of blocks is a task of its own
-    parts = min(blocks * (blocks + 1) // 2, 2000)
-    return copies.repartitionById(parts, "pair").groupBy("pair")
+    return copies.repartitionById(min(count, 2000), "pair").groupBy("pair")
 
 
 def _index_pairs(rows: DataFrame, t_low: float) -> DataFrame:

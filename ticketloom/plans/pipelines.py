@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions import text as tx
 from ticketloom.functions.columns import with_ordinal
 from ticketloom.operators import filters, generation, joins, pages, replies, reports, similarity, windows
-from ticketloom.session import written
+from ticketloom.session import release, written
 
 Model = Callable[[list[str]], list[str]]
 
@@ -20,9 +20,12 @@ def _summaries(tickets: DataFrame, model: Model, prefix: str) -> DataFrame:
     prompts, the model and the parser to summaries, written."""
     tickets = written(tickets, "tickets")  # read twice; what made them went through Python
     prompts = written(replies.build_prompts(tickets), "prompts")
-    routed = replies.route_replies(replies.score_prompts(prompts, model))
+    answers = replies.score_prompts(prompts, model)
+    routed = replies.route_replies(answers)
     known = tickets.select("ticket_id", "subject", "issue_date", "url").join(prompts.select("ticket_id", "urls", "filenames"), "ticket_id")
-    return written(replies.build_summaries(routed.filter("route = 'summary'"), known, prefix), "summaries")
+    summaries = written(replies.build_summaries(routed.filter("route = 'summary'"), known, prefix), "summaries")
+    release(tickets, prompts, answers)  # whole texts, which nothing reads any more
+    return summaries
 
 
 def _blocks(summaries: DataFrame, batch_size: int) -> DataFrame:
@@ -84,7 +87,8 @@ def tracker_flow(
     links = written(similarity.similarity_links(vectors, t_merge, t_merge), "links")
     clusters, canonical = similarity.cluster_duplicates(placed, links)
     canonical = written(canonical, "canonical")
-    review = similarity.review_pairs(similarity.similarity_links(vectors, t_low, t_merge), placed)
+    release(links)
+    review = similarity.review_pairs(similarity.similarity_links(vectors, t_low, t_merge, at_once=True), placed)  # computed where it is read
     return clusters, windows.canonical_order(canonical), review, _blocks(canonical, batch_size)
 
 
