@@ -112,8 +112,9 @@ class _Block:
 
     def near(self, least: float, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows (a, b) that may score ``least`` or more, each pair once, and of these what ``wanted`` leaves: it is asked
-        again after one pair of each row on the right, and of each on the left. Every pair is looked at: sparse rows by their lengths first, which few others pass. Single precision
-        finds them, with what its sums can be wrong by; ``scores`` decides."""
+        again after one pair of each row on the right, and of each on the left. Every pair is looked at, sparse rows by
+        their lengths first, which few pass. Single precision finds them, with what its sums can be wrong by;
+        ``scores`` decides."""
         least = np.float32(least - 1e-6 - 1.2e-7 * self.width)
         columns = max(1, min(_RIGHT, _TILE // self.width))
         step = max(1, min(_LEFT, _TILE // max(columns, self.width)))
@@ -160,8 +161,12 @@ class _Block:
     def _products(self, a: np.ndarray, b: np.ndarray, kind: type) -> np.ndarray:
         out, step = np.empty(len(a), kind), max(1, _TILE // (4 * self.width))
         for at in range(0, len(a), step):
-            (i, x), (j, y) = (np.unique(rows[at : at + step], return_inverse=True) for rows in (a, b))
-            out[at : at + step] = np.einsum("ij,ij->i", self.whole(i, kind)[x], self.whole(j, kind)[y])
+            cut = slice(at, at + step)
+            if self.sparse:  # a row is made whole once for all its pairs
+                (i, x), (j, y) = (np.unique(rows[cut], return_inverse=True) for rows in (a, b))
+                out[cut] = np.einsum("ij,ij->i", self.whole(i, kind)[x], self.whole(j, kind)[y])
+            else:
+                out[cut] = np.einsum("ij,ij->i", self.whole(a[cut], kind), self.whole(b[cut], kind))
         return out
 
     def scores(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
